@@ -21,6 +21,11 @@ def label_dictionary(labels: DataFrame) -> DataFrame:
     )
 
 
+def prepared(labels: DataFrame) -> DataFrame:
+    """The dictionary, broadcast when its size is proven small (checked once)."""
+    return bounded_broadcast(label_dictionary(labels))
+
+
 def lookup(
     df: DataFrame,
     text_col: str,
@@ -32,16 +37,16 @@ def lookup(
 ) -> DataFrame:
     """Map ``text_col`` to a label id; flag present texts that are unknown.
 
-    With ``blank_is_missing`` an empty text counts as absent (no id, no
-    error); otherwise only NULL is absent and even NULL is an error when
-    the caller asks for it via ``error_col`` semantics below.
+    ``dictionary`` comes from ``prepared`` (already size-checked).  With
+    ``blank_is_missing`` an empty text counts as absent (no id, no error);
+    otherwise only NULL is absent.
     """
     probe = blank_to_null(text_col) if blank_is_missing else F.col(text_col)
     key = f"__{id_col}_key"
     cols = [F.col("text").alias(key), F.col("id").alias(id_col)]
     if blur_col:
         cols.append(F.col("blur").alias(blur_col))
-    dim = bounded_broadcast(dictionary.select(*cols))
+    dim = dictionary.select(*cols)
     joined = df.withColumn(key + "_probe", probe).join(
         dim, F.col(key + "_probe") == F.col(key), "left"
     )

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import parse_ts, resolve_site, to_int_key
 from ..operators.expand import explode_refs, image_metadata
 from ..operators.joins import insert_absent
-from ..operators.labels import label_dictionary
+from ..operators.labels import prepared
 from ..operators.select import listed, not_loaded, owner, prior_pairs, project_rows
 from ..sources.tables import Sources, State
 from . import targets as tg
@@ -101,7 +101,7 @@ def plan_import(
     ``file_state``: optional ``(image_id, target_exists, source_readable)``;
     without it no target file exists yet and every source is readable.
     """
-    dictionary = label_dictionary(src.labels)
+    dictionary = prepared(src.labels)
     datasets = gate_datasets(src, ids)
     open_ds = datasets.where(F.col("gate").isNull()).select("ds_id", "ds_key")
 

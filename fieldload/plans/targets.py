@@ -19,13 +19,14 @@ from ..functions.scalars import (
     parse_ts,
 )
 from ..operators.expand import attach_metadata, explode_boxes, explode_refs, image_metadata
-from ..operators.labels import label_dictionary, lookup
-from ..operators.numbering import dense_ids
+from ..operators.labels import lookup, prepared
 
 # Fixed values.
 FILE_PREFIX = "processed/tsimages/imported/"
 NO_USER = -1
 SITE_SRID = 4326
+PRIOR_IMAGE_STRIDE = 10_000
+PRIOR_BOX_STRIDE = 100
 EXTRA_FIELDS = ("distance", "num_animals", "should_export_images", "camera_inactive", "taken_offset")
 
 
@@ -179,18 +180,24 @@ def selected_images(images: DataFrame) -> DataFrame:
 
 
 def prior_rows(src, ds: DataFrame, ts_keys: DataFrame, run_ts: str):
-    """Prior state for the fixtures: import rules on every prior timeseries."""
+    """Prior state for the fixtures: import rules on every prior timeseries.
+
+    Ids follow FIXTURES.md: timeseries ids are given (rank by ext id); an
+    image id is ``timeseries id * 10000 + position``, a box id ``image id *
+    100 + box position``, a revision id the timeseries id.
+    """
     from ..sources.tables import State
 
-    dictionary = label_dictionary(src.labels)
+    dictionary = prepared(src.labels)
     site = site_rows(ds.select(F.col("location_id").alias("site_id")).distinct(), run_ts)
     attrs = timeseries_attrs(src.timeseries, dictionary).join(
         ts_keys.select(F.col("ext_id").alias("ts_id"), F.col("id").alias("ts_pk"), "dataset_id"), "ts_id"
     )
     refs = explode_refs(src.timeseries.join(ts_keys.select(F.col("ext_id").alias("id")), "id", "left_semi"))
     imgs = image_rows(refs, image_metadata(src.images_metadata))
-    imgs = dense_ids(imgs, ["ts_id", "image_index", "image_id"], name="image_pk")
-    imgs = imgs.join(attrs.select("ts_id", "ts_pk", "dataset_id"), "ts_id")
+    imgs = imgs.join(attrs.select("ts_id", "ts_pk", "dataset_id"), "ts_id").withColumn(
+        "image_pk", F.col("ts_pk") * PRIOR_IMAGE_STRIDE + F.col("image_index")
+    )
     image = imgs.select(
         F.col("image_pk").alias("id"),
         F.col("image_id").alias("uuid"),
@@ -205,7 +212,7 @@ def prior_rows(src, ds: DataFrame, ts_keys: DataFrame, run_ts: str):
         F.col("image_id").alias("ext_id"),
     )
     boxes = box_rows(imgs, dictionary, ["image_pk", "classified_at"])
-    boxes = dense_ids(boxes, ["image_pk", "box_index"], name="box_pk")
+    boxes = boxes.withColumn("box_pk", F.col("image_pk") * PRIOR_BOX_STRIDE + F.col("box_index"))
     bbox = boxes.select(
         F.col("box_pk").alias("id"),
         F.col("classified_at").alias("created_at"),
@@ -236,9 +243,9 @@ def prior_rows(src, ds: DataFrame, ts_keys: DataFrame, run_ts: str):
         "validated_species_id",
         F.col("ts_id").alias("ext_id"),
     )
-    rev = dense_ids(revision_target(attrs).join(attrs.select("ts_id", "ts_pk"), "ts_id"), ["ts_pk"], name="rev_pk")
+    rev = revision_target(attrs).join(attrs.select("ts_id", "ts_pk"), "ts_id")
     revision = rev.select(
-        F.col("rev_pk").alias("id"),
+        F.col("ts_pk").alias("id"),
         "created_at",
         "last_modified_at",
         "user_id",

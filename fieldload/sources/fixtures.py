@@ -185,7 +185,22 @@ class Fixture:
         return self.sources.projects.sparkSession
 
 
+_CACHE: dict[tuple, object] = {}
+
+
+def _memo(kind: str, spark: SparkSession, base: str, build):
+    """Reuse fixture frames within one session (they hold checkpointed parts)."""
+    key = (kind, spark.sparkContext.applicationId, id(spark), base)
+    if key not in _CACHE:
+        _CACHE[key] = build()
+    return _CACHE[key]
+
+
 def load(spark: SparkSession, base: str) -> Fixture:
+    return _memo("fixture", spark, base, lambda: _load(spark, base))
+
+
+def _load(spark: SparkSession, base: str) -> Fixture:
     ev = events(spark, base)
     g = groups(ev)
     src = Sources(
@@ -231,6 +246,9 @@ def prior_state(fx: Fixture) -> State:
     """Prior target tables: the import rules applied to every prior timeseries."""
     from ..plans.targets import prior_rows
 
-    ds = prior_dataset(fx)
-    keys = dense_ids(prior_timeseries_keys(fx), ["ext_id"])
-    return prior_rows(fx.sources, ds, keys, RUN_TS)
+    def build() -> State:
+        ds = prior_dataset(fx)
+        keys = dense_ids(prior_timeseries_keys(fx), ["ext_id"])
+        return prior_rows(fx.sources, ds, keys, RUN_TS)
+
+    return _memo("prior", fx.spark, str(id(fx)), build)
