@@ -1,10 +1,11 @@
 """Dense surrogate ids without a single-partition window.
 
 ``row_number() over (order by k)`` with no partition puts every row in one
-task.  Instead: range-partition and sort by the key, cut lineage with a
-reliable checkpoint (so both passes see the same partitions), count rows per
-partition (one row per partition), and add each partition's offset to the
-row's position inside its partition.
+task.  Instead: range-partition and sort by the key, tag each row with its
+partition and its position inside it (``monotonically_increasing_id``),
+store the tags with the rows (one written pass, so a retried task cannot
+change them), count rows per partition (one row per partition) and add each
+partition's running offset.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stage import cut
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -22,22 +25,22 @@ def dense_ids(
     start: int | DataFrame = 1,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``name`` = start + rank of the row in ``order_cols`` order (0-based rank).
+    """Add ``name`` = start + 0-based rank of the row in ``order_cols`` order.
 
-    ``start`` may be a one-row, one-column DataFrame (e.g. max existing id + 1).
-    Ties get distinct ids in an unspecified order.
+    ``start`` may be a one-row DataFrame (e.g. max existing id + 1).  Ties
+    get distinct ids in an unspecified order.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
+    mono = F.monotonically_increasing_id()
+    tagged = cut(
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
-        .checkpoint(eager=True)
-    )
-    mono = F.monotonically_increasing_id()
-    tagged = ordered.withColumn("_mono", mono)
-    tagged = tagged.withColumn("_part", F.shiftright("_mono", 33)).withColumn(
-        "_local", F.col("_mono").bitwiseAND(F.lit(_LOW_BITS))
+        .withColumn("_mono", mono)
+        .withColumn("_part", F.shiftright("_mono", 33))
+        .withColumn("_local", F.col("_mono").bitwiseAND(F.lit(_LOW_BITS)))
+        .drop("_mono"),
+        "numbering",
     )
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # The first id rides along as a pseudo partition -1, so that the running
@@ -65,5 +68,5 @@ def dense_ids(
     return (
         tagged.join(F.broadcast(offsets), "_part")
         .withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint"))
-        .drop("_mono", "_part", "_local", "_off")
+        .drop("_part", "_local", "_off")
     )

@@ -299,7 +299,7 @@ SELECT id, timezone('UTC', TRY_CAST(created_at AS TIMESTAMPTZ)) AS created_ts,
 SELECT ts_id AS id, predicted_species_id, validated_species_id, label_error, hidden FROM ts_attr"""),
         "expand_images": _with("SELECT ts_id, image_index, image_id FROM ts_refs"),
         "image_metadata": _with("""
-SELECT id, exif, taken_at, predicted_at, predicted_label, len(predicted_boxes) AS n_boxes FROM images_metadata"""),
+SELECT id, exif, taken_at, predicted_at, predicted_label, CAST(len(predicted_boxes) AS INTEGER) AS n_boxes FROM images_metadata"""),
         "image_join": _with("""
 SELECT r.ts_id, r.image_index, r.image_id, r.selected_image, m.exif, m.taken_at, m.predicted_at, m.predicted_label
 FROM ts_refs r JOIN images_metadata m ON m.id = r.image_id"""),
@@ -322,7 +322,7 @@ FROM judged j LEFT JOIN committed c ON c.ts_id = j.ts_id"""),
 SELECT ds_id, outcome, timeseries, images, errors FROM outcome
 WHERE timeseries > 0 AND outcome IN ('imported', 'aborted')"""),
         "range_summary": _imp(
-            "SELECT count(*) AS total, count_if(outcome IN ('not_found', 'aborted')) AS failed FROM outcome",
+            "SELECT count(*) AS total, CAST(count_if(outcome IN ('not_found', 'aborted')) AS BIGINT) AS failed FROM outcome",
             requested=RANGE_IDS,
         ),
         "site_insert": _imp(f"""

@@ -29,6 +29,7 @@ from ..functions.scalars import parse_ts, resolve_site, to_int_key
 from ..operators.expand import explode_refs, image_metadata
 from ..operators.joins import insert_absent
 from ..operators.labels import prepared
+from ..operators.stage import cut
 from ..operators.select import listed, not_loaded, owner, prior_pairs, project_rows
 from ..sources.tables import Sources, State
 from . import targets as tg
@@ -43,6 +44,12 @@ ABORTED = "aborted"
 FAILED_OUTCOMES = (NOT_FOUND, ABORTED)
 
 
+def _cut(df: DataFrame, name: str) -> DataFrame:
+    """Materialise a frame read by several later steps (a table in the shared
+    checkpoint folder: survives executor loss and keeps later plans small)."""
+    return cut(df, name)
+
+
 @dataclass(frozen=True)
 class Plan:
     """Lazy frames of one import run."""
@@ -127,7 +134,8 @@ def plan_import(
         ).alias("bad"),
     )
     # One row per source timeseries row (duplicated ids count twice, C16).
-    candidates = pairs.join(flags, "ts_id")
+    # Cut here: cutoff, reach, counters and the attempted set all read it.
+    candidates = _cut(pairs.join(flags, "ts_id"), "candidates")
 
     # 3. first bad row per dataset; rows before it are reached.
     cutoff = candidates.where("bad").groupBy("ds_id").agg(F.min("ts_id").alias("cutoff"))
@@ -158,6 +166,9 @@ def plan_import(
         )
     else:
         images = images.withColumn("target_exists", F.lit(False))
+    # The image join (J4) is the one big shuffle; errors, image rows, boxes
+    # and selected images all read its output, so it is materialised once.
+    images = _cut(images, "images")
     boxes = tg.box_rows(
         images.withColumn("blur_applies", ~F.col("target_exists")),
         dictionary,
@@ -178,6 +189,7 @@ def plan_import(
         F.coalesce("error", F.lit(False)).alias("error"),
         F.coalesce("n_images", F.lit(0)).cast("bigint").alias("n_images"),
     )
+    judged = _cut(judged, "judged")
     committed = owner(judged.where(~F.col("error")).select("ds_id", "ds_key", "ts_id"))
 
     # Counters and outcome per dataset.

@@ -10,13 +10,20 @@ no image writer).
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pixel_bound
 
+# The Python steps below run on executors; pickle this module's functions by
+# value so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: box blur radius in pixels.
 BLUR_RADIUS = 50
 # Image rows are large: keep Arrow batches small in the pixel step.
@@ -25,24 +32,32 @@ PIXEL_BATCH_ROWS = 16
 LANDED_SCHEMA = "image_id string, origin string, height int, width int, nChannels int, mode int, data binary"
 
 
-def landed_images(events: DataFrame) -> DataFrame:
-    """Source images for the fixtures, one per event, made on the executors.
+def landed_sizes(events: DataFrame) -> DataFrame:
+    """Sizes of the fixture's source images (FIXTURES.md), as built-in columns:
+    width 32 + 8 (e mod 4), height 24 + 8 (e mod 3)."""
+    e = F.col("event_id")
+    return events.select(
+        e.cast("string").alias("image_id"),
+        (F.lit(32) + F.lit(8) * (e % 4)).cast("int").alias("width"),
+        (F.lit(24) + F.lit(8) * (e % 3)).cast("int").alias("height"),
+    )
 
-    Size and pixels follow FIXTURES.md: width 32 + 8 (e mod 4), height
-    24 + 8 (e mod 3), three channels, value (3x + 5y + 11c + e) mod 256.
-    """
+
+def landed_images(events: DataFrame) -> DataFrame:
+    """Source images for the fixtures, made on the executors (image-source
+    layout, three channels, value (3x + 5y + 11c + e) mod 256)."""
 
     def make(batches):
         for pdf in batches:
             rows = []
-            for e in pdf["event_id"].to_numpy():
-                w, h = 32 + 8 * int(e % 4), 24 + 8 * int(e % 3)
-                y, x, c = np.meshgrid(np.arange(h), np.arange(w), np.arange(3), indexing="ij")
+            for e, w, h in zip(pdf["event_id"].to_numpy(), pdf["width"].to_numpy(), pdf["height"].to_numpy()):
+                y, x, c = np.ogrid[0:h, 0:w, 0:3]
                 px = ((3 * x + 5 * y + 11 * c + int(e)) % 256).astype(np.uint8)
-                rows.append((str(e), f"source/{e}", h, w, 3, 16, px.tobytes()))
+                rows.append((str(e), f"source/{e}", int(h), int(w), 3, 16, px.tobytes()))
             yield pd.DataFrame(rows, columns=["image_id", "origin", "height", "width", "nChannels", "mode", "data"])
 
-    return events.select("event_id").mapInPandas(make, LANDED_SCHEMA)
+    sized = events.select("event_id").join(landed_sizes(events), F.col("event_id").cast("string") == F.col("image_id"))
+    return sized.select("event_id", "width", "height").mapInPandas(make, LANDED_SCHEMA)
 
 
 def read_landed(spark, path: str) -> DataFrame:

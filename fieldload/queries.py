@@ -36,7 +36,7 @@ def _fixture(spark: SparkSession, sf_dir: str) -> fx.Fixture:
 
 def _plan(spark: SparkSession, sf_dir: str, kind: str = "all", single: bool = False) -> ip.Plan:
     f = _fixture(spark, sf_dir)
-    key = (id(f), kind, single)
+    key = (f.root, id(spark), kind, single)
     if key not in _PLANS:
         src = f.sources
         if kind == "all":
@@ -270,16 +270,14 @@ def purge_bbox(spark, sf_dir):
 # ------------------------------------------------------------ redaction
 
 
-def _landed(spark, sf_dir):
-    return rd.landed_images(fx.events(spark, sf_dir))
+def _regions(spark, sf_dir):
+    p = _plan(spark, sf_dir)
+    blur = p.boxes.join(p.committed.select("ts_id"), "ts_id", "left_semi").where("blur")
+    return rd.blur_regions(blur, rd.landed_sizes(fx.events(spark, sf_dir)))
 
 
 def blur_regions(spark, sf_dir):
-    p = _plan(spark, sf_dir)
-    boxes = ip.new_boxes(p).withColumnRenamed("image_ext_id", "image_id")
-    blur = p.boxes.join(p.committed.select("ts_id"), "ts_id", "left_semi").where("blur")
-    sizes = rd.image_sizes(_landed(spark, sf_dir))
-    return rd.blur_regions(blur, sizes)
+    return _regions(spark, sf_dir)
 
 
 def file_state(spark, sf_dir):
@@ -289,10 +287,12 @@ def file_state(spark, sf_dir):
 
 
 def redact_images(spark, sf_dir):
-    p = _plan(spark, sf_dir)
-    blur = p.boxes.join(p.committed.select("ts_id"), "ts_id", "left_semi").where("blur")
-    landed = _landed(spark, sf_dir)
-    regions = rd.blur_regions(blur, rd.image_sizes(landed))
+    regions = _regions(spark, sf_dir)
+    # Only images with a region are decoded (here: generated) at all.
+    needed = fx.events(spark, sf_dir).join(
+        regions.select(F.col("image_id").cast("bigint").alias("event_id")).distinct(), "event_id", "left_semi"
+    )
+    landed = rd.landed_images(needed)
     return rd.redact(landed, regions).select("image_id", "height", "width", "n_regions", "changed_pixels")
 
 

@@ -110,3 +110,27 @@ def main(argv):
 
 if __name__ == "__main__":
     sys.exit(1 if main(sys.argv) else 0)
+
+
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_mismatches(spark, con, name, query, sql, sf_dir):
+    df = query(spark, sf_dir)
+    st = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rel = con.sql(sql)
+    dt_ = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    out = []
+    for c, t in st.items():
+        want = SPARK_TO_DUCK.get(t, t)
+        if c in dt_ and dt_[c] != want:
+            out.append(f"{c}: spark {t} vs duck {dt_[c]}")
+    return out
