@@ -322,7 +322,7 @@ FROM judged j LEFT JOIN committed c ON c.ts_id = j.ts_id"""),
 SELECT ds_id, outcome, timeseries, images, errors FROM outcome
 WHERE timeseries > 0 AND outcome IN ('imported', 'aborted')"""),
         "range_summary": _imp(
-            "SELECT count(*) AS total, CAST(count_if(outcome IN ('not_found', 'aborted')) AS BIGINT) AS failed FROM outcome",
+            "SELECT count(*) AS total, CAST(coalesce(count_if(outcome IN ('not_found', 'aborted')), 0) AS BIGINT) AS failed FROM outcome",
             requested=RANGE_IDS,
         ),
         "site_insert": _imp(f"""
