@@ -57,7 +57,15 @@ def landed_images(events: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["image_id", "origin", "height", "width", "nChannels", "mode", "data"])
 
     sized = events.select("event_id").join(landed_sizes(events), F.col("event_id").cast("string") == F.col("image_id"))
-    return sized.select("event_id", "width", "height").mapInPandas(make, LANDED_SCHEMA)
+    sized = sized.select("event_id", "width", "height").repartition(_cpu_partitions(events), "event_id")
+    return sized.mapInPandas(make, LANDED_SCHEMA)
+
+
+def _cpu_partitions(df: DataFrame) -> int:
+    """Partitions for a CPU-bound Python step: by cores, not by bytes (AQE
+    would coalesce a small shuffle into one or two tasks)."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def read_landed(spark, path: str) -> DataFrame:
@@ -160,7 +168,7 @@ def redact(landed: DataFrame, regions: DataFrame) -> DataFrame:
     rects = regions.groupBy("image_id").agg(
         F.array_sort(F.collect_list(F.struct("box_index", "x0", "y0", "x1", "y1"))).alias("rects")
     )
-    rows = landed.join(rects, "image_id")
+    rows = landed.join(rects, "image_id").repartition(_cpu_partitions(landed), "image_id")
 
     def run(batches):
         for pdf in batches:
