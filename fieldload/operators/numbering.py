@@ -20,7 +20,7 @@ _LOW_BITS = (1 << 33) - 1
 
 def dense_ids(
     df: DataFrame,
-    order_cols: list[str],
+    order_cols: list[str] | None,
     name: str = "id",
     start: int | DataFrame = 1,
     partitions: int | None = None,
@@ -28,15 +28,16 @@ def dense_ids(
     """Add ``name`` = start + 0-based rank of the row in ``order_cols`` order.
 
     ``start`` may be a one-row DataFrame (e.g. max existing id + 1).  Ties
-    get distinct ids in an unspecified order.
+    get distinct ids in an unspecified order.  With ``order_cols=None`` the
+    ids are dense but follow the existing partitions: no sort, no shuffle.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if order_cols:
+        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     mono = F.monotonically_increasing_id()
     tagged = cut(
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .withColumn("_mono", mono)
+        df.withColumn("_mono", mono)
         .withColumn("_part", F.shiftright("_mono", 33))
         .withColumn("_local", F.col("_mono").bitwiseAND(F.lit(_LOW_BITS)))
         .drop("_mono"),

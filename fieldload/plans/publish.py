@@ -1,12 +1,18 @@
-"""Publish an import: seven target tables as a new version.
-
-There is no table format with MERGE on the classpath, so every run writes
-each table once, complete (prior rows plus new rows), into a fresh version
-directory and then swaps a one-line pointer file.  Readers follow the
-pointer; a failed run leaves the old version current.
-
-Surrogate ids of new rows follow the largest existing id, in natural-key
-order (``operators.numbering.dense_ids``: no single-partition window).  The
+"""Publish an import: append the run's new rows as new parts.
+
+There is no table format with MERGE on the classpath.  Each table is a set
+of Parquet parts; a manifest (one ``table<TAB>path`` line per part) names
+the parts of the current version, and a one-line pointer file names the
+current manifest.  An import writes only its *new* rows (one part per
+table), then a new manifest (old lines + new parts), then swaps the pointer:
+the cost of a run grows with what it adds, not with what exists, and a
+failed run leaves the previous version current.  A purge rewrites only the
+tables it changes.
+
+Surrogate ids of new rows follow the largest existing id
+(``operators.numbering.dense_ids``: no single-partition window).  Datasets
+and timeseries are numbered in natural-key order; images and boxes in
+partition order (dense, no global sort of the largest tables).  The
 image <-> timeseries cycle is closed by numbering both first and joining on
 natural keys.
 """
@@ -27,76 +33,143 @@ from . import import_plan as ip
 POINTER = "_current"
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
+def _read_text_lines(spark: SparkSession, path: str) -> list[str] | None:
     try:
-        row = spark.read.text(f"{base.rstrip('/')}/{POINTER}").first()
-    except Exception:  # no pointer yet: empty state
+        return [r[0] for r in spark.read.text(path).collect()]
+    except Exception:  # missing: nothing published yet
         return None
-    return row[0] if row else None
+
+
+def current_manifest(spark: SparkSession, base: str) -> dict[str, list[str]]:
+    """Parts per table of the current version (empty when none)."""
+    ptr = _read_text_lines(spark, f"{base.rstrip('/')}/{POINTER}")
+    parts: dict[str, list[str]] = {name: [] for name in schemas.TARGETS}
+    if not ptr:
+        return parts
+    for line in _read_text_lines(spark, ptr[0]) or []:
+        table, path = line.split("\t", 1)
+        parts[table].append(path)
+    return parts
+
+
+def current_version(spark: SparkSession, base: str) -> dict[str, list[str]] | None:
+    parts = current_manifest(spark, base)
+    return parts if any(parts.values()) else None
 
 
 def _start(df: DataFrame) -> DataFrame:
     return df.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("start"))
 
 
-def new_state(plan: ip.Plan) -> State:
-    """Prior tables plus the run's new rows, all with surrogate ids."""
+def new_rows(plan: ip.Plan) -> State:
+    """Only the run's new rows, with surrogate ids and resolved foreign keys."""
     st = plan.state
-    site = st.site.unionByName(ip.new_sites(plan))
+    site = ip.new_sites(plan)
 
-    ds_new = dense_ids(ip.new_datasets(plan), ["ext_id"], start=_start(st.dataset))
-    dataset = st.dataset.unionByName(ds_new.select(*schemas.DATASET.fieldNames()))
-    ds_keys = dataset.select(F.col("id").alias("dataset_id"), to_int_key("ext_id").alias("_k"))
+    dataset = dense_ids(ip.new_datasets(plan), ["ext_id"], start=_start(st.dataset)).select(
+        *schemas.DATASET.fieldNames()
+    )
+    ds_keys = (
+        st.dataset.select("id", "ext_id")
+        .unionByName(dataset.select("id", "ext_id"))
+        .select(F.col("id").alias("dataset_id"), to_int_key("ext_id").alias("_k"))
+    )
 
     ts_rows = ip.new_timeseries_rows(plan).withColumn("_k", to_int_key("dataset_ext_id"))
     ts_rows = dense_ids(ts_rows, ["ext_id"], start=_start(st.timeseries)).join(ds_keys, "_k")
     ts_ids = ts_rows.select(F.col("ext_id").alias("timeseries_ext_id"), F.col("id").alias("timeseries_id"))
 
     img = ip.new_images(plan).withColumn("_k", to_int_key("dataset_ext_id"))
-    img = dense_ids(img, ["timeseries_ext_id", "sequence_index", "ext_id"], start=_start(st.image))
+    img = dense_ids(img, None, start=_start(st.image))
     img = img.join(ds_keys, "_k").join(ts_ids, "timeseries_ext_id")
-    image = st.image.unionByName(img.select(*schemas.IMAGE.fieldNames()))
+    image = img.select(*schemas.IMAGE.fieldNames())
 
     sel = img.select(
         F.col("timeseries_ext_id").alias("ext_id"),
         F.col("sequence_index").alias("selected_index"),
         F.col("id").alias("selected_image_id"),
     )
-    ts_full = ts_rows.join(sel, ["ext_id", "selected_index"], "left")
-    timeseries = st.timeseries.unionByName(ts_full.select(*schemas.TIMESERIES_TARGET.fieldNames()))
+    timeseries = ts_rows.join(sel, ["ext_id", "selected_index"], "left").select(
+        *schemas.TIMESERIES_TARGET.fieldNames()
+    )
 
     img_keys = img.select(
-        F.col("timeseries_ext_id"),
+        "timeseries_ext_id",
         "sequence_index",
         F.col("ext_id").alias("image_ext_id"),
         F.col("id").alias("image_id"),
     )
     box = ip.new_boxes(plan).join(img_keys, ["timeseries_ext_id", "sequence_index", "image_ext_id"])
-    box = dense_ids(box, ["image_id", "box_index"], start=_start(st.bbox)).withColumn(
-        "ext_id", F.lit(None).cast("string")
-    )
-    bbox = st.bbox.unionByName(box.select(*schemas.BBOX.fieldNames()))
+    box = dense_ids(box, None, start=_start(st.bbox)).withColumn("ext_id", F.lit(None).cast("string"))
+    bbox = box.select(*schemas.BBOX.fieldNames())
 
     rev = ip.new_revisions(plan).join(ts_ids.withColumnRenamed("timeseries_ext_id", "ts_id"), "ts_id")
-    rev = dense_ids(rev, ["timeseries_id"], start=_start(st.revision))
-    revision = st.revision.unionByName(rev.select(*schemas.REVISION.fieldNames()))
-
+    revision = dense_ids(rev, ["timeseries_id"], start=_start(st.revision)).select(
+        *schemas.REVISION.fieldNames()
+    )
     return State(site=site, dataset=dataset, timeseries=timeseries, image=image, bbox=bbox, revision=revision)
 
 
-def publish(state: State, base: str) -> str:
-    """Write every table of ``state`` into a new version and make it current."""
-    spark = state.site.sparkSession
-    version = f"{base.rstrip('/')}/v-{uuid.uuid4().hex}"
-    for name, schema in schemas.TARGETS.items():
-        df = getattr(state, name).select(*schema.fieldNames())
-        df.write.mode("errorifexists").parquet(f"{version}/{name}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/{POINTER}"
+def new_state(plan: ip.Plan) -> State:
+    """Prior tables plus the run's new rows (in-memory view of the next version)."""
+    new = new_rows(plan)
+    st = plan.state
+    return State(**{n: getattr(st, n).unionByName(getattr(new, n)) for n in schemas.TARGETS})
+
+
+def _write_manifest(spark: SparkSession, base: str, parts: dict[str, list[str]]) -> str:
+    root = base.rstrip("/")
+    manifest = f"{root}/_manifests/m-{uuid.uuid4().hex}"
+    lines = [(f"{t}\t{p}",) for t, ps in parts.items() for p in ps]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.mode("errorifexists").text(manifest)
+    spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{root}/{POINTER}"
     )
-    return version
+    return manifest
+
+
+def _write_parts(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
+    run = uuid.uuid4().hex
+    out = {}
+    for name, df in tables.items():
+        path = f"{base.rstrip('/')}/{name}/part-{run}"
+        df.select(*schemas.TARGETS[name].fieldNames()).write.mode("errorifexists").parquet(path)
+        out[name] = path
+    return out
+
+
+def publish_new(new: State, base: str) -> str:
+    """Append the new rows of every table and make them current."""
+    spark = new.site.sparkSession
+    parts = current_manifest(spark, base)
+    written = _write_parts({name: getattr(new, name) for name in schemas.TARGETS}, base)
+    for name, path in written.items():
+        parts[name] = parts[name] + [path]
+    return _write_manifest(spark, base, parts)
+
+
+def publish_replace(state: State, base: str, tables: list[str]) -> str:
+    """Rewrite ``tables`` from ``state`` (e.g. after a purge); others keep their parts."""
+    spark = state.site.sparkSession
+    parts = current_manifest(spark, base)
+    written = _write_parts({name: getattr(state, name) for name in tables}, base)
+    for name, path in written.items():
+        parts[name] = [path]
+    return _write_manifest(spark, base, parts)
+
+
+def publish(state: State, base: str) -> str:
+    """Write every table of ``state`` as the whole new version."""
+    return publish_replace(state, base, list(schemas.TARGETS))
 
 
 def run_import(plan: ip.Plan, base: str) -> str:
-    """Publish the plan (its shared frames are already checkpointed)."""
-    return publish(new_state(plan), base)
+    """Publish the run's new rows (the plan's shared frames are already cut)."""
+    return publish_new(new_rows(plan), base)
+
+
+def run_purge(state: State, ids: DataFrame, base: str) -> str:
+    """Purge datasets with their children and publish the survivors."""
+    from .purge import purge
+
+    return publish_replace(purge(state, ids), base, ["bbox", "image", "revision", "timeseries", "dataset"])

@@ -35,6 +35,8 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # max(id) of existing parts is answered from Parquet footers.
+        .config("spark.sql.parquet.aggregatePushdown", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -57,14 +57,14 @@ def read_sources(spark: SparkSession, template: str, labels_path: str) -> Source
 
 
 def read_state(spark: SparkSession, base: str) -> State:
-    """Read published target tables (see ``plans.publish``)."""
-    from ..plans.publish import current_version
+    """Read the current version of the published target tables (``plans.publish``)."""
+    from ..plans.publish import current_manifest
 
-    version = current_version(spark, base)
+    parts = current_manifest(spark, base)
 
     def load(name: str) -> DataFrame:
-        if version is None:
+        if not parts[name]:
             return spark.createDataFrame([], schemas.TARGETS[name])
-        return spark.read.schema(schemas.TARGETS[name]).parquet(f"{version}/{name}")
+        return spark.read.schema(schemas.TARGETS[name]).parquet(*parts[name])
 
     return State(**{name: load(name) for name in schemas.TARGETS})
