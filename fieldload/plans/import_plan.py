@@ -109,12 +109,13 @@ def plan_import(
     without it no target file exists yet and every source is readable.
     """
     dictionary = prepared(src.labels)
-    datasets = gate_datasets(src, ids)
+    # Per requested project: read by the candidate set, outcomes and new rows.
+    datasets = _cut(gate_datasets(src, ids), "datasets")
     open_ds = datasets.where(F.col("gate").isNull()).select("ds_id", "ds_key")
 
     # 2. dataset-new set: listed ∩ existing rows, minus loaded pairs.
     pairs = listed(src.projects.join(open_ds.select(F.col("ds_id").alias("id")), "id", "left_semi"))
-    pairs = pairs.join(open_ds, "ds_id")
+    pairs = pairs.withColumn("ds_key", to_int_key("ds_id"))
     pairs = not_loaded(pairs, prior_pairs(state.timeseries, state.dataset))
     attrs = tg.timeseries_attrs(src.timeseries, dictionary)
     known = state.timeseries.where(F.col("ext_id").isNotNull()).select(F.col("ext_id").alias("ts_id")).distinct()
