@@ -36,7 +36,7 @@ def _fixture(spark: SparkSession, sf_dir: str) -> fx.Fixture:
 
 def _plan(spark: SparkSession, sf_dir: str, kind: str = "all", single: bool = False) -> ip.Plan:
     f = _fixture(spark, sf_dir)
-    key = (f.root, id(spark), kind, single)
+    key = (f.root, spark.sparkContext.applicationId, id(spark), kind, single)
     if key not in _PLANS:
         src = f.sources
         if kind == "all":
