@@ -153,8 +153,17 @@ def plan_import(
 
     # 4. images and boxes of attempted timeseries; isolated errors.
     att_ids = attempted.select("ts_id").distinct()
-    refs = explode_refs(src.timeseries.join(att_ids.withColumnRenamed("ts_id", "id"), "id", "left_semi"))
-    images = tg.image_rows(refs, image_metadata(src.images_metadata))
+    # Read twice below (needed ids, image join): materialised once.
+    refs = _cut(
+        explode_refs(src.timeseries.join(att_ids.withColumnRenamed("ts_id", "id"), "id", "left_semi")),
+        "refs",
+    )
+    # Only metadata rows some attempted ref points to are deduplicated and
+    # joined: an incremental run does not sort the whole metadata table.
+    # ``distinct`` combines a hot image id map-side before the semi join.
+    needed = refs.select(F.col("image_id").alias("id")).where(F.col("id").isNotNull()).distinct()
+    meta = image_metadata(src.images_metadata.join(needed, "id", "left_semi"))
+    images = tg.image_rows(refs, meta)
     if file_state is not None:
         fs = file_state.select("image_id", "target_exists", "source_readable")
         images = images.join(fs, "image_id", "left").select(
