@@ -45,8 +45,13 @@ def build_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the engine's semantics depend on."""
+    """Apply the settings the engine's semantics and skew safety depend on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # An aggregate must be partitioned on *all* its keys: otherwise a
+    # distinct over (project, timeseries) downstream of a join on project
+    # runs without a shuffle, and one project listing a third of all
+    # timeseries would be deduplicated inside one task.
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
     checkpoint_dir(spark)
     return spark
 
