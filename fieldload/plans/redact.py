@@ -187,3 +187,32 @@ def redact(landed: DataFrame, regions: DataFrame) -> DataFrame:
 
     schema = "image_id string, height int, width int, nChannels int, data binary, n_regions int, changed_pixels int"
     return rows.select("image_id", "height", "width", "nChannels", "data", "rects").mapInPandas(run, schema)
+
+
+def file_inputs(images: DataFrame, listing: DataFrame, landed: DataFrame) -> DataFrame:
+    """``(image_id, target_exists, source_readable)`` for ``plan_import``:
+    target file already written (``listing`` of the target root, relative
+    paths) and source image landed and decodable (``landed``)."""
+    from .targets import FILE_PREFIX
+
+    ids = images.select("image_id").distinct()
+    target = listing.select(
+        F.regexp_replace("path", "^" + FILE_PREFIX, "").alias("image_id"), F.lit(True).alias("target_exists")
+    ).distinct()
+    source = landed.select("image_id", F.lit(True).alias("source_readable")).distinct()
+    return ids.join(target, "image_id", "left").join(source, "image_id", "left").fillna(
+        False, ["target_exists", "source_readable"]
+    )
+
+
+def save_redacted(redacted: DataFrame, root: str) -> None:
+    """K8: store redacted pixels as rows keyed by their target path."""
+    from .targets import FILE_PREFIX
+
+    redacted.select(
+        F.concat(F.lit(FILE_PREFIX), F.col("image_id")).alias("path"),
+        "height",
+        "width",
+        "nChannels",
+        "data",
+    ).write.mode("append").parquet(root)

@@ -212,3 +212,31 @@ def test_second_run_adds_nothing(spark, single):
     ts = first.timeseries
     dangling = first.image.join(ts.select(F.col("id").alias("timeseries_id")), "timeseries_id", "left_anti")
     assert dangling.count() == 0
+
+
+def test_file_state_controls_blur_and_source_errors(spark):
+    src, st = make(
+        spark,
+        [project("1", ["a", "b", "c"])],
+        [series("a", ["i1"]), series("b", ["i2"]), series("c", ["i3"])],
+        [image("i1", boxes=[box(xmin=None)]), image("i2", boxes=[box(xmin=None)]), image("i3")],
+    )
+    files = spark.createDataFrame(
+        [("i1", True, False), ("i2", False, True), ("i3", False, False)],
+        "image_id string, target_exists boolean, source_readable boolean",
+    )
+    plan = ip.plan_import(src, st, src.projects.select("id"), RUN, file_state=files)
+    # i1: target exists, so no blur and no NULL-coordinate error; i2: blurred
+    # with a NULL coordinate; i3: neither target nor readable source.
+    assert committed(plan) == {"a": "1"}
+    assert outcomes(plan)["1"] == ("imported", 3, 1, 2)
+
+
+def test_file_inputs_from_listing(spark):
+    from fieldload.plans import redact as rd
+
+    imgs = spark.createDataFrame([("i1",), ("i2",)], "image_id string")
+    listing = spark.createDataFrame([("processed/tsimages/imported/i1", 10)], "path string, length long")
+    landed = spark.createDataFrame([("i2",)], "image_id string")
+    got = {r.image_id: (r.target_exists, r.source_readable) for r in rd.file_inputs(imgs, listing, landed).collect()}
+    assert got == {"i1": (True, False), "i2": (False, True)}
