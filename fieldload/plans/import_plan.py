@@ -29,6 +29,7 @@ from ..functions.scalars import parse_ts, resolve_site, to_int_key
 from ..operators.expand import explode_refs, image_metadata
 from ..operators.joins import insert_absent
 from ..operators.labels import prepared
+from ..operators.stage import collect as stage_tables
 from ..operators.stage import cut
 from ..operators.select import listed, not_loaded, owner, prior_pairs, project_rows
 from ..sources.tables import Sources, State
@@ -66,6 +67,7 @@ class Plan:
     ts_attrs: DataFrame  # target values per timeseries row
     run_ts: str
     state: State
+    stages: tuple[str, ...] = ()  # stage tables this plan reads
 
 
 def gate_datasets(src: Sources, ids: DataFrame) -> DataFrame:
@@ -108,6 +110,11 @@ def plan_import(
     ``file_state``: optional ``(image_id, target_exists, source_readable)``;
     without it no target file exists yet and every source is readable.
     """
+    with stage_tables() as created:
+        return _plan_import(src, state, ids, run_ts, single, file_state, created)
+
+
+def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
     dictionary = prepared(src.labels)
     # Per requested project: read by the candidate set, outcomes and new rows.
     datasets = _cut(gate_datasets(src, ids), "datasets")
@@ -247,6 +254,7 @@ def plan_import(
         ts_attrs=attrs,
         run_ts=run_ts,
         state=state,
+        stages=tuple(created),
     )
 
 

@@ -163,9 +163,16 @@ def publish(state: State, base: str) -> str:
     return publish_replace(state, base, list(schemas.TARGETS))
 
 
-def run_import(plan: ip.Plan, base: str) -> str:
-    """Publish the run's new rows (the plan's shared frames are already cut)."""
-    return publish_new(new_rows(plan), base)
+def run_import(plan: ip.Plan, base: str, cleanup: bool = True) -> str:
+    """Publish the run's new rows (the plan's shared frames are already cut),
+    then remove the run's stage tables."""
+    from ..operators import stage
+
+    with stage.collect() as created:
+        manifest = publish_new(new_rows(plan), base)
+    if cleanup:
+        stage.remove(plan.datasets.sparkSession, list(plan.stages) + created)
+    return manifest
 
 
 def run_purge(state: State, ids: DataFrame, base: str) -> str:
