@@ -180,3 +180,10 @@ def run_purge(state: State, ids: DataFrame, base: str) -> str:
     from .purge import purge
 
     return publish_replace(purge(state, ids), base, ["bbox", "image", "revision", "timeseries", "dataset"])
+
+
+def compact(spark: SparkSession, base: str, tables: list[str] | None = None) -> str:
+    """Rewrite tables whose parts accumulated over many runs into one part each."""
+    from ..sources.tables import read_state
+
+    return publish_replace(read_state(spark, base), base, tables or list(schemas.TARGETS))

@@ -240,3 +240,28 @@ def test_file_inputs_from_listing(spark):
     landed = spark.createDataFrame([("i2",)], "image_id string")
     got = {r.image_id: (r.target_exists, r.source_readable) for r in rd.file_inputs(imgs, listing, landed).collect()}
     assert got == {"i1": (True, False), "i2": (False, True)}
+
+
+def test_purge_of_import_restores_state_except_sites(spark):
+    import tempfile
+
+    from fieldload.plans import publish as pb
+    from fieldload.session import checkpoint_dir
+    from fieldload.sources.tables import read_state
+
+    src, st = make(
+        spark,
+        [project("1", ["a", "b"]), project("2", ["c"])],
+        [series("a", ["i1"], status="verified", gt="fox"), series("b", ["i2"]), series("c", ["i3", "i1"])],
+        [image("i1"), image("i2"), image("i3")],
+    )
+    base = tempfile.mkdtemp(prefix="purge-", dir=checkpoint_dir(spark).replace("file:", ""))
+    pb.run_import(run(src, st), base)
+    loaded = read_state(spark, base)
+    assert loaded.timeseries.count() == 3 and loaded.revision.count() == 1 and loaded.bbox.count() == 4
+    pb.run_purge(loaded, spark.createDataFrame([("1",), ("2",)], "id string"), base)
+    pb.compact(spark, base)
+    after = read_state(spark, base)
+    for name in ("dataset", "timeseries", "image", "bbox", "revision"):
+        assert getattr(after, name).count() == 0, name
+    assert after.site.count() == 1  # both projects share camera 7; sites stay
