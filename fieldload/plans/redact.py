@@ -159,15 +159,23 @@ def apply_regions(px: np.ndarray, rects, radius: int = BLUR_RADIUS) -> np.ndarra
     return px
 
 
+def rects_per_image(regions: DataFrame) -> DataFrame:
+    """Rectangles of each image in box order (bounded by one metadata row's boxes)."""
+    return regions.groupBy("image_id").agg(
+        F.array_sort(F.collect_list(F.struct("box_index", "x0", "y0", "x1", "y1"))).alias("rects")
+    )
+
+
 def redact(landed: DataFrame, regions: DataFrame) -> DataFrame:
     """Redacted pixel rows for every image with at least one region (K8)."""
+    return redact_rects(landed, rects_per_image(regions))
+
+
+def redact_rects(landed: DataFrame, rects: DataFrame) -> DataFrame:
+    """Blur ``rects`` (from ``rects_per_image``) into the landed images."""
     spark = landed.sparkSession
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > PIXEL_BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PIXEL_BATCH_ROWS))
-    # Rectangles per image: bounded by the boxes of one metadata row.
-    rects = regions.groupBy("image_id").agg(
-        F.array_sort(F.collect_list(F.struct("box_index", "x0", "y0", "x1", "y1"))).alias("rects")
-    )
     rows = landed.join(rects, "image_id").repartition(_cpu_partitions(landed), "image_id")
 
     def run(batches):

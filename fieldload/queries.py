@@ -287,13 +287,14 @@ def file_state(spark, sf_dir):
 
 
 def redact_images(spark, sf_dir):
-    regions = _regions(spark, sf_dir)
-    # Only images with a region are decoded (here: generated) at all.
+    rects = rd.rects_per_image(_regions(spark, sf_dir))
+    # Only images with a region are decoded (here: generated) at all; both
+    # branches read the same per-image frame, so its exchange is shared.
     needed = fx.events(spark, sf_dir).join(
-        regions.select(F.col("image_id").cast("bigint").alias("event_id")).distinct(), "event_id", "left_semi"
+        rects.select(F.col("image_id").cast("bigint").alias("event_id")), "event_id", "left_semi"
     )
     landed = rd.landed_images(needed)
-    return rd.redact(landed, regions).select("image_id", "height", "width", "n_regions", "changed_pixels")
+    return rd.redact_rects(landed, rects).select("image_id", "height", "width", "n_regions", "changed_pixels")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
