@@ -123,9 +123,13 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
     # 2. dataset-new set: listed ∩ existing rows, minus loaded pairs.
     pairs = listed(src.projects.join(open_ds.select(F.col("ds_id").alias("id")), "id", "left_semi"))
     pairs = pairs.withColumn("ds_key", to_int_key("ds_id"))
-    pairs = not_loaded(pairs, prior_pairs(state.timeseries, state.dataset))
+    # Prior keys are narrowed to the listed ids first: a small run then
+    # semi-joins (broadcast at runtime) instead of shuffling all prior keys.
+    listed_ids = pairs.select(F.col("ts_id").alias("ext_id")).distinct()
+    prior_ts = state.timeseries.join(listed_ids, "ext_id", "left_semi")
+    pairs = not_loaded(pairs, prior_pairs(prior_ts, state.dataset))
     attrs = tg.timeseries_attrs(src.timeseries, dictionary)
-    known = state.timeseries.where(F.col("ext_id").isNotNull()).select(F.col("ext_id").alias("ts_id")).distinct()
+    known = prior_ts.select(F.col("ext_id").alias("ts_id")).distinct()
     flags = attrs.select(
         "ts_id",
         "label_error",
