@@ -37,3 +37,25 @@ def test_import_scans_prune_ground_truth(spark):
     refs = expand.explode_refs(f.sources.timeseries)
     text = plan_text(tg.image_rows(refs, expand.image_metadata(f.sources.images_metadata)))
     assert "ground_truth" not in text
+
+
+def test_import_stages_have_no_single_partition_exchange(spark, monkeypatch):
+    from fieldload.operators import stage
+    from fieldload.plans import import_plan as ip
+    from fieldload.sources import fixtures as fx
+
+    f = Q._fixture(spark, SF)
+    plans = {}
+    orig = stage.cut
+
+    def capture(df, name="stage"):
+        plans[name] = plan_text(df)
+        return orig(df, name)
+
+    monkeypatch.setattr(ip, "cut", capture)
+    ip.plan_import(f.sources, f.prior, f.sources.projects.select("id"), fx.RUN_TS)
+    assert set(plans) == {"datasets", "candidates", "refs", "images", "judged"}
+    for name, text in plans.items():
+        assert "SinglePartition" not in text, name
+        assert "Window" not in text, name
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
