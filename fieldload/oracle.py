@@ -8,11 +8,23 @@ the Spark side except the fixed parameters below.
 
 from __future__ import annotations
 
+import re
+
 # Fixed parameters, equal to those of fieldload.queries.
 LOOKUP_ID = "42"
 RANGE = (25, 124)
 RUN_TS = "2025-01-01 00:00:00"
 
+def ts_sql(expr: str) -> str:
+    """Timestamp text to UTC wall clock, independent of DuckDB's TimeZone:
+    zoned text is converted, unzoned text is read as UTC."""
+    return (
+        f"(CASE WHEN regexp_matches({expr}, '(Z|[+-][0-9][0-9](:?[0-9][0-9])?)$') "
+        f"THEN timezone('UTC', TRY_CAST({expr} AS TIMESTAMPTZ)) "
+        f"ELSE TRY_CAST({expr} AS TIMESTAMP) END)"
+    )
+
+
 BOX_TYPE = "STRUCT(score DOUBLE, label VARCHAR, box STRUCT(xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE))"
 
 FIXTURE_CTES = f"""
@@ -274,7 +286,21 @@ doomed_img AS (SELECT id FROM prior_image WHERE dataset_id IN (SELECT dataset_id
     return _with(body, doomed)
 
 
+_ZONED_TS = re.compile(r"timezone\('UTC', TRY_CAST\((.+?) AS TIMESTAMPTZ\)\)")
+_BARE_TS = re.compile(r"TRY_CAST\((.+?) AS TIMESTAMPTZ\) IS NULL")
+
+
+def _tz_safe(sql: str) -> str:
+    """Read timestamp text the same way whatever DuckDB's TimeZone is."""
+    sql = _ZONED_TS.sub(lambda m: ts_sql(m.group(1)), sql)
+    return _BARE_TS.sub(lambda m: ts_sql(m.group(1)) + " IS NULL", sql)
+
+
 def statements() -> dict[str, str]:
+    return {name: _tz_safe(sql) for name, sql in _statements().items()}
+
+
+def _statements() -> dict[str, str]:
     ts_run = f"TIMESTAMP '{RUN_TS}'"
     return {
         "point_lookup": _with(f"""
