@@ -87,10 +87,17 @@ projects AS (
               WHEN o.u % 10 = 1 AND nx.u IS NOT NULL THEN list_append(o.ids, nx.ids[1])
               ELSE o.ids END AS timeseries
   FROM own o LEFT JOIN own nx ON nx.u = o.u + 1),
-labels_dim AS (
+labels_fixed AS (
   SELECT * FROM (VALUES (1::BIGINT, 'nothing', false), (2::BIGINT, 'click', false),
                         (3::BIGINT, 'error', true), (4::BIGINT, 'purchase', false),
                         (5::BIGINT, 'signup', true), (6::BIGINT, 'view', false)) t(id, text, blur)),
+label_src AS (
+  SELECT DISTINCT text, parity FROM (
+    SELECT event_type AS text, u % 2 AS parity FROM ev
+    UNION ALL SELECT 'nothing' AS text, u % 2 AS parity FROM ev)),
+labels_dim AS (
+  SELECT f.id, s.text, f.blur AND s.parity = 0 AS blur
+  FROM label_src s JOIN labels_fixed f ON f.text = s.text),
 dict AS (SELECT text, max(id) AS id, coalesce(bool_or(blur), false) AS blur FROM labels_dim GROUP BY text),
 ts_refs AS (
   SELECT id AS ts_id, selected_image, unnest(images) AS image_id,

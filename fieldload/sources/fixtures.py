@@ -20,7 +20,7 @@ from ..functions.scalars import parse_ts, resolve_site
 from ..operators.numbering import dense_ids
 from .tables import Sources, State, table
 
-# The label dictionary of the fixtures (id, text, blur).
+# The labels of the fixtures (id, text, blur).
 LABEL_ROWS = (
     (1, "nothing", False),
     (2, "click", False),
@@ -169,8 +169,20 @@ def projects(g: DataFrame) -> DataFrame:
     )
 
 
-def labels_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(LABEL_ROWS), "id bigint, text string, blur boolean")
+def labels_dim(ev: DataFrame) -> DataFrame:
+    """Label source rows derived from ``events``: one per (event type, user
+    parity) plus ``nothing`` per parity, ids and blur from the fixed table,
+    blur set on parity-0 rows only.  Texts repeat, so the dictionary step
+    (greatest id, blur if any row) has work to do."""
+    spark = ev.sparkSession
+    parity = (F.col("user_id") % 2).alias("parity")
+    texts = ev.select(F.col("event_type").alias("text"), parity).unionByName(
+        ev.select(F.lit("nothing").alias("text"), parity)
+    ).distinct()
+    # A literal six-row table: a proven size bound for the broadcast.
+    fixed = spark.createDataFrame(list(LABEL_ROWS), "id bigint, text string, blur boolean")
+    rows = texts.join(F.broadcast(fixed), "text")
+    return rows.select("id", "text", (F.col("blur") & (F.col("parity") == 0)).alias("blur"))
 
 
 @dataclass(frozen=True)
@@ -203,7 +215,7 @@ def _fs(spark: SparkSession, path: str):
 def _signature(spark: SparkSession, base: str) -> str:
     fs, p = _fs(spark, f"{base.rstrip('/')}/events.parquet")
     st = fs.getFileStatus(p)
-    raw = f"{base}|{st.getLen()}|{st.getModificationTime()}|v1"
+    raw = f"{base}|{st.getLen()}|{st.getModificationTime()}|v2"
     return hashlib.sha1(raw.encode()).hexdigest()[:16]
 
 
@@ -257,7 +269,7 @@ def _lazy(spark: SparkSession, base: str) -> _Lazy:
         projects=projects(g),
         timeseries=timeseries(g),
         images_metadata=images_metadata(ev),
-        labels=labels_dim(spark),
+        labels=labels_dim(ev),
     )
     u = F.col("user_id")
     prior_users = (
