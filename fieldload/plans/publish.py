@@ -2,12 +2,11 @@
 
 There is no table format with MERGE on the classpath.  Each table is a set
 of Parquet parts; a manifest (one ``table<TAB>path`` line per part) names
-the parts of the current version, and a one-line pointer file names the
-current manifest.  An import writes only its *new* rows (one part per
-table), then a new manifest (old lines + new parts), then swaps the pointer:
-the cost of a run grows with what it adds, not with what exists, and a
-failed run leaves the previous version current.  A purge rewrites only the
-tables it changes.
+the parts of a version, and the newest completed manifest is the current
+version.  An import writes only its *new* rows (one part per table), then a
+new manifest (old lines + new parts): the cost of a run grows with what it
+adds, not with what exists, and a failed run leaves the previous version
+current.  A purge rewrites only the tables it changes.
 
 Surrogate ids of new rows follow the largest existing id
 (``operators.numbering.dense_ids``: no single-partition window).  Datasets
@@ -19,6 +18,7 @@ natural keys.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,24 +30,40 @@ from ..operators.numbering import dense_ids
 from ..sources.tables import State
 from . import import_plan as ip
 
-POINTER = "_current"
+MANIFESTS = "_manifests"
 
 
-def _read_text_lines(spark: SparkSession, path: str) -> list[str] | None:
-    try:
-        return [r[0] for r in spark.read.text(path).collect()]
-    except Exception:  # missing: nothing published yet
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def latest_manifest(spark: SparkSession, base: str) -> str | None:
+    """The newest manifest whose write completed (it has ``_SUCCESS``)."""
+    fs, root = _fs(spark, f"{base.rstrip('/')}/{MANIFESTS}")
+    if not fs.exists(root):
         return None
+    names = sorted(
+        (st.getPath().toString() for st in fs.listStatus(root) if st.isDirectory()),
+        reverse=True,
+    )
+    for path in names:
+        mfs, marker = _fs(spark, f"{path}/_SUCCESS")
+        if mfs.exists(marker):
+            return path
+    return None
 
 
 def current_manifest(spark: SparkSession, base: str) -> dict[str, list[str]]:
     """Parts per table of the current version (empty when none)."""
-    ptr = _read_text_lines(spark, f"{base.rstrip('/')}/{POINTER}")
     parts: dict[str, list[str]] = {name: [] for name in schemas.TARGETS}
-    if not ptr:
+    manifest = latest_manifest(spark, base)
+    if manifest is None:
         return parts
-    for line in _read_text_lines(spark, ptr[0]) or []:
-        table, path = line.split("\t", 1)
+    # One line per part: bounded by runs x tables, not by data (see ``compact``).
+    for row in spark.read.text(manifest).collect():
+        table, path = row[0].split("\t", 1)
         parts[table].append(path)
     return parts
 
@@ -118,13 +134,15 @@ def new_state(plan: ip.Plan) -> State:
 
 
 def _write_manifest(spark: SparkSession, base: str, parts: dict[str, list[str]]) -> str:
-    root = base.rstrip("/")
-    manifest = f"{root}/_manifests/m-{uuid.uuid4().hex}"
+    """Commit a version: a new, never rewritten manifest named in time order.
+
+    Its ``_SUCCESS`` marker appears only when the write completed, so a crash
+    leaves the previous version current; nothing is deleted or overwritten.
+    """
+    name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    manifest = f"{base.rstrip('/')}/{MANIFESTS}/{name}"
     lines = [(f"{t}\t{p}",) for t, ps in parts.items() for p in ps]
     spark.createDataFrame(lines, "value string").coalesce(1).write.mode("errorifexists").text(manifest)
-    spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{root}/{POINTER}"
-    )
     return manifest
 
 
