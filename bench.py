@@ -18,6 +18,14 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 
+def _sf(sf_dir: str):
+    tag = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -62,7 +70,7 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": timings,
-                "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+                "sf": _sf(sf_dir),
                 "cpus": cpus,
                 "setup_sec": round(setup, 3),
             }
