@@ -10,6 +10,7 @@ no image writer).
 
 from __future__ import annotations
 
+import re
 import sys
 
 import numpy as np
@@ -112,9 +113,8 @@ def listing_from_rows(paths: DataFrame) -> DataFrame:
 def list_files(spark, root: str) -> DataFrame:
     """Existing target files under ``root`` (content column pruned by Spark)."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return df.select(
-        F.regexp_replace("path", "^.*?" + root.rstrip("/") + "/", "").alias("path"), "length"
-    )
+    prefix = "^.*?" + re.escape(root.rstrip("/").split(":", 1)[-1]) + "/"
+    return df.select(F.regexp_replace("path", prefix, "").alias("path"), "length")
 
 
 def file_state(images: DataFrame, listing: DataFrame) -> DataFrame:
