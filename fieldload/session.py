@@ -44,6 +44,10 @@ def build_session(
     return spark
 
 
+# Largest measured stage output AQE may broadcast.
+ADAPTIVE_BROADCAST_BYTES = 32 * 1024 * 1024
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the engine's semantics and skew safety depend on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -52,6 +56,12 @@ def configure(spark: SparkSession) -> SparkSession:
     # runs without a shuffle, and one project listing a third of all
     # timeseries would be deduplicated inside one task.
     spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
+    # Broadcast only what has a proven size: no broadcast from planner
+    # *estimates* (they can be far off for derived frames); AQE still turns a
+    # join into a broadcast when the measured size of a finished stage is
+    # small, and the engine's explicit broadcasts check their bound first.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(ADAPTIVE_BROADCAST_BYTES))
     checkpoint_dir(spark)
     return spark
 
