@@ -27,8 +27,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed value: box blur radius in pixels.
 BLUR_RADIUS = 50
-# Image rows are large: keep Arrow batches small in the pixel step.
-PIXEL_BATCH_ROWS = 16
 
 LANDED_SCHEMA = "image_id string, origin string, height int, width int, nChannels int, mode int, data binary"
 
@@ -173,9 +171,9 @@ def redact(landed: DataFrame, regions: DataFrame) -> DataFrame:
 
 def redact_rects(landed: DataFrame, rects: DataFrame) -> DataFrame:
     """Blur ``rects`` (from ``rects_per_image``) into the landed images."""
-    spark = landed.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > PIXEL_BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PIXEL_BATCH_ROWS))
+    # Decoded images are large; Arrow batches into the Python step are cut by
+    # ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default), so a
+    # batch holds a few large images or many small ones.
     rows = landed.join(rects, "image_id").repartition(_cpu_partitions(landed), "image_id")
 
     def run(batches):
