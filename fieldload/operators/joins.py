@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 200_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows of a dimension-sized input.
+    The check reads at most ``max_rows + 1`` rows of a dimension-sized input;
+    its answer is kept per session, logical plan and input files, so plans
+    built again over the same input do not repeat it.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    files = tuple(sorted(df.inputFiles()))  # re-check when the input files change
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _CHECKED[key] else df
 
 
 def insert_absent(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
