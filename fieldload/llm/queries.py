@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 from . import substrings
 
 
+# Texts reach Python in batches of about this many bytes (one text at least).
+BATCH_BYTES = "2m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

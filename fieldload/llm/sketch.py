@@ -59,7 +59,7 @@ def fill(df: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[np.n
         for k in keys(batches):
             waiting.append(k)
             n += len(k)
-            if n >= 1 << 21:
+            if n >= 1 << 20:
                 yield from flush(waiting, salt)
                 waiting, n = [], 0
         yield from flush(waiting, salt)
@@ -94,27 +94,33 @@ def fill(df: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[np.n
 
 def _added(df: DataFrame, block_bits: int, finish: Callable[[np.ndarray], bytes] | None) -> DataFrame:
     def run(batches):
-        acc: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, at, counts in zip(batch["block"].to_pylist(), batch["cells"], batch["counts"], strict=True):
-                if block not in acc:
-                    acc[block] = np.zeros(1 << block_bits, np.uint32)
-                n = np.frombuffer(counts.as_buffer(), np.uint16)
-                at = np.frombuffer(at.as_buffer(), np.uint32) if at.as_buffer().size else slice(None)
-                acc[block][at] += n
-        acc = {b: np.minimum(a, CELL_MAX) for b, a in acc.items()}
-        if finish is None:
-            yield from _emit(acc, 0)
-        for b, a in acc.items() if finish else ():
+        acc, at_block = None, None
+
+        def done():
+            if acc is None:
+                return
+            if finish is None:
+                yield from _emit({at_block: np.minimum(acc, CELL_MAX)}, 0)
+                return
             yield pa.RecordBatch.from_pydict(
                 {
-                    "block": pa.array([b], pa.int32()),
+                    "block": pa.array([at_block], pa.int32()),
                     "salt": pa.array([0], pa.int32()),
                     "cells": pa.array([b""], pa.binary()),
-                    "counts": pa.array([finish(a)], pa.binary()),
+                    "counts": pa.array([finish(np.minimum(acc, CELL_MAX))], pa.binary()),
                 }
             )
 
+        for batch in batches:
+            for block, at, counts in zip(batch["block"].to_pylist(), batch["cells"], batch["counts"], strict=True):
+                if block != at_block:
+                    yield from done()
+                    acc, at_block = np.zeros(1 << block_bits, np.uint32), block
+                n = np.frombuffer(counts.as_buffer(), np.uint16)
+                at = np.frombuffer(at.as_buffer(), np.uint32) if at.as_buffer().size else slice(None)
+                acc[at] += n
+        yield from done()
+
     return df.mapInArrow(run, SCHEMA)
 
 
@@ -127,8 +133,8 @@ def merged(parts: DataFrame, bits: int, depth: int, finish: Callable[[np.ndarray
     """
     block_bits = min(BLOCK_BITS, bits)
     n_blocks = depth << (bits - block_bits)
-    once = _added(parts.repartition(F.col("block"), F.col("salt")), block_bits, None)
-    done = _added(once.repartition(F.col("block")), block_bits, finish)
+    once = _added(parts.repartition("block", "salt").sortWithinPartitions("block"), block_bits, None)
+    done = _added(once.repartition("block").sortWithinPartitions("block"), block_bits, finish)
     size = (1 << block_bits) * cell_bits // 8
     out = np.zeros((n_blocks, size), np.uint8)
     for r in done.select("block", "counts").collect():
@@ -141,10 +147,28 @@ def repeated(acc: np.ndarray) -> bytes:
     return np.packbits(acc >= 2, bitorder="little").tobytes()
 
 
-def may_repeat(bitmaps: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    """Whether the sketch lets a key occur twice (never false for one that does)."""
+def passes(bitmaps: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the bitmaps hold each key's cells (never false for a key that was put in)."""
     ok = np.ones(len(keys), dtype=bool)
     for row in range(len(bitmaps)):
         c = cells(keys, row, bits)
         ok &= (bitmaps[row][c >> 3] >> (c & 7).astype(np.uint8)) & 1 == 1
     return ok
+
+
+def members(keys: DataFrame, bits: int = 24, depth: int = 2) -> np.ndarray:
+    """Bitmaps that hold every 64-bit key of the one-column frame ``keys`` (and may pass others).
+
+    They only spare work before a join: ``depth * 2**bits`` bits whatever the
+    number of keys, so with very many keys they pass more, and drop none.
+    """
+    name = keys.columns[0]
+
+    def read(batches):
+        for batch in batches:
+            yield batch[name].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+
+    def present(acc):
+        return np.packbits(acc > 0, bitorder="little").tobytes()
+
+    return merged(fill(keys, read, bits, depth), bits, depth, present, 1)

@@ -50,7 +50,7 @@ def _segments(tok: text.Tokenizer, words: text.Words, window: int, gram: int):
 def _second(words: text.Words) -> text.Words:
     """The same words under other hashes."""
     other = text.mix(words.hashes ^ np.uint64(0xA24BAED4963EE407))
-    return text.Words(words.lo, words.hi, words.data, words.starts, words.ends, words.woff, other)
+    return text.Words(words.lo, words.hi, words.data, words.starts, words.ends, words.boff, words.woff, other)
 
 
 def _per_row(keep: np.ndarray, woff: np.ndarray) -> np.ndarray:
@@ -110,7 +110,7 @@ def remove_repeats(
         for batch in batches:
             for words in tok.chunks(batch["text"]):
                 at, n, row, key = _segments(tok, words, window, gram)
-                ok = sketch.may_repeat(shared.value, key, sketch_bits)
+                ok = sketch.passes(shared.value, key, sketch_bits)
                 at, n, row, key = at[ok], n[ok], row[ok], key[ok]
                 end = at + n + window - 1
                 which = pa.array(row + words.lo)
@@ -168,7 +168,8 @@ def remove_repeats(
                     }
                 )
 
-    wins = some.join(ask.hint("shuffle_hash"), ["id", ROW]).select("id", ROW, "text", "ask").mapInArrow(
+    asked_rows = _some_rows(some, spark, ask.select("id", ROW))
+    wins = asked_rows.join(ask.hint("shuffle_hash"), ["id", ROW]).select("id", ROW, "text", "ask").mapInArrow(
         windows, f"{row_schema}, start int, w1 long, w2 long"
     )
     holder = wins.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last"))
@@ -180,15 +181,33 @@ def remove_repeats(
         .agg(F.collect_list(F.struct("start", "n")).alias("__gone"))
         .withColumnRenamed("id", "__id")
     )
+    gone = cut(gone, "repeated-windows")
     results = {"n_words": "long", "n_removed": "long", "kept_text": "string"}
     kept_cols = [c for c in docs.columns if c not in results]
     reads_text = text_col if text_col in kept_cols else "__text"
     wide = rows.withColumn("__text", F.col(text_col)) if reads_text == "__text" else rows
-    joined = wide.join(
-        gone.withColumnRenamed(ROW, "__r").hint("shuffle_hash"),
-        (F.col(id_col) == F.col("__id")) & (F.col(ROW) == F.col("__r")),
-        "left",
-    ).select(*kept_cols, *(["__text"] if reads_text == "__text" else []), "__gone")
+    wide = wide.select(
+        *kept_cols, *(["__text"] if reads_text == "__text" else []), F.col(id_col).alias("__i"), F.col(ROW).alias("__r")
+    )
+
+    def stripped(tok, batch, start, n, off):
+        total, removed, parts = [], [], []
+        for words in tok.chunks(batch[reads_text]):
+            s = slice(off[words.lo], off[words.hi])
+            first = start[s] + np.repeat(words.woff[:-1], np.diff(off[words.lo : words.hi + 1]))
+            edge = np.bincount(first, minlength=len(words) + 1)
+            edge -= np.bincount(first + n[s] + window - 1, minlength=len(words) + 1)
+            keep = np.cumsum(edge[: len(words)]) == 0
+            total.append(words.counts)
+            removed.append(words.counts - _per_row(keep, words.woff))
+            parts.append(_joined(words, keep))
+        empty = [np.zeros(0, np.int64)]
+        return pa.RecordBatch.from_arrays(
+            [batch[c] for c in kept_cols]
+            + [pa.array(np.concatenate(total or empty)), pa.array(np.concatenate(removed or empty)),
+               pa.concat_arrays(parts or [pa.array([], pa.string())])],
+            names=[*kept_cols, *results],
+        )
 
     def strip(batches):
         tok = text.Tokenizer(text.space_words(), lower=False)
@@ -196,25 +215,42 @@ def remove_repeats(
             gone = batch["__gone"].fill_null([])
             flat, off = gone.flatten(), gone.offsets.to_numpy() - gone.offsets[0].as_py()
             start, n = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("start", "n"))
-            total, removed, parts = [], [], []
-            for words in tok.chunks(batch[reads_text]):
-                s = slice(off[words.lo], off[words.hi])
-                first = start[s] + np.repeat(words.woff[:-1], np.diff(off[words.lo : words.hi + 1]))
-                edge = np.bincount(first, minlength=len(words) + 1)
-                edge -= np.bincount(first + n[s] + window - 1, minlength=len(words) + 1)
-                keep = np.cumsum(edge[: len(words)]) == 0
-                total.append(words.counts)
-                removed.append(words.counts - _per_row(keep, words.woff))
-                parts.append(_joined(words, keep))
-            yield pa.RecordBatch.from_arrays(
-                [batch[c] for c in kept_cols]
-                + [pa.array(np.concatenate(total or [np.zeros(0, np.int64)])),
-                   pa.array(np.concatenate(removed or [np.zeros(0, np.int64)])),
-                   pa.concat_arrays(parts or [pa.array([], pa.string())])],
-                names=[*kept_cols, *results],
-            )
+            yield stripped(tok, batch, start, n, off)
+
+    seen = spark.sparkContext.broadcast(sketch.members(gone.select(F.xxhash64("__id", ROW))))
+
+    def rest(batches):
+        tok = text.Tokenizer(text.space_words(), lower=False)
+        for batch in batches:
+            batch = batch.filter(pa.array(~sketch.passes(seen.value, _longs(batch["__key"]), 24)))
+            none = np.zeros(0, np.int64)
+            yield stripped(tok, batch, none, none, np.zeros(batch.num_rows + 1, np.int64))
 
     schema = T.StructType([docs.schema[c] for c in kept_cols])
     for name, kind in results.items():
         schema = schema.add(name, kind)
-    return joined.mapInArrow(strip, schema)
+    # Most rows lose nothing; only those that may are joined with their losses.
+    keyed = wide.withColumn("__key", F.xxhash64("__i", "__r"))
+    maybe = keyed.mapInArrow(_passing(seen), keyed.schema).join(
+        gone.hint("shuffle_hash"), (F.col("__i") == F.col("__id")) & (F.col("__r") == F.col(ROW)), "left"
+    )
+    return maybe.mapInArrow(strip, schema).unionByName(keyed.mapInArrow(rest, schema))
+
+
+def _longs(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+
+
+def _passing(seen):
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(sketch.passes(seen.value, _longs(batch["__key"]), 24)))
+
+    return run
+
+
+def _some_rows(rows: DataFrame, spark, keys: DataFrame) -> DataFrame:
+    """``rows`` less most of those whose ``id`` and row hash are not in ``keys``."""
+    seen = spark.sparkContext.broadcast(sketch.members(keys.select(F.xxhash64("id", ROW))))
+    keyed = rows.withColumn("__key", F.xxhash64("id", ROW))
+    return keyed.mapInArrow(_passing(seen), keyed.schema).drop("__key")

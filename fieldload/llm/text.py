@@ -57,10 +57,10 @@ def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of rows ``lo`` to ``hi`` of a batch; ``woff[r]`` is the first word of row ``lo + r``."""
+    """Words of rows ``lo`` to ``hi`` of a batch; row ``lo + r`` starts at word ``woff[r]`` and byte ``boff[r]``."""
 
-    def __init__(self, lo, hi, data, starts, ends, woff, hashes):
-        self.lo, self.hi, self.data = lo, hi, data
+    def __init__(self, lo, hi, data, starts, ends, boff, woff, hashes):
+        self.lo, self.hi, self.data, self.boff = lo, hi, data, boff
         self.starts, self.ends, self.woff, self.hashes = starts, ends, woff, hashes
         self.counts = np.diff(woff)
 
@@ -122,7 +122,7 @@ class Tokenizer:
         h = np.zeros(len(b) + 1, np.uint64)
         np.cumsum(self.table[b] * self.pow[: len(b)], out=h[1:])
         hashes = mix((h[ends] - h[starts]) * self.inv[starts])
-        return Words(lo, hi, b, starts, ends, np.searchsorted(starts, rel), hashes)
+        return Words(lo, hi, b, starts, ends, rel, np.searchsorted(starts, rel), hashes)
 
     def runs(self, words: Words, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of the word sequences ``starts`` to ``ends`` (word indices, end exclusive)."""
