@@ -131,7 +131,7 @@ def _scan(rows: DataFrame, lookup, text_col: str) -> DataFrame:
 
     schema = T.StructType([rows.schema[c] for c in carried])
     for name, kind in RESULTS.items():
-        schema = schema.add(name, kind)
+        schema = schema.add(name, T.DataType.fromDDL(kind))
     return rows.mapInArrow(run, schema)
 
 

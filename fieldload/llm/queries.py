@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substrings
+from . import decontaminate, langid, mixing, ngram_join, substrings
 
 
 # Texts reach Python in batches of about this many bytes (one text at least).
@@ -23,11 +23,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mix(spark, sf_dir):
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "quota")
+
+
+def op3_ngram_jaccard(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark, sf_dir):
     out = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.identify(docs)
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "lang")
+
+
+def op9_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mix": op1_source_mix,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_decontamination": op9_decontamination,
 }
