@@ -172,3 +172,22 @@ def members(keys: DataFrame, bits: int = 24, depth: int = 2) -> np.ndarray:
         return np.packbits(acc > 0, bitorder="little").tobytes()
 
     return merged(fill(keys, read, bits, depth), bits, depth, present, 1)
+
+
+def by_membership(df: DataFrame, key, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two parts: rows whose ``key`` is surely not in ``keys``, and the rest.
+
+    Only the rest needs a join with ``keys``; the first part is not shuffled.
+    """
+    seen = df.sparkSession.sparkContext.broadcast(members(keys))
+    keyed = df.withColumn("__key", key)
+
+    def part(inside: bool):
+        def run(batches):
+            for batch in batches:
+                hit = passes(seen.value, batch["__key"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), 24)
+                yield batch.filter(pa.array(hit == inside))
+
+        return keyed.mapInArrow(run, keyed.schema).drop("__key")
+
+    return part(False), part(True)

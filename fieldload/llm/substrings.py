@@ -168,12 +168,14 @@ def remove_repeats(
                     }
                 )
 
-    asked_rows = _some_rows(some, spark, ask.select("id", ROW))
+    asked_rows = sketch.by_membership(some, F.xxhash64("id", ROW), ask.select(F.xxhash64("id", ROW).alias("key")))[1]
     wins = asked_rows.join(ask.hint("shuffle_hash"), ["id", ROW]).select("id", ROW, "text", "ask").mapInArrow(
         windows, f"{row_schema}, start int, w1 long, w2 long"
     )
+    # Written, so that the join below has plain exchanges on both sides and a common window can be split.
     holder = wins.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    late = wins.join(holder.where("first < last").drop("last"), ["w1", "w2"]).where("id > first")
+    holder = cut(holder.where("first < last").drop("last"), "window-holders")
+    late = wins.join(holder, ["w1", "w2"]).where("id > first")
     gone = (
         judged.where("known").select("id", ROW, "start", "n")
         .unionByName(late.select("id", ROW, "start", F.lit(1).alias("n")))
@@ -217,12 +219,9 @@ def remove_repeats(
             start, n = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("start", "n"))
             yield stripped(tok, batch, start, n, off)
 
-    seen = spark.sparkContext.broadcast(sketch.members(gone.select(F.xxhash64("__id", ROW))))
-
-    def rest(batches):
+    def whole(batches):
         tok = text.Tokenizer(text.space_words(), lower=False)
         for batch in batches:
-            batch = batch.filter(pa.array(~sketch.passes(seen.value, _longs(batch["__key"]), 24)))
             none = np.zeros(0, np.int64)
             yield stripped(tok, batch, none, none, np.zeros(batch.num_rows + 1, np.int64))
 
@@ -230,27 +229,6 @@ def remove_repeats(
     for name, kind in results.items():
         schema = schema.add(name, kind)
     # Most rows lose nothing; only those that may are joined with their losses.
-    keyed = wide.withColumn("__key", F.xxhash64("__i", "__r"))
-    maybe = keyed.mapInArrow(_passing(seen), keyed.schema).join(
-        gone.hint("shuffle_hash"), (F.col("__i") == F.col("__id")) & (F.col("__r") == F.col(ROW)), "left"
-    )
-    return maybe.mapInArrow(strip, schema).unionByName(keyed.mapInArrow(rest, schema))
-
-
-def _longs(column: pa.Array) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-
-
-def _passing(seen):
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(sketch.passes(seen.value, _longs(batch["__key"]), 24)))
-
-    return run
-
-
-def _some_rows(rows: DataFrame, spark, keys: DataFrame) -> DataFrame:
-    """``rows`` less most of those whose ``id`` and row hash are not in ``keys``."""
-    seen = spark.sparkContext.broadcast(sketch.members(keys.select(F.xxhash64("id", ROW))))
-    keyed = rows.withColumn("__key", F.xxhash64("id", ROW))
-    return keyed.mapInArrow(_passing(seen), keyed.schema).drop("__key")
+    clear, maybe = sketch.by_membership(wide, F.xxhash64("__i", "__r"), gone.select(F.xxhash64("__id", ROW).alias("key")))
+    some = maybe.join(gone.hint("shuffle_hash"), (F.col("__i") == F.col("__id")) & (F.col("__r") == F.col(ROW)), "left")
+    return some.mapInArrow(strip, schema).unionByName(clear.mapInArrow(whole, schema))
