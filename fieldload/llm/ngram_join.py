@@ -15,7 +15,8 @@ n-grams, so only documents that share such a prefix n-gram are compared:
    by the global order; a set shares the path it has in common with its
    predecessor).  Overlap counted on a shared path is reused, and a branch is
    left as soon as its overlap plus the shorter remainder cannot reach the
-   needed overlap.
+   needed overlap.  Pairs are first walked on the sets' prefixes, which that
+   bound mostly decides; only the pairs left are walked on the whole sets.
 
 Links are exact up to 58-bit n-gram hashes; equal 64-bit set hashes are taken
 as equal sets.
@@ -45,27 +46,41 @@ def needed(a: int, b: int, num: int, den: int) -> int:
     return -(-num * (a + b) // (num + den))
 
 
-def overlaps(probe: np.ndarray, members: list[np.ndarray], num: int, den: int) -> list[bool]:
+def overlaps(
+    probe: np.ndarray, members: list[np.ndarray], num: int, den: int, size: int | None = None, sizes: list[int] | None = None
+) -> list[bool]:
     """Which ``members`` link with ``probe``; all are ascending n-gram arrays.
 
     The members form a trie by their common starts; ``seen[d]`` is the overlap
-    of the current path's first ``d`` n-grams with the probe.
+    of the current path's first ``d`` n-grams with the probe.  With ``size`` and
+    ``sizes`` the arrays are the starts of larger sets, and a member counts
+    unless the known overlap and what remains of both cannot reach the need.
     """
+    size = len(probe) if size is None else size
+    sizes = [len(m) for m in members] if sizes is None else sizes
     linked = [False] * len(members)
     order = sorted(range(len(members)), key=lambda i: members[i].byteswap().tobytes())
     path, seen = np.zeros(0, np.uint64), np.zeros(1, np.int64)
     for i in order:
-        m = members[i]
-        if not den * min(len(m), len(probe)) >= num * max(len(m), len(probe)):
+        m, n = members[i], sizes[i]
+        if not len(m) or not len(probe) or not den * min(n, size) >= num * max(n, size):
             continue
-        need = needed(len(m), len(probe), num, den)
+        need = needed(n, size, num, den)
+        # Beyond the probe's known start nothing can be told.
+        clipped = size > len(probe) and m[-1] > probe[-1]
+        if clipped:
+            m = m[: np.searchsorted(m, probe[-1], "right")]
         k = min(len(path), len(m))
         differ = np.flatnonzero(path[:k] != m[:k])
         depth = int(differ[0]) if len(differ) else k
         path, seen = m[:depth], seen[: depth + 1]
-        while depth < len(m):
-            left = len(probe) - (int(np.searchsorted(probe, m[depth - 1], "right")) if depth else 0)
-            if seen[-1] + min(len(m) - depth, left) < need:
+        while True:
+            past = int(np.searchsorted(probe, m[depth - 1], "right")) if depth else 0
+            if clipped and depth == len(m):
+                past = len(probe)
+            bound = seen[-1] + min(n - depth, size - past)
+            if bound < need or depth == len(m):
+                linked[i] = bool(bound >= need)
                 break
             step = m[depth : depth + max(32, depth)]
             at = np.searchsorted(probe, step)
@@ -73,7 +88,6 @@ def overlaps(probe: np.ndarray, members: list[np.ndarray], num: int, den: int) -
             seen = np.concatenate([seen, seen[-1] + np.cumsum(hit)])
             depth += len(step)
             path = m[:depth]
-        linked[i] = depth == len(m) and bool(seen[-1] >= need)
     return linked
 
 
@@ -251,64 +265,78 @@ class JaccardJoin:
 
         return cut(packed.mapInArrow(meet, "gram long, node long, n int, hub long"), "gram-groups")
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """``node, grams`` of the wanted nodes (``node, id``: one row of each)."""
-
+    def sets(self, wanted: DataFrame, whole: bool) -> DataFrame:
+        """``node, size, grams`` of the wanted nodes (``node, id``: one row of each), whole or the prefix."""
+        num, den = self.num, self.den
         seen = self.spark.sparkContext.broadcast(sketch.members(wanted.select("node"), NODE_BITS))
 
         def emit(batch, words, values, off, node):
             ok = np.flatnonzero(sketch.passes(seen.value, node, NODE_BITS))
+            n = np.diff(off)[ok]
+            end = off[ok] + (n if whole else np.where(n > 0, n - -(-num * n // den) + 1, 0))
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": batch["id"].take(pa.array(ok + words.lo)),
                     "node": pa.array(node[ok].view(np.int64)),
-                    "grams": pa.array([values[off[i] : off[i + 1]].tobytes() for i in ok], pa.binary()),
+                    "size": pa.array(n),
+                    "grams": pa.array([values[a:b].tobytes() for a, b in zip(off[ok], end, strict=True)], pa.binary()),
                 }
             )
 
-        all_sets = self._each(self.docs, emit, f"id {self.id_type}, node long, grams binary")
-        return cut(all_sets.join(wanted.hint("shuffle_hash"), ["node", "id"]).select("node", "grams"), "gram-sets")
+        all_sets = self._each(self.docs, emit, f"id {self.id_type}, node long, size long, grams binary")
+        found = all_sets.join(wanted.hint("shuffle_hash"), ["node", "id"])
+        return cut(found.select("node", "size", "grams"), "gram-sets" if whole else "gram-prefixes")
 
-    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (``a``, ``b``) whose sets link, as ``u, v``."""
+    def held(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (``a``, ``b``) whose sets, as far as given, may link."""
         num, den = self.num, self.den
-        size = pairs.groupBy("a").agg(F.count("*").alias("k"))
-        dealt = pairs.join(size, "a").select(
+        count = pairs.groupBy("a").agg(F.count("*").alias("k"))
+        dealt = pairs.join(count, "a").select(
             "a", "b", F.expr(f"cast(pmod(xxhash64(b), ceil(k / {PROBES})) as int)").alias("salt")
         )
         probes = dealt.select("a", "salt").distinct()
+        own = F.lit(None).cast("long").alias("b")
         rows = (
-            dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "grams")
-            .unionByName(
-                probes.join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "grams")
-            )
+            dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "size", "grams")
+            .unionByName(probes.join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", own, "size", "grams"))
         )
 
         def run(batches):
-            at, probe, ids, members = None, None, [], []
+            at, probe, size, ids, members, sizes = None, None, 0, [], [], []
 
             def close():
                 if probe is None or not members:
                     return
-                ok = [b for b, yes in zip(ids, overlaps(probe, members, num, den), strict=True) if yes]
-                yield pa.RecordBatch.from_pydict({"u": pa.array([at[0]] * len(ok), pa.int64()), "v": pa.array(ok, pa.int64())})
+                linked = overlaps(probe, members, num, den, size, sizes)
+                ok = [b for b, yes in zip(ids, linked, strict=True) if yes]
+                yield pa.RecordBatch.from_pydict({"a": pa.array([at[0]] * len(ok), pa.int64()), "b": pa.array(ok, pa.int64())})
 
             for batch in batches:
-                for a, salt, b, grams in zip(
-                    batch["a"].to_pylist(), batch["salt"].to_pylist(), batch["b"].to_pylist(), batch["grams"], strict=True
-                ):
+                columns = (batch[c].to_pylist() for c in ("a", "salt", "b", "size"))
+                for a, salt, b, n, grams in zip(*columns, batch["grams"], strict=True):
                     if (a, salt) != at:
                         yield from close()
-                        at, probe, ids, members = (a, salt), None, [], []
+                        at, probe, ids, members, sizes = (a, salt), None, [], [], []
                     grams = np.frombuffer(grams.as_buffer(), np.uint64)
                     if b is None:
-                        probe = grams
+                        probe, size = grams, n
                     else:
                         ids.append(b)
                         members.append(grams)
+                        sizes.append(n)
             yield from close()
 
-        return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "b").mapInArrow(run, "u long, v long")
+        return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "b").mapInArrow(run, "a long, b long")
+
+    def links(self, pairs: DataFrame, prefixes: DataFrame, rows: DataFrame) -> DataFrame:
+        """Edges ``u, v``: the pairs that link, by prefixes first and then by whole sets."""
+        left = cut(self.held(pairs, prefixes), "held-pairs")
+        sets = self.sets(rows.join(_both(left), "node"), whole=True)
+        return cut(self.held(left, sets).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+
+
+def _both(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
 def jaccard_components(
@@ -343,9 +371,9 @@ def jaccard_components(
         .distinct()
     )
     star = cut(star, "star-pairs")
-    wanted = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct()
-    sets = join.sets(named.groupBy("node").agg(F.min("id").alias("id")).join(wanted, "node"))
-    near = cut(join.links(star, sets), "links")
+    one_row = named.groupBy("node").agg(F.min("id").alias("id"))
+    prefixes = join.sets(one_row.join(_both(star), "node"), whole=False)
+    near = join.links(star, prefixes, one_row)
     comp = cut(connected(near), "components")
 
     m = members.join(comp, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
@@ -361,7 +389,7 @@ def jaccard_components(
         .distinct()
         .join(star, ["a", "b"], "left_anti")
     )
-    more = cut(join.links(cut(cross, "cross-pairs"), sets), "links")
+    more = join.links(cut(cross, "cross-pairs"), prefixes, one_row)
     comp = connected(near.unionByName(more))
 
     rows = nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"))
