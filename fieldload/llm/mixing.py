@@ -147,7 +147,8 @@ def mix(
     from_ = F.greatest(F.col("start"), F.col("block") * block_tokens)
     to = F.least(F.col("end"), F.col("block") * block_tokens + F.col("part"))
     parts = (
-        lies.join(chosen, ["source_no", "shard", "block"])
+        # The blocks come from few rows by explode, so their estimated size would say broadcast.
+        lies.join(chosen.hint("merge"), ["source_no", "shard", "block"])
         .groupBy("source_no", "shard", "start")
         .agg(F.sum(F.greatest(to - from_, F.lit(0))).alias("part"))
     )
