@@ -1,6 +1,6 @@
 """Quality classifier by hierarchical empirical Bayes.
 
-Document evidence is a naive Bayes log-odds over hashed word presence and a
+Document evidence is a calibrated naive Bayes log-odds over hashed words and a
 few shape features, fitted on a bounded labelled sample.  Sites are a
 hierarchy (host, then path): each level's rate of good documents is a beta
 posterior whose prior is the level above, with a strength estimated from the
@@ -68,25 +68,60 @@ def _reader():
     return rows
 
 
-def evidence(docs: DataFrame, labels: DataFrame, sample: int = 20_000, smooth: float = 1.0, strong: float = 0.05):
-    """Log-odds of every feature cell, from at most ``sample`` labelled documents.
+def _parts(odds: np.ndarray, cells: np.ndarray) -> tuple[float, float]:
+    """Mean log-odds of a document's words, and the sum of its shapes' log-odds."""
+    n = len(cells) - SHAPES
+    return (float(odds[cells[:n]].mean()), float(odds[cells[n:]].sum())) if n > 0 else (0.0, 0.0)
 
-    The sample is the labelled ids with the smallest hash.  A document's
-    evidence adds its shape cells and, of its words, those more than
-    ``strong`` of a class's documents or no document of the other class hold.
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Weights and intercept of a logistic regression (Newton's method)."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(x.shape[1])
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * len(x) * np.eye(len(w))
+        step = np.linalg.solve(hess, x.T @ (y - p) - ridge * len(x) * w)
+        w += step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+class Evidence:
+    """Log-odds of feature cells and the weights that turn a document's into its evidence."""
+
+    def __init__(self, odds, weights, prior):
+        self.odds, self.weights, self.prior = odds, weights, prior
+
+    def of(self, cells: np.ndarray) -> float:
+        if len(cells) <= SHAPES:
+            return 0.0
+        words, shapes = _parts(self.odds, cells)
+        a, b, c = self.weights
+        return float(a * words + b * shapes + c - math.log(self.prior / (1 - self.prior)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, smooth: float = 1.0) -> Evidence:
+    """Evidence model of at most ``sample`` labelled documents, those with the smallest id hash.
+
+    Half of them count words and shapes; the other half weighs the two against
+    each other, so that evidence is calibrated and not the sum of thousands of
+    dependent words.
     """
     order = F.xxhash64(F.col("id").cast("string"))
     picked = labels.where("id is not null and y is not null").groupBy("id").agg(F.min("y").alias("y")).orderBy(order, "id").limit(sample)
+    picked = picked.withColumn("half", F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(2)).cast("int"))
+    # At most ``sample`` rows are broadcast.
     known = docs.select("id", "text").join(F.broadcast(picked), "id")
 
     def count(batches):
         rows = _reader()
         n = np.zeros((2, WIDTH + 1), np.int64)
         for batch in batches:
-            y = batch["y"].to_pylist()
-            for i, cells in enumerate(rows(batch["text"])):
-                n[y[i], cells] += 1
-                n[y[i], WIDTH] += 1
+            for y, cells in zip(batch["y"].to_pylist(), rows(batch["text"]), strict=True):
+                n[y, cells] += 1
+                n[y, WIDTH] += 1
         for y in range(2):
             at = np.flatnonzero(n[y])
             yield pa.RecordBatch.from_pydict(
@@ -94,15 +129,27 @@ def evidence(docs: DataFrame, labels: DataFrame, sample: int = 20_000, smooth: f
             )
 
     n = np.zeros((2, WIDTH + 1))
-    for r in known.mapInArrow(count, "y int, cell long, k long").groupBy("y", "cell").agg(F.sum("k").alias("k")).collect():
+    counted = known.where("half = 0").select("y", "text").mapInArrow(count, "y int, cell long, k long")
+    for r in counted.groupBy("y", "cell").agg(F.sum("k").alias("k")).collect():
         n[r["y"], r["cell"]] = r["k"]
     total = n[:, WIDTH] + 2 * smooth
     rate = (n[:, :WIDTH] + smooth) / total[:, None]
-    odds = np.log(rate[1] / rate[0])
-    seen = n[:, :WIDTH].max(axis=0) >= np.maximum(3, strong * 0.1 * n[:, WIDTH].min())
-    odds[: 1 << CELL_BITS][~seen[: 1 << CELL_BITS]] = 0
-    prior = (n[1, WIDTH] + smooth) / total.sum()
-    return odds.astype(np.float32), float(prior)
+    odds = np.log(rate[1] / rate[0]).astype(np.float32)
+    prior = float((n[1, WIDTH] + smooth) / total.sum())
+
+    def weigh(batches):
+        rows = _reader()
+        for batch in batches:
+            parts = [_parts(odds, cells) for cells in rows(batch["text"])]
+            yield pa.RecordBatch.from_pydict(
+                {"y": batch["y"], "words": pa.array([p[0] for p in parts], pa.float64()), "shapes": pa.array([p[1] for p in parts], pa.float64())}
+            )
+
+    seen = known.where("half = 1").select("y", "text").mapInArrow(weigh, "y int, words double, shapes double").collect()
+    if not seen:
+        return Evidence(odds * 0, (0.0, 0.0, math.log(prior / (1 - prior))), prior)
+    x = np.array([[r["words"], r["shapes"]] for r in seen])
+    return Evidence(odds, tuple(_logistic(x, np.array([r["y"] for r in seen], float))), prior)
 
 
 def _strength(groups: DataFrame, mean: str) -> float:
@@ -143,19 +190,19 @@ def classify(
         F.col(path_col).cast("string").alias("path"),
     )
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
-    odds, prior = evidence(rows, known, sample)
-    shared = docs.sparkSession.sparkContext.broadcast(odds)
+    model = fit(rows, known, sample)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = ["id", "host", "path"]
 
     def score(batches):
         rows = _reader()
-        odds = shared.value
+        model = shared.value
         for batch in batches:
-            e = [float(odds[cells].sum()) for cells in rows(batch["text"])]
+            e = [model.of(cells) for cells in rows(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch[c] for c in keep] + [pa.array(e, pa.float64())], names=[*keep, "evidence"])
 
     schema = T.StructType([rows.schema[c] for c in keep]).add("evidence", "double")
-    base = math.log(prior / (1 - prior))
+    base = math.log(model.prior / (1 - model.prior))
     scored = cut(rows.mapInArrow(score, schema), "evidence")
     p = 1 / (1 + F.exp(-(F.col("evidence") + base)))
     by_path = cut(scored.groupBy("host", "path").agg(F.sum(p).alias("good"), F.count("*").alias("n")), "path-rates")
