@@ -8,15 +8,18 @@ n-grams, so only documents that share such a prefix n-gram are compared:
 1. Documents with one set are one node (its 64-bit set hash).
 2. Prefix n-grams meet in buckets.  An n-gram whose sketch count is low has a
    bounded group; groups of the others are kept as rows and aggregated.
-3. Every group links its members to its hub (*star*); what is verified joins
-   into components.  Then all pairs of a group in different components are
-   compared; pairs inside a component need no check.
+3. Two prefixes hold all common n-grams up to the end of the one that ends
+   first, so the number of prefix n-grams a pair shares bounds its overlap.
+   Pairs of a group's hub and members that pass the bound by the groups of
+   that hub alone are compared first; what links joins into components.  Then
+   the shared n-grams of all pairs in different components are counted, and
+   those that pass the bound are compared.  Pairs inside a component need no
+   check.
 4. Comparing: the sets to be held against one probe stand in a trie (sorted
    by the global order; a set shares the path it has in common with its
    predecessor).  Overlap counted on a shared path is reused, and a branch is
    left as soon as its overlap plus the shorter remainder cannot reach the
-   needed overlap.  Pairs are first walked on the sets' prefixes, which that
-   bound mostly decides; only the pairs left are walked on the whole sets.
+   needed overlap.
 
 Links are exact up to 58-bit n-gram hashes; equal 64-bit set hashes are taken
 as equal sets.
@@ -36,7 +39,10 @@ from . import sketch, text
 from .components import connected
 
 ORDER_BITS = 58
-GRAM_BITS = 20
+# Cells of the count sketch: about one for every 32 n-grams, at most 2**24 (16
+# MB of classes on every executor).  Past that, more n-grams count as frequent.
+SKETCH_BITS = (16, 24)
+GRAMS_A_CELL = 32
 NODE_BITS = 24
 PROBES = 256
 
@@ -46,45 +52,34 @@ def needed(a: int, b: int, num: int, den: int) -> int:
     return -(-num * (a + b) // (num + den))
 
 
-def overlaps(
-    probe: np.ndarray, members: list[np.ndarray], num: int, den: int, size: int | None = None, sizes: list[int] | None = None
-) -> list[bool]:
+def overlaps(probe: np.ndarray, members: list[np.ndarray], num: int, den: int) -> list[bool]:
     """Which ``members`` link with ``probe``; all are ascending n-gram arrays.
 
     The members form a trie by their common starts; ``seen[d]`` is the overlap
-    of the current path's first ``d`` n-grams with the probe.  With ``size`` and
-    ``sizes`` the arrays are the starts of larger sets, and a member counts
-    unless the known overlap and what remains of both cannot reach the need.
+    of the current path's first ``d`` n-grams with the probe.
     """
-    size = len(probe) if size is None else size
-    sizes = [len(m) for m in members] if sizes is None else sizes
+    size = len(probe)
     linked = [False] * len(members)
     order = sorted(range(len(members)), key=lambda i: members[i].byteswap().tobytes())
     path, seen = np.zeros(0, np.uint64), np.zeros(1, np.int64)
     for i in order:
-        m, n = members[i], sizes[i]
-        if not len(m) or not len(probe) or not den * min(n, size) >= num * max(n, size):
+        m, n = members[i], len(members[i])
+        if not n or not size or not den * min(n, size) >= num * max(n, size):
             continue
         need = needed(n, size, num, den)
-        # Beyond the probe's known start nothing can be told.
-        clipped = size > len(probe) and m[-1] > probe[-1]
-        if clipped:
-            m = m[: np.searchsorted(m, probe[-1], "right")]
-        k = min(len(path), len(m))
+        k = min(len(path), n)
         differ = np.flatnonzero(path[:k] != m[:k])
         depth = int(differ[0]) if len(differ) else k
         path, seen = m[:depth], seen[: depth + 1]
         while True:
             past = int(np.searchsorted(probe, m[depth - 1], "right")) if depth else 0
-            if clipped and depth == len(m):
-                past = len(probe)
             bound = seen[-1] + min(n - depth, size - past)
-            if bound < need or depth == len(m):
+            if bound < need or depth == n:
                 linked[i] = bool(bound >= need)
                 break
             step = m[depth : depth + max(32, depth)]
             at = np.searchsorted(probe, step)
-            hit = (at < len(probe)) & (probe[np.minimum(at, len(probe) - 1)] == step)
+            hit = (at < size) & (probe[np.minimum(at, size - 1)] == step)
             seen = np.concatenate([seen, seen[-1] + np.cumsum(hit)])
             depth += len(step)
             path = m[:depth]
@@ -115,19 +110,16 @@ def _grams(tok, words, n_words):
     return tok.runs(words, start[order], end[order])
 
 
-def _cell(x: np.ndarray) -> np.ndarray:
-    return sketch.cells(x, 0, GRAM_BITS)
-
-
 def _ordered(x: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """The n-gram's place in the global order: frequency class, then hash."""
-    return (classes[_cell(x)].astype(np.uint64) << np.uint64(ORDER_BITS)) | (x >> np.uint64(64 - ORDER_BITS))
+    cell = sketch.cells(x, 0, int(len(classes)).bit_length() - 1)
+    return (classes[cell].astype(np.uint64) << np.uint64(ORDER_BITS)) | (x >> np.uint64(64 - ORDER_BITS))
 
 
 def frequency_classes(counts: np.ndarray) -> np.ndarray:
     """0 for n-grams at the sketch's usual count, else 1 and more by powers of two."""
     mean = counts.mean()
-    usual = max(64.0, mean + 8 * math.sqrt(mean))
+    usual = max(32.0, mean + 6 * math.sqrt(mean))
     c = np.zeros(len(counts), np.uint8)
     high = counts > usual
     c[high] = np.minimum(1 + np.log2(counts[high] / usual), 60).astype(np.uint8)
@@ -151,8 +143,10 @@ class JaccardJoin:
         self.n_words, self.num, self.den = n_words, num, den
         self.docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         self.id_type = self.docs.schema["id"].dataType.simpleString()
-        grams = sketch.fill(self.docs.where("id is not null").select("text"), self._keys(), GRAM_BITS, 1)
-        counts = sketch.merged(grams, GRAM_BITS, 1, lambda a: a.astype(np.uint32).tobytes(), 32)
+        size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 1
+        bits = min(max(round(math.log2(size / 6 / GRAMS_A_CELL + 1)), SKETCH_BITS[0]), SKETCH_BITS[1])
+        grams = sketch.fill(self.docs.where("id is not null").select("text"), self._keys(), bits, 1)
+        counts = sketch.merged(grams, bits, 1, lambda a: a.astype(np.uint32).tobytes(), 32)
         self.classes = self.spark.sparkContext.broadcast(frequency_classes(counts.reshape(-1).view(np.uint32)))
 
     def _keys(self):
@@ -194,7 +188,7 @@ class JaccardJoin:
         return cut(self._each(self.docs, emit, f"id {self.id_type}, n long, node long"), "sets")
 
     def groups(self, buckets: int) -> DataFrame:
-        """``gram, node, n, hub``: members of prefix n-grams; ``hub`` is null for frequent ones."""
+        """``gram, node, n, hub, hub_n``: members of prefix n-grams; ``hub`` is null for frequent ones."""
         num, den = self.num, self.den
 
         def emit(batch, words, values, off, node):
@@ -245,12 +239,12 @@ class JaccardJoin:
                 new = np.ones(len(gram), dtype=bool)
                 new[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
                 gram, node, n = gram[new], node[new], n[new]
-                hub = None
+                hub = hub_n = None
                 if bucket < buckets:
                     first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
                     size = np.diff(np.append(first, len(gram)))
                     many = np.repeat(size > 1, size)
-                    hub = np.repeat(node[first], size)[many]
+                    hub, hub_n = np.repeat(node[first], size)[many], np.repeat(n[first], size)[many]
                     gram, node, n = gram[many], node[many], n[many]
                 for a in range(0, len(gram), 200_000):
                     s = slice(a, a + 200_000)
@@ -260,83 +254,79 @@ class JaccardJoin:
                             "node": pa.array(node[s]),
                             "n": pa.array(n[s]),
                             "hub": pa.array(hub[s]) if hub is not None else pa.nulls(len(gram[s]), pa.int64()),
+                            "hub_n": pa.array(hub_n[s]) if hub is not None else pa.nulls(len(gram[s]), pa.int32()),
                         }
                     )
 
-        return cut(packed.mapInArrow(meet, "gram long, node long, n int, hub long"), "gram-groups")
+        return cut(packed.mapInArrow(meet, "gram long, node long, n int, hub long, hub_n int"), "gram-groups")
 
-    def sets(self, wanted: DataFrame, whole: bool) -> DataFrame:
-        """``node, size, grams`` of the wanted nodes (``node, id``: one row of each), whole or the prefix."""
-        num, den = self.num, self.den
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """``node, grams`` of the wanted nodes (``node, id``: one row of each)."""
         seen = self.spark.sparkContext.broadcast(sketch.members(wanted.select("node"), NODE_BITS))
 
         def emit(batch, words, values, off, node):
             ok = np.flatnonzero(sketch.passes(seen.value, node, NODE_BITS))
-            n = np.diff(off)[ok]
-            end = off[ok] + (n if whole else np.where(n > 0, n - -(-num * n // den) + 1, 0))
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": batch["id"].take(pa.array(ok + words.lo)),
                     "node": pa.array(node[ok].view(np.int64)),
-                    "size": pa.array(n),
-                    "grams": pa.array([values[a:b].tobytes() for a, b in zip(off[ok], end, strict=True)], pa.binary()),
+                    "grams": pa.array([values[off[i] : off[i + 1]].tobytes() for i in ok], pa.binary()),
                 }
             )
 
-        all_sets = self._each(self.docs, emit, f"id {self.id_type}, node long, size long, grams binary")
-        found = all_sets.join(wanted.hint("shuffle_hash"), ["node", "id"])
-        return cut(found.select("node", "size", "grams"), "gram-sets" if whole else "gram-prefixes")
+        all_sets = self._each(self.docs, emit, f"id {self.id_type}, node long, grams binary")
+        return cut(all_sets.join(wanted.hint("shuffle_hash"), ["node", "id"]).select("node", "grams"), "gram-sets")
 
-    def held(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (``a``, ``b``) whose sets, as far as given, may link."""
+    def possible(self, shared: DataFrame) -> DataFrame:
+        """Distinct pairs ``a, b`` of rows ``a, an, b, bn`` (one for each shared prefix n-gram) that may link."""
         num, den = self.num, self.den
+        rest = F.greatest(*[F.ceil(F.col(n) * num / den) for n in ("an", "bn")]) - 1
+        need = F.ceil((F.col("an") + F.col("bn")) * num / (num + den))
+        fits = F.least("an", "bn") * den >= F.greatest("an", "bn") * num
+        counted = shared.where(fits).groupBy("a", "an", "b", "bn").agg(F.count("*").alias("k"))
+        return counted.where(F.col("k") + rest >= need).select("a", "b")
+
+    def links(self, pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        """Edges ``u, v``: the ``pairs`` (``a``, ``b``) whose sets link."""
+        num, den = self.num, self.den
+        both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        sets = self.sets(rows.join(both, "node"))
         count = pairs.groupBy("a").agg(F.count("*").alias("k"))
         dealt = pairs.join(count, "a").select(
             "a", "b", F.expr(f"cast(pmod(xxhash64(b), ceil(k / {PROBES})) as int)").alias("salt")
         )
         probes = dealt.select("a", "salt").distinct()
         own = F.lit(None).cast("long").alias("b")
-        rows = (
-            dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "size", "grams")
-            .unionByName(probes.join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", own, "size", "grams"))
+        work = (
+            dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "grams")
+            .unionByName(probes.join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", own, "grams"))
         )
 
         def run(batches):
-            at, probe, size, ids, members, sizes = None, None, 0, [], [], []
+            at, probe, ids, members = None, None, [], []
 
             def close():
                 if probe is None or not members:
                     return
-                linked = overlaps(probe, members, num, den, size, sizes)
-                ok = [b for b, yes in zip(ids, linked, strict=True) if yes]
-                yield pa.RecordBatch.from_pydict({"a": pa.array([at[0]] * len(ok), pa.int64()), "b": pa.array(ok, pa.int64())})
+                ok = [b for b, yes in zip(ids, overlaps(probe, members, num, den), strict=True) if yes]
+                yield pa.RecordBatch.from_pydict({"u": pa.array([at[0]] * len(ok), pa.int64()), "v": pa.array(ok, pa.int64())})
 
             for batch in batches:
-                columns = (batch[c].to_pylist() for c in ("a", "salt", "b", "size"))
-                for a, salt, b, n, grams in zip(*columns, batch["grams"], strict=True):
+                columns = (batch[c].to_pylist() for c in ("a", "salt", "b"))
+                for a, salt, b, grams in zip(*columns, batch["grams"], strict=True):
                     if (a, salt) != at:
                         yield from close()
-                        at, probe, ids, members, sizes = (a, salt), None, [], [], []
+                        at, probe, ids, members = (a, salt), None, [], []
                     grams = np.frombuffer(grams.as_buffer(), np.uint64)
                     if b is None:
-                        probe, size = grams, n
+                        probe = grams
                     else:
                         ids.append(b)
                         members.append(grams)
-                        sizes.append(n)
             yield from close()
 
-        return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "b").mapInArrow(run, "a long, b long")
-
-    def links(self, pairs: DataFrame, prefixes: DataFrame, rows: DataFrame) -> DataFrame:
-        """Edges ``u, v``: the pairs that link, by prefixes first and then by whole sets."""
-        left = cut(self.held(pairs, prefixes), "held-pairs")
-        sets = self.sets(rows.join(_both(left), "node"), whole=True)
-        return cut(self.held(left, sets).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-
-
-def _both(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        sorted_work = work.repartition("a", "salt").sortWithinPartitions("a", "salt", "b")
+        return cut(sorted_work.mapInArrow(run, "u long, v long"), "links")
 
 
 def jaccard_components(
@@ -358,38 +348,30 @@ def jaccard_components(
     named = nodes.where("id is not null and n > 0")
     groups = join.groups(buckets)
     frequent = groups.where("hub is null")
-    hubs = frequent.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
-    members = groups.where("hub is not null").select("gram", "node", "n").unionByName(
-        frequent.select("gram", "node", "n").join(hubs.select("gram"), "gram")
-    )
-    star = (
-        groups.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        .unionByName(
-            frequent.select("gram", "node").join(hubs, "gram").where("hub <> node")
-            .select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        )
-        .distinct()
-    )
-    star = cut(star, "star-pairs")
+    least = F.min(F.struct("node", "n"))
+    hubs = frequent.groupBy("gram").agg(least.alias("h"), F.max("node").alias("last")).where("h.node < last")
+    hubs = hubs.select("gram", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"))
+    members = groups.where("hub is not null").unionByName(frequent.drop("hub", "hub_n").join(hubs, "gram"))
+    named_pair = [F.col("hub").alias("a"), F.col("hub_n").alias("an"), F.col("node").alias("b"), F.col("n").alias("bn")]
+    star = cut(join.possible(members.where("hub <> node").select(*named_pair)), "star-pairs")
     one_row = named.groupBy("node").agg(F.min("id").alias("id"))
-    prefixes = join.sets(one_row.join(_both(star), "node"), whole=False)
-    near = join.links(star, prefixes, one_row)
+    near = join.links(star, one_row)
     comp = cut(connected(near), "components")
 
-    m = members.join(comp, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    m = members.select("gram", "node", "n").join(comp, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
     kinds = m.groupBy("gram", "comp").agg(F.count("*").alias("k"))
     split = kinds.groupBy("gram").agg(F.max_by("comp", "k").alias("major"), F.count("*").alias("comps")).where("comps > 1")
     split_members = m.join(split.select("gram", "major"), "gram")
     minor = split_members.where("comp <> major").select("gram", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    cross = (
-        minor.join(split_members, "gram")
-        .where("comp <> cx and (comp = major or x < node)")
-        .where(f"{den} * least(n, nx) >= {num} * greatest(n, nx)")
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
+    # Every shared prefix n-gram of two nodes in different components gives one row, the smaller node first.
+    met = minor.join(split_members, "gram").where("comp <> cx and (comp = major or x < node)")
+    first = F.col("x") < F.col("node")
+    shared = met.select(
+        F.when(first, F.col("x")).otherwise(F.col("node")).alias("a"), F.when(first, F.col("nx")).otherwise(F.col("n")).alias("an"),
+        F.when(first, F.col("node")).otherwise(F.col("x")).alias("b"), F.when(first, F.col("n")).otherwise(F.col("nx")).alias("bn"),
     )
-    more = join.links(cut(cross, "cross-pairs"), prefixes, one_row)
+    cross = join.possible(shared).join(star, ["a", "b"], "left_anti")
+    more = join.links(cut(cross, "cross-pairs"), one_row)
     comp = connected(near.unionByName(more))
 
     rows = nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"))

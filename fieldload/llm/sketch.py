@@ -70,7 +70,7 @@ def fill(df: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[np.n
         k = np.concatenate(waiting)
         for row in range(depth):
             c = cells(k, row, bits)
-            if bits <= 21:
+            if bits <= 22:
                 counts = np.bincount(c, minlength=1 << bits)
                 for b in range(per_row):
                     part = counts[b << block_bits : (b + 1) << block_bits]
