@@ -9,20 +9,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Formats tried, in this order, for free-form timestamp text.
-# The first entry is Spark's own ISO-8601 reading (zones and fractions
-# allowed); the others are the non-ISO forms the exports may hold.
+# Formats tried, in this order, for timestamp text that does not
+# start with a year and a dash.  Month before day; day first where the month
+# is impossible.
 TIMESTAMP_FORMATS = (
-    None,
-    "MM/dd/yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-    "MMM d yyyy ha",
-    "MMM d yyyy h:mma",
-    "MMM d yyyy HH:mm:ss",
-    "yyyyMMdd'T'HHmmss",
+    "yyyy/M/d[ H:m[:s]]",
+    "yyyy-M-d h:m[:s] a",
+    "M/d/yyyy[ H:m[:s]]",
+    "M/d/yyyy h:m[:s] a",
+    "d/M/yyyy[ H:m[:s]]",
+    "d/M/yyyy h:m[:s] a",
+    "MMM d[,] yyyy[ H:m[:s]]",
+    "MMMM d[,] yyyy[ H:m[:s]]",
+    "MMM d[,] yyyy h[:m[:s]][ ]a",
+    "MMM d[,] yyyy ha",
+    "MMMM d[,] yyyy h[:m[:s]][ ]a",
+    "d MMM yyyy[ H:m[:s][ z]]",
+    "d MMMM yyyy[ H:m[:s][ z]]",
+    "d MMM yyyy H:m:s Z",
+    "yyyyMMdd'T'HHmmss[X]",
+    "yyyyMMddHHmmss",
     "yyyyMMdd",
 )
 
+# Fixed value: the start of ISO-8601 text, read by Spark's own cast (zones and
+# fractions allowed).  A bare time is no timestamp: it would need today's date.
+ISO_START = r"^[+-]?[0-9]{4,6}(-|$)"
+
+# Fixed value: a weekday name before the date says nothing.
+WEEKDAY = r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+"
+
+# Fixed value: non-finite numbers that the exports' JSON may hold.
+NON_FINITE = r"(^|[\[:,\s])(NaN|-?Infinity)(?=\s*([,\]}]|$))"
+
 # Fixed value: the predicted label that hides a timeseries or an image.
 HIDDEN_LABEL = "nothing"
 
@@ -44,8 +63,8 @@ def resolve_site(raw: Column | str) -> Column:
 
 
 def to_int_key(raw: Column | str) -> Column:
-    """32-bit integer form of an id text, NULL when it is not an integer."""
-    return _col(raw).try_cast("int")
+    """Integer form of an id text, NULL when it is not an integer of 64 bits."""
+    return _col(raw).try_cast("bigint")
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -56,23 +75,17 @@ def blank_to_null(c: Column | str) -> Column:
 def parse_ts(c: Column | str) -> Column:
     """Free-form timestamp text to a UTC ``timestamp_ntz``.
 
-    Tries the fixed format list in order; NULL when none reads the text, so
-    callers can flag it.  Unzoned text is taken as UTC (session time zone).
+    ISO-8601 first, then the fixed formats in order; NULL when none reads the
+    text, so callers can flag it.  Unzoned text is taken as UTC (session time
+    zone); nothing depends on the clock.
     """
-    col = _col(c).cast("string")
-    tries = [
-        F.try_to_timestamp(col) if fmt is None else F.try_to_timestamp(col, F.lit(fmt))
-        for fmt in TIMESTAMP_FORMATS
-    ]
+    col = F.trim(_col(c).cast("string"))
+    plain = F.regexp_replace(col, WEEKDAY, "")
+    tries = [F.when(col.rlike(ISO_START), F.try_to_timestamp(col))]
+    tries += [F.try_to_timestamp(plain, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
-def ts_unreadable(c: Column | str) -> Column:
-    """True when a present text cannot be read as a timestamp."""
-    col = _col(c)
-    return col.isNull() | parse_ts(col).isNull()
-
-
 def optional_ts(c: Column | str) -> tuple[Column, Column]:
     """(value, error) for a timestamp that may be blank: blank is NULL, junk is an error."""
     text = blank_to_null(c)
@@ -86,8 +99,13 @@ def hidden(label: Column | str) -> Column:
 
 
 def json_valid(text: Column | str) -> Column:
-    """True when the text parses as JSON (X7); NULL text is not valid."""
-    return F.try_parse_json(_col(text)).isNotNull()
+    """True when the text parses as JSON (X7); NULL text is not valid.
+
+    ``NaN`` and infinities count as numbers and a repeated key is allowed
+    (the session setting that ``configure`` makes); trailing commas, single
+    quotes and comments are errors.
+    """
+    return F.try_parse_json(F.regexp_replace(_col(text), NON_FINITE, "$1 0")).isNotNull()
 
 
 def extra_json(*cols: str) -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import bounded_broadcast
+from .stage import cut
+
 # Columns of images_metadata the import reads (P1: everything but the
 # ground-truth pair, which Catalyst then prunes from the scan).
 METADATA_COLUMNS = ("id", "exif", "taken_at", "predicted_at", "predicted_label", "predicted_boxes")
@@ -43,9 +46,19 @@ def dedupe_by_id(df: DataFrame, key: str = "id", prefer: str | None = None) -> D
 
 
 def image_metadata(images_metadata: DataFrame) -> DataFrame:
-    """The metadata columns the import uses, one row per image id."""
+    """The metadata columns the import uses, one row per image id.
+
+    Ids are counted first, without the wide columns; only rows of ids that
+    repeat go through the dedupe.  The others stay rows of the scan, so the
+    image join shuffles them once, and its exchange can be split at a hot id.
+    """
     cols = [c for c in METADATA_COLUMNS if c in images_metadata.columns]
-    return dedupe_by_id(images_metadata.select(*cols), "id", prefer="predicted_at")
+    rows = images_metadata.select(*cols)
+    repeated = cut(rows.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("id"), "repeated-images")
+    repeated = bounded_broadcast(repeated)
+    once = rows.join(repeated, "id", "left_anti").select(*cols)
+    many = dedupe_by_id(rows.join(repeated, "id", "left_semi"), "id", prefer="predicted_at")
+    return once.unionByName(many)
 
 
 def attach_metadata(refs: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -5,26 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) that is broadcast explicitly; beyond it the join is
-# left to the planner (sort-merge, or AQE's runtime broadcast by measured size).
+# Largest frame that is broadcast explicitly; beyond it the join is left to
+# the planner (sort-merge, or AQE's runtime broadcast by measured size).
 BROADCAST_ROW_LIMIT = 200_000
+BROADCAST_BYTE_LIMIT = 32 * 1024 * 1024
 
 
-_CHECKED: dict[tuple, bool] = {}
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows and ``max_bytes`` of values; reads no further."""
+    size = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns])) + 16 * len(df.columns)
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
+    """Broadcast ``df`` only if it provably is small."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
-    The check reads at most ``max_rows + 1`` rows of a dimension-sized input;
-    its answer is kept per session, logical plan and input files, so plans
-    built again over the same input do not repeat it.
+
+def narrowed(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be in the one-column frame ``ids``.
+
+    A small ``ids`` is broadcast, so that a small run does not shuffle a big
+    table; with a large one ``df`` stays as it is, for the caller's own join
+    to filter.
     """
-    files = tuple(sorted(df.inputFiles()))  # re-check when the input files change
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _CHECKED[key] else df
+    if not is_small(ids):
+        return df
+    name = ids.columns[0]
+    return df.join(F.broadcast(ids.withColumnRenamed(name, column)), column, "left_semi").select(*df.columns)
 
 
 def insert_absent(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,12 +49,16 @@ def insert_absent(candidates: DataFrame, existing: DataFrame, keys: list[str]) -
 
 
 def key_violations(df: DataFrame, keys: list[str], table: str) -> DataFrame:
-    """Natural keys that occur more than once (A7): ``(table, key, n)``."""
-    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    """Natural keys that occur more than once (A7): ``(table_name, key, n)``.
+
+    A key of several columns is shown as a JSON array, so its parts stay
+    apart and NULL parts stay visible.
+    """
+    key = F.col(keys[0]).cast("string") if len(keys) == 1 else F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
     return (
         df.where(F.col(keys[0]).isNotNull())
-        .groupBy(key.alias("key"))
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
-        .select(F.lit(table).alias("table_name"), "key", "n")
+        .select(F.lit(table).alias("table_name"), key.alias("key"), "n")
     )

@@ -53,8 +53,3 @@ def lookup(
     return joined.withColumn(
         error_col, F.col(key + "_probe").isNotNull() & F.col(id_col).isNull()
     ).drop(key, key + "_probe")
-
-
-def blur_labels(dictionary: DataFrame) -> DataFrame:
-    """Texts whose boxes are blurred."""
-    return dictionary.where(F.col("blur")).select("text")

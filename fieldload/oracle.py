@@ -151,12 +151,28 @@ prior_revision AS (
 
 def import_ctes(requested: str, single: bool = False) -> str:
     """The import rules as CTEs over ``requested`` (a query giving ``ds_id``)."""
+    # One dataset after another by key: its first timeseries nobody has taken.
     attempted = (
-        "SELECT f.* FROM fresh f JOIN (SELECT ds_id, min(ts_id) AS ts_id FROM fresh GROUP BY ds_id) m "
-        "ON m.ds_id = f.ds_id AND m.ts_id = f.ts_id"
+        """SELECT ds_id, ds_key, ts_id FROM walk WHERE ts_id IS NOT NULL"""
         if single
         else "SELECT * FROM fresh"
     )
+    walk = (
+        """
+tried AS (SELECT f.*, coalesce(e.error, false) AS error FROM fresh f LEFT JOIN ts_err e ON e.ts_id = f.ts_id),
+line AS (SELECT *, row_number() OVER (ORDER BY ds_key, ds_id) AS k FROM (SELECT DISTINCT ds_id, ds_key FROM fresh)),
+walk AS (
+  SELECT 0::BIGINT AS k, NULL::VARCHAR AS ds_id, NULL::INTEGER AS ds_key, NULL::VARCHAR AS ts_id, CAST([] AS VARCHAR[]) AS taken
+  UNION ALL
+  SELECT k, ds_id, ds_key, ts_id, CASE WHEN ts_id IS NOT NULL AND NOT error THEN list_append(taken, ts_id) ELSE taken END FROM (
+    SELECT l.k, l.ds_id, l.ds_key, w.taken,
+           min(t.ts_id) FILTER (WHERE NOT list_contains(w.taken, t.ts_id)) AS ts_id,
+           arg_min(t.error, t.ts_id) FILTER (WHERE NOT list_contains(w.taken, t.ts_id)) AS error
+    FROM walk w JOIN line l ON l.k = w.k + 1 JOIN tried t ON t.ds_id = l.ds_id
+    GROUP BY l.k, l.ds_id, l.ds_key, w.taken)),"""
+        if single
+        else ""
+    )
     aborted = "x.cutoff IS NOT NULL AND fr.ds_id IS NULL" if single else "x.cutoff IS NOT NULL"
     return f"""
 req AS ({requested}),
@@ -200,7 +216,6 @@ reach AS (
   SELECT c.* FROM cand c LEFT JOIN cutoff x ON x.ds_id = c.ds_id
   WHERE x.cutoff IS NULL OR c.ts_id < x.cutoff),
 fresh AS (SELECT ds_id, ds_key, ts_id FROM reach WHERE NOT in_prior),
-attempted AS ({attempted}),
 img AS (
   SELECT r.ts_id, r.image_index, r.image_id, r.selected_image, m.predicted_boxes,
          m.exif AS metadata, m.taken_at AS captured_at,
@@ -212,7 +227,7 @@ img AS (
                AND TRY_CAST(NULLIF(m.predicted_at, '') AS TIMESTAMPTZ) IS NULL)
            OR m.predicted_boxes IS NULL AS image_error
   FROM ts_refs r JOIN images_metadata m ON m.id = r.image_id
-  WHERE r.ts_id IN (SELECT ts_id FROM attempted)),
+  WHERE r.ts_id IN (SELECT ts_id FROM fresh)),
 box0 AS (
   SELECT ts_id, image_index, image_id, classified_at, unnest(predicted_boxes) AS bx,
          CAST(generate_subscripts(predicted_boxes, 1) AS INTEGER) AS box_index
@@ -232,6 +247,8 @@ ts_err AS (
   SELECT ts_id, bool_or(err) AS error, CAST(sum(isimg) AS BIGINT) AS n_images FROM (
     SELECT ts_id, image_error AS err, 1 AS isimg FROM img
     UNION ALL SELECT ts_id, box_error AS err, 0 AS isimg FROM box_err) GROUP BY ts_id),
+{walk}
+attempted AS ({attempted}),
 judged AS (
   SELECT a.ds_id, a.ds_key, a.ts_id, coalesce(e.error, false) AS error,
          CAST(coalesce(e.n_images, 0) AS BIGINT) AS n_images
@@ -243,7 +260,7 @@ n_img AS (
   SELECT c.ds_id, CAST(sum(j.n_images) AS BIGINT) AS images
   FROM committed c JOIN (SELECT DISTINCT ds_id, ts_id, n_images FROM judged) j
     ON j.ds_id = c.ds_id AND j.ts_id = c.ts_id GROUP BY c.ds_id),
-n_fresh AS (SELECT ds_id, count(*) AS n FROM fresh GROUP BY ds_id),
+n_fresh AS (SELECT ds_id, count(*) AS n FROM attempted GROUP BY ds_id),
 outcome AS (
   SELECT g.ds_id,
          coalesce(g.gate, CASE WHEN coalesce(nc.timeseries, 0) = 0 THEN 'no_new_timeseries'
@@ -274,7 +291,7 @@ SITE_EXPR = (
 
 def _with(body: str, *extra: str) -> str:
     ctes = ",\n".join(c.strip().rstrip(",") for c in (FIXTURE_CTES, *extra))
-    return f"WITH {ctes}\n{body}"
+    return f"WITH RECURSIVE {ctes}\n{body}"
 
 
 def _imp(body: str, requested: str = ALL_IDS, single: bool = False) -> str:
@@ -434,4 +451,42 @@ WHERE b.blur AND b.ts_id IN (SELECT ts_id FROM committed)"""),
 SELECT i.image_id AS ext_id, i.ts_id AS timeseries_ext_id, i.image_index AS sequence_index, i.file,
        i.file IN (SELECT file FROM prior_image) AS target_exists
 FROM img i JOIN committed c ON c.ts_id = i.ts_id"""),
+        "redact_images": _imp("""
+SELECT s.image_id, s.height, s.width, CAST(count(DISTINCT b.box_index) AS INTEGER) AS n_regions, true AS outside_same
+FROM (SELECT DISTINCT i.image_id FROM img i JOIN committed c ON c.ts_id = i.ts_id) m
+JOIN (SELECT CAST(e AS VARCHAR) AS image_id, CAST(32 + 8 * (e % 4) AS INTEGER) AS width,
+             CAST(24 + 8 * (e % 3) AS INTEGER) AS height FROM ev) s ON s.image_id = m.image_id
+LEFT JOIN (SELECT * FROM box_err WHERE blur AND ts_id IN (SELECT ts_id FROM committed)) b ON b.image_id = m.image_id
+GROUP BY ALL"""),
+        "ordered_images": _with("""
+SELECT r.ts_id, r.image_index, r.image_id FROM ts_refs r JOIN images_metadata m ON m.id = r.image_id"""),
+        "timestamp_forms": _with("""
+SELECT e AS event_id, e % 16 AS form, CAST(CASE e % 16
+  WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('day', ts) WHEN 2 THEN date_trunc('day', ts)
+  WHEN 3 THEN CASE WHEN day(ts) <= 12 THEN make_timestamp(year(ts), day(ts), month(ts), 0, 0, 0) ELSE date_trunc('day', ts) END
+  WHEN 4 THEN date_trunc('minute', ts) WHEN 5 THEN date_trunc('day', ts) WHEN 6 THEN date_trunc('day', ts)
+  WHEN 7 THEN date_trunc('second', ts) WHEN 8 THEN date_trunc('second', ts) WHEN 9 THEN date_trunc('second', ts)
+  WHEN 10 THEN date_trunc('minute', ts) WHEN 15 THEN date_trunc('day', ts) END AS TIMESTAMP) AS parsed FROM ev"""),
+        "json_forms": _with("""
+SELECT e AS event_id, e % 8 AS form, CASE WHEN e % 8 = 0 THEN coalesce(json_valid(props), false) ELSE e % 8 < 5 END AS valid FROM ev"""),
+        "key_repeats": _with("""
+SELECT 'dataset' AS table_name, CAST(u AS VARCHAR) AS key, count(*) AS n
+FROM (SELECT u, unnest(CASE u % 3 WHEN 0 THEN [1, 2] WHEN 1 THEN [1, 2] ELSE [1] END) AS x FROM (SELECT DISTINCT u FROM ev))
+GROUP BY u HAVING count(*) > 1
+UNION ALL
+SELECT 'pair', '["' || u || '","' || event_type || '"]', count(*) FROM ev GROUP BY u, event_type HAVING count(*) > 1"""),
+        "overlap_boxes": _with("""
+SELECT image_id, box_index, d.id AS label_id, coalesce(d.blur, false) AS blur,
+  missing OR d.id IS NULL OR (coalesce(d.blur, false) AND (x_min IS NULL OR x_max IS NULL)) AS box_error, x_min, x_max
+FROM (
+  SELECT CAST(e AS VARCHAR) AS image_id, 1 AS box_index, false AS missing,
+    CASE WHEN e % 10 = 0 THEN 'ghost' WHEN e % 21 = 0 THEN NULL ELSE event_type END AS label,
+    CASE WHEN e % 6 <> 0 THEN 0.25::DOUBLE END AS x_min, 0.75::DOUBLE AS x_max FROM ev
+  UNION ALL
+  SELECT CAST(e AS VARCHAR), 2, e % 15 = 0, CASE WHEN e % 15 <> 0 THEN 'error' END,
+    CASE WHEN e % 15 <> 0 THEN 0.5::DOUBLE END, CASE WHEN e % 15 <> 0 AND e % 4 <> 0 THEN 0.25::DOUBLE END FROM ev) b
+LEFT JOIN dict d ON d.text = b.label"""),
+        "image_repeats": _with("""
+SELECT id, arg_max(props, p) AS exif, max(p) AS predicted_at, (arg_max({'l': plab}, p)).l AS predicted_label
+FROM (SELECT CAST(e // 3 AS VARCHAR) AS id, props, plab, lpad(CAST(e * 7919 % 1000003 AS VARCHAR), 12, '0') AS p FROM ev) GROUP BY id"""),
     }

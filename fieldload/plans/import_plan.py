@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_ts, resolve_site, to_int_key
 from ..operators.expand import explode_refs, image_metadata
-from ..operators.joins import insert_absent
+from ..operators.joins import insert_absent, narrowed
 from ..operators.labels import prepared
 from ..operators.stage import collect as stage_tables
-from ..operators.stage import cut
-from ..operators.select import listed, not_loaded, owner, prior_pairs, project_rows
+from ..operators.stage import cut, remove
+from ..operators.select import first_free, listed, not_loaded, owner, prior_pairs, project_rows
 from ..sources.tables import Sources, State
 from . import targets as tg
 
@@ -51,9 +51,9 @@ def _cut(df: DataFrame, name: str) -> DataFrame:
     return cut(df, name)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Plan:
-    """Lazy frames of one import run."""
+    """Frames of one import run, over the stage tables that building it wrote."""
 
     datasets: DataFrame  # one row per requested id: gate, keys, site, dates
     candidates: DataFrame  # (ds_id, ds_key, ts_id) dataset-new rows + flags
@@ -70,10 +70,18 @@ class Plan:
     stages: tuple[str, ...] = ()  # stage tables this plan reads
 
 
-def gate_datasets(src: Sources, ids: DataFrame) -> DataFrame:
-    """One row per requested id with its first failing gate, if any."""
+def gate_datasets(src: Sources, state: State, ids: DataFrame) -> DataFrame:
+    """One row per requested id with its first failing gate, if any.
+
+    A key that prior state holds more than once cannot be looked up: its
+    datasets are aborted.
+    """
     req = ids.select(F.col(ids.columns[0]).cast("string").alias("ds_id")).distinct()
-    rows = project_rows(src.projects.join(req.select(F.col("ds_id").alias("id")), "id", "left_semi"))
+    wanted = narrowed(src.projects, req.select(F.col("ds_id").alias("id")), "id")
+    rows = project_rows(wanted.join(req.select(F.col("ds_id").alias("id")), "id", "left_semi"))
+    prior = state.dataset.select(to_int_key("ext_id").alias("ds_key")).where("ds_key is not null")
+    prior = narrowed(prior, req.select(to_int_key("ds_id").alias("ds_key")).where("ds_key is not null").distinct(), "ds_key")
+    repeated = prior.groupBy("ds_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("ds_key", F.lit(True).alias("_many"))
     ds = req.join(rows.withColumnRenamed("id", "ds_id").withColumn("_found", F.lit(True)), "ds_id", "left")
     ds = ds.select(
         "ds_id",
@@ -84,17 +92,18 @@ def gate_datasets(src: Sources, ids: DataFrame) -> DataFrame:
         resolve_site("camera_id").alias("site_id"),
         parse_ts("created_at").alias("created_ts"),
         parse_ts("updated_at").alias("updated_ts"),
-    )
+    ).join(repeated, "ds_key", "left")
+    ds = ds.select("ds_id", *[c for c in ds.columns if c not in ("ds_id", "_many")], F.coalesce("_many", F.lit(False)).alias("_many"))
     gate = (
         F.when(~F.col("found"), F.lit(NOT_FOUND))
         .when(F.col("status").eqNullSafe(F.lit("failed")), F.lit(FAILED_STATUS))
         .when(F.col("site_id").isNull(), F.lit(BAD_SITE))
         .when(
-            F.col("ds_key").isNull() | F.col("created_ts").isNull() | F.col("updated_ts").isNull(),
+            F.col("ds_key").isNull() | F.col("created_ts").isNull() | F.col("updated_ts").isNull() | F.col("_many"),
             F.lit(ABORTED),
         )
     )
-    return ds.withColumn("gate", gate)
+    return ds.withColumn("gate", gate).drop("_many")
 
 
 def plan_import(
@@ -111,24 +120,30 @@ def plan_import(
     without it no target file exists yet and every source is readable.
     """
     with stage_tables() as created:
-        return _plan_import(src, state, ids, run_ts, single, file_state, created)
+        try:
+            return _plan_import(src, state, ids, run_ts, single, file_state, created)
+        except Exception:
+            remove(src.projects.sparkSession, created)
+            raise
 
 
 def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
     dictionary = prepared(src.labels)
     # Per requested project: read by the candidate set, outcomes and new rows.
-    datasets = _cut(gate_datasets(src, ids), "datasets")
+    datasets = _cut(gate_datasets(src, state, ids), "datasets")
     open_ds = datasets.where(F.col("gate").isNull()).select("ds_id", "ds_key")
 
     # 2. dataset-new set: listed ∩ existing rows, minus loaded pairs.
-    pairs = listed(src.projects.join(open_ds.select(F.col("ds_id").alias("id")), "id", "left_semi"))
-    pairs = pairs.withColumn("ds_key", to_int_key("ds_id"))
-    # Prior keys are narrowed to the listed ids first: a small run then
-    # semi-joins (broadcast at runtime) instead of shuffling all prior keys.
+    open_ids = open_ds.select(F.col("ds_id").alias("id"))
+    pairs = listed(narrowed(src.projects, open_ids, "id").join(open_ids, "id", "left_semi"))
+    pairs = _cut(pairs.withColumn("ds_key", to_int_key("ds_id")), "listed")
+    # Prior keys and timeseries are narrowed to the listed ids where these are
+    # few, so that a small run broadcasts them and shuffles no whole table.
     listed_ids = pairs.select(F.col("ts_id").alias("ext_id")).distinct()
-    prior_ts = state.timeseries.join(listed_ids, "ext_id", "left_semi")
+    prior_ts = narrowed(state.timeseries, listed_ids, "ext_id")
     pairs = not_loaded(pairs, prior_pairs(prior_ts, state.dataset))
-    attrs = tg.timeseries_attrs(src.timeseries, dictionary)
+    series = narrowed(src.timeseries, listed_ids.withColumnRenamed("ext_id", "id"), "id")
+    attrs = tg.timeseries_attrs(series, dictionary)
     known = prior_ts.select(F.col("ext_id").alias("ts_id")).distinct()
     flags = attrs.select(
         "ts_id",
@@ -150,30 +165,21 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
     candidates = _cut(pairs.join(flags, "ts_id"), "candidates")
 
     # 3. first bad row per dataset; rows before it are reached.
-    cutoff = candidates.where("bad").groupBy("ds_id").agg(F.min("ts_id").alias("cutoff"))
+    # Cut: joins with it then have plain exchanges, which can be split.
+    cutoff = _cut(candidates.where("bad").groupBy("ds_id").agg(F.min("ts_id").alias("cutoff")), "cutoff")
     reach = candidates.join(cutoff, "ds_id", "left").where(
         F.col("cutoff").isNull() | (F.col("ts_id") < F.col("cutoff"))
     )
     fresh = reach.where(~F.col("in_prior")).select("ds_id", "ds_key", "ts_id")
-    if single:
-        # C4/C17: only the first timeseries that would be created.
-        first = fresh.groupBy("ds_id").agg(F.min("ts_id").alias("ts_id"))
-        attempted = fresh.join(first, ["ds_id", "ts_id"], "left_semi")
-    else:
-        attempted = fresh
 
-    # 4. images and boxes of attempted timeseries; isolated errors.
-    att_ids = attempted.select("ts_id").distinct()
+    # 4. images and boxes of the timeseries; isolated errors.
+    att_ids = fresh.select(F.col("ts_id").alias("id")).distinct()
     # Read twice below (needed ids, image join): materialised once.
-    refs = _cut(
-        explode_refs(src.timeseries.join(att_ids.withColumnRenamed("ts_id", "id"), "id", "left_semi")),
-        "refs",
-    )
-    # Only metadata rows some attempted ref points to are deduplicated and
-    # joined: an incremental run does not sort the whole metadata table.
-    # ``distinct`` combines a hot image id map-side before the semi join.
+    refs = _cut(explode_refs(series.join(att_ids, "id", "left_semi")), "refs")
+    # Few needed ids are broadcast to the metadata scan; many are left to the
+    # image join itself, the metadata being shuffled once for it.
     needed = refs.select(F.col("image_id").alias("id")).where(F.col("id").isNotNull()).distinct()
-    meta = image_metadata(src.images_metadata.join(needed, "id", "left_semi"))
+    meta = image_metadata(narrowed(src.images_metadata, needed, "id"))
     images = tg.image_rows(refs, meta)
     if file_state is not None:
         fs = file_state.select("image_id", "target_exists", "source_readable")
@@ -201,6 +207,14 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
     ts_errors = flag_rows.groupBy("ts_id").agg(
         F.bool_or("err").alias("error"), F.sum("img").cast("bigint").alias("n_images")
     )
+    # Cut for plain exchanges in its joins.
+    ts_errors = _cut(ts_errors, "timeseries-errors")
+    if single:
+        # C4/C17: only the first timeseries that each dataset would create.
+        tried = fresh.join(ts_errors, "ts_id", "left").withColumn("error", F.coalesce("error", F.lit(False)))
+        attempted = first_free(tried)
+    else:
+        attempted = fresh
 
     # 5. owners of error-free attempted timeseries.
     judged = attempted.join(ts_errors, "ts_id", "left").select(
@@ -211,7 +225,7 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
         F.coalesce("n_images", F.lit(0)).cast("bigint").alias("n_images"),
     )
     judged = _cut(judged, "judged")
-    committed = owner(judged.where(~F.col("error")).select("ds_id", "ds_key", "ts_id"))
+    committed = _cut(owner(judged.where(~F.col("error")).select("ds_id", "ds_key", "ts_id")), "committed")
 
     # Counters and outcome per dataset.
     n_cand = candidates.groupBy("ds_id").agg(F.count(F.lit(1)).alias("timeseries"))
@@ -221,7 +235,6 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
         .groupBy("ds_id")
         .agg(F.sum("n_images").cast("bigint").alias("images"))
     )
-    abort_single = fresh.groupBy("ds_id").agg(F.count(F.lit(1)).alias("_fresh"))
     out = (
         datasets.select("ds_id", "ds_key", "gate")
         .join(n_cand, "ds_id", "left")
@@ -230,8 +243,10 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
         .join(n_img, "ds_id", "left")
     )
     if single:
-        out = out.join(abort_single, "ds_id", "left")
-        aborted = F.col("cutoff").isNotNull() & F.col("_fresh").isNull()
+        # A dataset that took one did not go on to its bad timeseries.
+        took = attempted.select("ds_id", F.lit(True).alias("_took")).distinct()
+        out = out.join(took, "ds_id", "left")
+        aborted = F.col("cutoff").isNotNull() & F.col("_took").isNull()
     else:
         aborted = F.col("cutoff").isNotNull()
     n_ts = F.coalesce("timeseries", F.lit(0)).cast("bigint")
@@ -286,8 +301,11 @@ def new_sites(plan: Plan) -> DataFrame:
 
 
 def new_datasets(plan: Plan) -> DataFrame:
+    """One row for each new integer key: of ids with one key, the smallest text."""
     existing = plan.state.dataset.select(to_int_key("ext_id").alias("ds_key"))
-    fresh = insert_absent(persisted_datasets(plan), existing, ["ds_key"])
+    rows = persisted_datasets(plan)
+    first = rows.groupBy("ds_key").agg(F.min("ds_id").alias("ds_id"))
+    fresh = insert_absent(rows.join(first, ["ds_key", "ds_id"], "left_semi"), existing, ["ds_key"])
     return tg.dataset_rows(fresh)
 
 
@@ -313,9 +331,22 @@ def new_revisions(plan: Plan) -> DataFrame:
     return tg.revision_target(committed_attrs(plan))
 
 
+IMAGE_COLUMNS = (
+    "uuid", "ext_id", "dataset_ext_id", "timeseries_ext_id", "sequence_index", "hidden", "captured_at", "metadata", "file",
+    "classified_at",
+)
+
+
 def new_images(plan: Plan) -> DataFrame:
+    return committed_images(plan).select(*IMAGE_COLUMNS)
+
+
+def committed_images(plan: Plan) -> DataFrame:
+    """``new_images`` with ``is_selected``: the image's id is the selected one of its timeseries."""
     imgs = plan.images.join(plan.committed, "ts_id")
     return imgs.select(
+        F.coalesce(F.col("image_id") == F.col("selected_image"), F.lit(False)).alias("is_selected"),
+        "target_exists",
         F.col("image_id").alias("uuid"),
         F.col("image_id").alias("ext_id"),
         F.col("ds_id").alias("dataset_ext_id"),

@@ -13,23 +13,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import to_int_key
+from ..operators.joins import narrowed
 from ..sources.tables import State
 
 
 def doomed_datasets(state: State, ids: DataFrame) -> DataFrame:
     """Surrogate ids of the datasets named by ``ids`` (first column, ext id text).
 
-    Compared on the integer form on both sides (C11).
+    Compared on the integer form on both sides (C11), or as text where an id
+    is no integer.
     """
-    keys = ids.select(to_int_key(F.col(ids.columns[0]).cast("string")).alias("ds_key")).where(
-        F.col("ds_key").isNotNull()
-    )
-    return (
-        state.dataset.select(F.col("id").alias("dataset_id"), to_int_key("ext_id").alias("ds_key"))
-        .join(keys, "ds_key", "left_semi")
-        .select("dataset_id")
-        .distinct()
-    )
+    def keyed(text):
+        number = to_int_key(text)
+        return F.when(number.isNotNull(), F.concat(F.lit("#"), number.cast("string"))).otherwise(F.concat(F.lit("="), text))
+
+    keys = ids.select(keyed(F.col(ids.columns[0]).cast("string")).alias("ds_key")).where("ds_key is not null").distinct()
+    rows = state.dataset.select(F.col("id").alias("dataset_id"), keyed(F.col("ext_id")).alias("ds_key"))
+    return narrowed(rows, keys, "ds_key").join(keys, "ds_key", "left_semi").select("dataset_id").distinct()
 
 
 def purge(state: State, ids: DataFrame) -> State:

@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pixel_bound
+from ..operators.joins import is_small
+from . import import_plan as ip
+from .targets import FILE_PREFIX
 
 # The Python steps below run on executors; pickle this module's functions by
 # value so workers need no copy of the package.
@@ -28,43 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Fixed value: box blur radius in pixels.
 BLUR_RADIUS = 50
 
-LANDED_SCHEMA = "image_id string, origin string, height int, width int, nChannels int, mode int, data binary"
-
-
-def landed_sizes(events: DataFrame) -> DataFrame:
-    """Sizes of the fixture's source images (FIXTURES.md), as built-in columns:
-    width 32 + 8 (e mod 4), height 24 + 8 (e mod 3)."""
-    e = F.col("event_id")
-    return events.select(
-        e.cast("string").alias("image_id"),
-        (F.lit(32) + F.lit(8) * (e % 4)).cast("int").alias("width"),
-        (F.lit(24) + F.lit(8) * (e % 3)).cast("int").alias("height"),
-    )
-
-
-def landed_images(events: DataFrame) -> DataFrame:
-    """Source images for the fixtures, made on the executors (image-source
-    layout, three channels, value (3x + 5y + 11c + e) mod 256)."""
-
-    def make(batches):
-        for pdf in batches:
-            rows = []
-            for e, w, h in zip(pdf["event_id"].to_numpy(), pdf["width"].to_numpy(), pdf["height"].to_numpy()):
-                y, x, c = np.ogrid[0:h, 0:w, 0:3]
-                px = ((3 * x + 5 * y + 11 * c + int(e)) % 256).astype(np.uint8)
-                rows.append((str(e), f"source/{e}", int(h), int(w), 3, 16, px.tobytes()))
-            yield pd.DataFrame(rows, columns=["image_id", "origin", "height", "width", "nChannels", "mode", "data"])
-
-    sized = events.select("event_id").join(landed_sizes(events), F.col("event_id").cast("string") == F.col("image_id"))
-    sized = sized.select("event_id", "width", "height").repartition(_cpu_partitions(events), "event_id")
-    return sized.mapInPandas(make, LANDED_SCHEMA)
-
-
-def _cpu_partitions(df: DataFrame) -> int:
-    """Partitions for a CPU-bound Python step: by cores, not by bytes (AQE
-    would coalesce a small shuffle into one or two tasks)."""
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+STORED_SCHEMA = "path string, height int, width int, nChannels int, data binary"
 
 
 def read_landed(spark, path: str) -> DataFrame:
@@ -81,10 +48,6 @@ def read_landed(spark, path: str) -> DataFrame:
     )
 
 
-def image_sizes(landed: DataFrame) -> DataFrame:
-    return landed.select("image_id", "width", "height")
-
-
 def blur_regions(blur_boxes: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pixel rectangles of blurred boxes, one per (image, box position).
 
@@ -103,11 +66,6 @@ def blur_regions(blur_boxes: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
-def listing_from_rows(paths: DataFrame) -> DataFrame:
-    """A file listing ``(path, length)`` from a column of relative paths."""
-    return paths.select(F.col(paths.columns[0]).alias("path"), F.lit(None).cast("bigint").alias("length")).distinct()
-
-
 def list_files(spark, root: str) -> DataFrame:
     """Existing target files under ``root`` (content column pruned by Spark)."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
@@ -164,17 +122,26 @@ def rects_per_image(regions: DataFrame) -> DataFrame:
     )
 
 
-def redact(landed: DataFrame, regions: DataFrame) -> DataFrame:
-    """Redacted pixel rows for every image with at least one region (K8)."""
-    return redact_rects(landed, rects_per_image(regions))
+def redact(landed: DataFrame, regions: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """Pixel rows to store (K8): of ``images`` (their ``image_id``), or of the images with a region."""
+    return redact_rects(landed, rects_per_image(regions), images)
 
 
-def redact_rects(landed: DataFrame, rects: DataFrame) -> DataFrame:
-    """Blur ``rects`` (from ``rects_per_image``) into the landed images."""
+def redact_rects(landed: DataFrame, rects: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """Landed images with ``rects`` (from ``rects_per_image``) blurred.
+
+    Rectangles travel to the task that reads and decodes the file: with few
+    of them they are broadcast and no pixel is shuffled.  Images without a
+    rectangle come out as they are.  Out-of-range rectangles are clamped to
+    the image and empty ones do nothing.
+    """
+    ids = rects.select("image_id") if images is None else images.select("image_id").distinct()
+    wanted = ids.join(rects, "image_id", "left")
     # Decoded images are large; Arrow batches into the Python step are cut by
     # ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default), so a
     # batch holds a few large images or many small ones.
-    rows = landed.join(rects, "image_id").repartition(_cpu_partitions(landed), "image_id")
+    flat = wanted.select("image_id", F.to_json("rects").alias("_size"))
+    rows = landed.join(F.broadcast(wanted) if is_small(flat) else wanted, "image_id")
 
     def run(batches):
         for pdf in batches:
@@ -183,24 +150,64 @@ def redact_rects(landed: DataFrame, rects: DataFrame) -> DataFrame:
                 h, w, c = int(rec.height), int(rec.width), int(rec.nChannels)
                 px = np.frombuffer(rec.data, dtype=np.uint8).reshape(h, w, c).copy()
                 before = px.copy()
-                boxes = [(r["x0"], r["y0"], r["x1"], r["y1"]) for r in rec.rects]
+                boxes = [(r["x0"], r["y0"], r["x1"], r["y1"]) for r in (() if rec.rects is None else rec.rects)]
                 px = apply_regions(px, boxes)
-                changed = int(np.count_nonzero(np.any(px != before, axis=2)))
-                out.append((rec.image_id, h, w, c, px.tobytes(), len(boxes), changed))
+                moved = np.any(px != before, axis=2)
+                changed = int(np.count_nonzero(moved))
+                for x0, y0, x1, y1 in boxes:
+                    moved[max(int(y0), 0) : max(int(y1), 0), max(int(x0), 0) : max(int(x1), 0)] = False
+                out.append((rec.image_id, h, w, c, px.tobytes(), len(boxes), changed, not moved.any()))
             yield pd.DataFrame(
-                out, columns=["image_id", "height", "width", "nChannels", "data", "n_regions", "changed_pixels"]
+                out,
+                columns=["image_id", "height", "width", "nChannels", "data", "n_regions", "changed_pixels", "outside_same"],
             )
 
-    schema = "image_id string, height int, width int, nChannels int, data binary, n_regions int, changed_pixels int"
+    schema = (
+        "image_id string, height int, width int, nChannels int, data binary, n_regions int, changed_pixels int, "
+        "outside_same boolean"
+    )
     return rows.select("image_id", "height", "width", "nChannels", "data", "rects").mapInPandas(run, schema)
 
 
+def store_images(plan, landed: DataFrame, root: str, run: str) -> DataFrame:
+    """K8, C-1, C-2: store every committed image that has no target yet, regions blurred.
+
+    Spark has no image writer, so images are rows ``path, height, width,
+    nChannels, data`` under ``root``.  Each run has a folder of its own that a
+    retry writes anew, and leaves out what earlier runs stored: nothing is
+    stored twice.  ``stored_files`` lists the targets.  Returns the rows of
+    this run.
+    """
+    spark = landed.sparkSession
+    earlier = stored_files(spark, root, but=run)
+    new = ip.committed_images(plan).where(~F.col("target_exists")).select(F.col("ext_id").alias("image_id"), F.col("file").alias("path"))
+    new = new.distinct().join(earlier.select("path"), "path", "left_anti").select("image_id")
+    boxes = plan.boxes.join(plan.committed.select("ts_id"), "ts_id", "left_semi").where("blur and blur_applies")
+    regions = blur_regions(boxes, landed.select("image_id", "width", "height"))
+    stored = redact(landed, regions, new).select(
+        F.concat(F.lit(FILE_PREFIX), F.col("image_id")).alias("path"), "height", "width", "nChannels", "data"
+    )
+    path = f"{root.rstrip('/')}/run={run}"
+    stored.write.mode("overwrite").parquet(path)
+    return spark.read.schema(STORED_SCHEMA).parquet(path)
+
+
+def stored_files(spark, root: str, but: str | None = None) -> DataFrame:
+    """Target files that ``store_images`` wrote (S10): ``path, length``; the pixels are not read."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    runs = [s.getPath() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+    runs = [p.toString() for p in runs if p.getName().startswith("run=") and p.getName() != f"run={but}"]
+    if not runs:
+        return spark.createDataFrame([], "path string, length long")
+    rows = spark.read.schema(STORED_SCHEMA).parquet(*runs)
+    return rows.select("path", (F.col("height") * F.col("width") * F.col("nChannels")).cast("long").alias("length")).distinct()
+
+
 def file_inputs(images: DataFrame, listing: DataFrame, landed: DataFrame) -> DataFrame:
     """``(image_id, target_exists, source_readable)`` for ``plan_import``:
     target file already written (``listing`` of the target root, relative
     paths) and source image landed and decodable (``landed``)."""
-    from .targets import FILE_PREFIX
-
     ids = images.select("image_id").distinct()
     target = listing.select(
         F.regexp_replace("path", "^" + FILE_PREFIX, "").alias("image_id"), F.lit(True).alias("target_exists")
@@ -209,16 +216,3 @@ def file_inputs(images: DataFrame, listing: DataFrame, landed: DataFrame) -> Dat
     return ids.join(target, "image_id", "left").join(source, "image_id", "left").fillna(
         False, ["target_exists", "source_readable"]
     )
-
-
-def save_redacted(redacted: DataFrame, root: str) -> None:
-    """K8: store redacted pixels as rows keyed by their target path."""
-    from .targets import FILE_PREFIX
-
-    redacted.select(
-        F.concat(F.lit(FILE_PREFIX), F.col("image_id")).alias("path"),
-        "height",
-        "width",
-        "nChannels",
-        "data",
-    ).write.mode("append").parquet(root)

@@ -18,15 +18,13 @@ from ..functions.scalars import (
     optional_ts,
     parse_ts,
 )
-from ..operators.expand import attach_metadata, explode_boxes, explode_refs, image_metadata
-from ..operators.labels import lookup, prepared
+from ..operators.expand import attach_metadata, explode_boxes
+from ..operators.labels import lookup
 
 # Fixed values.
 FILE_PREFIX = "processed/tsimages/imported/"
 NO_USER = -1
 SITE_SRID = 4326
-PRIOR_IMAGE_STRIDE = 10_000
-PRIOR_BOX_STRIDE = 100
 EXTRA_FIELDS = ("distance", "num_animals", "should_export_images", "camera_inactive", "taken_offset")
 
 
@@ -177,80 +175,3 @@ def selected_images(images: DataFrame) -> DataFrame:
         .groupBy("ts_id")
         .agg(F.max("image_index").alias("selected_index"))
     )
-
-
-def prior_rows(src, ds: DataFrame, ts_keys: DataFrame, run_ts: str):
-    """Prior state for the fixtures: import rules on every prior timeseries.
-
-    Ids follow FIXTURES.md: timeseries ids are given (rank by ext id); an
-    image id is ``timeseries id * 10000 + position``, a box id ``image id *
-    100 + box position``, a revision id the timeseries id.
-    """
-    from ..sources.tables import State
-
-    dictionary = prepared(src.labels)
-    site = site_rows(ds.select(F.col("location_id").alias("site_id")).distinct(), run_ts)
-    attrs = timeseries_attrs(src.timeseries, dictionary).join(
-        ts_keys.select(F.col("ext_id").alias("ts_id"), F.col("id").alias("ts_pk"), "dataset_id"), "ts_id"
-    )
-    refs = explode_refs(src.timeseries.join(ts_keys.select(F.col("ext_id").alias("id")), "id", "left_semi"))
-    imgs = image_rows(refs, image_metadata(src.images_metadata))
-    imgs = imgs.join(attrs.select("ts_id", "ts_pk", "dataset_id"), "ts_id").withColumn(
-        "image_pk", F.col("ts_pk") * PRIOR_IMAGE_STRIDE + F.col("image_index")
-    )
-    image = imgs.select(
-        F.col("image_pk").alias("id"),
-        F.col("image_id").alias("uuid"),
-        "dataset_id",
-        "hidden",
-        F.col("image_index").alias("sequence_index"),
-        "captured_at",
-        "metadata",
-        F.col("ts_pk").alias("timeseries_id"),
-        "file",
-        "classified_at",
-        F.col("image_id").alias("ext_id"),
-    )
-    boxes = box_rows(imgs, dictionary, ["image_pk", "classified_at"])
-    boxes = boxes.withColumn("box_pk", F.col("image_pk") * PRIOR_BOX_STRIDE + F.col("box_index"))
-    bbox = boxes.select(
-        F.col("box_pk").alias("id"),
-        F.col("classified_at").alias("created_at"),
-        F.col("image_pk").alias("image_id"),
-        "label_id",
-        F.lit(NO_USER).cast("bigint").alias("user_id"),
-        "x_min",
-        "x_max",
-        "y_min",
-        "y_max",
-        "score",
-        _null("string").alias("ext_id"),
-    )
-    sel = selected_images(imgs).join(
-        imgs.select("ts_id", F.col("image_index").alias("selected_index"), F.col("image_pk")),
-        ["ts_id", "selected_index"],
-    ).groupBy("ts_id").agg(F.max("image_pk").alias("selected_image_id"))
-    ts = attrs.join(sel, "ts_id", "left").select(
-        F.col("ts_pk").alias("id"),
-        F.col("created_ts").alias("created_at"),
-        F.col("updated_ts").alias("last_modified_at"),
-        "extra",
-        "dataset_id",
-        "hidden",
-        F.lit("").alias("comment"),
-        "predicted_species_id",
-        "selected_image_id",
-        "validated_species_id",
-        F.col("ts_id").alias("ext_id"),
-    )
-    rev = revision_target(attrs).join(attrs.select("ts_id", "ts_pk"), "ts_id")
-    revision = rev.select(
-        F.col("ts_pk").alias("id"),
-        "created_at",
-        "last_modified_at",
-        "user_id",
-        "comment",
-        "label_id",
-        F.col("ts_pk").alias("timeseries_id"),
-    )
-    return State(site=site, dataset=ds, timeseries=ts, image=image, bbox=bbox, revision=revision)

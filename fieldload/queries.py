@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.scalars import hidden, json_valid, parse_ts, resolve_site
+from .functions.scalars import hidden, json_valid, parse_ts, resolve_site, to_int_key
 from .operators import expand, joins, labels, select
 from .operators.numbering import dense_ids
 from .plans import import_plan as ip
@@ -225,7 +225,7 @@ def key_violations(spark, sf_dir):
     site = st.site.select("id").unionByName(ip.new_sites(p).select("id"))
     return (
         joins.key_violations(ts, ["ext_id"], "timeseries")
-        .unionByName(joins.key_violations(ds.select(F.col("ext_id").try_cast("int").alias("k")), ["k"], "dataset"))
+        .unionByName(joins.key_violations(ds.select(to_int_key("ext_id").alias("k")), ["k"], "dataset"))
         .unionByName(joins.key_violations(site, ["id"], "site"))
     )
 
@@ -273,7 +273,7 @@ def purge_bbox(spark, sf_dir):
 def _regions(spark, sf_dir):
     p = _plan(spark, sf_dir)
     blur = p.boxes.join(p.committed.select("ts_id"), "ts_id", "left_semi").where("blur")
-    return rd.blur_regions(blur, rd.landed_sizes(fx.events(spark, sf_dir)))
+    return rd.blur_regions(blur, fx.landed_sizes(fx.events(spark, sf_dir)))
 
 
 def blur_regions(spark, sf_dir):
@@ -282,19 +282,57 @@ def blur_regions(spark, sf_dir):
 
 def file_state(spark, sf_dir):
     p = _plan(spark, sf_dir)
-    listing = rd.listing_from_rows(p.state.image.select("file"))
+    listing = fx.listing_from_rows(p.state.image.select("file"))
     return rd.file_state(ip.new_images(p), listing)
 
 
 def redact_images(spark, sf_dir):
-    rects = rd.rects_per_image(_regions(spark, sf_dir))
-    # Only images with a region are decoded (here: generated) at all; both
-    # branches read the same per-image frame, so its exchange is shared.
-    needed = fx.events(spark, sf_dir).join(
-        rects.select(F.col("image_id").cast("bigint").alias("event_id")), "event_id", "left_semi"
+    """Every committed image, with its regions blurred where it has any."""
+    images = ip.new_images(_plan(spark, sf_dir)).select(F.col("ext_id").alias("image_id")).distinct()
+    needed = fx.events(spark, sf_dir).join(images.select(F.col("image_id").cast("bigint").alias("event_id")), "event_id", "left_semi")
+    out = rd.redact(fx.landed_images(needed), _regions(spark, sf_dir), images)
+    return out.select("image_id", "height", "width", "n_regions", "outside_same")
+
+
+# ------------------------------------------------------------ rules on odd values
+
+
+def ordered_images(spark, sf_dir):
+    return expand.ordered_images(_all_images(spark, sf_dir)).select("ts_id", "image_index", "image_id")
+
+
+def timestamp_forms(spark, sf_dir):
+    """Timestamps written in many forms, by event."""
+    t = fx.timestamp_texts(fx.events(spark, sf_dir))
+    return t.select("event_id", "form", parse_ts("text").alias("parsed"))
+
+
+def json_forms(spark, sf_dir):
+    """JSON texts valid and not, by event."""
+    t = fx.json_texts(fx.events(spark, sf_dir))
+    return t.select("event_id", "form", json_valid("text").alias("valid"))
+
+
+def key_repeats(spark, sf_dir):
+    """Keys that occur more than once: dataset ids written in several ways, and pairs."""
+    ev = fx.events(spark, sf_dir)
+    texts = fx.key_texts(ev).select(to_int_key("ext_id").alias("k"))
+    return joins.key_violations(texts, ["k"], "dataset").unionByName(
+        joins.key_violations(ev, ["user_id", "event_type"], "pair")
     )
-    landed = rd.landed_images(needed)
-    return rd.redact_rects(landed, rects).select("image_id", "height", "width", "n_regions", "changed_pixels")
+
+
+def overlap_boxes(spark, sf_dir):
+    """Two overlapping boxes an image, some without coordinates, label or value."""
+    src = _fixture(spark, sf_dir).sources
+    rows = tg.box_rows(fx.overlapping(fx.events(spark, sf_dir)), labels.prepared(src.labels), ["image_id"])
+    return rows.select("image_id", "box_index", "label_id", "blur", "box_error", "x_min", "x_max")
+
+
+def image_repeats(spark, sf_dir):
+    """Image ids that occur several times (A3)."""
+    rows = expand.image_metadata(fx.repeated_images(fx.events(spark, sf_dir)))
+    return rows.select("id", "exif", "predicted_at", "predicted_label")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -338,4 +376,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "blur_regions": blur_regions,
     "file_state": file_state,
     "redact_images": redact_images,
+    "ordered_images": ordered_images,
+    "timestamp_forms": timestamp_forms,
+    "json_forms": json_forms,
+    "key_repeats": key_repeats,
+    "overlap_boxes": overlap_boxes,
+    "image_repeats": image_repeats,
 }

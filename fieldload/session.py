@@ -12,6 +12,7 @@ The engine needs two session settings:
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,6 +63,8 @@ def configure(spark: SparkSession) -> SparkSession:
     # small, and the engine's explicit broadcasts check their bound first.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(ADAPTIVE_BROADCAST_BYTES))
+    # The exports' JSON may repeat a key.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     checkpoint_dir(spark)
     return spark
 
@@ -74,7 +77,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        # Only a plain local master shares its disk with its executors.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at shared storage"
             )

@@ -10,15 +10,25 @@ source format; the engine itself never gathers a group.
 from __future__ import annotations
 
 import hashlib
+import sys
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.scalars import parse_ts, resolve_site
+from ..operators.expand import explode_refs, image_metadata
+from ..operators.labels import prepared
 from ..operators.numbering import dense_ids
-from .tables import Sources, State, table
+from ..plans import targets as tg
+from .tables import Sources, State, read_sources, table
+
+# Tasks pickle this module's pixel maker by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The labels of the fixtures (id, text, blur).
 LABEL_ROWS = (
@@ -30,6 +40,12 @@ LABEL_ROWS = (
     (6, "view", False),
 )
 
+# Ids of prior images and boxes (FIXTURES.md).
+PRIOR_IMAGE_STRIDE = 10_000
+PRIOR_BOX_STRIDE = 100
+
+LANDED_SCHEMA = "image_id string, origin string, height int, width int, nChannels int, mode int, data binary"
+
 # Fixed value: run timestamp used by registered queries (no wall clock).
 RUN_TS = "2025-01-01 00:00:00"
 
@@ -52,7 +68,7 @@ def events(spark: SparkSession, base: str) -> DataFrame:
     return ev.withColumn("plab", plab)
 
 
-def images_metadata(ev: DataFrame) -> DataFrame:
+def image_table(ev: DataFrame) -> DataFrame:
     e = F.col("event_id")
     box = F.struct(
         F.lit(0.1).alias("xmin"),
@@ -215,7 +231,7 @@ def _fs(spark: SparkSession, path: str):
 def _signature(spark: SparkSession, base: str) -> str:
     fs, p = _fs(spark, f"{base.rstrip('/')}/events.parquet")
     st = fs.getFileStatus(p)
-    raw = f"{base}|{st.getLen()}|{st.getModificationTime()}|v2"
+    raw = f"{base}|{st.getLen()}|{st.getModificationTime()}|v3"
     return hashlib.sha1(raw.encode()).hexdigest()[:16]
 
 
@@ -240,12 +256,7 @@ def _materialize(spark: SparkSession, base: str) -> Fixture:
         for name in schemas.TARGETS:
             getattr(prior, name).write.mode("overwrite").parquet(f"{root}/prior_{name}")
         fs.create(done, True).close()
-    src = Sources(
-        projects=spark.read.schema(schemas.PROJECTS).parquet(f"{root}/projects"),
-        timeseries=spark.read.schema(schemas.TIMESERIES).parquet(f"{root}/timeseries"),
-        images_metadata=spark.read.schema(schemas.IMAGES_METADATA).parquet(f"{root}/images_metadata"),
-        labels=spark.read.schema(schemas.LABELS).parquet(f"{root}/labels"),
-    )
+    src = read_sources(spark, f"{root}/TABLE", f"{root}/labels")
     prior = State(
         **{
             name: spark.read.schema(schema).parquet(f"{root}/prior_{name}")
@@ -268,7 +279,7 @@ def _lazy(spark: SparkSession, base: str) -> _Lazy:
     src = Sources(
         projects=projects(g),
         timeseries=timeseries(g),
-        images_metadata=images_metadata(ev),
+        images_metadata=image_table(ev),
         labels=labels_dim(ev),
     )
     u = F.col("user_id")
@@ -306,8 +317,6 @@ def prior_timeseries_keys(fx: _Lazy) -> DataFrame:
 
 def _prior_lazy(fx: _Lazy) -> State:
     """Prior target tables: the import rules applied to every prior timeseries."""
-    from ..plans.targets import prior_rows
-
     ds = prior_dataset(fx)
     keys = dense_ids(prior_timeseries_keys(fx), ["ext_id"])
     return prior_rows(fx.sources, ds, keys, RUN_TS)
@@ -315,3 +324,188 @@ def _prior_lazy(fx: _Lazy) -> State:
 
 def prior_state(fx: Fixture) -> State:
     return fx.prior
+
+
+def prior_rows(src, ds: DataFrame, ts_keys: DataFrame, run_ts: str):
+    """Prior state for the fixtures: import rules on every prior timeseries.
+
+    Ids follow FIXTURES.md: timeseries ids are given (rank by ext id); an
+    image id is ``timeseries id * 10000 + position``, a box id ``image id *
+    100 + box position``, a revision id the timeseries id.
+    """
+    dictionary = prepared(src.labels)
+    site = tg.site_rows(ds.select(F.col("location_id").alias("site_id")).distinct(), run_ts)
+    attrs = tg.timeseries_attrs(src.timeseries, dictionary).join(
+        ts_keys.select(F.col("ext_id").alias("ts_id"), F.col("id").alias("ts_pk"), "dataset_id"), "ts_id"
+    )
+    refs = explode_refs(src.timeseries.join(ts_keys.select(F.col("ext_id").alias("id")), "id", "left_semi"))
+    imgs = tg.image_rows(refs, image_metadata(src.images_metadata))
+    imgs = imgs.join(attrs.select("ts_id", "ts_pk", "dataset_id"), "ts_id").withColumn(
+        "image_pk", F.col("ts_pk") * PRIOR_IMAGE_STRIDE + F.col("image_index")
+    )
+    image = imgs.select(
+        F.col("image_pk").alias("id"),
+        F.col("image_id").alias("uuid"),
+        "dataset_id",
+        "hidden",
+        F.col("image_index").alias("sequence_index"),
+        "captured_at",
+        "metadata",
+        F.col("ts_pk").alias("timeseries_id"),
+        "file",
+        "classified_at",
+        F.col("image_id").alias("ext_id"),
+    )
+    boxes = tg.box_rows(imgs, dictionary, ["image_pk", "classified_at"])
+    boxes = boxes.withColumn("box_pk", F.col("image_pk") * PRIOR_BOX_STRIDE + F.col("box_index"))
+    bbox = boxes.select(
+        F.col("box_pk").alias("id"),
+        F.col("classified_at").alias("created_at"),
+        F.col("image_pk").alias("image_id"),
+        "label_id",
+        F.lit(tg.NO_USER).cast("bigint").alias("user_id"),
+        "x_min",
+        "x_max",
+        "y_min",
+        "y_max",
+        "score",
+        _null("string").alias("ext_id"),
+    )
+    sel = tg.selected_images(imgs).join(
+        imgs.select("ts_id", F.col("image_index").alias("selected_index"), F.col("image_pk")),
+        ["ts_id", "selected_index"],
+    ).groupBy("ts_id").agg(F.max("image_pk").alias("selected_image_id"))
+    ts = attrs.join(sel, "ts_id", "left").select(
+        F.col("ts_pk").alias("id"),
+        F.col("created_ts").alias("created_at"),
+        F.col("updated_ts").alias("last_modified_at"),
+        "extra",
+        "dataset_id",
+        "hidden",
+        F.lit("").alias("comment"),
+        "predicted_species_id",
+        "selected_image_id",
+        "validated_species_id",
+        F.col("ts_id").alias("ext_id"),
+    )
+    rev = tg.revision_target(attrs).join(attrs.select("ts_id", "ts_pk"), "ts_id")
+    revision = rev.select(
+        F.col("ts_pk").alias("id"),
+        "created_at",
+        "last_modified_at",
+        "user_id",
+        "comment",
+        "label_id",
+        F.col("ts_pk").alias("timeseries_id"),
+    )
+    return State(site=site, dataset=ds, timeseries=ts, image=image, bbox=bbox, revision=revision)
+
+
+def landed_sizes(events: DataFrame) -> DataFrame:
+    """Sizes of the fixture's source images (FIXTURES.md), as built-in columns:
+    width 32 + 8 (e mod 4), height 24 + 8 (e mod 3)."""
+    e = F.col("event_id")
+    return events.select(
+        e.cast("string").alias("image_id"),
+        (F.lit(32) + F.lit(8) * (e % 4)).cast("int").alias("width"),
+        (F.lit(24) + F.lit(8) * (e % 3)).cast("int").alias("height"),
+    )
+
+
+def landed_images(events: DataFrame) -> DataFrame:
+    """Source images for the fixtures, made on the executors (image-source
+    layout, three channels, value (3x + 5y + 11c + e) mod 256)."""
+
+    def make(batches):
+        for pdf in batches:
+            rows = []
+            for e, w, h in zip(pdf["event_id"].to_numpy(), pdf["width"].to_numpy(), pdf["height"].to_numpy()):
+                y, x, c = np.ogrid[0:h, 0:w, 0:3]
+                px = ((3 * x + 5 * y + 11 * c + int(e)) % 256).astype(np.uint8)
+                rows.append((str(e), f"source/{e}", int(h), int(w), 3, 16, px.tobytes()))
+            yield pd.DataFrame(rows, columns=["image_id", "origin", "height", "width", "nChannels", "mode", "data"])
+
+    sized = events.select("event_id").join(landed_sizes(events), F.col("event_id").cast("string") == F.col("image_id"))
+    sized = sized.select("event_id", "width", "height").repartition(_cpu_partitions(events), "event_id")
+    return sized.mapInPandas(make, LANDED_SCHEMA)
+
+
+def _cpu_partitions(df: DataFrame) -> int:
+    """Partitions for a CPU-bound Python step: by cores, not by bytes (AQE
+    would coalesce a small shuffle into one or two tasks)."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def listing_from_rows(paths: DataFrame) -> DataFrame:
+    """A file listing ``(path, length)`` from a column of relative paths."""
+    return paths.select(F.col(paths.columns[0]).alias("path"), F.lit(None).cast("bigint").alias("length")).distinct()
+
+
+# How ``timestamp_texts`` writes an event's time, by form.
+TIME_FORMS = (
+    "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy/MM/dd", "M/d/yyyy", "dd/MM/yyyy", "MM/dd/yyyy HH:mm", "MMMM d, yyyy", "d MMM yyyy",
+    "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "yyyyMMdd'T'HHmmss'Z'", "yyyyMMddHHmmss", "yyyy-MM-dd h:mm a", "HH:mm", "'junk'", "''", None,
+    "yyyyMMdd",
+)
+
+
+def timestamp_texts(ev: DataFrame) -> DataFrame:
+    form = F.col("event_id") % len(TIME_FORMS)
+    text = F.lit(None).cast("string")
+    for i, pattern in enumerate(TIME_FORMS):
+        if pattern is not None:
+            written = F.date_format("ts", pattern) if "y" in pattern or "H" in pattern else F.lit(pattern.strip("'"))
+            text = F.when(form == i, written).otherwise(text)
+    return ev.select("event_id", form.alias("form"), text.alias("text"))
+
+
+def json_texts(ev: DataFrame) -> DataFrame:
+    e = F.col("event_id").cast("string")
+    put = lambda before, after: F.concat(F.lit(before), e, F.lit(after))
+    texts = (
+        F.col("props"), put('{"a":', ',"a":2}'), put('{"a": NaN, "b":', "}"), F.lit("NaN"), put("[", ",-Infinity]"), put('{"a":', ""),
+        put("{'a':", "}"), put("[", ",]"),
+    )
+    form = F.col("event_id") % len(texts)
+    text = texts[0]
+    for i, t in enumerate(texts):
+        text = F.when(form == i, t).otherwise(text)
+    return ev.select("event_id", form.alias("form"), text.alias("text"))
+
+
+def key_texts(ev: DataFrame) -> DataFrame:
+    """Dataset ids as text: plain for all users, with leading zeros or spaces for some."""
+    u = F.col("user_id").cast("string")
+    text = F.when(F.col("user_id") % 3 == 0, F.array(u, F.concat(F.lit("00"), u))).when(
+        F.col("user_id") % 3 == 1, F.array(u, F.concat(F.lit(" "), u), F.concat(u, F.lit("x")))
+    ).otherwise(F.array(u))
+    return ev.select("user_id").distinct().select(F.explode(text).alias("ext_id"))
+
+
+def overlapping(ev: DataFrame) -> DataFrame:
+    e = F.col("event_id")
+    gap = lambda n: F.when(e % n == 0, _null("double")).otherwise(F.lit(0.25))
+    label = F.when(e % 10 == 0, F.lit("ghost")).when(e % 21 == 0, _null("string")).otherwise(F.col("event_type"))
+    one = F.struct(
+        F.lit(0.5).alias("score"), label.alias("label"),
+        F.struct(gap(6).alias("xmin"), F.lit(0.25).alias("ymin"), F.lit(0.75).alias("xmax"), F.lit(0.75).alias("ymax")).alias("box"),
+    )
+    two = F.struct(
+        F.lit(0.25).alias("score"), F.lit("error").alias("label"),
+        F.struct(F.lit(0.5).alias("xmin"), F.lit(0.5).alias("ymin"), gap(4).alias("xmax"), F.lit(1.0).alias("ymax")).alias("box"),
+    )
+    boxes = F.when(e % 15 == 0, F.array(one, F.lit(None))).otherwise(F.array(one, two))
+    return ev.select(e.cast("string").alias("image_id"), boxes.cast(schemas.BOXES).alias("predicted_boxes"))
+
+
+def repeated_images(ev: DataFrame) -> DataFrame:
+    e = F.col("event_id")
+    return ev.select(
+        F.floor(e / 3).cast("string").alias("id"),
+        F.col("props").alias("exif"),
+        F.col("ts").cast("timestamp_ntz").alias("taken_at"),
+        F.lpad((e * 7919 % 1000003).cast("string"), 12, "0").alias("predicted_at"),
+        F.col("plab").alias("predicted_label"),
+        F.array().cast(schemas.BOXES).alias("predicted_boxes"),
+    )

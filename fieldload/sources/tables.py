@@ -39,6 +39,8 @@ class State:
     image: DataFrame
     bbox: DataFrame
     revision: DataFrame
+    # The published version these tables were read from; 0 before the first.
+    version: int = 0
 
     def with_tables(self, **tables: DataFrame) -> "State":
         return replace(self, **tables)
@@ -58,13 +60,14 @@ def read_sources(spark: SparkSession, template: str, labels_path: str) -> Source
 
 def read_state(spark: SparkSession, base: str) -> State:
     """Read the current version of the published target tables (``plans.publish``)."""
-    from ..plans.publish import current_manifest
+    from ..plans.publish import latest_version, parts_of
 
-    parts = current_manifest(spark, base)
+    version = latest_version(spark, base)
+    parts = parts_of(spark, base, version)
 
     def load(name: str) -> DataFrame:
         if not parts[name]:
             return spark.createDataFrame([], schemas.TARGETS[name])
         return spark.read.schema(schemas.TARGETS[name]).parquet(*parts[name])
 
-    return State(**{name: load(name) for name in schemas.TARGETS})
+    return State(**{name: load(name) for name in schemas.TARGETS}, version=version)

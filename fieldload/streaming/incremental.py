@@ -14,21 +14,34 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..plans import import_plan as ip
-from ..plans.publish import run_import
+from ..plans.publish import StaleVersion, compact, run_import
 from ..session import configure
 from ..sources.tables import read_sources, read_state, table_path
 
+COMPACT_EVERY = 100
+
 
 def import_batch(
     spark: SparkSession, batch: DataFrame, template: str, labels_path: str, warehouse: str, run_ts: str
-) -> str | None:
-    """Import the project ids of one micro-batch; returns the new version."""
+) -> int | None:
+    """Import the project ids of one micro-batch; returns the current version.
+
+    Every ``COMPACT_EVERY`` versions the accumulated parts are rewritten.
+    """
     ids = batch.select("id").where("id IS NOT NULL").distinct()
     if ids.isEmpty():
         return None
     src = read_sources(spark, template, labels_path)
-    state = read_state(spark, warehouse)
-    return run_import(ip.plan_import(src, state, ids, run_ts), warehouse)
+    while True:
+        state = read_state(spark, warehouse)
+        try:
+            version = run_import(ip.plan_import(src, state, ids, run_ts), warehouse)
+        except StaleVersion:
+            continue  # another run published meanwhile: plan on its state
+        break
+    if version % COMPACT_EVERY == 0 and version > state.version:
+        version = compact(spark, warehouse)
+    return version
 
 
 def start(

@@ -52,25 +52,7 @@ def random_case(seed):
     return (projects, timeseries, images, prior_ts, prior_ds), (model_p, model_ts, model_images, model_prior_ts, {int(d) for d in prior_ds})
 
 
-def single_against_prior(m_p, m_ts, m_img, m_prior, m_ds, ids):
-    """Documented semantics of ``single`` over many datasets: each dataset
-    picks its first new timeseries against prior state only; a timeseries
-    several datasets pick goes to the smallest id (the others count it
-    neither as error nor as images)."""
-    outs, picks = {}, {}
-    for ds in ids:
-        out, own = simulate(m_p, m_ts, m_img, LABEL_BLUR, m_prior, m_ds, [ds], single=True)
-        outs[ds] = out[ds]
-        for ts in own:
-            picks.setdefault(ts, []).append(ds)
-    owners = {ts: min(dss, key=int) for ts, dss in picks.items()}
-    for ds, (o, n, imgs, err) in outs.items():
-        if imgs and ds not in owners.values():
-            outs[ds] = (o, n, 0, err)
-    return outs, owners
-
-
-@pytest.mark.parametrize("seed,single", [(1, False), (2, False), (3, False), (4, True), (5, False), (6, False), (7, True)])
+@pytest.mark.parametrize("seed,single", [(1, False), (2, False), (3, False), (4, True), (5, False), (6, False), (7, True), (8, True), (9, True)])
 def test_plan_equals_sequential_model(spark, seed, single):
     (projects, timeseries, images, prior_ts, prior_ds), model = random_case(seed)
     src, st = make(spark, projects, timeseries, images, prior_ts=prior_ts, prior_ds=prior_ds)
@@ -79,10 +61,7 @@ def test_plan_equals_sequential_model(spark, seed, single):
     got_out = {r.ds_id: (r.outcome, r.timeseries, r.images, r.errors) for r in plan.outcome.collect()}
     got_own = {r.ts_id: r.ds_id for r in plan.committed.collect()}
     m_p, m_ts, m_img, m_prior, m_ds = model
-    if single:
-        want_out, want_own = single_against_prior(m_p, m_ts, m_img, m_prior, m_ds, ids)
-    else:
-        want_out, want_own = simulate(m_p, m_ts, m_img, LABEL_BLUR, m_prior, m_ds, ids)
+    want_out, want_own = simulate(m_p, m_ts, m_img, LABEL_BLUR, m_prior, m_ds, ids, single=single)
     assert got_own == want_own
     assert got_out == want_out
 
