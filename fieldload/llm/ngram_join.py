@@ -188,7 +188,7 @@ class JaccardJoin:
         return cut(self._each(self.docs, emit, f"id {self.id_type}, n long, node long"), "sets")
 
     def groups(self, buckets: int) -> DataFrame:
-        """``gram, node, n, hub, hub_n``: members of prefix n-grams; ``hub`` is null for frequent ones."""
+        """``gram, node, n, size``: members of prefix n-grams; the group's ``size`` is null for frequent ones."""
         num, den = self.num, self.den
 
         def emit(batch, words, values, off, node):
@@ -239,13 +239,12 @@ class JaccardJoin:
                 new = np.ones(len(gram), dtype=bool)
                 new[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
                 gram, node, n = gram[new], node[new], n[new]
-                hub = hub_n = None
+                k = None
                 if bucket < buckets:
                     first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
                     size = np.diff(np.append(first, len(gram)))
                     many = np.repeat(size > 1, size)
-                    hub, hub_n = np.repeat(node[first], size)[many], np.repeat(n[first], size)[many]
-                    gram, node, n = gram[many], node[many], n[many]
+                    gram, node, n, k = gram[many], node[many], n[many], np.repeat(size, size)[many]
                 for a in range(0, len(gram), 200_000):
                     s = slice(a, a + 200_000)
                     yield pa.RecordBatch.from_pydict(
@@ -253,12 +252,11 @@ class JaccardJoin:
                             "gram": pa.array(gram[s].view(np.int64)),
                             "node": pa.array(node[s]),
                             "n": pa.array(n[s]),
-                            "hub": pa.array(hub[s]) if hub is not None else pa.nulls(len(gram[s]), pa.int64()),
-                            "hub_n": pa.array(hub_n[s]) if hub is not None else pa.nulls(len(gram[s]), pa.int32()),
+                            "size": pa.array(k[s]) if k is not None else pa.nulls(len(gram[s]), pa.int64()),
                         }
                     )
 
-        return cut(packed.mapInArrow(meet, "gram long, node long, n int, hub long, hub_n int"), "gram-groups")
+        return cut(packed.mapInArrow(meet, "gram long, node long, n int, size long"), "gram-groups")
 
     def sets(self, wanted: DataFrame) -> DataFrame:
         """``node, grams`` of the wanted nodes (``node, id``: one row of each)."""
@@ -347,13 +345,20 @@ def jaccard_components(
     nodes = join.nodes()
     named = nodes.where("id is not null and n > 0")
     groups = join.groups(buckets)
-    frequent = groups.where("hub is null")
-    least = F.min(F.struct("node", "n"))
-    hubs = frequent.groupBy("gram").agg(least.alias("h"), F.max("node").alias("last")).where("h.node < last")
+    frequent = groups.where("size is null").drop("size")
+    sizes = frequent.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
+    members = cut(groups.where("size is not null").unionByName(frequent.join(sizes, "gram")), "gram-members")
+    # A group's hub is the member whose n-grams most others hold: the text that near copies were made from.
+    mass = members.groupBy("node").agg((F.sum("size") / F.max("n")).alias("mass"))
+    ranked = members.join(mass, "node")
+    hubs = ranked.groupBy("gram").agg(F.max(F.struct("mass", "node", "n")).alias("h"))
     hubs = hubs.select("gram", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"))
-    members = groups.where("hub is not null").unionByName(frequent.drop("hub", "hub_n").join(hubs, "gram"))
-    named_pair = [F.col("hub").alias("a"), F.col("hub_n").alias("an"), F.col("node").alias("b"), F.col("n").alias("bn")]
-    star = cut(join.possible(members.where("hub <> node").select(*named_pair)), "star-pairs")
+    spokes = members.join(hubs, "gram").where("hub <> node")
+    star = cut(
+        join.possible(spokes.select(F.col("hub").alias("a"), F.col("hub_n").alias("an"), F.col("node").alias("b"), F.col("n").alias("bn"))),
+        "star-pairs",
+    )
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     one_row = named.groupBy("node").agg(F.min("id").alias("id"))
     near = join.links(star, one_row)
     comp = cut(connected(near), "components")
@@ -370,9 +375,17 @@ def jaccard_components(
         F.when(first, F.col("x")).otherwise(F.col("node")).alias("a"), F.when(first, F.col("nx")).otherwise(F.col("n")).alias("an"),
         F.when(first, F.col("node")).otherwise(F.col("x")).alias("b"), F.when(first, F.col("n")).otherwise(F.col("nx")).alias("bn"),
     )
-    cross = join.possible(shared).join(star, ["a", "b"], "left_anti")
+    cross = join.possible(shared).join(tried, ["a", "b"], "left_anti")
     more = join.links(cut(cross, "cross-pairs"), one_row)
-    comp = connected(near.unionByName(more))
+    # The later links join components, so only distinct pairs of those are contracted.
+    lifted = more
+    for end in ("u", "v"):
+        at = comp.select(F.col("node").alias(end), F.col("comp").alias("c"))
+        lifted = lifted.join(at, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    upper = cut(connected(lifted.distinct()), "components")
+    known = comp.unionByName(upper.join(comp, "node", "left_anti"))
+    upper = upper.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+    comp = known.join(upper, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
 
     rows = nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"))
     least = rows.where("id is not null and n > 0").groupBy("comp").agg(F.min("id").alias("component_id"))
