@@ -114,7 +114,8 @@ def test_tokenizer(texts, alnum):
 
 
 def test_sketch_never_undercounts(spark):
-    keys = [random.Random(2).getrandbits(62) for _ in range(3000)]
+    rng = random.Random(2)
+    keys = [rng.getrandbits(62) for _ in range(3000)]
     df = spark.createDataFrame([(k,) for k in keys + keys[:100]], "key long")
     maps = sketch.members(df, bits=12)
     assert sketch.passes(maps, np.array(keys, np.int64).view(np.uint64), 12).all()
