@@ -9,6 +9,7 @@ A cell is at least the count of each of its keys.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,11 +41,16 @@ def _emit(table: dict[int, np.ndarray], salt: int) -> Iterator[pa.RecordBatch]:
                 "block": pa.array([block], pa.int32()),
                 "salt": pa.array([salt], pa.int32()),
                 "cells": pa.array([at.astype(np.uint32).tobytes() if sparse else b""], pa.binary()),
-                "counts": pa.array([counts.tobytes()], pa.binary()),
+                "counts": pa.array([_packed(counts)], pa.binary()),
             }
         )
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts of one task are mostly 0 to 3: a byte or less for each key after this."""
+    return zlib.compress(counts.astype(np.uint16).tobytes(), 1)
+
+
 def fill(df: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int, depth: int) -> DataFrame:
     """Partial blocks of the keys that ``keys`` yields for each task's batches."""
     block_bits = min(BLOCK_BITS, bits)
@@ -85,7 +91,7 @@ def fill(df: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[np.n
                         "block": pa.array([row * per_row + int(b)], pa.int32()),
                         "salt": pa.array([salt], pa.int32()),
                         "cells": pa.array([(c[s] & ((1 << block_bits) - 1)).astype(np.uint32).tobytes()], pa.binary()),
-                        "counts": pa.array([np.minimum(counts[s], CELL_MAX).astype(np.uint16).tobytes()], pa.binary()),
+                        "counts": pa.array([_packed(np.minimum(counts[s], CELL_MAX))], pa.binary()),
                     }
                 )
 
@@ -116,7 +122,7 @@ def _added(df: DataFrame, block_bits: int, finish: Callable[[np.ndarray], bytes]
                 if block != at_block:
                     yield from done()
                     acc, at_block = np.zeros(1 << block_bits, np.uint32), block
-                n = np.frombuffer(counts.as_buffer(), np.uint16)
+                n = np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint16)
                 at = np.frombuffer(at.as_buffer(), np.uint32) if at.as_buffer().size else slice(None)
                 acc[at] += n
         yield from done()
