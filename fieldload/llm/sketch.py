@@ -21,6 +21,8 @@ BLOCK_BITS = 18
 SALTS = 16
 SCHEMA = "block int, salt int, cells binary, counts binary"
 CELL_MAX = 65535
+# Up to here a task counts in an array of all cells, beyond in sorted keys.
+DENSE_BITS = 22
 
 
 def cells(keys: np.ndarray, depth_row: int, bits: int) -> np.ndarray:
@@ -60,12 +62,21 @@ def fill(df: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[np.n
         from pyspark import TaskContext
 
         salt = TaskContext.get().partitionId() % SALTS
+        if bits <= DENSE_BITS:
+            acc = np.zeros((depth, 1 << bits), np.uint32)
+            for k in keys(batches):
+                for row in range(depth):
+                    np.add.at(acc[row], cells(k, row, bits), 1)
+            blocks = np.minimum(acc, CELL_MAX, out=acc).reshape(depth * per_row, -1)
+            for b in range(len(blocks)):
+                yield from _emit({b: blocks[b]}, salt)
+            return
         waiting: list[np.ndarray] = []
         n = 0
         for k in keys(batches):
             waiting.append(k)
             n += len(k)
-            if n >= 1 << 20:
+            if n >= 1 << 19:
                 yield from flush(waiting, salt)
                 waiting, n = [], 0
         yield from flush(waiting, salt)
@@ -76,12 +87,6 @@ def fill(df: DataFrame, keys: Callable[[Iterator[pa.RecordBatch]], Iterator[np.n
         k = np.concatenate(waiting)
         for row in range(depth):
             c = cells(k, row, bits)
-            if bits <= 22:
-                counts = np.bincount(c, minlength=1 << bits)
-                for b in range(per_row):
-                    part = counts[b << block_bits : (b + 1) << block_bits]
-                    yield from _emit({row * per_row + b: np.minimum(part, CELL_MAX)}, salt)
-                continue
             c, counts = np.unique(c, return_counts=True)
             cut = np.searchsorted(c >> block_bits, np.arange(per_row + 1))
             for b in np.flatnonzero(np.diff(cut)):
