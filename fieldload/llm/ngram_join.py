@@ -135,6 +135,13 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
+def majors(members: DataFrame) -> DataFrame:
+    """``gram, major``: the component most members (``gram, comp``) are in, of equals the largest, where there are several."""
+    kinds = members.groupBy("gram", "comp").agg(F.count("*").alias("k"))
+    major = F.max(F.struct("k", "comp")).getField("comp").alias("major")
+    return kinds.groupBy("gram").agg(major, F.count("*").alias("comps")).where("comps > 1").select("gram", "major")
+
+
 class JaccardJoin:
     """One run of the join over ``docs``; see :func:`jaccard_components`."""
 
@@ -364,9 +371,8 @@ def jaccard_components(
     comp = cut(connected(near), "components")
 
     m = members.select("gram", "node", "n").join(comp, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    kinds = m.groupBy("gram", "comp").agg(F.count("*").alias("k"))
-    split = kinds.groupBy("gram").agg(F.max_by("comp", "k").alias("major"), F.count("*").alias("comps")).where("comps > 1")
-    split_members = m.join(split.select("gram", "major"), "gram")
+    # Both sides of the join below need one choice of the major component: ties have an order, and it is made once.
+    split_members = m.join(cut(majors(m), "majors"), "gram")
     minor = split_members.where("comp <> major").select("gram", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
     # Every shared prefix n-gram of two nodes in different components gives one row, the smaller node first.
     met = minor.join(split_members, "gram").where("comp <> cx and (comp = major or x < node)")

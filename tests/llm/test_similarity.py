@@ -10,6 +10,7 @@ from llm import brute
 
 from fieldload.llm import decontaminate, ngram_join, sketch, substrings, text, topk
 from fieldload.llm.queries import table
+from fieldload.operators.stage import cut
 
 DOCS = "doc_id long, text string"
 
@@ -57,6 +58,28 @@ def test_components_with_every_ngram_frequent(spark, monkeypatch):
     assert sorted(map(tuple, got), key=str) == sorted(brute.components(rows), key=str)
 
 
+def test_major_component_does_not_depend_on_row_order(spark):
+    """Both sides of the join of split groups must exclude the same component, whichever order ties arrive in."""
+    rows = [(g, c) for g in range(40) for c in (g, g + 1, g + 2)] + [(99, 5), (99, 5), (99, 7), (98, 1), (98, 1)]
+    want = {g: g + 2 for g in range(40)} | {99: 5}
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for some in (rows, rows[::-1]):
+            got = ngram_join.majors(spark.createDataFrame(some, "gram long, comp long").coalesce(1)).collect()
+            assert {r["gram"]: r["major"] for r in got} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def test_major_component_is_chosen_once(spark, monkeypatch):
+    """The choice is written before the two sides of the join read it."""
+    written = []
+    monkeypatch.setattr(ngram_join, "cut", lambda df, name: written.append(name) or cut(df, name))
+    ngram_join.jaccard_components(spark.createDataFrame(corpus(), DOCS))
+    assert written.count("majors") == 1
+
+
 def test_components_of_a_hot_group(spark):
     """A third of all rows are near copies of one text, many of them linked only through others."""
     rng = random.Random(1)
