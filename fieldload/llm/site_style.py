@@ -14,7 +14,10 @@ importance is
 * otherwise the mean of the content and presentation entropies, weighted 9 to
   1 and divided by the logarithm of the number of pages (1 on a single page).
 
-Branches whose importance is below a threshold are cut from every page.
+Pages are counted once for each distinct text outside furniture, so copies of
+a page are one page.  In nodes whose importance is below a threshold, the
+blocks go whose own text is on so many distinct pages of the host (more than
+their square root at the threshold of 0.5); others in the same place stay.
 """
 
 from __future__ import annotations
@@ -170,45 +173,67 @@ def _read(page: str | None, root: Node):
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """``node, prior, style, content``: one row for each text-bearing node of each page (``url``, ``html``)."""
+    """``host, page, node, style, content, blocks`` of each undecided text-bearing node of each page (``url``, ``html``).
+
+    ``page`` stands for the page's text outside furniture, so copies have one.
+    A page without undecided nodes gives one row with a null ``node``.
+    """
 
     def run(batches):
         root = new_root()
         for batch in batches:
-            out = {"node": [], "prior": [], "style": [], "content": []}
-            for url, page in zip(batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
+            out = {c: [] for c in ("host", "page", "node", "style", "content", "blocks")}
+            for url, html in zip(batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
                 host = host_of(url)
-                found, styles = _read(page, root)
-                merged: dict[str, list] = {}
+                found, styles = _read(html, root)
+                merged: dict[str, tuple[str, list]] = {}
                 for node, path, prior, text in found:
-                    merged.setdefault(path, [prior, node.path, []])[2].append(text)
-                for path, (prior, plain, texts) in merged.items():
+                    if prior is None:
+                        merged.setdefault(path, (node.path, []))[1].append(text)
+                page = _key(*(x for _, path, prior, text in found if prior != 0 for x in (path, text)))
+                for path, (plain, texts) in merged.items():
                     out["node"].append(_key(host, path))
-                    out["prior"].append(prior)
                     out["style"].append(_key(*styles.get(plain, [""])))
                     out["content"].append(_key(*texts))
+                    out["blocks"].append([_key(host, path, text) for text in texts])
+                if not merged:
+                    for c in ("node", "style", "content", "blocks"):
+                        out[c].append(None)
+                out["host"] += [_key(host)] * max(1, len(merged))
+                out["page"] += [page] * max(1, len(merged))
             yield pa.RecordBatch.from_pydict(
-                {c: pa.array(v, pa.int32() if c == "prior" else pa.int64()) for c, v in out.items()}
+                {c: pa.array(v, pa.list_(pa.int64()) if c == "blocks" else pa.int64()) for c, v in out.items()}
             )
 
-    return pages.select("url", "html").mapInArrow(run, "node long, prior int, style long, content long")
+    return pages.select("url", "html").mapInArrow(
+        run, "host long, page long, node long, style long, content long, blocks array<long>"
+    )
 
 
 def importance(nodes: DataFrame, content_weight: float = 0.9) -> DataFrame:
-    """``node, pages, importance`` of the merged tree, by partial aggregation (a common host is many partials)."""
+    """``node, pages, importance`` of the merged tree over distinct pages, by partial aggregation."""
+    once = nodes.where("node is not null").groupBy("host", "page", "node").agg(F.min("style").alias("style"), F.min("content").alias("content"))
 
     def entropy(of: str) -> DataFrame:
-        counts = nodes.groupBy("node", of).agg(F.count("*").alias("k"), F.min("prior").alias("prior"))
         m = F.sum("k")
-        return counts.groupBy("node").agg(
+        return once.groupBy("node", of).agg(F.count("*").alias("k")).groupBy("node").agg(
             m.alias("pages"),
-            F.min("prior").alias("prior"),
             F.when(m > 1, 1 - F.sum(F.col("k") * F.log2("k")) / m / F.log2(m)).otherwise(1.0).alias(of),
         )
 
     both = entropy("content").join(entropy("style").select("node", "style"), "node")
     mean = content_weight * F.col("content") + (1 - content_weight) * F.col("style")
-    return both.select("node", "pages", F.coalesce(F.col("prior").cast("double"), mean).alias("importance"))
+    return both.select("node", "pages", mean.alias("importance"))
+
+
+def repeated_blocks(nodes: DataFrame, threshold: float) -> DataFrame:
+    """``block``: texts in nodes of low importance that themselves tell little, by the distinct pages of the host that hold them."""
+    low = cut(importance(nodes).where(F.col("importance") < threshold).select("node"), "low-nodes")
+    held = nodes.join(low, "node").select("host", "page", F.explode("blocks").alias("block")).distinct()
+    counts = held.groupBy("host", "block").agg(F.count("*").alias("k")).where("k > 1")
+    sizes = nodes.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    # The node's entropy is the mean of this over its pages when each of them has one block.
+    return counts.join(sizes, "host").where(1 - F.log2("k") / F.log2("pages") < threshold).select("block")
 
 
 def extract_text(
@@ -230,7 +255,7 @@ def extract_text(
     kept = [c for c in pages.columns if c not in (html_col, "text")]
     rows = pages.select(*kept, F.col(url_col).alias("__url"), F.col(html_col).alias("__html"))
     nodes = cut(style_nodes(rows.select(F.col("__url").alias("url"), F.col("__html").alias("html"))), "style-nodes")
-    low = cut(importance(nodes).where(F.col("importance") < threshold).select("node"), "low-nodes")
+    low = cut(repeated_blocks(nodes, threshold), "low-blocks")
     schema = T.StructType([pages.schema[c] for c in kept]).add("text", "string")
 
     def cleaned(batch, low_of):
@@ -238,12 +263,13 @@ def extract_text(
         text = []
         for i, (url, page) in enumerate(zip(batch["__url"].to_pylist(), batch["__html"].to_pylist(), strict=True)):
             host, low = host_of(url), low_of(i)
-            text.append(" ".join(t for _, path, _, t in _read(page, root)[0] if _key(host, path) not in low))
+            found = _read(page, root)[0]
+            text.append(" ".join(t for _, path, prior, t in found if prior == 1 or prior is None and _key(host, path, t) not in low))
         return pa.RecordBatch.from_arrays([batch[c] for c in kept] + [pa.array(text, pa.string())], names=[*kept, "text"])
 
-    # About 100 bytes for each node in a Python set.
+    # About 100 bytes for each block in a Python set.
     if low.count() * 100 <= broadcast_bytes:
-        held = spark.sparkContext.broadcast(frozenset(r["node"] for r in low.collect()))
+        held = spark.sparkContext.broadcast(frozenset(r["block"] for r in low.collect()))
 
         def run(batches):
             for batch in batches:
@@ -251,22 +277,22 @@ def extract_text(
 
         return rows.mapInArrow(run, schema)
 
-    # Beyond the bound each page gets the low nodes among its own.
+    # Beyond the bound each page gets the low blocks among its own.
     keyed = rows.withColumn("__row", F.xxhash64(*[F.col(c) for c in rows.columns]))
 
     def own(batches):
         root = new_root()
         for batch in batches:
-            at, node = [], []
+            at, block = [], []
             for url, page, row in zip(*(batch[c].to_pylist() for c in ("__url", "__html", "__row")), strict=True):
                 host = host_of(url)
-                keys = {_key(host, path) for _, path, _, _ in _read(page, root)[0]}
+                keys = {_key(host, path, t) for _, path, prior, t in _read(page, root)[0] if prior is None}
                 at += [row] * len(keys)
-                node += list(keys)
-            yield pa.RecordBatch.from_pydict({"__at": pa.array(at, pa.int64()), "node": pa.array(node, pa.int64())})
+                block += list(keys)
+            yield pa.RecordBatch.from_pydict({"__at": pa.array(at, pa.int64()), "block": pa.array(block, pa.int64())})
 
-    pairs = keyed.select("__url", "__html", "__row").mapInArrow(own, "__at long, node long").distinct()
-    per_page = pairs.join(low, "node").groupBy("__at").agg(F.collect_list("node").alias("__low"))
+    pairs = keyed.select("__url", "__html", "__row").mapInArrow(own, "__at long, block long").distinct()
+    per_page = pairs.join(low, "block").groupBy("__at").agg(F.collect_list("block").alias("__low"))
     joined = keyed.join(per_page.hint("shuffle_hash"), F.col("__row") == F.col("__at"), "left").drop("__at", "__row")
 
     def run_joined(batches):

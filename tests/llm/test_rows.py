@@ -134,6 +134,23 @@ def test_site_evidence_decides_pages_without_an_article(spark, bound):
     assert got == {(i, h): f"story {i} of {h}" for h in ("a", "b") for i in range(8)} | {(99, "c"): "Welcome to our site story 99 of c"}
 
 
+@pytest.mark.parametrize("bound", [32 << 20, 0])
+def test_copies_on_pages_without_an_article_stay(spark, bound):
+    """Copies count as one page; a text that many pages share does not take others in its place along."""
+    page = "<title>{i}</title><body><div class='top'>Our site</div><div class='content'><p>{t}</p><p>{t} more</p></div></body>"
+    rows = [(i, f"http://a.com/{i}", page.format(i=i, t="copied" if i % 2 else f"own {i}")) for i in range(60)]
+    rows += [(100 + i, "http://b.com/1", page.format(i=0, t="twice")) for i in range(2)]
+    # Differing pages that share most of a place: the shared text goes, the others in its place stay.
+    rows += [(200 + i, f"http://c.com/{i}", f"<div><p>{'shared' if i % 4 else f'only {i}'}</p><i>x</i></div><h2>head {i}</h2>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in site_style.extract_text(df, broadcast_bytes=bound).collect()}
+    want = {i: "copied copied more" if i % 2 else f"own {i} own {i} more" for i in range(60)}
+    want |= {100 + i: "Our site twice twice more" for i in range(2)}
+    assert {k: got[k] for k in want} == want
+    assert all((f"only {i}" in got[200 + i]) if i % 4 == 0 else "shared" not in got[200 + i] for i in range(40))
+    assert all(f"head {i}" in got[200 + i] for i in range(40))
+
+
 def test_pages_against_plain_rules(spark):
     import html
     import re
