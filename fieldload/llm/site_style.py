@@ -7,12 +7,14 @@ entropies over the host's pages tell how much the node varies.  A node's
 importance is
 
 * 0 for presentation that marks furniture (menus, headers, footers, sidebars,
-  notices, adverts, forms, scripts, reader comments), and for anything outside
-  the article on a page that has one;
+  adverts, forms, scripts, reader comments) by tag, role or an exact name, and
+  for anything outside the article on a page that has one;
 * 1 for other nodes inside an article: copies of an article stay articles,
   however often a site repeats them;
 * otherwise the mean of the content and presentation entropies, weighted 9 to
   1 and divided by the logarithm of the number of pages (1 on a single page).
+  A furniture word within a longer name, or one that sections are named after
+  too, only lowers it, inside articles as well: unique text stays.
 
 Pages are counted once for each distinct text outside furniture, so copies of
 a page are one page.  In nodes whose importance is below a threshold, the
@@ -41,6 +43,15 @@ FURNITURE_NAMES = set(
     "discussion footer masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo related "
     "recommended share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+# Of these, words that sections and headings are named after as well; as an exact class they count outside articles only.
+PROSE_NAMES = set(
+    "advertising banner comment consent cookie cookies discussion menu navigation newsletter notice notices promo related "
+    "recommended share sharing skip social subscribe widget".split()
+)
+WHOLE_NAMES = FURNITURE_NAMES - PROSE_NAMES
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# Factor on the importance of a node that a name speaks against: unique text stays above the threshold.
+NAMED = 0.6
 HEADER = "header"
 MAIN = {"article", "main"}
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "object", "math"}
@@ -63,52 +74,63 @@ BREAKS = re.compile(r"[\x20\x09-\x0D\xa0]+")
 
 
 class Node:
-    """A place in the style tree; ``prior`` is 0 (furniture), 1 (article) or None."""
+    """A place in the style tree; ``prior`` is 0 (furniture), 1 (article) or None; ``named``: a name speaks against it."""
 
-    __slots__ = ("path", "prior", "main", "tag", "kids")
+    __slots__ = ("path", "prior", "main", "named", "tag", "kids")
 
-    def __init__(self, path, prior, main, tag):
-        self.path, self.prior, self.main, self.tag, self.kids = path, prior, main, tag, {}
+    def __init__(self, path, prior, main, named, tag):
+        self.path, self.prior, self.main, self.named, self.tag, self.kids = path, prior, main, named, tag, {}
 
     def child(self, tag: str, attributes: str) -> Node:
-        names = ""
+        names, found = "", {}
         if attributes and ATTRIBUTE.search(attributes):
-            found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in reversed(list(ATTRIBUTE.finditer(attributes)))}
-            names = "|".join(f"{k}={found[k].lower()}" for k in sorted(found))
+            found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in reversed(list(ATTRIBUTE.finditer(attributes)))}
+            names = "|".join(f"{k}={found[k]}" for k in sorted(found))
         kid = self.kids.get((tag, names))
         if kid is None:
-            words = set(re.split(r"[^a-z0-9]+", " ".join(x.partition("=")[2] for x in names.split("|"))))
-            role = re.search(r"role=([a-z]+)", names)
+            classes, own_id = set(found.get("class", "").split()), found.get("id", "").strip()
+            # Ids of headings are made of their text, so they tell nothing outright.
+            whole = classes if tag in HEADINGS else classes | {own_id}
+            words = set(re.split(r"[^a-z0-9]+", " ".join([*classes, own_id])))
+            role = re.match(r"\s*([a-z]+)", found.get("role", ""))
+            page = tag in ("html", "body")
             furniture = (
                 tag in FURNITURE_TAGS
                 or (role is not None and role[1] in FURNITURE_ROLES)
-                or (tag not in ("html", "body") and bool(words & FURNITURE_NAMES))
-                or (not self.main and (tag == HEADER or HEADER in words))
+                or (not page and bool(whole & WHOLE_NAMES))
+                or (not self.main and not page and tag not in HEADINGS and bool(classes & FURNITURE_NAMES - {"discussion"}))
+                or (not self.main and (tag == HEADER or HEADER in whole))
             )
+            named = self.named or (not page and bool(words & FURNITURE_NAMES)) or (not self.main and HEADER in words)
             main = self.main or (tag in MAIN and not furniture)
-            prior = 0 if self.prior == 0 or furniture else 1 if main else None
-            kid = Node(f"{self.path}/{tag}[{names}]", prior, main, tag)
+            prior = 0 if self.prior == 0 or furniture else 1 if main and not named else None
+            kid = Node(f"{self.path}/{tag}[{names}]", prior, main, named, tag)
             if len(self.kids) < 10_000:
                 self.kids[tag, names] = kid
         return kid
 
 
 def blocks(page: str, root: Node):
-    """Text blocks of a page in order, ``(node, text)``, and the children's tags of each node by path."""
+    """Text blocks of a page in order, ``(node, text, glued)``, and the children's tags of each node by path.
+
+    A block is ``glued`` when an inline element's edge alone, without white space, parts it from the one before.
+    """
     stack, piece, out, styles = [root], [], [], {}
-    at, n = 0, len(page)
+    at, n, tight = 0, len(page), False
 
-    def close():
-        if piece:
-            text = BREAKS.sub(" ", entities.unescape("".join(piece))).strip(" ")
-            if text:
-                out.append((stack[-1], text))
-            piece.clear()
+    def close(inline=False):
+        nonlocal tight
+        spaced = BREAKS.sub(" ", entities.unescape("".join(piece)))
+        piece.clear()
+        text = spaced.strip(" ")
+        if text:
+            out.append((stack[-1], text, tight and spaced[0] != " "))
+        tight = inline and (spaced[-1] != " " if text else tight and not spaced)
 
     def pop(tag, names, scope):
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
-                close()
+                close(all(x.tag in INLINE for x in stack[i:]))
                 del stack[i:]
                 return
             if scope and stack[i].tag in SCOPE and stack[i].tag not in names:
@@ -141,9 +163,11 @@ def blocks(page: str, root: Node):
         if tag in CLOSES:
             pop(tag, CLOSES[tag], True)
         kid = stack[-1].child(tag, m[3])
-        if tag in INLINE and (kid.prior == 0) == (stack[-1].prior == 0):
+        # A named inline element is judged apart where the text around it is sure to stay.
+        apart = (kid.prior == 0) != (stack[-1].prior == 0) or (kid.prior is None and stack[-1].prior == 1)
+        if tag in INLINE and not apart:
             continue
-        close()
+        close(tag in INLINE)
         styles.setdefault(stack[-1].path, []).append(tag)
         if not m[3].endswith("/"):
             stack.append(kid)
@@ -152,7 +176,7 @@ def blocks(page: str, root: Node):
 
 
 def new_root() -> Node:
-    return Node("", None, False, "")
+    return Node("", None, False, False, "")
 
 
 def host_of(url: str | None) -> str:
@@ -167,13 +191,26 @@ def _key(*parts: str) -> int:
 def _read(page: str | None, root: Node):
     """Blocks with the prior they have on this page, and styles."""
     found, styles = blocks(page or "", root)
-    has_main = any(node.prior == 1 for node, _ in found)
+    has_main = any(node.main and node.prior != 0 for node, _, _ in found)
     # Outside the article of a page that has one, and bare pages, are different nodes.
-    return [(node, f"{int(has_main)}{node.path}", 0 if has_main and node.prior is None else node.prior, text) for node, text in found], styles
+    return [
+        (node, f"{int(has_main)}{node.path}", 0 if has_main and not node.main else node.prior, text, glued) for node, text, glued in found
+    ], styles
+
+
+def _joined(found: list, low: frozenset | set, host: str) -> str:
+    """The text of the blocks that stay."""
+    out, before = [], False
+    for _, path, prior, text, glued in found:
+        stays = prior == 1 or prior is None and _key(host, path, text) not in low
+        if stays:
+            out += [text] if not out or glued and before else [" ", text]
+        before = stays
+    return "".join(out)
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """``host, page, node, style, content, blocks`` of each undecided text-bearing node of each page (``url``, ``html``).
+    """``host, page, node, named, style, content, blocks`` of each undecided text-bearing node of each page (``url``, ``html``).
 
     ``page`` stands for the page's text outside furniture, so copies have one.
     A page without undecided nodes gives one row with a null ``node``.
@@ -182,48 +219,51 @@ def style_nodes(pages: DataFrame) -> DataFrame:
     def run(batches):
         root = new_root()
         for batch in batches:
-            out = {c: [] for c in ("host", "page", "node", "style", "content", "blocks")}
+            out = {c: [] for c in ("host", "page", "node", "named", "style", "content", "blocks")}
             for url, html in zip(batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
                 host = host_of(url)
                 found, styles = _read(html, root)
-                merged: dict[str, tuple[str, list]] = {}
-                for node, path, prior, text in found:
+                merged: dict[str, tuple[Node, list]] = {}
+                for node, path, prior, text, _ in found:
                     if prior is None:
-                        merged.setdefault(path, (node.path, []))[1].append(text)
-                page = _key(*(x for _, path, prior, text in found if prior != 0 for x in (path, text)))
-                for path, (plain, texts) in merged.items():
+                        merged.setdefault(path, (node, []))[1].append(text)
+                page = _key(*(x for _, path, prior, text, _ in found if prior != 0 for x in (path, text)))
+                for path, (at, texts) in merged.items():
+                    out["named"].append(at.named)
                     out["node"].append(_key(host, path))
-                    out["style"].append(_key(*styles.get(plain, [""])))
+                    out["style"].append(_key(*styles.get(at.path, [""])))
                     out["content"].append(_key(*texts))
                     out["blocks"].append([_key(host, path, text) for text in texts])
                 if not merged:
-                    for c in ("node", "style", "content", "blocks"):
+                    for c in ("node", "named", "style", "content", "blocks"):
                         out[c].append(None)
                 out["host"] += [_key(host)] * max(1, len(merged))
                 out["page"] += [page] * max(1, len(merged))
-            yield pa.RecordBatch.from_pydict(
-                {c: pa.array(v, pa.list_(pa.int64()) if c == "blocks" else pa.int64()) for c, v in out.items()}
-            )
+            kinds = {"named": pa.bool_(), "blocks": pa.list_(pa.int64())}
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()})
 
     return pages.select("url", "html").mapInArrow(
-        run, "host long, page long, node long, style long, content long, blocks array<long>"
+        run, "host long, page long, node long, named boolean, style long, content long, blocks array<long>"
     )
 
 
 def importance(nodes: DataFrame, content_weight: float = 0.9) -> DataFrame:
     """``node, pages, importance`` of the merged tree over distinct pages, by partial aggregation."""
-    once = nodes.where("node is not null").groupBy("host", "page", "node").agg(F.min("style").alias("style"), F.min("content").alias("content"))
+    once = nodes.where("node is not null").groupBy("host", "page", "node").agg(
+        *[F.min(c).alias(c) for c in ("named", "style", "content")]
+    )
 
     def entropy(of: str) -> DataFrame:
         m = F.sum("k")
-        return once.groupBy("node", of).agg(F.count("*").alias("k")).groupBy("node").agg(
+        return once.groupBy("node", of).agg(F.count("*").alias("k"), F.min("named").alias("named")).groupBy("node").agg(
             m.alias("pages"),
+            F.min("named").alias("named"),
             F.when(m > 1, 1 - F.sum(F.col("k") * F.log2("k")) / m / F.log2(m)).otherwise(1.0).alias(of),
         )
 
     both = entropy("content").join(entropy("style").select("node", "style"), "node")
     mean = content_weight * F.col("content") + (1 - content_weight) * F.col("style")
-    return both.select("node", "pages", mean.alias("importance"))
+    return both.select("node", "pages", (F.when(F.col("named"), NAMED).otherwise(1.0) * mean).alias("importance"))
 
 
 def repeated_blocks(nodes: DataFrame, threshold: float) -> DataFrame:
@@ -263,8 +303,7 @@ def extract_text(
         text = []
         for i, (url, page) in enumerate(zip(batch["__url"].to_pylist(), batch["__html"].to_pylist(), strict=True)):
             host, low = host_of(url), low_of(i)
-            found = _read(page, root)[0]
-            text.append(" ".join(t for _, path, prior, t in found if prior == 1 or prior is None and _key(host, path, t) not in low))
+            text.append(_joined(_read(page, root)[0], low, host))
         return pa.RecordBatch.from_arrays([batch[c] for c in kept] + [pa.array(text, pa.string())], names=[*kept, "text"])
 
     # About 100 bytes for each block in a Python set.
@@ -286,7 +325,7 @@ def extract_text(
             at, block = [], []
             for url, page, row in zip(*(batch[c].to_pylist() for c in ("__url", "__html", "__row")), strict=True):
                 host = host_of(url)
-                keys = {_key(host, path, t) for _, path, prior, t in _read(page, root)[0] if prior is None}
+                keys = {_key(host, path, t) for _, path, prior, t, _ in _read(page, root)[0] if prior is None}
                 at += [row] * len(keys)
                 block += list(keys)
             yield pa.RecordBatch.from_pydict({"__at": pa.array(at, pa.int64()), "block": pa.array(block, pa.int64())})

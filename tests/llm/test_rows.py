@@ -151,6 +151,24 @@ def test_copies_on_pages_without_an_article_stay(spark, bound):
     assert all(f"head {i}" in got[200 + i] for i in range(40))
 
 
+def test_names_alone_take_no_unique_text(spark):
+    """A furniture word in a name leaves unique text; what the site repeats under it goes, exact names go outright."""
+    body = (
+        "<h2 id='related-work'>Work {i}</h2><p class='share-price'>Price {i}</p><section id='discussion'><p>Talk {i}</p></section>"
+        "<div id='social-impact'><div><p>Impact {i}</p></div></div><table id='cookie-recipes'><tr><td>Dough {i}</td></tr></table>"
+        "<h3 id='comments'>On comments {i}</h3><p>pre<span class='share-count'>fix{i}</span>, end</p>"
+        "<div class='share-buttons'>Share this</div><div class='ad'>Buy {i}</div><div class='comments'><p>First {i}</p></div>"
+    )
+    shells = {"a": "<article><h1>T</h1>{x}</article>", "m": "<main>{x}</main>", "n": "<article id='share-report'>{x}</article>", "d": "<div class='content'>{x}</div>"}
+    rows = [(i, f"http://{h}.com/{i}", s.replace("{x}", body.format(i=i))) for h, s in shells.items() for i in range(9)]
+    rows += [(50, "http://one.com/", shells["a"].replace("{x}", body.format(i=50)))] * 3
+    got = {(r["page_id"], r["url"]): r["text"] for r in site_style.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, url, _ in rows:
+        want = f"Work {i} Price {i} Talk {i} Impact {i} Dough {i} On comments {i} prefix{i}, end"
+        want = "T " + want if url[7:9] == "a." else "T " + want + " Share this" if i == 50 else want
+        assert got[i, url] == want, url
+
+
 def test_pages_against_plain_rules(spark):
     import html
     import re
