@@ -2,13 +2,16 @@
 
 A package is a ZIP file with two stored members: ``archive/data.warc.gz``, one
 gzip member for each record, and ``indexes/index.cdxj``, one line for each
-record with its offset and length in the first.  Packages are rows of
-``path, content``, as Spark's ``binaryFile`` source gives them, so the reader
-works on files in any store Spark reads as well as on the writer's table.
+record with its offset and length in the first.  The writer's packages are
+rows of ``path, content``, as Spark's ``binaryFile`` source gives them.
 
 The reader parses the end of the central directory (or its ZIP64 form), finds
-the stored members' byte ranges, and reads each record by its own range;
-nothing is extracted.
+the byte ranges of the members under ``archive/`` and ``indexes/``, and reads
+each record by its own range; nothing is extracted.  Index lines are JSON with
+``offset``, ``length`` and the ``filename`` of the archive member, after a key
+and a timestamp or alone.  What no index line covers is walked record by
+record.  :func:`read_records` takes packages in memory, :func:`read_files`
+seeks in files of any size.
 """
 
 from __future__ import annotations
@@ -22,14 +25,20 @@ import struct
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.stage import cut
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+ARCHIVES, INDEXES = (".warc.gz", ".warc"), (".cdxj", ".cdx", ".cdxj.gz", ".cdx.gz")
+STEP = 1 << 16
+RANGE_BYTES = 64 << 20
+RECORDS = "id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
 DATE = "2025-01-01T00:00:00Z"
 # Fixed values of the ZIP and WARC formats.
 END, END64, LOCATOR64, ENTRY, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
@@ -44,8 +53,8 @@ def ranges_of(content) -> Read:
     return lambda at, n: bytes(view[at : at + n])
 
 
-def members(read: Read, size: int) -> dict[str, tuple[int, int]]:
-    """Start and length of every stored member of a ZIP of ``size`` bytes."""
+def members(read: Read, size: int) -> dict[str, tuple[int, int, int]]:
+    """Place of the local header, packed length and method of every member of a ZIP of ``size`` bytes."""
     tail_at = max(0, size - 65557)
     tail = read(tail_at, size - tail_at)
     end = tail.rfind(END)
@@ -69,19 +78,22 @@ def members(read: Read, size: int) -> dict[str, tuple[int, int]]:
         packed, full = struct.unpack("<2I", directory[at + 20 : at + 28])
         name_n, extra_n, comment_n = struct.unpack("<3H", directory[at + 28 : at + 34])
         (header,) = struct.unpack("<I", directory[at + 42 : at + 46])
-        name = directory[at + 46 : at + 46 + name_n].decode()
+        name = directory[at + 46 : at + 46 + name_n].decode(errors="replace")
         extra = directory[at + 46 + name_n : at + 46 + name_n + extra_n]
         packed, header = _wide(extra, full, packed, header)
-        if method != 0:
-            raise ValueError(f"{name} is not stored")
-        local = read(header, 30)
-        if local[:4] != LOCAL:
-            raise ValueError(f"{name} has no local header")
-        out[name] = (header + 30 + sum(struct.unpack("<2H", local[26:30])), packed)
+        out[name] = (header, packed, method)
         at += 46 + name_n + extra_n + comment_n
     return out
 
 
+def _start(read: Read, name: str, header: int) -> int:
+    """Where a member's data begins."""
+    local = read(header, 30)
+    if local[:4] != LOCAL:
+        raise ValueError(f"{name} has no local header")
+    return header + 30 + sum(struct.unpack("<2H", local[26:30]))
+
+
 def _wide(extra: bytes, full: int, packed: int, header: int) -> tuple[int, int]:
     """Packed size and header offset, from the ZIP64 field where the directory's are full."""
     at = 0
@@ -100,8 +112,8 @@ def _wide(extra: bytes, full: int, packed: int, header: int) -> tuple[int, int]:
 
 def _headers(block: bytes) -> tuple[str, dict[str, str], bytes]:
     head, _, rest = block.partition(b"\r\n\r\n")
-    first, *lines = head.decode().split("\r\n")
-    return first, {k.lower(): v for k, _, v in (x.partition(": ") for x in lines)}, rest
+    first, *lines = head.decode(errors="replace").split("\r\n")
+    return first, {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}, rest
 
 
 def record_bytes(page_id: str, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
@@ -134,17 +146,118 @@ def package(records: list[bytes], index: list[dict], zip64: bool = False) -> byt
     return out.getvalue()
 
 
-def read_package(read: Read, size: int) -> Iterator[tuple[dict[str, str], int, bytes | None]]:
-    """WARC headers, payload length and payload (None for a revisit) of every indexed record."""
+def _index_lines(read: Read, name: str, header: int, packed: int, method: int) -> Iterator[dict]:
+    data = read(_start(read, name, header), packed)
+    if method == 8:
+        data = zlib.decompress(data, -15)
+    elif method:
+        raise ValueError(f"{name} is packed with method {method}")
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
+    for line in data.decode().splitlines():
+        if not line.strip() or line.startswith("!"):
+            continue
+        brace = line.find("{")
+        if brace < 0:
+            raise ValueError(f"{name}: not a JSON index line")
+        yield json.loads(line[brace:])
+
+
+def entries(read: Read, size: int) -> list[tuple[int, int, bool]]:
+    """Start, length and whether to walk it: ranges of all indexed records, and what no index line covers."""
     found = members(read, size)
-    start, length = found[ARCHIVE]
-    for line in read(*found[INDEX]).decode().splitlines():
-        at = json.loads(line)
-        if at["offset"] + at["length"] > length:
-            raise ValueError("index points outside the archive")
-        _, head, rest = _headers(gzip.decompress(read(start + at["offset"], at["length"])))
-        _, http, payload = _headers(rest[: int(head["content-length"])])
-        yield head, int(http["content-length"]), payload if head["warc-type"] == "response" else None
+    held = {}
+    for name, (header, packed, method) in found.items():
+        if name.startswith("archive/") and name.endswith(ARCHIVES):
+            if method != 0:
+                raise ValueError(f"{name} is not stored")
+            held[name] = (_start(read, name, header), packed)
+    ranges: dict[str, dict[int, int]] = {name: {} for name in held}
+    for name, place in found.items():
+        if not (name.startswith("indexes/") and name.endswith(INDEXES)):
+            continue
+        for line in _index_lines(read, name, *place):
+            of = line.get("filename")
+            if of is None and len(held) != 1:
+                raise ValueError(f"{name} names no archive member")
+            of = next(iter(held)) if of is None else of if of in held else f"archive/{of}"
+            if of not in held:
+                raise ValueError(f"{name} names {of}, which is not in the package")
+            offset, length = int(line["offset"]), int(line["length"])
+            if offset + length > held[of][1]:
+                raise ValueError("index points outside the archive")
+            ranges[of][offset] = length
+    out = []
+    for name, (start, length) in held.items():
+        upto = 0
+        for at, n in [*sorted(ranges[name].items()), (length, 0)]:
+            if at > upto:
+                out.append((start + upto, at - upto, True))
+            if n:
+                out.append((start + at, n, False))
+            upto = max(upto, at + n)
+    return out
+
+
+def _walk(read: Read, start: int, length: int) -> Iterator[bytes]:
+    """The records of a whole archive member, one after the other."""
+    at = 0
+    while at < length:
+        if read(start + at, 2) == b"\x1f\x8b":
+            unpack, parts, pos = zlib.decompressobj(31), [], at
+            while not unpack.eof:
+                chunk = read(start + pos, min(STEP, length - pos))
+                if not chunk:
+                    raise ValueError("archive ends within a record")
+                pos += len(chunk)
+                parts.append(unpack.decompress(chunk))
+            at = pos - len(unpack.unused_data)
+            yield b"".join(parts)
+            continue
+        head, pos = b"", at
+        while b"\r\n\r\n" not in head:
+            chunk = read(start + pos, min(STEP, length - pos))
+            if not chunk:
+                if head.strip(b"\r\n"):
+                    raise ValueError("archive ends within a record")
+                return
+            head, pos = head + chunk, pos + len(chunk)
+        skip = len(head) - len(head.lstrip(b"\r\n"))
+        if skip:
+            at += skip
+            continue
+        n = head.index(b"\r\n\r\n") + 4 + int(_headers(head)[1]["content-length"])
+        if at + n > length:
+            raise ValueError("archive ends within a record")
+        yield read(start + at, n)
+        at += n
+
+
+def _parsed(block: bytes) -> tuple[dict[str, str], int, bytes | None]:
+    """WARC headers, payload length and payload; a record without an HTTP head is its own payload."""
+    _, head, rest = _headers(block)
+    rest = rest[: int(head["content-length"])]
+    kind = head["warc-type"]
+    if kind not in ("response", "revisit") or not rest.startswith(b"HTTP/"):
+        return head, len(rest), None if kind == "revisit" else rest
+    _, http, payload = _headers(rest)
+    if kind == "revisit":
+        return head, int(http.get("content-length", 0)), None
+    return head, int(http.get("content-length", len(payload))), payload
+
+
+def _records(read: Read, start: int, length: int, walk: bool) -> Iterator[tuple[dict[str, str], int, bytes | None]]:
+    if walk:
+        yield from map(_parsed, _walk(read, start, length))
+        return
+    data = read(start, length)
+    yield _parsed(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
+
+
+def read_package(read: Read, size: int) -> Iterator[tuple[dict[str, str], int, bytes | None]]:
+    """WARC headers, payload length and payload (None for a revisit) of every record."""
+    for entry in entries(read, size):
+        yield from _records(read, *entry)
 
 
 def write_packages(
@@ -207,6 +320,43 @@ def write_packages(
     return judged.mapInArrow(write, "path string, content binary")
 
 
+def _matches(digest: str | None, payload: bytes) -> bool:
+    """Whether a labelled digest, base32 or hex, is the payload's; one in an algorithm unknown here is taken as it is."""
+    kind, _, value = (digest or "").partition(":")
+    if kind.replace("-", "").lower() not in ("sha1", "sha256", "sha512", "md5"):
+        return True
+    made = hashlib.new(kind.replace("-", "").lower(), payload).digest()
+    return base64.b32encode(made).decode().rstrip("=") == value.rstrip("=").upper() or made.hex() == value.lower()
+
+
+def _columns(records: Iterator[tuple[str, dict[str, str], int, bytes | None]], with_payload: bool) -> Iterator[pa.RecordBatch]:
+    """Batches of ``RECORDS`` of about 4 MB."""
+    names = [c.split()[0] for c in RECORDS.split(", ")]
+    kinds = {"payload_bytes": pa.int64(), "payload": pa.binary()}
+    out, held = {c: [] for c in names}, 0
+
+    def batch():
+        return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.string())) for c, v in out.items()})
+
+    for path, head, n, payload in records:
+        digest, name = head.get("warc-payload-digest"), head.get("warc-record-id", "")
+        if payload is not None and not _matches(digest, payload):
+            raise ValueError(f"{path}: payload of {name} does not match its digest")
+        url, refers = head.get("warc-target-uri"), head.get("warc-refers-to")
+        out["id"].append(name.removeprefix("<urn:page:").removesuffix(">") or None)
+        out["url"].append(url if url is None else url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%"))
+        out["payload_bytes"].append(n)
+        out["payload_digest"].append(digest and digest.removeprefix("sha1:"))
+        out["record_type"].append(head["warc-type"])
+        out["refers_to"].append(refers and refers.removeprefix("<urn:page:").removesuffix(">"))
+        out["payload"].append(payload if with_payload else None)
+        held += 500 + (len(payload or b"") if with_payload else 0)
+        if held > 4 << 20:
+            yield batch()
+            out, held = {c: [] for c in names}, 0
+    yield batch()
+
+
 def read_records(packages: DataFrame, with_payload: bool = True) -> DataFrame:
     """``id, url, payload_bytes, payload_digest, record_type, refers_to, payload`` of all records.
 
@@ -215,43 +365,65 @@ def read_records(packages: DataFrame, with_payload: bool = True) -> DataFrame:
     null payload and the length and digest of the full one.  Without
     ``with_payload`` payloads are checked but not returned.
     """
-    schema = (
-        "id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
-    )
 
     def run(batches):
         for batch in batches:
             for path, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                out = {c.split()[0]: [] for c in schema.split(", ")}
-                held = 0
                 data = content.as_buffer()
-                for head, n, payload in read_package(ranges_of(data), data.size):
-                    digest = head["warc-payload-digest"].removeprefix("sha1:")
-                    if payload is not None and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                        raise ValueError(f"{path}: payload of {head['warc-record-id']} does not match its digest")
-                    url = head.get("warc-target-uri")
-                    page = head["warc-record-id"].removeprefix("<urn:page:").removesuffix(">")
-                    out["id"].append(page or None)
-                    out["url"].append(
-                        url if url is None else url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
-                    )
-                    out["payload_bytes"].append(n)
-                    out["payload_digest"].append(digest)
-                    out["record_type"].append(head["warc-type"])
-                    refers = head.get("warc-refers-to")
-                    out["refers_to"].append(refers and refers.removeprefix("<urn:page:").removesuffix(">"))
-                    out["payload"].append(payload if with_payload else None)
-                    held += len(payload or b"") if with_payload else 0
-                    if held > 4 << 20:
-                        yield _batch(out)
-                        out, held = {c: [] for c in out}, 0
-                yield _batch(out)
-
-    def _batch(out):
-        kinds = {"payload_bytes": pa.int64(), "payload": pa.binary()}
-        return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.string())) for c, v in out.items()})
+                yield from _columns(((path, *x) for x in read_package(ranges_of(data), data.size)), with_payload)
+
+    return packages.mapInArrow(run, RECORDS)
+
+
+def _open(path: str) -> tuple[Read, int]:
+    """Range reads of a file at a path or URI that Arrow's file systems know."""
+    if path.startswith("file:"):
+        path = unquote(urlsplit(path).path)
+    system, name = (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
+    file = system.open_input_file(name)
+
+    def read(at, n):
+        file.seek(at)
+        return file.read(n)
+
+    return read, file.size()
 
-    return packages.mapInArrow(run, schema)
+
+def read_files(paths: DataFrame, with_payload: bool = True) -> DataFrame:
+    """:func:`read_records` of the packages at ``path``, each task seeking to its own records.
+
+    Only directories and indexes are read whole, so files may be of any size
+    (ZIP64).  Every worker must reach the paths.  A stretch that no index line
+    covers is one task's work.
+    """
+
+    def list_entries(batches):
+        for batch in batches:
+            for path in batch["path"].to_pylist():
+                found = entries(*_open(path))
+                for a in range(0, len(found), 100_000):
+                    at, n, walk = zip(*found[a : a + 100_000], strict=True)
+                    yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(at)), "at": at, "n": n, "walk": walk})
+
+    spread = paths.select("path").repartition(paths.sparkSession.sparkContext.defaultParallelism)
+    found = cut(spread.mapInArrow(list_entries, "path string, at long, n long, walk boolean"), "warc-entries")
+    total = found.agg(F.sum("n")).first()[0] or 0
+    tasks = max(paths.sparkSession.sparkContext.defaultParallelism, -(-total // RANGE_BYTES))
+    dealt = found.repartitionByRange(tasks, "path", "at").sortWithinPartitions("path", "at")
+
+    def run(batches):
+        def records():
+            here, read = None, None
+            for batch in batches:
+                for path, at, n, walk in zip(*(batch[c].to_pylist() for c in ("path", "at", "n", "walk")), strict=True):
+                    if path != here:
+                        here, (read, _) = path, _open(path)
+                    for x in _records(read, at, n, walk):
+                        yield path, *x
+
+        yield from _columns(records(), with_payload)
+
+    return dealt.mapInArrow(run, RECORDS)
 
 
 def round_trip(pages: DataFrame, with_payload: bool = True, **options) -> DataFrame:

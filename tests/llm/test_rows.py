@@ -221,6 +221,65 @@ def test_zip64_directory_is_followed():
         warc.members(warc.ranges_of(b"no zip"), 6)
 
 
+def records_of(names):
+    return [warc.record_bytes(n, f"http://x/{n}", f"page {n}".encode(), sha_of(f"page {n}"), None) for n in names]
+
+
+def sha_of(text):
+    import base64
+    import hashlib
+
+    return base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+
+
+def write_foreign(file):
+    """Three archive members, one not in the index, one not compressed; CDXJ lines with keys; other members deflated."""
+    import json
+
+    packed = {"archive/a.warc.gz": [gzip.compress(x) for x in records_of("ab")], "archive/b.warc.gz": [gzip.compress(x) for x in records_of("cd")],
+              "archive/e.warc": records_of("ef")}
+    lines = "!meta {}\n" + "".join(
+        f"com,x)/{n} 20250101000000 " + json.dumps({"offset": str(sum(map(len, v[:i]))), "length": str(len(x)), "filename": n.partition("/")[2]}) + "\n"
+        for n, v in packed.items() if n != "archive/b.warc.gz" for i, x in enumerate(v)
+    )
+    with zipfile.ZipFile(file, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("datapackage.json", "{}" * 99, zipfile.ZIP_DEFLATED)
+        z.writestr("indexes/extra.cdxj", lines, zipfile.ZIP_DEFLATED)
+        for name, v in packed.items():
+            z.writestr(name, b"".join(v))
+
+
+def test_packages_of_other_writers(spark, tmp_path):
+    held = io.BytesIO()
+    write_foreign(held)
+    df = spark.createDataFrame([("p", held.getvalue())], "path string, content binary")
+    want = sorted((x, f"http://x/{x}", f"page {x}".encode()) for x in "abcdef")
+    assert sorted((r["id"], r["url"], bytes(r["payload"])) for r in warc.read_records(df).collect()) == want
+    # A file beyond 4 GB (sparse), of which only the ranges are read.
+    path = tmp_path / "big file.wacz"
+    with path.open("wb") as f:
+        f.seek(5 << 30)
+        write_foreign(f)
+    for uri in (str(path), "file:" + str(path).replace(" ", "%20")):
+        got = warc.read_files(spark.createDataFrame([(uri,)], "path string"))
+        assert sorted((r["id"], r["url"], bytes(r["payload"])) for r in got.collect()) == want
+    assert warc.read_files(spark.createDataFrame([], "path string")).count() == 0
+
+
+def test_uncompressed_member_without_index_is_walked():
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        z.writestr("archive/x.warc", b"".join(records_of("abc")))
+    data = held.getvalue()
+    assert [p for _, _, p in warc.read_package(warc.ranges_of(data), len(data))] == [b"page a", b"page b", b"page c"]
+
+
+def test_records_missing_from_the_index_are_read():
+    records = [gzip.compress(x) for x in records_of("abcd")]
+    data = warc.package(records, [{"offset": len(records[0]), "length": len(records[1])}])
+    assert [p for _, _, p in warc.read_package(warc.ranges_of(data), len(data))] == [f"page {x}".encode() for x in "abcd"]
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a/1", "same"), (2, "http://a/2", "same"), (3, "x\r\ny%41", "é" * 50_000), (4, None, None), (5, "e", ""), (2, "again", "same"),
             (None, "n", "same"), (None, "n", "alone")]
