@@ -27,22 +27,35 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents: the one with the smallest id.
+    """One row of each group of linked documents, of the smallest id; of that id's rows the one with the least text hash.
 
-    Rows that repeat an id are one document, of which one row stays; rows with
-    a null id stay.
+    Rows that repeat an id are documents of their own: one goes only when its
+    text equals or is linked to that of a row that stays.  Of rows with equal
+    id and text the least (source, lang, n_chars) stays.  Rows with a null id
+    stay; texts without words are compared for equality only.
     """
     bounded_batches(spark)
     docs = docs.select(*COLUMNS)
-    found = ngram_join.jaccard_components(docs).where("doc_id is not null")
-    judged = found.groupBy("doc_id").agg(
-        F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("rows")
+    found = ngram_join.jaccard_components(docs, with_keys=True).where("doc_id is not null")
+    # Rows of one id and text are in one group.
+    texts = cut(
+        found.groupBy("doc_id", "text_key").agg(
+            *[F.min(c).alias(c) for c in ("n_shingles", "component_id", "group_key")], F.count("*").alias("rows")
+        ),
+        "document-texts",
     )
-    special = cut(judged.where("not stays or rows > 1").select(F.col("doc_id").alias("id"), "stays"), "duplicates")
-    clear, maybe = by_membership(docs, F.xxhash64("doc_id"), special.select(F.xxhash64("id").alias("key")))
-    some = maybe.join(special.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left")
-    once = some.where("stays").dropDuplicates(["doc_id"])
-    return clear.unionByName(some.where("id is null").select(*COLUMNS)).unionByName(once.select(*COLUMNS))
+    first = texts.where("n_shingles > 0 and doc_id = component_id").groupBy("group_key", "doc_id").agg(F.min("text_key").alias("text_key"))
+    judged = texts.join(first.select("doc_id", "text_key", F.lit(True).alias("is_first")), ["doc_id", "text_key"], "left").select(
+        F.col("doc_id").alias("id"), "text_key", "rows", F.expr("n_shingles = 0 or is_first is not null").alias("stays")
+    )
+    special = cut(judged.where("not stays or rows > 1").drop("rows"), "duplicates")
+    keyed = docs.withColumn("key", F.xxhash64("text"))
+    clear, maybe = by_membership(keyed, F.xxhash64("doc_id", "key"), special.select(F.xxhash64("id", "text_key").alias("key")))
+    same = (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("text_key"))
+    some = maybe.join(special.hint("shuffle_hash"), same, "left")
+    once = some.where("stays").groupBy("doc_id", "text").agg(F.min(F.struct("source", "lang", "n_chars")).alias("r"))
+    once = once.select("doc_id", "text", "r.lang", "r.source", "r.n_chars")
+    return clear.select(*COLUMNS).unionByName(some.where("id is null").select(*COLUMNS)).unionByName(once)
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

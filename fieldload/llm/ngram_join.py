@@ -145,10 +145,12 @@ def majors(members: DataFrame) -> DataFrame:
 class JaccardJoin:
     """One run of the join over ``docs``; see :func:`jaccard_components`."""
 
-    def __init__(self, docs, id_col, text_col, n_words, num, den):
+    def __init__(self, docs, id_col, text_col, n_words, num, den, with_keys=False):
         self.spark = docs.sparkSession
         self.n_words, self.num, self.den = n_words, num, den
-        self.docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        key = [F.xxhash64(text_col).alias("text_key")] if with_keys else []
+        self.keys = ["text_key"] if with_keys else []
+        self.docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *key)
         self.id_type = self.docs.schema["id"].dataType.simpleString()
         size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 1
         bits = min(max(round(math.log2(size / 6 / GRAMS_A_CELL + 1)), SKETCH_BITS[0]), SKETCH_BITS[1])
@@ -181,7 +183,8 @@ class JaccardJoin:
         return df.mapInArrow(run, schema)
 
     def nodes(self) -> DataFrame:
-        """``id, n, node`` of every row."""
+        """``id, n, node`` of every row, and its ``text_key`` if asked for."""
+        keys = self.keys
 
         def emit(batch, words, values, off, node):
             yield pa.RecordBatch.from_pydict(
@@ -190,9 +193,11 @@ class JaccardJoin:
                     "n": pa.array(np.diff(off)),
                     "node": pa.array(node.view(np.int64)),
                 }
+                | {c: batch[c].slice(words.lo, words.hi - words.lo) for c in keys}
             )
 
-        return cut(self._each(self.docs, emit, f"id {self.id_type}, n long, node long"), "sets")
+        schema = ", ".join([f"id {self.id_type}, n long, node long", *(f"{c} long" for c in keys)])
+        return cut(self._each(self.docs, emit, schema), "sets")
 
     def groups(self, buckets: int) -> DataFrame:
         """``gram, node, n, size``: members of prefix n-grams; the group's ``size`` is null for frequent ones."""
@@ -335,7 +340,8 @@ class JaccardJoin:
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, num: int = 75, den: int = 100
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, num: int = 75, den: int = 100,
+    with_keys: bool = False,
 ) -> DataFrame:
     """``id, n_shingles, component_id`` of every row of ``docs``.
 
@@ -346,8 +352,10 @@ def jaccard_components(
     text is an empty set, linked with nothing.  A row with a null id keeps its
     size, links with nothing and has a null component.  Rows that repeat an id
     are documents of their own with one name.  Other columns are ignored.
+    ``with_keys`` adds ``text_key``, the xxhash64 of the row's text, and
+    ``group_key``, which rows have in common exactly when links join them.
     """
-    join = JaccardJoin(docs, id_col, text_col, n_words, num, den)
+    join = JaccardJoin(docs, id_col, text_col, n_words, num, den, with_keys)
     buckets = int(join.spark.conf.get("spark.sql.shuffle.partitions"))
     nodes = join.nodes()
     named = nodes.where("id is not null and n > 0")
@@ -393,10 +401,11 @@ def jaccard_components(
     upper = upper.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
     comp = known.join(upper, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
 
-    rows = nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"))
+    rows = nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *join.keys)
     least = rows.where("id is not null and n > 0").groupBy("comp").agg(F.min("id").alias("component_id"))
     return rows.join(least, "comp", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))).alias("component_id"),
+        *(["text_key", F.col("comp").alias("group_key")] if with_keys else []),
     )

@@ -69,6 +69,24 @@ def test_planted_cases(spark):
     assert len(mix) == len(left) and all(r["taken"] <= 3 * r["size"] for r in mix)
 
 
+def test_rows_of_one_id_with_unlike_texts_stay(spark):
+    """Only rows that equal or link with a kept row go, whatever the row order."""
+    rng = random.Random(9)
+    a, b, c, d = (words(rng, 80) for _ in range(4))
+    near = " ".join([*a.split()[:40], "changed", *a.split()[41:]])
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (1, b, "de", "s", 1), (2, b, "en", "s", 1), (3, near, "en", "s", 1), (3, c, "en", "s", 1),
+            (4, d, "en", "t", 1), (4, d.upper(), "en", "t", 1), (5, "", "en", "s", 0), (5, "", "en", "s", 0), (5, " ", "en", "s", 1), (None, a, "en", "s", 1)]
+    found = []
+    for some in (rows, rows[::-1]):
+        docs = spark.createDataFrame(some, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+        found.append(sorted((tuple(r) for r in dict(corpus_pipeline.STAGES)["ngram_jaccard"](spark, docs, SF).collect()), key=str))
+    assert found[0] == found[1]
+    kept = [r[:3] for r in found[0]]
+    want = [(1, a, "en"), (1, b, "de"), (3, c, "en"), (5, "", "en"), (5, " ", "en"), (None, a, "en")]
+    assert sorted((r for r in kept if r[0] != 4), key=str) == sorted(want, key=str)
+    assert [r[1].lower() for r in kept if r[0] == 4] == [d]
+
+
 def test_stages_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
