@@ -28,6 +28,8 @@ SHAPES = 6
 WIDTH = (1 << CELL_BITS) + SHAPES * 8
 # Bounds of a strength: a level never counts for less or more documents.
 STRENGTH = (1.0, 10_000.0)
+HOST = "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
+DIRECTORY = "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*/|/)"
 
 
 def _features(words: text.Words, odd: np.ndarray, caps: np.ndarray):
@@ -176,6 +178,7 @@ def classify(
     path_col: str = "lang",
     label_col: str = "quality",
     sample: int = 20_000,
+    url_col: str = "url",
 ) -> DataFrame:
     """``id, evidence, host_rate, path_rate, probability, good`` of every row.
 
@@ -184,11 +187,17 @@ def classify(
     host and path.  Null text reads as empty (evidence 0); null hosts and
     paths are a host and a path like others; rows repeat as they come.  With
     no labels every evidence is 0 and every rate one half.
+
+    Where ``docs`` has a ``url_col``, the host is the URL's and the path its
+    directory (up to the last slash, without query).  Otherwise ``host_col``
+    and ``path_col`` stand for them.
     """
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(host_col).cast("string").alias("host"),
-        F.col(path_col).cast("string").alias("path"),
-    )
+    if url_col in docs.columns:
+        host = F.lower(F.regexp_extract(url_col, HOST, 1))
+        path = F.regexp_extract(url_col, DIRECTORY, 1)
+    else:
+        host, path = F.col(host_col).cast("string"), F.col(path_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), host.alias("host"), path.alias("path"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
     model = fit(rows, known, sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -59,6 +59,7 @@ def op4_chat_format(spark, sf_dir):
 
 
 def op5_quality_bayes(spark, sf_dir):
+    """Documents have no URL: ``source`` stands for the host and ``lang`` for the path within it."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

@@ -324,6 +324,17 @@ def test_quality_on_held_out_labels(spark):
     assert hits[1] > 0.95 and hits[0] > 0.8, hits
 
 
+def test_quality_levels_come_from_urls(spark):
+    urls = [("good", "http://A.com/x/{i}?q=/z/"), ("junk", "http://a.com/y/{i}"), ("good", "http://b.com/x/{i}#/y/")]
+    docs = [(1000 * k + i, f"{w} {w} words", u.format(i=i), "same", "same") for k, (w, u) in enumerate(urls) for i in range(60)]
+    df = spark.createDataFrame([*docs, (9000, "good words", None, None, None)], "doc_id long, text string, url string, source string, lang string")
+    labels = spark.createDataFrame([(1000 * k + i, int(urls[k][0] == "good")) for k in range(3) for i in range(30)], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in quality.classify(df, labels).collect()}
+    assert len(got) == len(docs) + 1
+    assert [len({got[1000 * k + i]["path_rate"] for i in range(60)}) for k in range(3)] == [1, 1, 1]
+    assert got[0]["host_rate"] == got[1000]["host_rate"] < got[2000]["host_rate"] and got[1000]["path_rate"] < got[0]["path_rate"]
+
+
 def test_quality_shrinks_sparse_sites(spark):
     docs = [(i, "fine words here", "big", "a") for i in range(200)] + [(1000, "fine words here", "small", "a"), (None, None, None, None), (7, "", "big", "b")]
     docs += [(2000 + i, "junk junk junk", "bad", "a") for i in range(200)]
