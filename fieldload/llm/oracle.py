@@ -126,6 +126,93 @@ SELECT page_id, n AS payload_bytes, array_to_string(list_transform(range(0, 32),
 FROM h
 """
 
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+w AS MATERIALIZED (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+grid AS MATERIALIZED (SELECT g.lang, g.source, term, total, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 1)
+    // (sum(coalesce(n, 0)) OVER (PARTITION BY g.lang, g.source) + count(*) OVER (PARTITION BY g.lang, g.source)) AS p
+  FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+l AS (SELECT lang, term, 1 + 1000000000 * (total + 1) // (sum(total) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q FROM kept),
+pairs AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value
+  FROM (SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source)
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) USING (lang, source, item)),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM grid JOIN l USING (lang, term) WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 200
+"""
+
+# CRC-32 byte by byte; T is the table of its 256 one-byte remainders.
+CRC_TABLE = """tab AS MATERIALIZED (SELECT list(v ORDER BY i) AS T FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::BIGINT)),
+  lambda c, b: xor(c >> 8, T[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+OP12 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+d AS MATERIALIZED (SELECT doc_id, (octet_length(encode(coalesce(text, ''))) + 8)::BIGINT AS size, {_crc32("coalesce(text, '')")} AS crc FROM documents, tab),
+k AS (SELECT *, md5(coalesce(doc_id::VARCHAR, '') || '|' || size || '|' || crc || '|' || row_number() OVER (PARTITION BY doc_id, size, crc)) AS key FROM d),
+r AS MATERIALIZED (SELECT *, ('0x' || substr(key, 1, 8))::BIGINT % 4096 AS home FROM k),
+m AS (SELECT home, home % 24 AS shard, coalesce(bytes, 0) AS bytes FROM range(4096) h(home) LEFT JOIN (SELECT home, sum(size) AS bytes FROM r GROUP BY home) USING (home)),
+j AS MATERIALIZED (SELECT *, sum(bytes) OVER (PARTITION BY shard ORDER BY bytes DESC, home ROWS UNBOUNDED PRECEDING) * 24 > sum(bytes) OVER ()
+    AND row_number() OVER (PARTITION BY shard ORDER BY bytes DESC, home) > 1 AND bytes > 0 AS freed FROM m),
+f AS MATERIALIZED (SELECT home, bytes, row_number() OVER (ORDER BY bytes DESC, home) AS nth FROM j WHERE freed),
+deal(nth, loads, home, shard) AS (
+  SELECT 0::BIGINT, list(b ORDER BY shard), NULL::BIGINT, NULL::BIGINT FROM (SELECT shard, sum(CASE WHEN freed THEN 0 ELSE bytes END) AS b FROM j GROUP BY shard)
+  UNION ALL SELECT f.nth, list_transform(loads, lambda x, i: CASE WHEN i = list_position(loads, list_min(loads)) THEN x + bytes ELSE x END),
+    f.home, list_position(loads, list_min(loads)) - 1 FROM deal JOIN f ON f.nth = deal.nth + 1),
+s AS MATERIALIZED (SELECT j.home, coalesce(deal.shard, j.shard)::INT AS shard FROM j LEFT JOIN deal USING (home))
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY home, substr(key, 9), doc_id NULLS FIRST, size, crc) - 1 AS slot,
+  NULL::INT AS grown_shard, home
+FROM r JOIN s USING (home)
+"""
+
+_FIELDS = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR)) || ':' || {c} END" for c in ("doc_id", "source", "lang", "n_chars", "text")
+)
+
+
+def _levels(leaves: str) -> str:
+    """All nodes (level, tree, pos, n nodes of that level, value); a level of one node is the last."""
+    return f"""SELECT 0 AS level, tree, pos, n, value FROM {leaves} UNION ALL SELECT level + 1, tree, pos // 16, (n + 15) // 16, sha256(string_agg(value, '' ORDER BY pos))
+  FROM {{}} WHERE n > 1 GROUP BY level, tree, pos // 16, n"""
+
+
+def _paths(leaves: str, nodes: str) -> str:
+    """Left and right siblings of every leaf, level by level."""
+    return f"""SELECT tree, pos, list({{'l': l, 'r': r, 'v': ''}} ORDER BY level) AS path FROM (
+    SELECT a.tree, a.pos, b.level, coalesce(string_agg(CASE WHEN b.pos < a.pos // (16 ** b.level)::BIGINT THEN b.value END, '' ORDER BY b.pos), '') AS l,
+      coalesce(string_agg(CASE WHEN b.pos > a.pos // (16 ** b.level)::BIGINT THEN b.value END, '' ORDER BY b.pos), '') AS r
+    FROM {leaves} a JOIN {nodes} b ON a.tree = b.tree AND b.n > 1 AND b.pos // 16 = a.pos // (16 ** (b.level + 1))::BIGINT GROUP BY ALL) GROUP BY tree, pos"""
+
+
+OP13 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+o AS MATERIALIZED (SELECT *, sha256({_FIELDS}) AS value, CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0
+    THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed FROM documents, tab),
+x AS (SELECT doc_id, source, value, (SELECT sha256({_FIELDS}) FROM (SELECT o.doc_id, o.source, o.lang, o.n_chars, o.changed AS text)) AS other FROM o),
+leaf AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, value) - 1 AS pos,
+  count(*) OVER (PARTITION BY source) AS n FROM x),
+node AS ({_levels("leaf").format("node")}),
+sub AS MATERIALIZED (SELECT 0 AS tree, tree AS pos, count(*) OVER () AS n, value FROM node WHERE n = 1),
+top AS ({_levels("sub").format("top")}),
+own AS MATERIALIZED ({_paths("leaf", "node")}),
+up AS MATERIALIZED ({_paths("sub", "top")}),
+p AS MATERIALIZED (SELECT leaf.*, sub.value AS subroot, (SELECT value FROM top WHERE n = 1) AS root, coalesce(own.path, []) || coalesce(up.path, []) AS path
+  FROM leaf JOIN sub ON sub.pos = leaf.tree LEFT JOIN own ON own.tree = leaf.tree AND own.pos = leaf.pos LEFT JOIN up ON up.pos = leaf.tree),
+q AS (SELECT *, list_reduce(list_prepend({{'l': '', 'r': '', 'v': other}}, path), lambda a, b: {{'l': '', 'r': '', 'v': sha256(b.l || a.v || b.r)}}).v AS folded_root FROM p)
+SELECT doc_id, value AS leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root,
+  folded_root = root AS verified FROM q
+"""
+
 STATEMENTS: dict[str, str] = {
     "op1_source_mix": OP1,
     "op2_topk_search": OP2,
@@ -134,4 +221,7 @@ STATEMENTS: dict[str, str] = {
     "op7_substring_dedup": OP7,
     "op9_decontamination": OP9,
     "op10_warc_zip": OP10,
+    "op11_source_divergence": OP11,
+    "op12_sharding": OP12,
+    "op13_merkle_manifest": OP13,
 }

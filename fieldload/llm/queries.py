@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, mixing, ngram_join, quality, site_style, substrings, topk, warc
+from . import chat, decontaminate, divergence, langid, merkle, mixing, ngram_join, quality, shards, site_style, substrings, topk, warc
 
 # Rows reach Python in batches of about this many bytes (one row at least), so
 # that batches of long texts stay small whatever the row count.
@@ -98,6 +98,22 @@ def op10_warc_zip(spark, sf_dir):
     )
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark, sf_dir):
+    out = shards.shard(table(spark, sf_dir, "documents"), shards=24)
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home"
+    )
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    out = merkle.manifest(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_topk_search": op2_topk_search,
@@ -109,4 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_warc_zip": op10_warc_zip,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_sharding": op12_sharding,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
