@@ -149,7 +149,12 @@ prior_revision AS (
 """
 
 
-def import_ctes(requested: str, single: bool = False) -> str:
+# Fixture files: images that are not landed; images that cannot be read and have no target yet.
+EVENT = "CAST(r.image_id AS BIGINT)"
+NOT_LANDED, UNREADABLE = f"{EVENT} % 89 = 0", f"{EVENT} % 97 = 0 AND {EVENT} % 83 <> 0"
+
+
+def import_ctes(requested: str, single: bool = False, files: bool = False) -> str:
     """The import rules as CTEs over ``requested`` (a query giving ``ds_id``)."""
     # One dataset after another by key: its first timeseries nobody has taken.
     attempted = (
@@ -225,7 +230,8 @@ img AS (
          NOT coalesce(json_valid(m.exif), false)
            OR (NULLIF(m.predicted_at, '') IS NOT NULL
                AND TRY_CAST(NULLIF(m.predicted_at, '') AS TIMESTAMPTZ) IS NULL)
-           OR m.predicted_boxes IS NULL AS image_error
+           OR m.predicted_boxes IS NULL OR {NOT_LANDED if files else "false"} AS early_error,
+         early_error OR ({UNREADABLE if files else "false"}) AS image_error
   FROM ts_refs r JOIN images_metadata m ON m.id = r.image_id
   WHERE r.ts_id IN (SELECT ts_id FROM fresh)),
 box0 AS (
@@ -294,8 +300,8 @@ def _with(body: str, *extra: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{body}"
 
 
-def _imp(body: str, requested: str = ALL_IDS, single: bool = False) -> str:
-    return _with(body, import_ctes(requested, single))
+def _imp(body: str, requested: str = ALL_IDS, single: bool = False, files: bool = False) -> str:
+    return _with(body, import_ctes(requested, single, files))
 
 
 def _purge(body: str) -> str:
@@ -449,15 +455,21 @@ JOIN (SELECT CAST(e AS VARCHAR) AS image_id, CAST(32 + 8 * (e % 4) AS DOUBLE) AS
 WHERE b.blur AND b.ts_id IN (SELECT ts_id FROM committed)"""),
         "file_state": _imp("""
 SELECT i.image_id AS ext_id, i.ts_id AS timeseries_ext_id, i.image_index AS sequence_index, i.file,
-       i.file IN (SELECT file FROM prior_image) AS target_exists
-FROM img i JOIN committed c ON c.ts_id = i.ts_id"""),
+       CAST(i.image_id AS BIGINT) % 83 = 0 AND CAST(i.image_id AS BIGINT) % 89 <> 0 AS target_exists
+FROM img i JOIN committed c ON c.ts_id = i.ts_id""", files=True),
+        "import_files": _imp("SELECT ds_id, outcome, timeseries, images, errors FROM outcome", files=True),
+        "stored_files": _imp("""
+SELECT 'processed/tsimages/imported/' || e AS path FROM ev WHERE e % 83 = 0 AND e % 89 <> 0
+UNION
+SELECT file FROM img WHERE CAST(image_id AS BIGINT) % 97 <> 0
+  AND ts_id NOT IN (SELECT ts_id FROM img WHERE early_error UNION SELECT ts_id FROM box_err WHERE box_error)""", files=True),
         "redact_images": _imp("""
 SELECT s.image_id, s.height, s.width, CAST(count(DISTINCT b.box_index) AS INTEGER) AS n_regions, true AS outside_same
-FROM (SELECT DISTINCT i.image_id FROM img i JOIN committed c ON c.ts_id = i.ts_id) m
+FROM (SELECT DISTINCT i.image_id FROM img i JOIN committed c ON c.ts_id = i.ts_id WHERE CAST(i.image_id AS BIGINT) % 83 <> 0) m
 JOIN (SELECT CAST(e AS VARCHAR) AS image_id, CAST(32 + 8 * (e % 4) AS INTEGER) AS width,
              CAST(24 + 8 * (e % 3) AS INTEGER) AS height FROM ev) s ON s.image_id = m.image_id
 LEFT JOIN (SELECT * FROM box_err WHERE blur AND ts_id IN (SELECT ts_id FROM committed)) b ON b.image_id = m.image_id
-GROUP BY ALL"""),
+GROUP BY ALL""", files=True),
         "ordered_images": _with("""
 SELECT r.ts_id, r.image_index, r.image_id FROM ts_refs r JOIN images_metadata m ON m.id = r.image_id"""),
         "timestamp_forms": _with("""

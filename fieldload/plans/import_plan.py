@@ -32,7 +32,9 @@ from ..operators.labels import prepared
 from ..operators.stage import collect as stage_tables
 from ..operators.stage import cut, remove
 from ..operators.select import first_free, listed, not_loaded, owner, prior_pairs, project_rows
+from ..sources.files import list_files
 from ..sources.tables import Sources, State
+from . import redact as rd
 from . import targets as tg
 
 # Dataset outcomes; the last two count as failed in a range run.
@@ -68,6 +70,7 @@ class Plan:
     run_ts: str
     state: State
     stages: tuple[str, ...] = ()  # stage tables this plan reads
+    jobs: DataFrame | None = None  # images this run stored or tried to (with files)
 
 
 def gate_datasets(src: Sources, state: State, ids: DataFrame) -> DataFrame:
@@ -113,21 +116,27 @@ def plan_import(
     run_ts: str,
     single: bool = False,
     file_state: DataFrame | None = None,
+    files: rd.ImageFiles | None = None,
 ) -> Plan:
     """Plan the import of every project id in ``ids`` (first column).
 
     ``file_state``: optional ``(image_id, target_exists, source_readable)``;
     without it no target file exists yet and every source is readable.
+
+    ``files``: store the images of the timeseries that would load, those with a
+    target file excepted.  The state of files is then read from the listings,
+    and an image that is not landed or cannot be stored fails its timeseries.
+    Stored images stay, also those of a timeseries that fails.
     """
     with stage_tables() as created:
         try:
-            return _plan_import(src, state, ids, run_ts, single, file_state, created)
+            return _plan_import(src, state, ids, run_ts, single, file_state, files, created)
         except Exception:
             remove(src.projects.sparkSession, created)
             raise
 
 
-def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
+def _plan_import(src, state, ids, run_ts, single, file_state, files, created) -> Plan:
     dictionary = prepared(src.labels)
     # Per requested project: read by the candidate set, outcomes and new rows.
     datasets = _cut(gate_datasets(src, state, ids), "datasets")
@@ -181,6 +190,9 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
     needed = refs.select(F.col("image_id").alias("id")).where(F.col("id").isNotNull()).distinct()
     meta = image_metadata(narrowed(src.images_metadata, needed, "id"))
     images = tg.image_rows(refs, meta)
+    if files is not None:
+        wanted = refs.select("image_id").where(F.col("image_id").isNotNull())
+        file_state = rd.file_inputs(wanted, list_files(src.projects.sparkSession, files.root), files.landed)
     if file_state is not None:
         fs = file_state.select("image_id", "target_exists", "source_readable")
         images = images.join(fs, "image_id", "left").select(
@@ -209,12 +221,11 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
     )
     # Cut for plain exchanges in its joins.
     ts_errors = _cut(ts_errors, "timeseries-errors")
-    if single:
-        # C4/C17: only the first timeseries that each dataset would create.
-        tried = fresh.join(ts_errors, "ts_id", "left").withColumn("error", F.coalesce("error", F.lit(False)))
-        attempted = first_free(tried)
-    else:
-        attempted = fresh
+    jobs = None
+    attempted = _attempted(fresh, ts_errors, single)
+    if files is not None:
+        jobs, ts_errors = _store(fresh, attempted, images, boxes, ts_errors, single, files)
+        attempted = _attempted(fresh, ts_errors, single)
 
     # 5. owners of error-free attempted timeseries.
     judged = attempted.join(ts_errors, "ts_id", "left").select(
@@ -274,9 +285,41 @@ def _plan_import(src, state, ids, run_ts, single, file_state, created) -> Plan:
         run_ts=run_ts,
         state=state,
         stages=tuple(created),
+        jobs=jobs,
     )
 
 
+def _attempted(fresh: DataFrame, ts_errors: DataFrame, single: bool) -> DataFrame:
+    """Rows that create or fail: all of ``fresh``, or the first that each dataset would create (C4, C17)."""
+    if not single:
+        return fresh
+    return first_free(fresh.join(ts_errors, "ts_id", "left").withColumn("error", F.coalesce("error", F.lit(False))))
+
+
+def _store(fresh, attempted, images, boxes, ts_errors, single, files) -> tuple[DataFrame, DataFrame]:
+    """Store the images of attempted timeseries; the jobs, and ``ts_errors`` with the timeseries that failed by it.
+
+    With ``single`` a failure can make other picks, whose images are stored in
+    the next round.
+    """
+    jobs = None
+    while True:
+        loads = attempted.select("ts_id").distinct().join(ts_errors.where("error").select("ts_id"), "ts_id", "left_anti")
+        mine = images.join(loads, "ts_id", "left_semi")
+        more = rd.image_jobs(mine, boxes.join(loads, "ts_id", "left_semi"), files)
+        more = _cut(more if jobs is None else more.join(jobs.select("image_id"), "image_id", "left_anti"), "image-jobs")
+        jobs = more if jobs is None else jobs.unionByName(more)
+        failed = rd.store_images(more, files.root)
+        if failed.isEmpty():
+            return jobs, ts_errors
+        late = images.join(failed, "image_id", "left_semi").select("ts_id", F.lit(True).alias("late")).distinct()
+        ts_errors = ts_errors.join(late, "ts_id", "left").select("ts_id", (F.col("error") | F.col("late").isNotNull()).alias("error"), "n_images")
+        ts_errors = _cut(ts_errors, "timeseries-errors")
+        if not single:
+            return jobs, ts_errors
+        attempted = _attempted(fresh, ts_errors, single)
+
+
 def range_summary(plan: Plan) -> DataFrame:
     """Totals of a range run (A6): datasets tried and datasets failed."""
     return plan.outcome.agg(

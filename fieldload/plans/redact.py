@@ -1,37 +1,43 @@
-"""Redaction of blurred boxes.
+"""Image output (U2, X9, X15, F11, J12, S10, S11, K8, C-1, C-2, C14).
+
+An import with ``ImageFiles`` stores the images of its timeseries: landed files
+are listed without their content, joined to the images the run needs, and each
+is opened, decoded, blurred and encoded in the one task that writes it.  What
+cannot be stored fails its timeseries, as unreadable sources fail it before.
 
 Rectangles are columns computed by built-ins; only the pixel work runs in
-Python, as Arrow batches through ``mapInPandas`` with numpy.  Image rows use
-the layout of Spark's ``image`` source (height, width, nChannels, data as
-row-major 8-bit channels), so landed files can be read with
-``spark.read.format("image")`` and the output written as Parquet (Spark has
-no image writer).
+Python, as Arrow batches with numpy.  Decoded rows use the layout of Spark's
+``image`` source, which reads formats other than PNG (``read_landed``).
 """
 
 from __future__ import annotations
 
-import re
+import math
 import sys
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.pixels import blur_region, decode, encode_png, pixel_rects
 from ..functions.scalars import pixel_bound
 from ..operators.joins import is_small
-from . import import_plan as ip
+from ..operators.stage import cut
+from ..sources.files import file_system, list_files, read_bytes, write_files
 from .targets import FILE_PREFIX
 
 # The Python steps below run on executors; pickle this module's functions by
 # value so workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Fixed value: box blur radius in pixels.
-BLUR_RADIUS = 50
-
-STORED_SCHEMA = "path string, height int, width int, nChannels int, data binary"
+# Bytes of source files for one task, and of encoded images for one Arrow batch, about.
+TASK_BYTES = 64 << 20
+BATCH_BYTES = 16 << 20
 
 
 def read_landed(spark, path: str) -> DataFrame:
@@ -66,13 +72,6 @@ def blur_regions(blur_boxes: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
-def list_files(spark, root: str) -> DataFrame:
-    """Existing target files under ``root`` (content column pruned by Spark)."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    prefix = "^.*?" + re.escape(root.rstrip("/").split(":", 1)[-1]) + "/"
-    return df.select(F.regexp_replace("path", prefix, "").alias("path"), "length")
-
-
 def file_state(images: DataFrame, listing: DataFrame) -> DataFrame:
     """Whether each image row's target file exists already."""
     return images.join(
@@ -86,32 +85,10 @@ def file_state(images: DataFrame, listing: DataFrame) -> DataFrame:
     )
 
 
-def _box_blur(region: np.ndarray, r: int) -> np.ndarray:
-    """Mean over a (2r+1)^2 window, edges extended, per channel."""
-    out = region.astype(np.float64)
-    for axis in (0, 1):
-        n = out.shape[axis]
-        if n == 0:
-            return region
-        idx = np.clip(np.arange(-r, n + r), 0, n - 1)
-        padded = np.take(out, idx, axis=axis)
-        csum = np.cumsum(padded, axis=axis)
-        zero = np.zeros_like(np.take(csum, [0], axis=axis))
-        csum = np.concatenate([zero, csum], axis=axis)
-        hi = np.take(csum, np.arange(2 * r + 1, n + 2 * r + 1), axis=axis)
-        lo = np.take(csum, np.arange(0, n), axis=axis)
-        out = (hi - lo) / (2 * r + 1)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
-
-
-def apply_regions(px: np.ndarray, rects, radius: int = BLUR_RADIUS) -> np.ndarray:
-    """Blur each rectangle in turn (list order), crop then paste at its corner."""
-    h, w = px.shape[:2]
-    for x0, y0, x1, y1 in rects:
-        xa, ya, xb, yb = max(int(x0), 0), max(int(y0), 0), min(int(x1), w), min(int(y1), h)
-        if xb <= xa or yb <= ya:
-            continue
-        px[ya:yb, xa:xb] = _box_blur(px[ya:yb, xa:xb], radius)
+def apply_regions(px: np.ndarray, rects) -> np.ndarray:
+    """Blur each rectangle in turn (list order)."""
+    for rect in rects:
+        blur_region(px, rect)
     return px
 
 
@@ -169,39 +146,130 @@ def redact_rects(landed: DataFrame, rects: DataFrame, images: DataFrame | None =
     return rows.select("image_id", "height", "width", "nChannels", "data", "rects").mapInPandas(run, schema)
 
 
-def store_images(plan, landed: DataFrame, root: str, run: str) -> DataFrame:
-    """K8, C-1, C-2: store every committed image that has no target yet, regions blurred.
+@dataclass
+class ImageFiles:
+    """Image output of an import: ``landed`` from ``list_landed``, targets below ``root``."""
+
+    landed: DataFrame
+    root: str
+
+
+def list_landed(spark: SparkSession, root: str) -> DataFrame:
+    """Landed files by image id (their name): ``image_id, source, length``.  No file is opened."""
+    files = list_files(spark, root)
+    return files.select(
+        F.element_at(F.split("path", "/"), -1).alias("image_id"), F.concat(F.lit(root.rstrip("/") + "/"), F.col("path")).alias("source"), "length"
+    )
+
 
-    Spark has no image writer, so images are rows ``path, height, width,
-    nChannels, data`` under ``root``.  Each run has a folder of its own that a
-    retry writes anew, and leaves out what earlier runs stored: nothing is
-    stored twice.  ``stored_files`` lists the targets.  Returns the rows of
-    this run.
+def image_jobs(images: DataFrame, boxes: DataFrame, files: ImageFiles) -> DataFrame:
+    """One row for each image to store: ``image_id, file, source, length, boxes``.
+
+    ``images``: rows without a target file; ``boxes``: their box rows, of which
+    the blurred ones are kept in box order (bounded by one metadata row).  An
+    image in several timeseries is one job; of several landed files the least.
     """
-    spark = landed.sparkSession
-    earlier = stored_files(spark, root, but=run)
-    new = ip.committed_images(plan).where(~F.col("target_exists")).select(F.col("ext_id").alias("image_id"), F.col("file").alias("path"))
-    new = new.distinct().join(earlier.select("path"), "path", "left_anti").select("image_id")
-    boxes = plan.boxes.join(plan.committed.select("ts_id"), "ts_id", "left_semi").where("blur and blur_applies")
-    regions = blur_regions(boxes, landed.select("image_id", "width", "height"))
-    stored = redact(landed, regions, new).select(
-        F.concat(F.lit(FILE_PREFIX), F.col("image_id")).alias("path"), "height", "width", "nChannels", "data"
+    wanted = images.where(~F.col("target_exists")).select("image_id", "file").distinct()
+    corners = boxes.where("blur and blur_applies").select("image_id", "box_index", "x_min", "y_min", "x_max", "y_max").distinct()
+    lists = corners.groupBy("image_id").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("box_index", "x_min", "y_min", "x_max", "y_max"))),
+            lambda b: F.array(b["x_min"], b["y_min"], b["x_max"], b["y_max"]),
+        ).alias("boxes")
     )
-    path = f"{root.rstrip('/')}/run={run}"
-    stored.write.mode("overwrite").parquet(path)
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
-
-
-def stored_files(spark, root: str, but: str | None = None) -> DataFrame:
-    """Target files that ``store_images`` wrote (S10): ``path, length``; the pixels are not read."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    runs = [s.getPath() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
-    runs = [p.toString() for p in runs if p.getName().startswith("run=") and p.getName() != f"run={but}"]
-    if not runs:
-        return spark.createDataFrame([], "path string, length long")
-    rows = spark.read.schema(STORED_SCHEMA).parquet(*runs)
-    return rows.select("path", (F.col("height") * F.col("width") * F.col("nChannels")).cast("long").alias("length")).distinct()
+    landed = files.landed.join(wanted.select("image_id"), "image_id", "left_semi").groupBy("image_id").agg(F.min(F.struct("source", "length")).alias("_f"))
+    rows = wanted.join(landed, "image_id", "left").join(lists, "image_id", "left")
+    return rows.select("image_id", "file", "_f.source", "_f.length", "boxes")
+
+
+def _spread(jobs: DataFrame) -> DataFrame:
+    """Jobs dealt by the bytes of their files, on all cores at least (a small shuffle would be coalesced into few tasks)."""
+    total = jobs.agg(F.sum("length")).first()[0] or 0
+    spark = jobs.sparkSession
+    return jobs.repartition(max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES)), "image_id")
+
+
+def encoded(jobs: DataFrame) -> DataFrame:
+    """``path, content`` of every job: the landed image, regions blurred, as PNG; null where it cannot be read."""
+
+    def store(source, boxes):
+        if source is None:
+            return None
+        try:
+            px = decode(read_bytes(source))
+        except (OSError, ValueError):
+            return None
+        px = px.copy()
+        for rect in pixel_rects(boxes or [], px.shape[1], px.shape[0]):
+            blur_region(px, rect)
+        return encode_png(px)
+
+    def batch(paths, contents):
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+
+    def run(batches):
+        paths, contents, size = [], [], 0
+        for rows in batches:
+            for path, source, boxes in zip(*(rows.column(c).to_pylist() for c in ("file", "source", "boxes")), strict=True):
+                paths.append(path)
+                contents.append(store(source, boxes))
+                size += len(contents[-1] or b"")
+                if size > BATCH_BYTES:
+                    yield batch(paths, contents)
+                    paths, contents, size = [], [], 0
+        yield batch(paths, contents)
+
+    return _spread(jobs.select("image_id", "file", "source", "length", "boxes")).mapInArrow(run, "path string, content binary")
+
+
+def absent(jobs: DataFrame, root: str) -> DataFrame:
+    """``image_id`` of the jobs whose target is not below ``root``; each task looks for its own files."""
+
+    def run(batches):
+        system, base = file_system(root)
+        for rows in batches:
+            found = system.get_file_info([f"{base}/{f}" for f in rows.column("file").to_pylist()])
+            lost = [i for i, x in zip(rows.column("image_id").to_pylist(), found, strict=True) if x.type != pafs.FileType.File]
+            yield pa.RecordBatch.from_arrays([pa.array(lost, pa.string())], ["image_id"])
+
+    root = root.rstrip("/")
+    return jobs.select("image_id", "file").mapInArrow(run, "image_id string")
+
+
+def store_images(jobs: DataFrame, root: str) -> DataFrame:
+    """K8: write the image of every job below ``root``; ``image_id`` of those that could not be stored.
+
+    Files are whole or absent (``write_files``).  A retry writes the same files again.
+    """
+    write_files(encoded(jobs), root)
+    return cut(absent(jobs, root), "images-not-stored")
+
+
+def stored_check(jobs: DataFrame, root: str) -> DataFrame:
+    """Stored images against their sources: ``image_id, height, width, n_regions, changed_pixels, outside_same``."""
+
+    def run(batches):
+        for rows in batches:
+            out = []
+            for row in rows.select(["image_id", "file", "source", "boxes"]).to_pylist():
+                before, after = decode(read_bytes(row["source"])), decode(read_bytes(f"{root}/{row['file']}"))
+                h, w = after.shape[:2]
+                moved = np.any(before != after, axis=2)
+                changed, boxes = int(moved.sum()), row["boxes"] or []
+                for x0, y0, x1, y1 in pixel_rects(boxes, w, h):
+                    moved[max(y0, 0) : max(y1, 0), max(x0, 0) : max(x1, 0)] = False
+                out.append((row["image_id"], h, w, len(boxes), changed, not moved.any()))
+            yield pd.DataFrame(out, columns=names)
+
+    def arrow(batches):
+        for frame in run(batches):
+            yield pa.RecordBatch.from_pandas(frame, schema=kinds, preserve_index=False)
+
+    names = ["image_id", "height", "width", "n_regions", "changed_pixels", "outside_same"]
+    kinds = pa.schema(list(zip(names, [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()], strict=True)))
+    root = root.rstrip("/")
+    schema = "image_id string, height int, width int, n_regions int, changed_pixels int, outside_same boolean"
+    return _spread(jobs.select("image_id", "file", "source", "length", "boxes")).mapInArrow(arrow, schema)
 
 
 def file_inputs(images: DataFrame, listing: DataFrame, landed: DataFrame) -> DataFrame:

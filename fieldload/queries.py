@@ -21,12 +21,14 @@ from .plans import redact as rd
 from .plans import targets as tg
 from .session import configure
 from .sources import fixtures as fx
+from .sources.files import list_files
 
 # Fixed parameters of the registered queries.
 LOOKUP_ID = "42"
 RANGE = (25, 124)
 
 _PLANS: dict[tuple, ip.Plan] = {}
+_TARGETS: dict[tuple, str | None] = {}
 
 
 def _fixture(spark: SparkSession, sf_dir: str) -> fx.Fixture:
@@ -39,11 +41,10 @@ def _plan(spark: SparkSession, sf_dir: str, kind: str = "all", single: bool = Fa
     key = (f.root, spark.sparkContext.applicationId, id(spark), kind, single)
     if key not in _PLANS:
         src = f.sources
-        if kind == "all":
-            ids = src.projects.select("id")
-        else:
-            ids = select.by_id_range(src.projects, *RANGE)
-        _PLANS[key] = ip.plan_import(src, fx.prior_state(f), ids, fx.RUN_TS, single=single)
+        ids = select.by_id_range(src.projects, *RANGE) if kind == "range" else src.projects.select("id")
+        files = fx.image_files(spark, sf_dir) if kind == "files" else None
+        _PLANS[key] = ip.plan_import(src, fx.prior_state(f), ids, fx.RUN_TS, single=single, files=files)
+        _TARGETS[key] = files.root if files else None
     return _PLANS[key]
 
 
@@ -280,17 +281,33 @@ def blur_regions(spark, sf_dir):
     return _regions(spark, sf_dir)
 
 
+def _files_plan(spark, sf_dir) -> tuple[ip.Plan, str]:
+    """The import of every project with its image files, and the root it stored them below."""
+    plan = _plan(spark, sf_dir, kind="files")
+    return plan, next(_TARGETS[k] for k, p in _PLANS.items() if p is plan)
+
+
 def file_state(spark, sf_dir):
-    p = _plan(spark, sf_dir)
-    listing = fx.listing_from_rows(p.state.image.select("file"))
-    return rd.file_state(ip.new_images(p), listing)
+    """Committed images and whether their target file existed before the run."""
+    images = ip.committed_images(_files_plan(spark, sf_dir)[0])
+    return images.select("ext_id", "timeseries_ext_id", "sequence_index", "file", "target_exists")
+
+
+def import_files(spark, sf_dir):
+    """Outcome of an import whose images are partly missing, unreadable or stored already."""
+    return _files_plan(spark, sf_dir)[0].outcome
+
+
+def stored_files(spark, sf_dir):
+    """Target files after the run."""
+    return list_files(spark, _files_plan(spark, sf_dir)[1]).select("path")
 
 
 def redact_images(spark, sf_dir):
-    """Every committed image, with its regions blurred where it has any."""
-    images = ip.new_images(_plan(spark, sf_dir)).select(F.col("ext_id").alias("image_id")).distinct()
-    needed = fx.events(spark, sf_dir).join(images.select(F.col("image_id").cast("bigint").alias("event_id")), "event_id", "left_semi")
-    out = rd.redact(fx.landed_images(needed), _regions(spark, sf_dir), images)
+    """Every stored image of a committed timeseries against its source: blurred inside its regions only."""
+    plan, root = _files_plan(spark, sf_dir)
+    committed = ip.committed_images(plan).select(F.col("ext_id").alias("image_id"))
+    out = rd.stored_check(plan.jobs.join(committed, "image_id", "left_semi"), root)
     return out.select("image_id", "height", "width", "n_regions", "outside_same")
 
 
@@ -376,6 +393,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "blur_regions": blur_regions,
     "file_state": file_state,
     "redact_images": redact_images,
+    "import_files": import_files,
+    "stored_files": stored_files,
     "ordered_images": ordered_images,
     "timestamp_forms": timestamp_forms,
     "json_forms": json_forms,

@@ -11,20 +11,24 @@ from __future__ import annotations
 
 import hashlib
 import sys
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.pixels import encode_png
 from ..functions.scalars import parse_ts, resolve_site
 from ..operators.expand import explode_refs, image_metadata
 from ..operators.labels import prepared
 from ..operators.numbering import dense_ids
 from ..plans import targets as tg
+from ..plans.redact import ImageFiles, list_landed
+from .files import FILE_SCHEMA, write_files
 from .tables import Sources, State, read_sources, table
 
 # Tasks pickle this module's pixel maker by value.
@@ -44,8 +48,6 @@ LABEL_ROWS = (
 PRIOR_IMAGE_STRIDE = 10_000
 PRIOR_BOX_STRIDE = 100
 
-LANDED_SCHEMA = "image_id string, origin string, height int, width int, nChannels int, mode int, data binary"
-
 # Fixed value: run timestamp used by registered queries (no wall clock).
 RUN_TS = "2025-01-01 00:00:00"
 
@@ -413,21 +415,40 @@ def landed_sizes(events: DataFrame) -> DataFrame:
 
 
 def landed_images(events: DataFrame) -> DataFrame:
-    """Source images for the fixtures, made on the executors (image-source
-    layout, three channels, value (3x + 5y + 11c + e) mod 256)."""
+    """Source image files of the fixtures, made on the executors: ``path, content``.
+
+    PNG with three channels, value (3x + 5y + 11c + e) mod 256 (blue, green,
+    red).  Events with ``e % 89 = 0`` have no file, those with ``e % 97 = 0`` one
+    that is no image.
+    """
 
     def make(batches):
-        for pdf in batches:
-            rows = []
-            for e, w, h in zip(pdf["event_id"].to_numpy(), pdf["width"].to_numpy(), pdf["height"].to_numpy()):
+        for batch in batches:
+            paths, contents = [], []
+            for e, w, h in zip(*(batch.column(c).to_pylist() for c in ("event_id", "width", "height")), strict=True):
                 y, x, c = np.ogrid[0:h, 0:w, 0:3]
-                px = ((3 * x + 5 * y + 11 * c + int(e)) % 256).astype(np.uint8)
-                rows.append((str(e), f"source/{e}", int(h), int(w), 3, 16, px.tobytes()))
-            yield pd.DataFrame(rows, columns=["image_id", "origin", "height", "width", "nChannels", "mode", "data"])
+                px = ((3 * x + 5 * y + 11 * c + e) % 256).astype(np.uint8)
+                paths.append(str(e))
+                contents.append(b"no image" if e % 97 == 0 else encode_png(px))
+            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(contents, pa.binary())], ["path", "content"])
 
     sized = events.select("event_id").join(landed_sizes(events), F.col("event_id").cast("string") == F.col("image_id"))
-    sized = sized.select("event_id", "width", "height").repartition(_cpu_partitions(events), "event_id")
-    return sized.mapInPandas(make, LANDED_SCHEMA)
+    sized = sized.where("event_id % 89 <> 0").select("event_id", "width", "height").repartition(_cpu_partitions(events), "event_id")
+    return sized.mapInArrow(make, FILE_SCHEMA)
+
+
+def image_files(spark: SparkSession, base: str) -> ImageFiles:
+    """Landed files, written once, and a new target root that holds those with ``e % 83 = 0`` already."""
+    root = load(spark, base).root
+    fs, done = _fs(spark, f"{root}/landed_DONE")
+    images = landed_images(events(spark, base))
+    if not fs.exists(done):
+        write_files(images, f"{root}/landed")
+        fs.create(done, True).close()
+    targets = f"{root}/targets-{uuid.uuid4().hex}"
+    earlier = images.where("cast(path AS bigint) % 83 = 0")
+    write_files(earlier.select(F.concat(F.lit(tg.FILE_PREFIX), F.col("path")).alias("path"), "content"), targets)
+    return ImageFiles(list_landed(spark, f"{root}/landed"), targets)
 
 
 def _cpu_partitions(df: DataFrame) -> int:
@@ -437,11 +458,6 @@ def _cpu_partitions(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def listing_from_rows(paths: DataFrame) -> DataFrame:
-    """A file listing ``(path, length)`` from a column of relative paths."""
-    return paths.select(F.col(paths.columns[0]).alias("path"), F.lit(None).cast("bigint").alias("length")).distinct()
-
-
 # How ``timestamp_texts`` writes an event's time, by form.
 TIME_FORMS = (
     "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy/MM/dd", "M/d/yyyy", "dd/MM/yyyy", "MM/dd/yyyy HH:mm", "MMMM d, yyyy", "d MMM yyyy",

@@ -54,7 +54,7 @@ def test_import_stages_have_no_single_partition_exchange(spark, monkeypatch):
 
     monkeypatch.setattr(ip, "cut", capture)
     ip.plan_import(f.sources, f.prior, f.sources.projects.select("id"), fx.RUN_TS)
-    assert set(plans) == {"datasets", "candidates", "refs", "images", "judged"}
+    assert {"datasets", "candidates", "refs", "images", "judged"} <= set(plans)
     for name, text in plans.items():
         assert "SinglePartition" not in text, name
         assert "Window" not in text, name

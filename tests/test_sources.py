@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldload.operators import expand
 from fieldload.plans import redact as rd
 from fieldload.session import checkpoint_dir
+from fieldload.sources.files import list_files
 
 
 def write_png(path, px):
@@ -50,7 +51,8 @@ def test_binary_file_listing_feeds_file_state(spark):
     os.makedirs(os.path.join(root, "processed", "tsimages", "imported"))
     with open(os.path.join(root, "processed", "tsimages", "imported", "i1"), "wb") as f:
         f.write(b"x" * 10)
-    listing = rd.list_files(spark, root)
+    listing = list_files(spark, root)
+    assert list_files(spark, root + "/none").collect() == []
     assert [(r.path, r.length) for r in listing.collect()] == [("processed/tsimages/imported/i1", 10)]
     imgs = spark.createDataFrame(
         [("i1", "t", 1, "processed/tsimages/imported/i1"), ("i2", "t", 2, "processed/tsimages/imported/i2")],

@@ -108,30 +108,6 @@ def test_key_violations_keep_parts_apart(spark):
     assert [(r.key, r.n) for r in joins.key_violations(df, ["x", "y"], "t").collect()] == [('["a",null]', 2)]
 
 
-def test_images_are_stored_once_with_and_without_regions(spark):
-    src, st = make(
-        spark,
-        [project("1", ["a", "b"])],
-        [series("a", ["i1", "i2"]), series("b", ["i3"], label="ghost")],
-        [image("i1", boxes=[box(), box(label="elk")]), image("i2", boxes=[]), image("i3")],
-    )
-    landed_root, target = folder(spark, "landed"), folder(spark, "targets")
-    px = (np.arange(20 * 30 * 3) % 251).astype(np.uint8).reshape(20, 30, 3)
-    for name in ("i1", "i2", "i3"):
-        write_png(os.path.join(landed_root, name), px)
-    landed = rd.read_landed(spark, landed_root)
-    for _ in range(2):  # a retry writes the same folder
-        rows = {r.path.split("/")[-1]: r for r in rd.store_images(run(src, st), landed, target, "r1").collect()}
-        assert set(rows) == {"i1", "i2"}
-    bgr = px[:, :, ::-1]
-    assert bytes(rows["i2"].data) == bgr.tobytes() and bytes(rows["i1"].data) != bgr.tobytes()
-    listing = rd.stored_files(spark, target)
-    assert sorted(r.path for r in listing.collect()) == ["processed/tsimages/imported/i1", "processed/tsimages/imported/i2"]
-    assert rd.store_images(run(src, st), landed, target, "r2").count() == 0
-    files = rd.file_inputs(spark.createDataFrame([("i1",), ("i9",)], "image_id string"), listing, landed)
-    assert {r.image_id: (r.target_exists, r.source_readable) for r in files.collect()} == {"i1": (True, True), "i9": (False, False)}
-
-
 def final_plan(df):
     df.write.format("noop").mode("overwrite").save()
     df.collect()
