@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_ts, to_int_key
 from .expand import dedupe_by_id
-from .stage import cut
 
 
 def by_id(projects: DataFrame, key: str) -> DataFrame:
@@ -86,28 +85,3 @@ def not_loaded(pairs: DataFrame, loaded: DataFrame) -> DataFrame:
 def owner(pairs: DataFrame) -> DataFrame:
     """For each timeseries the dataset with the smallest numeric id, then id text."""
     return pairs.groupBy("ts_id").agg(F.min_by("ds_id", F.struct("ds_key", "ds_id")).alias("ds_id"))
-
-
-def first_free(fresh: DataFrame) -> DataFrame:
-    """``(ds_id, ds_key, ts_id)``: what each dataset loads when it stops after its first (W2, C-4).
-
-    ``fresh`` has ``ds_id, ds_key, ts_id, error``.  Run one after another by
-    numeric id, a dataset takes its first timeseries that no smaller one has
-    loaded; a failing one stops it too and stays free.  As rounds over all
-    datasets: each picks its first row left, a timeseries keeps the smallest
-    dataset that picked it, and the others lose that row.  The rounds end when
-    no pick is lost; the result is that of the walk, because all timeseries
-    prefer datasets in the same order.
-    """
-    left = cut(fresh.select("ds_id", "ds_key", "ts_id", "error"), "fresh")
-    while True:
-        pick = left.groupBy("ds_id", "ds_key").agg(F.min(F.struct("ts_id", "error")).alias("_p"))
-        pick = cut(pick.select("ds_id", "ds_key", "_p.*"), "picks")
-        good = pick.where(~F.col("error"))
-        keeps = good.groupBy("ts_id").agg(F.min(F.struct("ds_key", F.col("ds_id").alias("_keeper"))).alias("_k"))
-        lost = cut(
-            good.join(keeps.select("ts_id", "_k._keeper"), "ts_id").where("ds_id <> _keeper").select("ds_id", "ts_id"), "lost"
-        )
-        if lost.isEmpty():
-            return pick.select("ds_id", "ds_key", "ts_id")
-        left = cut(left.join(lost, ["ds_id", "ts_id"], "left_anti"), "fresh")

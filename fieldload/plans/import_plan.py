@@ -27,11 +27,12 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_ts, resolve_site, to_int_key
 from ..operators.expand import explode_refs, image_metadata
+from ..operators.first_free import first_free
 from ..operators.joins import insert_absent, narrowed
 from ..operators.labels import prepared
 from ..operators.stage import collect as stage_tables
 from ..operators.stage import cut, remove
-from ..operators.select import first_free, listed, not_loaded, owner, prior_pairs, project_rows
+from ..operators.select import listed, not_loaded, owner, prior_pairs, project_rows
 from ..sources.files import list_files
 from ..sources.tables import Sources, State
 from . import redact as rd
