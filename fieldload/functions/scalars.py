@@ -9,27 +9,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Formats tried, in this order, for timestamp text that does not
-# start with a year and a dash.  Month before day; day first where the month
-# is impossible.
-TIMESTAMP_FORMATS = (
-    "yyyy/M/d[ H:m[:s]]",
-    "yyyy-M-d h:m[:s] a",
-    "M/d/yyyy[ H:m[:s]]",
-    "M/d/yyyy h:m[:s] a",
-    "d/M/yyyy[ H:m[:s]]",
-    "d/M/yyyy h:m[:s] a",
-    "MMM d[,] yyyy[ H:m[:s]]",
-    "MMMM d[,] yyyy[ H:m[:s]]",
-    "MMM d[,] yyyy h[:m[:s]][ ]a",
-    "MMM d[,] yyyy ha",
-    "MMMM d[,] yyyy h[:m[:s]][ ]a",
-    "d MMM yyyy[ H:m[:s][ z]]",
-    "d MMMM yyyy[ H:m[:s][ z]]",
-    "d MMM yyyy H:m:s Z",
-    "yyyyMMdd'T'HHmmss[X]",
-    "yyyyMMddHHmmss",
-    "yyyyMMdd",
+# Timestamp text that is not ISO-8601, by the shape it has and the
+# formats that can read that shape, tried in order.  Month before day; day first
+# where the month is impossible.
+TIMESTAMP_SHAPES = (
+    (r"^[0-9]{4}/", ("yyyy/M/d[ H:m[:s]]",)),
+    (r"(?i)^[0-9]{4}-.*[ap]m$", ("yyyy-M-d h:m[:s] a",)),
+    (r"(?i)^(0?[0-9]|1[0-2])/.*[ap]m$", ("M/d/yyyy h:m[:s] a",)),
+    (r"(?i)^[0-9]+/.*[ap]m$", ("d/M/yyyy h:m[:s] a",)),
+    (r"^(0?[0-9]|1[0-2])/", ("M/d/yyyy[ H:m[:s]]",)),
+    (r"^[0-9]+/", ("d/M/yyyy[ H:m[:s]]",)),
+    (r"(?i)^[a-z]{3} .*[ap]m$", ("MMM d[,] yyyy h[:m[:s]][ ]a", "MMM d[,] yyyy ha")),
+    (r"(?i)^[a-z]{4,} .*[ap]m$", ("MMMM d[,] yyyy h[:m[:s]][ ]a",)),
+    (r"(?i)^[a-z]{3} ", ("MMM d[,] yyyy[ H:m[:s]]",)),
+    (r"(?i)^[a-z]{4,} ", ("MMMM d[,] yyyy[ H:m[:s]]",)),
+    (r"(?i)^[0-9]+ [a-z]{3} .*[+-][0-9]+$", ("d MMM yyyy H:m:s Z",)),
+    (r"(?i)^[0-9]+ [a-z]{3} ", ("d MMM yyyy[ H:m[:s][ z]]",)),
+    (r"(?i)^[0-9]+ [a-z]{4,} ", ("d MMMM yyyy[ H:m[:s][ z]]",)),
+    (r"^[0-9]{8}T", ("yyyyMMdd'T'HHmmss[X]",)),
+    (r"^[0-9]{14}$", ("yyyyMMddHHmmss",)),
+    (r"^[0-9]{8}$", ("yyyyMMdd",)),
 )
 
 # Fixed value: the start of ISO-8601 text, read by Spark's own cast (zones and
@@ -72,18 +71,31 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# One expression text, since callers use it many times: the formats of a text's shape.
+_SHAPED = "t -> CASE " + " ".join(
+    f"WHEN t RLIKE {_quoted(shape)} THEN coalesce({', '.join(f'try_to_timestamp(t, {_quoted(f)})' for f in formats)})"
+    for shape, formats in TIMESTAMP_SHAPES
+) + " END"
+
+
 def parse_ts(c: Column | str) -> Column:
     """Free-form timestamp text to a UTC ``timestamp_ntz``.
 
-    ISO-8601 first, then the fixed formats in order; NULL when none reads the
-    text, so callers can flag it.  Unzoned text is taken as UTC (session time
-    zone); nothing depends on the clock.
+    ISO-8601 first, then the formats of the text's shape; NULL when none reads
+    the text, so callers can flag it.  Unzoned text is taken as UTC (session
+    time zone); nothing depends on the clock.
     """
     col = F.trim(_col(c).cast("string"))
-    plain = F.regexp_replace(col, WEEKDAY, "")
-    tries = [F.when(col.rlike(ISO_START), F.try_to_timestamp(col))]
-    tries += [F.try_to_timestamp(plain, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+
+    # The rare shapes are evaluated as a lambda: sixteen parsers inlined in the
+    # generated code of every caller would make it too long to be compiled.
+    rare = F.element_at(F.call_function("transform", F.array(F.regexp_replace(col, WEEKDAY, "")), F.expr(_SHAPED)), 1)
+    iso = F.when(col.rlike(ISO_START), F.try_to_timestamp(col))
+    return F.coalesce(iso, rare).cast("timestamp_ntz")
 
 
 def optional_ts(c: Column | str) -> tuple[Column, Column]:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .stage import cut
+
 # Largest frame that is broadcast explicitly; beyond it the join is left to
 # the planner (sort-merge, or AQE's runtime broadcast by measured size).
 BROADCAST_ROW_LIMIT = 200_000
@@ -23,17 +27,40 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Dat
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def narrowed(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` may be in the one-column frame ``ids``.
+@dataclass(frozen=True)
+class IdSet:
+    """Distinct ids, written once, and whether they are few enough to broadcast (measured by the write)."""
+
+    ids: DataFrame
+    small: bool
+
+    def named(self, column: str) -> DataFrame:
+        ids = self.ids.withColumnRenamed(self.ids.columns[0], column)
+        return F.broadcast(ids) if self.small else ids
+
+
+def id_set(ids: DataFrame, name: str) -> IdSet:
+    """Write the distinct non-NULL values of a one-column frame."""
+    column = ids.columns[0]
+    seen = Observation()
+    rows = ids.where(F.col(column).isNotNull()).distinct().observe(
+        seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.col(column).cast("string")) + 16), F.lit(0)).alias("size")
+    )
+    written = cut(rows, name)
+    return IdSet(written, seen.get["n"] <= BROADCAST_ROW_LIMIT and seen.get["size"] <= BROADCAST_BYTE_LIMIT)
+
+
+def narrowed(df: DataFrame, ids: DataFrame | IdSet, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among ``ids`` (a one-column frame or an id set).
 
-    A small ``ids`` is broadcast, so that a small run does not shuffle a big
-    table; with a large one ``df`` stays as it is, for the caller's own join
-    to filter.
+    A small set is broadcast, so that a small run does not shuffle a big table;
+    with a large one ``df`` stays as it is, for the caller's own join to filter.
     """
-    if not is_small(ids):
+    if isinstance(ids, DataFrame):
+        ids = IdSet(ids, is_small(ids))
+    if not ids.small:
         return df
-    name = ids.columns[0]
-    return df.join(F.broadcast(ids.withColumnRenamed(name, column)), column, "left_semi").select(*df.columns)
+    return df.join(ids.named(column), column, "left_semi").select(*df.columns)
 
 
 def insert_absent(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

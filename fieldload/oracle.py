@@ -154,7 +154,7 @@ EVENT = "CAST(r.image_id AS BIGINT)"
 NOT_LANDED, UNREADABLE = f"{EVENT} % 89 = 0", f"{EVENT} % 97 = 0 AND {EVENT} % 83 <> 0"
 
 
-def import_ctes(requested: str, single: bool = False, files: bool = False) -> str:
+def import_ctes(requested: str, single: bool = False, files: bool = False, repeats: bool = False) -> str:
     """The import rules as CTEs over ``requested`` (a query giving ``ds_id``)."""
     # One dataset after another by key: its first timeseries nobody has taken.
     attempted = (
@@ -211,7 +211,7 @@ known AS (SELECT DISTINCT ext_id AS ts_id FROM prior_timeseries),
 cand AS (
   SELECT l.ds_id, o.ds_key, l.ts_id, k.ts_id IS NOT NULL AS in_prior,
          a.label_error OR a.created_ts IS NULL OR a.updated_ts IS NULL
-           OR (a.verified_blank AND k.ts_id IS NULL) AS bad
+           OR (a.verified_blank AND k.ts_id IS NULL) OR ({"coalesce(k.ts_id LIKE '%01', false)" if repeats else "false"}) AS bad
   FROM listed l JOIN open_ds o ON o.ds_id = l.ds_id
   JOIN ts_attr a ON a.ts_id = l.ts_id
   LEFT JOIN known k ON k.ts_id = l.ts_id
@@ -300,8 +300,8 @@ def _with(body: str, *extra: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{body}"
 
 
-def _imp(body: str, requested: str = ALL_IDS, single: bool = False, files: bool = False) -> str:
-    return _with(body, import_ctes(requested, single, files))
+def _imp(body: str, requested: str = ALL_IDS, single: bool = False, files: bool = False, repeats: bool = False) -> str:
+    return _with(body, import_ctes(requested, single, files, repeats))
 
 
 def _purge(body: str) -> str:
@@ -458,6 +458,7 @@ SELECT i.image_id AS ext_id, i.ts_id AS timeseries_ext_id, i.image_index AS sequ
        CAST(i.image_id AS BIGINT) % 83 = 0 AND CAST(i.image_id AS BIGINT) % 89 <> 0 AS target_exists
 FROM img i JOIN committed c ON c.ts_id = i.ts_id""", files=True),
         "import_files": _imp("SELECT ds_id, outcome, timeseries, images, errors FROM outcome", files=True),
+        "repeated_prior": _imp("SELECT ds_id, outcome, timeseries, images, errors FROM outcome", repeats=True),
         "stored_files": _imp("""
 SELECT 'processed/tsimages/imported/' || e AS path FROM ev WHERE e % 83 = 0 AND e % 89 <> 0
 UNION

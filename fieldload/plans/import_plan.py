@@ -9,7 +9,8 @@ partial aggregates (see the README for the rules):
 2. ``cand``: listed timeseries that exist, minus pairs already loaded for the
    dataset;
 3. ``cutoff``: the first bad timeseries (unknown label, bad date, verified
-   without ground truth when new) per dataset; rows before it are reached;
+   without ground truth when new, more than one prior row) per dataset; rows
+   before it are reached;
 4. rows reached and new anywhere are attempted; their images and boxes give
    the isolated-error flag;
 5. the smallest numeric dataset id attempting an error-free timeseries owns
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import parse_ts, resolve_site, to_int_key
 from ..operators.expand import explode_refs, image_metadata
 from ..operators.first_free import first_free
-from ..operators.joins import insert_absent, narrowed
+from ..operators.joins import IdSet, id_set, insert_absent, is_small, narrowed
 from ..operators.labels import prepared
 from ..operators.stage import collect as stage_tables
 from ..operators.stage import cut, remove
@@ -80,11 +81,13 @@ def gate_datasets(src: Sources, state: State, ids: DataFrame) -> DataFrame:
     A key that prior state holds more than once cannot be looked up: its
     datasets are aborted.
     """
-    req = ids.select(F.col(ids.columns[0]).cast("string").alias("ds_id")).distinct()
-    wanted = narrowed(src.projects, req.select(F.col("ds_id").alias("id")), "id")
+    req_ids = id_set(ids.select(F.col(ids.columns[0]).cast("string").alias("ds_id")), "requested")
+    req = req_ids.ids
+    wanted = narrowed(src.projects, req_ids, "id")
     rows = project_rows(wanted.join(req.select(F.col("ds_id").alias("id")), "id", "left_semi"))
     prior = state.dataset.select(to_int_key("ext_id").alias("ds_key")).where("ds_key is not null")
-    prior = narrowed(prior, req.select(to_int_key("ds_id").alias("ds_key")).where("ds_key is not null").distinct(), "ds_key")
+    keys = IdSet(req.select(to_int_key("ds_id").alias("ds_key")).where("ds_key is not null").distinct(), req_ids.small)
+    prior = narrowed(prior, keys, "ds_key")
     repeated = prior.groupBy("ds_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("ds_key", F.lit(True).alias("_many"))
     ds = req.join(rows.withColumnRenamed("id", "ds_id").withColumn("_found", F.lit(True)), "ds_id", "left")
     ds = ds.select(
@@ -144,17 +147,19 @@ def _plan_import(src, state, ids, run_ts, single, file_state, files, created) ->
     open_ds = datasets.where(F.col("gate").isNull()).select("ds_id", "ds_key")
 
     # 2. dataset-new set: listed ∩ existing rows, minus loaded pairs.
-    open_ids = open_ds.select(F.col("ds_id").alias("id"))
-    pairs = listed(narrowed(src.projects, open_ids, "id").join(open_ids, "id", "left_semi"))
+    # The gate has one row for each requested id, so it is as small as those.
+    open_ids = IdSet(open_ds.select(F.col("ds_id").alias("id")), is_small(open_ds.select("ds_id")))
+    pairs = listed(narrowed(src.projects, open_ids, "id").join(open_ids.ids, "id", "left_semi"))
     pairs = _cut(pairs.withColumn("ds_key", to_int_key("ds_id")), "listed")
     # Prior keys and timeseries are narrowed to the listed ids where these are
     # few, so that a small run broadcasts them and shuffles no whole table.
-    listed_ids = pairs.select(F.col("ts_id").alias("ext_id")).distinct()
+    listed_ids = id_set(pairs.select("ts_id"), "listed-ids")
     prior_ts = narrowed(state.timeseries, listed_ids, "ext_id")
     pairs = not_loaded(pairs, prior_pairs(prior_ts, state.dataset))
-    series = narrowed(src.timeseries, listed_ids.withColumnRenamed("ext_id", "id"), "id")
+    series = narrowed(src.timeseries, listed_ids, "id")
     attrs = tg.timeseries_attrs(series, dictionary)
-    known = prior_ts.select(F.col("ext_id").alias("ts_id")).distinct()
+    # A key that prior state holds more than once cannot be looked up: it is bad.
+    known = prior_ts.groupBy(F.col("ext_id").alias("ts_id")).agg((F.count(F.lit(1)) > 1).alias("many"))
     flags = attrs.select(
         "ts_id",
         "label_error",
@@ -168,6 +173,7 @@ def _plan_import(src, state, ids, run_ts, single, file_state, files, created) ->
             F.col("label_error")
             | F.col("date_error")
             | (F.col("verified_blank") & F.col("in_prior").isNull())
+            | F.coalesce("many", F.lit(False))
         ).alias("bad"),
     )
     # One row per source timeseries row (duplicated ids count twice, C16).
@@ -188,11 +194,11 @@ def _plan_import(src, state, ids, run_ts, single, file_state, files, created) ->
     refs = _cut(explode_refs(series.join(att_ids, "id", "left_semi")), "refs")
     # Few needed ids are broadcast to the metadata scan; many are left to the
     # image join itself, the metadata being shuffled once for it.
-    needed = refs.select(F.col("image_id").alias("id")).where(F.col("id").isNotNull()).distinct()
+    needed = id_set(refs.select(F.col("image_id").alias("id")), "needed-images")
     meta = image_metadata(narrowed(src.images_metadata, needed, "id"))
     images = tg.image_rows(refs, meta)
     if files is not None:
-        wanted = refs.select("image_id").where(F.col("image_id").isNotNull())
+        wanted = needed.ids.select(F.col("id").alias("image_id"))
         file_state = rd.file_inputs(wanted, list_files(src.projects.sparkSession, files.root), files.landed)
     if file_state is not None:
         fs = file_state.select("image_id", "target_exists", "source_readable")

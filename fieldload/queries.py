@@ -43,7 +43,8 @@ def _plan(spark: SparkSession, sf_dir: str, kind: str = "all", single: bool = Fa
         src = f.sources
         ids = select.by_id_range(src.projects, *RANGE) if kind == "range" else src.projects.select("id")
         files = fx.image_files(spark, sf_dir) if kind == "files" else None
-        _PLANS[key] = ip.plan_import(src, fx.prior_state(f), ids, fx.RUN_TS, single=single, files=files)
+        prior = fx.repeated_timeseries(f.prior) if kind == "repeats" else f.prior
+        _PLANS[key] = ip.plan_import(src, prior, ids, fx.RUN_TS, single=single, files=files)
         _TARGETS[key] = files.root if files else None
     return _PLANS[key]
 
@@ -281,6 +282,11 @@ def blur_regions(spark, sf_dir):
     return _regions(spark, sf_dir)
 
 
+def repeated_prior(spark, sf_dir):
+    """Outcome of an import over prior state that holds some timeseries keys twice."""
+    return _plan(spark, sf_dir, kind="repeats").outcome
+
+
 def _files_plan(spark, sf_dir) -> tuple[ip.Plan, str]:
     """The import of every project with its image files, and the root it stored them below."""
     plan = _plan(spark, sf_dir, kind="files")
@@ -395,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "redact_images": redact_images,
     "import_files": import_files,
     "stored_files": stored_files,
+    "repeated_prior": repeated_prior,
     "ordered_images": ordered_images,
     "timestamp_forms": timestamp_forms,
     "json_forms": json_forms,

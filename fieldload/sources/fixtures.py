@@ -403,6 +403,12 @@ def prior_rows(src, ds: DataFrame, ts_keys: DataFrame, run_ts: str):
     return State(site=site, dataset=ds, timeseries=ts, image=image, bbox=bbox, revision=revision)
 
 
+def repeated_timeseries(prior: State) -> State:
+    """Prior state that holds the timeseries of a month's first day twice."""
+    again = prior.timeseries.where(F.col("ext_id").endswith("01")).withColumn("id", F.col("id") + F.lit(10**9).cast("long"))
+    return prior.with_tables(timeseries=prior.timeseries.unionByName(again))
+
+
 def landed_sizes(events: DataFrame) -> DataFrame:
     """Sizes of the fixture's source images (FIXTURES.md), as built-in columns:
     width 32 + 8 (e mod 4), height 24 + 8 (e mod 3)."""

@@ -20,11 +20,12 @@ def site_id(raw):
     return int(m.group(1)) if m else None
 
 
-def simulate(projects, timeseries, images, labels, prior_ts, prior_ds, ids, single=False):
+def simulate(projects, timeseries, images, labels, prior_ts, prior_ds, ids, single=False, repeated=()):
     """projects: list of dicts (id, status, camera_id, timeseries);
     timeseries: dicts (id, images, predicted_label, ground_truth_label, status, bad_date);
     images: dict id -> dict (exif, boxes: list of (label, coords) or None);
-    labels: dict text -> blur; prior_ts: dict ts_id -> ds_key; prior_ds: set of keys."""
+    labels: dict text -> blur; prior_ts: dict ts_id -> ds_key; prior_ds: set of keys;
+    repeated: keys that prior state holds twice, so that looking them up fails."""
     state_ts = dict(prior_ts)
     state_ds = set(prior_ds)
     outcome, owner = {}, {}
@@ -56,7 +57,7 @@ def simulate(projects, timeseries, images, labels, prior_ts, prior_ds, ids, sing
             for lab in (t["predicted_label"], t["ground_truth_label"]):
                 if lab and lab not in labels:
                     aborted = True
-            if t["bad_date"]:
+            if t["bad_date"] or t["id"] in repeated:
                 aborted = True
             if aborted:
                 break

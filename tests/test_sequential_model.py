@@ -66,6 +66,18 @@ def test_plan_equals_sequential_model(spark, seed, single):
     assert got_out == want_out
 
 
+@pytest.mark.parametrize("seed", [2, 3, 9])
+def test_prior_keys_held_twice_abort_their_datasets(spark, seed):
+    (projects, timeseries, images, prior_ts, prior_ds), (m_p, m_ts, m_img, m_prior, m_ds) = random_case(seed)
+    twice = prior_ts[::2]
+    src, st = make(spark, projects, timeseries, images, prior_ts=prior_ts + twice, prior_ds=prior_ds)
+    ids = [str(p) for p in range(1, 10)]
+    plan = ip.plan_import(src, st, spark.createDataFrame([(i,) for i in ids], "id string"), "2025-01-01 00:00:00")
+    got = {r.ds_id: (r.outcome, r.timeseries, r.images, r.errors) for r in plan.outcome.collect()}
+    want, owners = simulate(m_p, m_ts, m_img, LABEL_BLUR, m_prior, m_ds, ids, repeated={t for t, _ in twice})
+    assert got == want and {r.ts_id: r.ds_id for r in plan.committed.collect()} == owners
+
+
 def test_single_is_exact_for_one_dataset(spark):
     (projects, timeseries, images, prior_ts, prior_ds), model = random_case(7)
     src, st = make(spark, projects, timeseries, images, prior_ts=prior_ts, prior_ds=prior_ds)
