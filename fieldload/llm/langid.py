@@ -136,13 +136,14 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     letter, or the model knows no language.  Input columns named like a
     result give way to it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: a broadcast pickles classes by reference, and workers have no copy of this package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.landmarks, model.weights))
     kept = [c for c in docs.columns if c not in RESULTS]
     rows = docs.withColumn("__text", F.col(text_col)) if text_col in RESULTS else docs
     reads = "__text" if text_col in RESULTS else text_col
 
     def run(batches):
-        model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             lang, score = [], []
             for _, m, letter in presence(batch[reads]):

@@ -200,12 +200,13 @@ def classify(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), host.alias("host"), path.alias("path"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
     model = fit(rows, known, sample)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: a broadcast pickles classes by reference, and workers have no copy of this package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.odds, model.weights, model.prior))
     keep = ["id", "host", "path"]
 
     def score(batches):
         rows = _reader()
-        model = shared.value
+        model = Evidence(*shared.value)
         for batch in batches:
             e = [model.of(cells) for cells in rows(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch[c] for c in keep] + [pa.array(e, pa.float64())], names=[*keep, "evidence"])

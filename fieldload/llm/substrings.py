@@ -47,12 +47,6 @@ def _segments(tok: text.Tokenizer, words: text.Words, window: int, gram: int):
     return at[first], np.diff(np.append(first, len(at))), words.rows_of(at[first]), key[first]
 
 
-def _second(words: text.Words) -> text.Words:
-    """The same words under other hashes."""
-    other = text.mix(words.hashes ^ np.uint64(0xA24BAED4963EE407))
-    return text.Words(words.lo, words.hi, words.data, words.starts, words.ends, words.boff, words.woff, other)
-
-
 def _per_row(keep: np.ndarray, woff: np.ndarray) -> np.ndarray:
     upto = np.concatenate([[0], np.cumsum(keep)])
     return upto[woff[1:]] - upto[woff[:-1]]
@@ -122,7 +116,7 @@ def remove_repeats(
                         "n": pa.array(n.astype(np.int32)),
                         "key": pa.array(key.view(np.int64)),
                         "s1": pa.array(tok.runs(words, at, end).view(np.int64)),
-                        "s2": pa.array(tok.runs(_second(words), at, end).view(np.int64)),
+                        "s2": pa.array(tok.runs(tok.second(words), at, end).view(np.int64)),
                     }
                 )
 
@@ -164,7 +158,7 @@ def remove_repeats(
                         ROW: batch[ROW].take(which),
                         "start": pa.array(pos.astype(np.int32)),
                         "w1": pa.array(tok.runs(words, at, at + window).view(np.int64)),
-                        "w2": pa.array(tok.runs(_second(words), at, at + window).view(np.int64)),
+                        "w2": pa.array(tok.runs(tok.second(words), at, at + window).view(np.int64)),
                     }
                 )
 

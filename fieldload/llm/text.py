@@ -1,13 +1,16 @@
 """Words, shingles and windows of Arrow text columns as numpy arrays.
 
 A batch's UTF-8 bytes are cut into words by a byte table, and every word,
-run of ``k`` words or longer stretch gets a 64-bit hash from prefix sums, so
-no Python object is made per word.  Texts are processed whole: a chunk ends
-only between rows, and a text longer than a chunk is a chunk of its own.
+run of ``k`` words or longer stretch gets a 64-bit hash, so no Python object is
+made per word.  Words are hashed eight bytes at a time and runs by doubling,
+with a finisher that is not linear between the steps: a polynomial modulo 2**64
+would have colliding texts for every base.  Texts are processed whole: a chunk
+ends only between rows, and a text longer than a chunk is a chunk of its own.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +19,12 @@ import pyarrow.compute as pc
 
 # Bytes of text handled at once (a longer single text is still whole).
 CHUNK_BYTES = 1 << 18
+# Words of more bytes are hashed one by one.
+LONG_WORD = 64
+
+_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407))
+# The lowest 0 to 8 bytes of a lane.
+_LANE = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
 
 
 def space_words() -> np.ndarray:
@@ -80,23 +89,41 @@ class Words:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of the byte strings ``starts`` to ``ends``."""
+    n = ends - starts
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    h = mix(n.astype(np.uint64) * _A + np.uint64(seed))
+    for at in range(0, min(int(n.max(initial=0)), LONG_WORD), 8):
+        some = np.flatnonzero(n > at)
+        lane = lanes[starts[some] + at] & _LANE[np.minimum(n[some] - at, 8)]
+        h[some] = mix(h[some] * _B + lane)
+    for i in np.flatnonzero(n > LONG_WORD):
+        word = data[starts[i] : ends[i]].tobytes()
+        h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+    return h
+
+
+def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * _B + ((b << np.uint64(23)) | (b >> np.uint64(41))))
+
+
 class Tokenizer:
     """Cuts batches into chunks of words; make one per task."""
 
     def __init__(self, is_word: np.ndarray, lower: bool, seed: int = 1):
-        self.is_word = is_word
-        table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-        self.table = table[lower_table()] if lower else table
-        self.base = int(mix(np.array([seed * 2 + 77], dtype=np.uint64))[0]) | 1
-        self.pow = self.inv = np.zeros(0, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if len(self.pow) < n:
-            n = max(n, CHUNK_BYTES + 1)
-            for name, base in (("pow", self.base), ("inv", pow(self.base, -1, 1 << 64))):
-                p = np.full(n, base, dtype=np.uint64)
-                p[0] = 1
-                setattr(self, name, np.cumprod(p, dtype=np.uint64))
+        self.is_word, self.seed = is_word, seed
+        self.lower = lower_table() if lower else None
+
+    def _hashes(self, data, starts, ends, seed) -> np.ndarray:
+        return hash_words(data if self.lower is None else self.lower[data], starts, ends, seed)
+
+    def second(self, words: Words) -> Words:
+        """The same words under independent hashes of their bytes."""
+        other = self._hashes(words.data, words.starts, words.ends, self.seed + 0x51ED2701)
+        return Words(words.lo, words.hi, words.data, words.starts, words.ends, words.boff, words.woff, other)
 
     def chunks(self, column: pa.Array) -> Iterator[Words]:
         off, data = strings(column)
@@ -118,18 +145,30 @@ class Tokenizer:
         first[inner] = w[inner]
         last[inner - 1] = w[inner - 1]
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        self._powers(len(b) + 1)
-        h = np.zeros(len(b) + 1, np.uint64)
-        np.cumsum(self.table[b] * self.pow[: len(b)], out=h[1:])
-        hashes = mix((h[ends] - h[starts]) * self.inv[starts])
+        hashes = self._hashes(b, starts, ends, self.seed)
         return Words(lo, hi, b, starts, ends, rel, np.searchsorted(starts, rel), hashes)
 
     def runs(self, words: Words, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hashes of the word sequences ``starts`` to ``ends`` (word indices, end exclusive)."""
-        g = np.zeros(len(words) + 1, np.uint64)
-        self._powers(len(words) + 1)
-        np.cumsum(words.hashes * self.pow[: len(words)], out=g[1:])
-        return mix((g[ends] - g[starts]) * self.inv[starts] + (ends - starts).astype(np.uint64))
+        """Hashes of the word sequences ``starts`` to ``ends`` (word indices, end exclusive).
+
+        A run is its first and last ``2 ** j`` words, which overlap or meet.
+        """
+        n = ends - starts
+        longest = int(n.max(initial=0))
+        out = np.zeros(len(starts), np.uint64)
+        h, size = words.hashes, 1
+        while size <= longest:
+            if size * 2 > longest and int(n.min(initial=longest)) >= size:
+                some = slice(None)
+            else:
+                some = np.flatnonzero((n >= size) & (n < size * 2))
+            length = n[some].astype(np.uint64) * _C
+            out[some] = mix(_joint(h[starts[some]], h[ends[some] - size]) + length)
+            if size * 2 > longest:
+                break
+            h = _joint(h[:-size], h[size:])
+            size *= 2
+        return out
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
