@@ -14,7 +14,8 @@ n-grams, so only documents that share such a prefix n-gram are compared:
    that hub alone are compared first; what links joins into components.  Then
    the shared n-grams of all pairs in different components are counted, and
    those that pass the bound are compared.  Pairs inside a component need no
-   check.
+   check, and a component of many members is first met as a whole: the prefix
+   n-grams that a node shares with any of them bound those with each.
 4. Comparing: the sets to be held against one probe stand in a trie (sorted
    by the global order; a set shares the path it has in common with its
    predecessor).  Overlap counted on a shared path is reused, and a branch is
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.stage import cut
+from ..operators.stage import collect, cut, remove
 from . import sketch, text
 from .components import connected
 
@@ -285,7 +286,9 @@ class JaccardJoin:
             )
 
         all_sets = self._each(self.docs, emit, f"id {self.id_type}, node long, grams binary")
-        return cut(all_sets.join(wanted.hint("shuffle_hash"), ["node", "id"]).select("node", "grams"), "gram-sets")
+        written = cut(all_sets.join(wanted.hint("shuffle_hash"), ["node", "id"]).select("node", "grams"), "gram-sets")
+        seen.destroy()
+        return written
 
     def possible(self, shared: DataFrame) -> DataFrame:
         """Distinct pairs ``a, b`` of rows ``a, an, b, bn`` (one for each shared prefix n-gram) that may link."""
@@ -338,6 +341,35 @@ class JaccardJoin:
         sorted_work = work.repartition("a", "salt").sortWithinPartitions("a", "salt", "b")
         return cut(sorted_work.mapInArrow(run, "u long, v long"), "links")
 
+    def reachable(self, m: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Families, and the ``node, family`` that may link, of members ``gram, node, n, comp``.
+
+        A node shares with a member at most the prefix n-grams that it has in
+        common with any member of the family, so one row for each node, n-gram
+        and family bounds the overlap with all its members.
+        """
+        num, den = self.num, self.den
+        families = cut(comp.groupBy("comp").agg(F.count("*").alias("k")).where(F.col("k") >= FAMILY).select(F.col("comp").alias("family")), "families")
+        mine = m.join(families, m["comp"] == families["family"])
+        sizes = mine.groupBy("family").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        grams = cut(mine.select("gram", "family").distinct(), "family-grams")
+        met = m.join(grams, "gram").where("comp <> family").groupBy("node", "n", "family").agg(F.count("*").alias("k"))
+        # Of the sizes that can link, the shortest and the longest need the fewest shared n-grams.
+        n = F.col("n")
+        lo = F.greatest("lo", F.ceil(n * num / den))
+        hi = F.least("hi", F.floor(n * den / num))
+
+        def fewest(size):
+            rest = F.greatest(F.ceil(n * num / den), F.ceil(size * num / den)) - 1
+            return F.ceil((n + size) * num / (num + den)) - rest
+
+        may = (lo <= hi) & (F.col("k") >= F.least(fewest(lo), fewest(hi)))
+        return families, cut(met.join(sizes, "family").where(may).select("node", "family"), "reachable")
+
+
+# Nodes of a component that other nodes are first held against as a whole.
+FAMILY = 16
+
 
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, num: int = 75, den: int = 100,
@@ -359,10 +391,12 @@ def jaccard_components(
     buckets = int(join.spark.conf.get("spark.sql.shuffle.partitions"))
     nodes = join.nodes()
     named = nodes.where("id is not null and n > 0")
-    groups = join.groups(buckets)
+    with collect() as used:
+        groups = join.groups(buckets)
     frequent = groups.where("size is null").drop("size")
     sizes = frequent.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
     members = cut(groups.where("size is not null").unionByName(frequent.join(sizes, "gram")), "gram-members")
+    remove(join.spark, used)
     # A group's hub is the member whose n-grams most others hold: the text that near copies were made from.
     mass = members.groupBy("node").agg((F.sum("size") / F.max("n")).alias("mass"))
     ranked = members.join(mass, "node")
@@ -379,11 +413,17 @@ def jaccard_components(
     comp = cut(connected(near), "components")
 
     m = members.select("gram", "node", "n").join(comp, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    # Both sides of the join below need one choice of the major component: ties have an order, and it is made once.
+    # Both sides of the joins below need one choice of the major component: ties have an order, and it is made once.
     split_members = m.join(cut(majors(m), "majors"), "gram")
-    minor = split_members.where("comp <> major").select("gram", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    # Every shared prefix n-gram of two nodes in different components gives one row, the smaller node first.
-    met = minor.join(split_members, "gram").where("comp <> cx and (comp = major or x < node)")
+    families, reach = join.reachable(m, comp)
+    minor = split_members.where("comp <> major").select("gram", "major", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
+    # Every shared prefix n-gram of two nodes in different components gives one row, those of minor components with each other
+    # (the smaller node first), then with the major one: where it is a family, only the nodes that may link with it.
+    both = minor.drop("major").join(split_members.where("comp <> major").drop("major"), "gram").where("comp <> cx and x < node")
+    alone = minor.join(families, minor["major"] == families["family"], "left_anti")
+    may = minor.join(reach, (minor["x"] == reach["node"]) & (minor["major"] == reach["family"]), "left_semi")
+    main = split_members.where("comp = major").drop("major")
+    met = both.unionByName(alone.unionByName(may).drop("major").join(main, "gram"))
     first = F.col("x") < F.col("node")
     shared = met.select(
         F.when(first, F.col("x")).otherwise(F.col("node")).alias("a"), F.when(first, F.col("nx")).otherwise(F.col("n")).alias("an"),
@@ -403,6 +443,7 @@ def jaccard_components(
 
     rows = nodes.join(comp, "node", "left").select("id", "n", F.coalesce("comp", "node").alias("comp"), *join.keys)
     least = rows.where("id is not null and n > 0").groupBy("comp").agg(F.min("id").alias("component_id"))
+    join.classes.destroy()
     return rows.join(least, "comp", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),

@@ -5,7 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import brute_trees as bt
+from llm import brute_trees as bt
 import numpy as np
 import pytest
 from hypothesis import given, settings

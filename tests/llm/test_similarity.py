@@ -218,3 +218,24 @@ def test_topk_ties_and_few_candidates(spark):
 
 def test_queries_read_whole_tables(spark):
     assert table(spark, "/root/testdata/sf0.001", "documents").count() == 200
+
+
+@pytest.mark.parametrize("family", [2, 4])
+def test_nodes_near_families_lose_no_link(spark, monkeypatch, family):
+    """Families of near copies, texts that nearly link with them, and texts that link two of them."""
+    monkeypatch.setattr(ngram_join, "FAMILY", family)
+    r = random.Random(family)
+    docs = []
+    for base in range(5):
+        words = [f"b{base}w{i}" for i in range(60)]
+        for copy in range(8):
+            w = list(words)
+            for _ in range(copy % 4):
+                w[r.randrange(60)] = f"x{r.randrange(9)}"
+            docs.append(w)
+        for cut_at in range(30, 60, 4):
+            docs.append(words[:cut_at] + [f"y{r.randrange(50)}" for _ in range(60 - cut_at)])
+        docs.append(words[:55] + [f"b{(base + 1) % 5}w{i}" for i in range(5, 12)])
+    rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(x) for x in got) == sorted(brute.components(rows))
