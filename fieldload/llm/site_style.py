@@ -7,8 +7,10 @@ entropies over the host's pages tell how much the node varies.  A node's
 importance is
 
 * 0 for presentation that marks furniture (menus, headers, footers, sidebars,
-  adverts, forms, scripts, reader comments) by tag, role or an exact name, and
-  for anything outside the article on a page that has one;
+  adverts, forms, scripts, reader comments, hidden elements) by tag, role, an
+  exact name or a name composed of furniture words and words for parts of a
+  page (``comment-list``, ``cookie-notice``), and for anything outside the
+  article on a page that has one.  An article that a form wraps is an article;
 * 1 for other nodes inside an article: copies of an article stay articles,
   however often a site repeats them;
 * otherwise the mean of the content and presentation entropies, weighted 9 to
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.stage import cut
+from .names import free_names
 
 # Elements and names of page furniture, HTML element classes.
 FURNITURE_TAGS = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "title"}
@@ -43,12 +46,21 @@ FURNITURE_NAMES = set(
     "discussion footer masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo related "
     "recommended share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
-# Of these, words that sections and headings are named after as well; as an exact class they count outside articles only.
+# Of these, words that sections and headings are named after as well; inside articles they count as the only class of a container.
 PROSE_NAMES = set(
     "advertising banner comment consent cookie cookies discussion menu navigation newsletter notice notices promo related "
     "recommended share sharing skip social subscribe widget".split()
 )
 WHOLE_NAMES = FURNITURE_NAMES - PROSE_NAMES
+# Words for parts of a page: with a furniture word they make a name like `share-buttons`.
+PART_NAMES = set(
+    "accept area author avatar bar block body bottom box button buttons close container content dismiss footer form group header icon "
+    "icons inner item items label left link links list meta overlay page panel post prompt reader replies reply respond right "
+    "section signup site strip text thread title toggle tool tools top user wrap wrapper".split()
+)
+COMMENT = "comment"
+# Elements that such names mark as furniture inside articles too.
+CONTAINERS = {"div", "section", "article", "ul", "ol", "dl", "li", "p"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Factor on the importance of a node that a name speaks against: unique text stays above the threshold.
 NAMED = 0.6
@@ -65,58 +77,143 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 # An open element that an implied end tag does not cross.
 SCOPE = {"ul", "ol", "dl", "table", "article", "main", "section", "div", "body", "td", "th", "blockquote"}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL
-)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+REST = r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|[^<]+|<"
+TOKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)|" + REST, re.DOTALL)
+# Behind the last ">" of a page no tag ends.
+TAIL = re.compile("()()" + REST, re.DOTALL)
+# In a tag: its end, or the quote that opens a value.
+STOP = re.compile(r">|=\s*+[\"']")
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+TELLING = re.compile(r"class|id|role|hidden|style", re.IGNORECASE)
+WORD = re.compile(r"[a-z0-9]+")
+UNSEEN = re.compile(r"display\s*+:\s*+none", re.IGNORECASE)
 HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)")
 BREAKS = re.compile(r"[\x20\x09-\x0D\xa0]+")
 
 
 class Node:
-    """A place in the style tree; ``prior`` is 0 (furniture), 1 (article) or None; ``named``: a name speaks against it."""
+    """A place in the style tree; ``prior`` is 0 (furniture), 1 (article) or None; ``named``: a name speaks against it.
 
-    __slots__ = ("path", "prior", "main", "named", "tag", "kids")
+    ``form``: it is furniture by a form alone.  ``path`` is a digest, so deep
+    pages take no more memory than flat ones; ``room`` and ``looks`` keep nodes
+    and judged elements within bounds.
+    """
 
-    def __init__(self, path, prior, main, named, tag):
-        self.path, self.prior, self.main, self.named, self.tag, self.kids = path, prior, main, named, tag, {}
+    __slots__ = ("path", "prior", "main", "named", "form", "tag", "kids", "room", "looks")
+
+    def __init__(self, path, prior, main, named, form, tag, room, looks):
+        self.path, self.prior, self.main, self.named, self.form, self.tag = path, prior, main, named, form, tag
+        self.kids, self.room, self.looks = None, room, looks
 
     def child(self, tag: str, attributes: str) -> Node:
         names, found = "", {}
-        if attributes and ATTRIBUTE.search(attributes):
-            found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in reversed(list(ATTRIBUTE.finditer(attributes)))}
+        if attributes and TELLING.search(attributes):
+            for m in ATTRIBUTE.finditer(attributes):
+                found.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+            unseen = found.get("hidden", "until-found") != "until-found" or UNSEEN.search(found.get("style", "")) is not None
+            found = {k: found[k] for k in ("class", "id", "role") if k in found} | ({"unseen": ""} if unseen else {})
             names = "|".join(f"{k}={found[k]}" for k in sorted(found))
-        kid = self.kids.get((tag, names))
+        kid = self.kids.get((tag, names)) if self.kids else None
         if kid is None:
-            classes, own_id = set(found.get("class", "").split()), found.get("id", "").strip()
-            # Ids of headings are made of their text, so they tell nothing outright.
-            whole = classes if tag in HEADINGS else classes | {own_id}
-            words = set(re.split(r"[^a-z0-9]+", " ".join([*classes, own_id])))
-            role = re.match(r"\s*([a-z]+)", found.get("role", ""))
-            page = tag in ("html", "body")
-            furniture = (
-                tag in FURNITURE_TAGS
-                or (role is not None and role[1] in FURNITURE_ROLES)
-                or (not page and bool(whole & WHOLE_NAMES))
-                or (not self.main and not page and tag not in HEADINGS and bool(classes & FURNITURE_NAMES - {"discussion"}))
-                or (not self.main and (tag == HEADER or HEADER in whole))
-            )
-            named = self.named or (not page and bool(words & FURNITURE_NAMES)) or (not self.main and HEADER in words)
-            main = self.main or (tag in MAIN and not furniture)
-            prior = 0 if self.prior == 0 or furniture else 1 if main and not named else None
-            kid = Node(f"{self.path}/{tag}[{names}]", prior, main, named, tag)
-            if len(self.kids) < 10_000:
+            look = self.looks.get((tag, names))
+            if look is None:
+                look = judged(tag, found.get("class", ""), found.get("id", ""), found.get("role", ""), "unseen" in found)
+                if len(self.looks) < KEPT_LOOKS and len(names) < 200:
+                    self.looks[tag, names] = look
+            form, always, outside, named, named_outside = look
+            furniture = always or (outside and not self.main)
+            # An article that a form wraps.
+            lifted = self.form and tag in MAIN and not furniture and not form
+            named = (self.named and not lifted) or named or (named_outside and not self.main)
+            main = self.main or (tag in MAIN and not furniture and not form)
+            under = self.prior == 0 and not lifted
+            prior = 0 if under or furniture or form else 1 if main and not named else None
+            only_form = not furniture and not lifted and (self.form or (form and self.prior != 0))
+            path = blake2b(f"{self.path}/{tag}[{names}]".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+            kid = Node(path, prior, main, named, only_form, tag, self.room, self.looks)
+            if self.room[0] > 0:
+                self.room[0] -= 1
+                self.kids = self.kids or {}
                 self.kids[tag, names] = kid
         return kid
 
 
+def judged(tag: str, of_class: str, of_id: str, of_role: str, unseen: bool) -> tuple[bool, bool, bool, bool, bool]:
+    """Of an element: a form; furniture, anywhere and outside articles; named for furniture, anywhere and outside articles."""
+    classes, own_id = set(of_class.split()), of_id.strip()
+    # Ids of headings are made of their text, so they tell nothing outright.
+    whole = classes if tag in HEADINGS else classes | {own_id}
+    words = set(WORD.findall(" ".join([*classes, own_id])))
+    # Ids of sections are made of their headings as well.
+    parts = [set(WORD.findall(x)) for x in (classes if tag == "section" or "section" in classes else whole)]
+    role = re.match(r"\s*([a-z]+)", of_role)
+    role = role[1] if role else ""
+    page = tag in ("html", "body", "main")
+    composed = any(
+        len(x) > 1
+        and bool(x & FURNITURE_NAMES - {"discussion"})
+        and all(w in FURNITURE_NAMES or w in PART_NAMES or (w.isdigit() and COMMENT in x) for w in x)
+        for x in parts
+    )
+    exact = bool(classes & FURNITURE_NAMES - {"discussion"}) if tag not in MAIN else COMMENT in classes
+    always = (
+        (tag in FURNITURE_TAGS and tag != "form")
+        or (role in FURNITURE_ROLES and role != "form")
+        or (not page and (unseen or bool(whole & WHOLE_NAMES)))
+        or (tag in CONTAINERS and (composed or COMMENT in classes or (len(classes) == 1 and exact)))
+    )
+    outside = (not page and tag not in HEADINGS and exact) or tag == HEADER or HEADER in whole
+    return tag == "form" or role == "form", always, outside, not page and bool(words & FURNITURE_NAMES), HEADER in words
+
+
+class Open:
+    """The open elements of a page; where each tag is open, so that no end tag walks the stack."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def place(self, names: set, scope: bool) -> int:
+        """Index of the innermost open element of these names; 0 if none, or none within the innermost scope."""
+        at = max((self.at[t][-1] for t in names if self.at.get(t)), default=0)
+        if at and scope and any(self.at[t][-1] > at for t in SCOPE - names if self.at.get(t)):
+            return 0
+        return at
+
+    def cut(self, at: int) -> None:
+        for node in self.nodes[at:]:
+            self.at[node.tag].pop()
+        del self.nodes[at:]
+
+
+def tag_end(page: str, at: int) -> int:
+    """Index of the ``>`` that ends a tag, outside quoted values; -1 where a quote is never closed."""
+    while (m := STOP.search(page, at)) is not None:
+        if m[0] == ">":
+            return m.start()
+        at = page.find(m[0][-1], m.end()) + 1
+        if at == 0:
+            return -1
+    return -1
+
+
+# Nodes and judged elements that a task keeps of its pages, to save time only.
+KEPT_NODES = 200_000
+KEPT_LOOKS = 10_000
+
+
 def blocks(page: str, root: Node):
     """Text blocks of a page in order, ``(node, text, glued)``, and the children's tags of each node by path.
 
     A block is ``glued`` when an inline element's edge alone, without white space, parts it from the one before.
     """
-    stack, piece, out, styles = [root], [], [], {}
-    at, n, tight = 0, len(page), False
+    opened, piece, out, styles = Open(root), [], [], {}
+    stack = opened.nodes
+    at, n, tight, quoted = 0, len(page), False, True
+    last = page.rfind(">")
 
     def close(inline=False):
         nonlocal tight
@@ -127,32 +224,34 @@ def blocks(page: str, root: Node):
             out.append((stack[-1], text, tight and spaced[0] != " "))
         tight = inline and (spaced[-1] != " " if text else tight and not spaced)
 
-    def pop(tag, names, scope):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                close(all(x.tag in INLINE for x in stack[i:]))
-                del stack[i:]
-                return
-            if scope and stack[i].tag in SCOPE and stack[i].tag not in names:
-                return
+    def pop(names, scope):
+        i = opened.place(names, scope)
+        if i:
+            close(all(x.tag in INLINE for x in stack[i:]))
+            opened.cut(i)
 
     while at < n:
-        m = TOKEN.match(page, at)
+        m = (TOKEN if at < last else TAIL).match(page, at)
         at = m.end()
         tag = m[2]
-        if tag is None:
+        if not tag:
             if page[m.start()] != "<" or m.end() - m.start() == 1:
                 piece.append(m[0])
             continue
         tag = tag.lower()
+        end = tag_end(page, at) if quoted else -1
+        if end < 0:
+            # A quote is never closed: tags end at the next ">" from here on.
+            quoted, end = False, page.index(">", at)
+        attributes, at = page[at:end], end + 1
         if m[1]:
             if tag == "br":
                 piece.append(" ")
-            elif tag not in INLINE or any(x.tag == tag for x in stack):
-                pop(tag, {tag}, False)
+            else:
+                pop({tag}, False)
             continue
         if tag in RAW:
-            if not m[3].endswith("/"):
+            if not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.IGNORECASE).search(page, at)
                 at = end.end() if end else n
             continue
@@ -161,22 +260,22 @@ def blocks(page: str, root: Node):
                 piece.append(" ")
             continue
         if tag in CLOSES:
-            pop(tag, CLOSES[tag], True)
-        kid = stack[-1].child(tag, m[3])
+            pop(CLOSES[tag], True)
+        kid = stack[-1].child(tag, attributes)
         # A named inline element is judged apart where the text around it is sure to stay.
         apart = (kid.prior == 0) != (stack[-1].prior == 0) or (kid.prior is None and stack[-1].prior == 1)
         if tag in INLINE and not apart:
             continue
         close(tag in INLINE)
         styles.setdefault(stack[-1].path, []).append(tag)
-        if not m[3].endswith("/"):
-            stack.append(kid)
+        if not attributes.endswith("/"):
+            opened.push(kid)
     close()
     return out, styles
 
 
 def new_root() -> Node:
-    return Node("", None, False, False, "")
+    return Node("", None, False, False, False, "", [KEPT_NODES], {})
 
 
 def host_of(url: str | None) -> str:
@@ -190,6 +289,8 @@ def _key(*parts: str) -> int:
 
 def _read(page: str | None, root: Node):
     """Blocks with the prior they have on this page, and styles."""
+    if root.room[0] <= 0:
+        root.kids, root.room[0] = None, KEPT_NODES
     found, styles = blocks(page or "", root)
     has_main = any(node.main and node.prior != 0 for node, _, _ in found)
     # Outside the article of a page that has one, and bare pages, are different nodes.
@@ -293,15 +394,16 @@ def extract_text(
     """
     spark = pages.sparkSession
     kept = [c for c in pages.columns if c not in (html_col, "text")]
-    rows = pages.select(*kept, F.col(url_col).alias("__url"), F.col(html_col).alias("__html"))
-    nodes = cut(style_nodes(rows.select(F.col("__url").alias("url"), F.col("__html").alias("html"))), "style-nodes")
+    url_at, html_at, row_at, key_at, low_at = free_names([*pages.columns, "text"], 5)
+    rows = pages.select(*kept, F.col(url_col).alias(url_at), F.col(html_col).alias(html_at))
+    nodes = cut(style_nodes(rows.select(F.col(url_at).alias("url"), F.col(html_at).alias("html"))), "style-nodes")
     low = cut(repeated_blocks(nodes, threshold), "low-blocks")
     schema = T.StructType([pages.schema[c] for c in kept]).add("text", "string")
 
     def cleaned(batch, low_of):
         root = new_root()
         text = []
-        for i, (url, page) in enumerate(zip(batch["__url"].to_pylist(), batch["__html"].to_pylist(), strict=True)):
+        for i, (url, page) in enumerate(zip(batch[url_at].to_pylist(), batch[html_at].to_pylist(), strict=True)):
             host, low = host_of(url), low_of(i)
             text.append(_joined(_read(page, root)[0], low, host))
         return pa.RecordBatch.from_arrays([batch[c] for c in kept] + [pa.array(text, pa.string())], names=[*kept, "text"])
@@ -317,26 +419,27 @@ def extract_text(
         return rows.mapInArrow(run, schema)
 
     # Beyond the bound each page gets the low blocks among its own.
-    keyed = rows.withColumn("__row", F.xxhash64(*[F.col(c) for c in rows.columns]))
+    page_key = F.concat(*[F.sha2(F.coalesce(F.col(c), F.lit("")), 256) for c in (url_at, html_at)])
+    keyed = rows.withColumn(row_at, page_key)
 
     def own(batches):
         root = new_root()
         for batch in batches:
             at, block = [], []
-            for url, page, row in zip(*(batch[c].to_pylist() for c in ("__url", "__html", "__row")), strict=True):
+            for url, page, row in zip(*(batch[c].to_pylist() for c in (url_at, html_at, row_at)), strict=True):
                 host = host_of(url)
                 keys = {_key(host, path, t) for _, path, prior, t, _ in _read(page, root)[0] if prior is None}
                 at += [row] * len(keys)
                 block += list(keys)
-            yield pa.RecordBatch.from_pydict({"__at": pa.array(at, pa.int64()), "block": pa.array(block, pa.int64())})
+            yield pa.RecordBatch.from_pydict({key_at: pa.array(at, pa.string()), "block": pa.array(block, pa.int64())})
 
-    pairs = keyed.select("__url", "__html", "__row").mapInArrow(own, "__at long, block long").distinct()
-    per_page = pairs.join(low, "block").groupBy("__at").agg(F.collect_list("block").alias("__low"))
-    joined = keyed.join(per_page.hint("shuffle_hash"), F.col("__row") == F.col("__at"), "left").drop("__at", "__row")
+    pairs = keyed.select(url_at, html_at, row_at).mapInArrow(own, f"{key_at} string, block long").distinct()
+    per_page = cut(pairs.join(low, "block").groupBy(key_at).agg(F.collect_list("block").alias(low_at)), "low-of-pages")
+    joined = keyed.join(per_page.hint("shuffle_hash"), F.col(row_at) == F.col(key_at), "left").drop(key_at, row_at)
 
     def run_joined(batches):
         for batch in batches:
-            low = batch["__low"]
+            low = batch[low_at]
             yield cleaned(batch, lambda i, low=low: set(low[i].as_py() or ()))
 
     return joined.mapInArrow(run_joined, schema)
