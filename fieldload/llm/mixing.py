@@ -5,10 +5,13 @@ All of it is DataFrame work; no Python runs on the executors.
 1. *Targets*: the tokens of the mix are shared among sources by weight; no
    target exceeds ``max_epochs`` times its source, the excess is reshared by
    weight (water filling over the source table).
-2. *Quotas*: the mix is cut into blocks of equal tokens, and blocks go to
-   sources by the highest quotients ``target / (2 k + 1)``.  A source's blocks
+2. *Quotas*: the mix is cut into units of equal tokens, and units go to
+   sources by the highest quotients ``target / (2 k + 1)``.  A source's units
    go to its shards in the same way, by shard size.  A shard holds a bounded
-   number of tokens, so a source with a third of all rows is many shards.
+   number of tokens, so a source with a third of all rows is many shards.  A
+   unit is one token unless said otherwise, so that the smallest source too
+   gets its target; only about one row per source or shard is ranked, however
+   many units there are.
 3. *Selection*: a shard is its documents in a seeded order, one stream of
    tokens.  It is taken whole as often as its quota allows; the rest are
    blocks of the stream in a second seeded order, the last one in part.
@@ -88,6 +91,7 @@ def mix(
     weights: tuple[int, ...] = (1, 2, 3),
     max_epochs: int = 3,
     block_tokens: int = 128,
+    unit_tokens: int = 1,
     shard_tokens: int = 1 << 22,
     seed: int = 7,
     id_col: str = "doc_id",
@@ -99,7 +103,8 @@ def mix(
     Size is the number of ``[^\\x20\\x09-\\x0D]+`` in the text, 0 for null.
     Sources weigh ``weights`` in turn, by code point, null last, and share as
     many tokens as all rows have.  ``taken`` counts tokens with repeats, at most
-    ``max_epochs * size``.  Reruns agree; rows equal in id, source and size are
+    ``max_epochs * size``; a source takes ``quota * unit_tokens`` or all it may,
+    in blocks of ``block_tokens``.  Reruns agree; rows equal in id, source and size are
     interchangeable.  Null ids and sources are values like others; rows
     without words take part with 0; an empty table gives an empty result.
     """
@@ -108,7 +113,7 @@ def mix(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size")), "sizes"
     )
     sources = cut(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), list(weights), max_epochs), "sources")
-    seats = F.round(F.col("total") / block_tokens).cast("long")
+    seats = F.round(F.col("total") / unit_tokens).cast("long")
     quotas = sainte_lague(sources.withColumn("seats", seats).withColumn("all", F.lit(0)), ["all"], "source_no", "target", "seats")
     shards_of = F.greatest(F.ceil(F.col("source_size") / shard_tokens), F.lit(1))
     number = F.conv(F.substring(seeded(seed, F.col("id")), 1, 8), 16, 10).cast("long")
@@ -125,7 +130,7 @@ def mix(
         quotas.select("source_no", F.col("quota").alias("seats")), "source_no"
     )
     dealt = sainte_lague(shards, ["source_no"], "shard", "length", "seats").where("length > 0")
-    tokens = F.least(F.col("quota") * block_tokens, max_epochs * F.col("length"))
+    tokens = F.least(F.col("quota") * unit_tokens, max_epochs * F.col("length"))
     dealt = dealt.withColumn("tokens", tokens).withColumn("epochs", F.floor(F.col("tokens") / F.col("length")))
     dealt = cut(dealt.withColumn("rest", F.col("tokens") - F.col("epochs") * F.col("length")), "shard-quotas")
 

@@ -30,7 +30,7 @@ c AS (SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weight
   coalesce(sum(weight) OVER (ORDER BY cap / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weight_before FROM w),
 f AS (SELECT *, cap * (weights - weight_before) <= weight * (total - cap_before) AS is_full FROM c),
 t AS MATERIALIZED (SELECT *, CASE WHEN is_full THEN cap::DOUBLE ELSE (weight * (total - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ()))::DOUBLE
-    / sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER () END AS target, round(total / 128.0) AS seats FROM f),
+    / sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER () END AS target, total AS seats FROM f),
 q AS MATERIALIZED {_lague("t", "whole", "no", "target", "seats", "no, source, source_size, target")},
 placed AS MATERIALIZED (
   SELECT doc_id, s.source, size, no, shard, sum(size) OVER (PARTITION BY no, shard
@@ -39,7 +39,7 @@ placed AS MATERIALIZED (
       % greatest(ceil(source_size / 4194304.0)::BIGINT, 1) AS shard FROM sized z JOIN q ON z.source IS NOT DISTINCT FROM q.source) s),
 sh AS MATERIALIZED (SELECT no, shard, sum(size)::BIGINT AS length, q.quota AS seats FROM placed JOIN q USING (no) GROUP BY no, shard, q.quota),
 d AS MATERIALIZED (SELECT *, tokens // length AS epochs, tokens % length AS rest FROM (
-  SELECT *, least(quota * 128, 3 * length) AS tokens FROM {_lague("sh", "no", "shard", "length", "seats", "no, shard, length")} WHERE length > 0)),
+  SELECT *, least(quota, 3 * length) AS tokens FROM {_lague("sh", "no", "shard", "length", "seats", "no, shard, length")} WHERE length > 0)),
 b AS (SELECT *, least(128, length - block * 128) AS n FROM (SELECT *, unnest(range(0, (length + 127) // 128)) AS block FROM d WHERE rest > 0)),
 u AS (SELECT *, sum(n) OVER (PARTITION BY no, shard ORDER BY md5('9|' || no || '|' || shard || '|' || block), block ROWS UNBOUNDED PRECEDING) AS upto FROM b),
 chosen AS MATERIALIZED (SELECT no, shard, block, least(n, rest - (upto - n)) AS part FROM u WHERE upto - n < rest),

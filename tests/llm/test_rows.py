@@ -24,7 +24,7 @@ def mixed(spark, rows, **options):
 def test_mix_meets_targets_without_excess(spark):
     rows = [(i, "w " * (i % 90), f"s{i % 5}") for i in range(600)] + [(None, "a b", None), (7, None, "s1"), (7, "", "s1"), (8, "x " * 4000, "s2")]
     rows += [(9, "only one small source", "t")]
-    got = mixed(spark, rows, block_tokens=16, shard_tokens=2000)
+    got = mixed(spark, rows, block_tokens=16, unit_tokens=16, shard_tokens=2000)
     assert len(got) == len(rows)
     by = {}
     for r in got:
@@ -34,7 +34,7 @@ def test_mix_meets_targets_without_excess(spark):
     for target, taken, size, quota in by.values():
         assert target <= 3 * size and abs(taken - target) <= 16 + 1e-6 and (taken == quota * 16 or taken == 3 * size)
     assert sum(t[0] for t in by.values()) == pytest.approx(sum(r["size"] for r in got))
-    assert sorted(map(str, got)) == sorted(map(str, mixed(spark, rows, block_tokens=16, shard_tokens=2000)))
+    assert sorted(map(str, got)) == sorted(map(str, mixed(spark, rows, block_tokens=16, unit_tokens=16, shard_tokens=2000)))
 
 
 def test_mix_small_sources_are_capped(spark):
@@ -42,6 +42,18 @@ def test_mix_small_sources_are_capped(spark):
     assert {r["source"]: r["taken"] for r in got} == {"a": 30, "b": 1192, "c": 1788}
 
 
+def test_mix_small_sources_meet_their_targets(spark):
+    """Sources far below a block, beside one of 100,000 words."""
+    words = {"a": 20, "b": 40, "c": 30, "d": 55, "e": 100_000, "f": 1}
+    rows = [(i * 100 + j, "w " * (n // 4 if j < 3 else n - 3 * (n // 4)), s) for i, (s, n) in enumerate(words.items()) for j in range(4)]
+    got = mixed(spark, rows)
+    for s in words:
+        target = next(r["target"] for r in got if r["source"] == s)
+        assert abs(sum(r["taken"] for r in got if r["source"] == s) - target) < 1
+    assert all(r["taken"] <= 3 * r["size"] for r in got)
+    assert {r["source"]: r["target"] for r in got if r["source"] in "abcd"} == {"a": 60, "b": 120, "c": 90, "d": 165}
+
+
 def test_mix_of_nothing(spark):
     assert mixed(spark, []) == []
     assert [r["taken"] for r in mixed(spark, [(1, None, "a"), (2, "", None)])] == [0, 0]
