@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .names import free_names
+
 BLOCK_BITS = 18
 SALTS = 16
 SCHEMA = "block int, salt int, cells binary, counts binary"
@@ -191,14 +193,15 @@ def by_membership(df: DataFrame, key, keys: DataFrame) -> tuple[DataFrame, DataF
     Only the rest needs a join with ``keys``; the first part is not shuffled.
     """
     seen = df.sparkSession.sparkContext.broadcast(members(keys))
-    keyed = df.withColumn("__key", key)
+    (key_at,) = free_names(df.columns, 1)
+    keyed = df.withColumn(key_at, key)
 
     def part(inside: bool):
         def run(batches):
             for batch in batches:
-                hit = passes(seen.value, batch["__key"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), 24)
+                hit = passes(seen.value, batch[key_at].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), 24)
                 yield batch.filter(pa.array(hit == inside))
 
-        return keyed.mapInArrow(run, keyed.schema).drop("__key")
+        return keyed.mapInArrow(run, keyed.schema).drop(key_at)
 
     return part(False), part(True)

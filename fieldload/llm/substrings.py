@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..operators.stage import cut
 from . import sketch, text
+from .names import free_names
 
 ROW = "__row"
 
@@ -87,8 +88,8 @@ def remove_repeats(
     if not 1 <= gram <= window:
         raise ValueError("gram must be between 1 and window")
     spark = docs.sparkSession
-    rows = docs.withColumn(ROW, F.xxhash64(text_col))
-    some = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), ROW, F.col(text_col).alias("text"))
+    row_key = F.xxhash64(text_col)
+    some = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), row_key.alias(ROW), F.col(text_col).alias("text"))
 
     def keys(batches):
         tok = text.Tokenizer(text.space_words(), lower=False)
@@ -126,7 +127,8 @@ def remove_repeats(
         some.mapInArrow(segments, f"{row_schema}, start int, n int, key long, s1 long, s2 long"), "segments"
     )
     first = segs.groupBy("s1", "s2", "n").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    first = first.where("first < last").drop("last")
+    # Written, as holders are below: a common segment is split.
+    first = cut(first.where("first < last").drop("last"), "segment-holders")
     open_keys = segs.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
     judged = cut(
         segs.join(first, ["s1", "s2", "n"], "left")
@@ -174,16 +176,18 @@ def remove_repeats(
         judged.where("known").select("id", ROW, "start", "n")
         .unionByName(late.select("id", ROW, "start", F.lit(1).alias("n")))
         .groupBy("id", ROW)
-        .agg(F.collect_list(F.struct("start", "n")).alias("__gone"))
-        .withColumnRenamed("id", "__id")
+        .agg(F.collect_list(F.struct("start", "n")).alias("gone"))
     )
-    gone = cut(gone, "repeated-windows")
     results = {"n_words": "long", "n_removed": "long", "kept_text": "string"}
+    id_at, row_at, text_at, of_at, key_at, gone_at = free_names([*docs.columns, *results], 6)
+    gone = cut(
+        gone.select(F.col("id").alias(of_at), F.col(ROW).alias(key_at), F.col("gone").alias(gone_at)), "repeated-windows"
+    )
     kept_cols = [c for c in docs.columns if c not in results]
-    reads_text = text_col if text_col in kept_cols else "__text"
-    wide = rows.withColumn("__text", F.col(text_col)) if reads_text == "__text" else rows
-    wide = wide.select(
-        *kept_cols, *(["__text"] if reads_text == "__text" else []), F.col(id_col).alias("__i"), F.col(ROW).alias("__r")
+    reads_text = text_col if text_col in kept_cols else text_at
+    wide = docs.select(
+        *kept_cols, *([F.col(text_col).alias(text_at)] if reads_text == text_at else []),
+        F.col(id_col).alias(id_at), row_key.alias(row_at),
     )
 
     def stripped(tok, batch, start, n, off):
@@ -208,7 +212,7 @@ def remove_repeats(
     def strip(batches):
         tok = text.Tokenizer(text.space_words(), lower=False)
         for batch in batches:
-            gone = batch["__gone"].fill_null([])
+            gone = batch[gone_at].fill_null([])
             flat, off = gone.flatten(), gone.offsets.to_numpy() - gone.offsets[0].as_py()
             start, n = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("start", "n"))
             yield stripped(tok, batch, start, n, off)
@@ -223,6 +227,6 @@ def remove_repeats(
     for name, kind in results.items():
         schema = schema.add(name, kind)
     # Most rows lose nothing; only those that may are joined with their losses.
-    clear, maybe = sketch.by_membership(wide, F.xxhash64("__i", "__r"), gone.select(F.xxhash64("__id", ROW).alias("key")))
-    some = maybe.join(gone.hint("shuffle_hash"), (F.col("__i") == F.col("__id")) & (F.col("__r") == F.col(ROW)), "left")
+    clear, maybe = sketch.by_membership(wide, F.xxhash64(id_at, row_at), gone.select(F.xxhash64(of_at, key_at).alias("key")))
+    some = maybe.join(gone.hint("shuffle_hash"), (F.col(id_at) == F.col(of_at)) & (F.col(row_at) == F.col(key_at)), "left")
     return some.mapInArrow(strip, schema).unionByName(clear.mapInArrow(whole, schema))
