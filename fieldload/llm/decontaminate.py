@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from ..operators.stage import cut
 from . import text
+from .names import free_names
 
-ROW = "__row"
 FILTER_BITS = 20
 RESULTS = {"n_words": "long", "n_hit": "long", "spans": "array<struct<start:int,end:int,from:int,to:int>>", "items": "array<string>"}
 
@@ -160,30 +160,35 @@ def find_leaks(
     # Python objects of a window: words, item names, hash and containers.
     size = windows.agg(F.sum(F.length("words") + F.coalesce(F.length("item"), F.lit(0)) + 400)).first()[0] or 0
     blocks = max(1, math.ceil(size / broadcast_bytes))
-    rows = docs.withColumn("__text", F.col(text_col)) if text_col in RESULTS else docs
-    reads = "__text" if text_col in RESULTS else text_col
+    text_at, key_at, of_at, spans_at, items_at = free_names([*docs.columns, *RESULTS], 5)
+    rows = docs.withColumn(text_at, F.col(text_col)) if text_col in RESULTS else docs
+    reads = text_at if text_col in RESULTS else text_col
 
     def block(i: int):
         part = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == i)
         return spark.sparkContext.broadcast(_lookup(part.collect()))
 
     if blocks == 1:
-        return _scan(rows, block(0), reads).drop("__text")
-    # Every block's hits are merged by row identity (all columns of equal rows are equal).
-    keyed = rows.withColumn(ROW, F.xxhash64(*[F.col(c) for c in docs.columns]))
-    found = [
-        _scan(keyed.select(ROW, F.col(reads).alias("__t")), block(i), "__t").where("n_hit > 0").select(ROW, "__t", "spans", "items")
-        for i in range(blocks)
-    ]
-    more = found[0]
-    for f in found[1:]:
-        more = more.unionByName(f)
-    merged = more.groupBy(ROW).agg(
-        F.flatten(F.collect_list("spans")).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("i")
+        return _scan(rows, block(0), reads).drop(text_at)
+    # Hits depend on the text alone, so those of all blocks are merged by its digest.  Blocks are broadcast in turn:
+    # the hits of one are written before the next is made.
+    keyed = rows.withColumn(key_at, F.sha2(F.col(reads), 256))
+    more = None
+    for i in range(blocks):
+        held = block(i)
+        hits = _scan(keyed.select(key_at, F.col(reads).alias(reads)), held, reads).where("n_hit > 0")
+        hits = cut(hits.groupBy(F.col(key_at).alias(of_at)).agg(F.first("spans").alias("spans"), F.first("items").alias("items")), "block-hits")
+        held.destroy()
+        more = hits if more is None else more.unionByName(hits)
+    merged = more.groupBy(of_at).agg(
+        F.flatten(F.collect_list("spans")).alias(spans_at),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(items_at),
     )
-    joined = _scan(keyed, spark.sparkContext.broadcast({}), reads).drop("n_hit", "spans", "items").join(merged, ROW, "left")
+    merged = cut(merged, "merged-hits")
+    counted = _scan(keyed, spark.sparkContext.broadcast({}), reads).drop("n_hit", "spans", "items")
+    joined = counted.join(merged, F.col(key_at) == F.col(of_at), "left")
     fused = F.aggregate(
-        F.array_sort("s"),
+        F.array_sort(spans_at),
         F.expr("cast(array() as array<struct<start:int,end:int,from:int,to:int>>)"),
         lambda acc, x: F.when(
             (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]),
@@ -197,9 +202,9 @@ def find_leaks(
         ).otherwise(F.concat(acc, F.array(x))),
     )
     none = F.expr("cast(array() as array<struct<start:int,end:int,from:int,to:int>>)")
-    out = joined.withColumn("spans", F.when(F.col("s").isNotNull(), fused).otherwise(none))
+    out = joined.withColumn("spans", F.when(F.col(spans_at).isNotNull(), fused).otherwise(none))
     out = out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]))
-    out = out.withColumn("items", F.coalesce("i", F.expr("cast(array() as array<string>)")))
+    out = out.withColumn("items", F.coalesce(items_at, F.expr("cast(array() as array<string>)")))
     keep = [c for c in docs.columns if c not in RESULTS]
     return out.select(*keep, *RESULTS)
 

@@ -169,6 +169,21 @@ def test_leaks_equal_brute_force(spark, bound):
     assert sorted(got, key=str) == sorted(brute.leaks(LEAKS, ITEMS), key=str)
 
 
+@pytest.mark.parametrize("bound", [32 << 20, 2000])
+def test_helper_names_may_clash(spark, bound):
+    """Columns named like helpers, and like one-letter joins, come through."""
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, words, "r", "k", i, i, i) for i in range(3)], "doc_id long, text string, __row string, __key string, __0 int, s int, i int")
+    found = substrings.remove_repeats(docs)
+    assert found.columns[:7] == docs.columns
+    assert sorted((r["doc_id"], r["n_removed"], r["__row"], r["__key"], r["__0"], r["s"], r["i"]) for r in found.collect()) == [
+        (i, 0 if i == 0 else 60, "r", "k", i, i, i) for i in range(3)
+    ]
+    leaks = decontaminate.find_leaks(docs, spark.createDataFrame([*ITEMS, (7, words)], "item_id long, text string"), broadcast_bytes=bound)
+    assert leaks.columns[:7] == docs.columns
+    assert sorted((r["doc_id"], r["n_hit"], r["__row"], r["s"], r["i"]) for r in leaks.collect()) == [(i, 60, "r", i, i) for i in range(3)]
+
+
 def test_leak_spans_are_cut(spark):
     docs = spark.createDataFrame([(1, "é keep Tiny, item! rest tiny item"), (2, "clean")], DOCS)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
