@@ -3,7 +3,8 @@
 A package is a ZIP file with two stored members: ``archive/data.warc.gz``, one
 gzip member for each record, and ``indexes/index.cdxj``, one line for each
 record with its offset and length in the first.  The writer's packages are
-rows of ``path, content``, as Spark's ``binaryFile`` source gives them.
+rows of ``path, content``, as Spark's ``binaryFile`` source gives them;
+:func:`store_packages` makes files of them.
 
 The reader parses the end of the central directory (or its ZIP64 form), finds
 the byte ranges of the members under ``archive/`` and ``indexes/``, and reads
@@ -22,6 +23,7 @@ import hashlib
 import io
 import json
 import struct
+import uuid
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
@@ -33,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.stage import cut
+from ..session import checkpoint_dir
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 ARCHIVES, INDEXES = (".warc.gz", ".warc"), (".cdxj", ".cdx", ".cdxj.gz", ".cdx.gz")
@@ -277,10 +280,12 @@ def write_packages(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), body.alias("body"),
         F.sha1(F.encode(body, "utf-8")).alias("sha"), F.octet_length(body).alias("n"),
     )
-    # Only digests that occur twice are joined; a common one is split by adaptive execution.
-    twice = (
+    # Only digests that occur twice are joined.  They are written, so that the join has plain exchanges on both sides
+    # and adaptive execution can split the bodies of a common one.
+    twice = cut(
         rows.groupBy("sha", "n").agg(F.max("id").alias("last"), F.count("*").alias("k"))
-        .where((F.col("k") > 1) & (F.col("n") >= min_revisit_bytes) & F.col("last").isNotNull()).drop("k")
+        .where((F.col("k") > 1) & (F.col("n") >= min_revisit_bytes) & F.col("last").isNotNull()).drop("k"),
+        "repeated-payloads",
     )
     judged = rows.join(twice.hint("shuffle_hash"), ["sha", "n"], "left").select(
         F.col("id").cast("string").alias("id"), "url", "sha",
@@ -375,11 +380,16 @@ def read_records(packages: DataFrame, with_payload: bool = True) -> DataFrame:
     return packages.mapInArrow(run, RECORDS)
 
 
+def _local(path: str) -> str | None:
+    """The path of a local or mounted file, given as a path or ``file:`` URI."""
+    if path.startswith("file:"):
+        return unquote(urlsplit(path).path)
+    return path if path.startswith("/") else None
+
+
 def _open(path: str) -> tuple[Read, int]:
     """Range reads of a file at a path or URI that Arrow's file systems know."""
-    if path.startswith("file:"):
-        path = unquote(urlsplit(path).path)
-    system, name = (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
+    system, name = (pafs.LocalFileSystem(), _local(path)) if _local(path) else pafs.FileSystem.from_uri(path)
     file = system.open_input_file(name)
 
     def read(at, n):
@@ -426,6 +436,27 @@ def read_files(paths: DataFrame, with_payload: bool = True) -> DataFrame:
     return dealt.mapInArrow(run, RECORDS)
 
 
+def store_packages(packages: DataFrame, folder: str) -> DataFrame:
+    """``path`` of the files made of ``path, content`` rows below ``folder``, which every worker must reach.
+
+    A file's name holds a random part, and only files of the attempt whose rows
+    count are listed: what a lost or repeated task left behind is never read.
+    """
+
+    def run(batches):
+        system, root = (pafs.LocalFileSystem(), _local(folder)) if _local(folder) else pafs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+                name = f"{uuid.uuid4().hex}-{path}"
+                with system.open_output_stream(f"{root}/{name}") as out:
+                    out.write(content.as_buffer())
+                yield pa.RecordBatch.from_pydict({"path": pa.array([f"{folder.rstrip('/')}/{name}"])})
+
+    return cut(packages.mapInArrow(run, "path string"), "package-files")
+
+
 def round_trip(pages: DataFrame, with_payload: bool = True, **options) -> DataFrame:
-    """Records read back from the packages that :func:`write_packages` made, kept in the checkpoint folder."""
-    return read_records(cut(write_packages(pages, **options), "packages"), with_payload)
+    """Records read back, by range, from the package files that :func:`write_packages` made in the checkpoint folder."""
+    folder = f"{checkpoint_dir(pages.sparkSession).rstrip('/')}/fieldload-packages/{uuid.uuid4().hex}"
+    return read_files(store_packages(write_packages(pages, **options), folder), with_payload)
