@@ -82,15 +82,24 @@ def paths(messages: DataFrame) -> DataFrame:
     return walk
 
 
-def format_trees(messages: DataFrame, learn: str = "assistant", per_tree: int | None = None) -> DataFrame:
+def one_of_each(messages: DataFrame) -> DataFrame:
+    """Of rows with one (``tree``, ``node``) the least by parent, role, text and score, nulls first."""
+    told = F.min(F.struct("parent", "role", "text", "score")).alias("m")
+    return messages.groupBy("tree", "node").agg(told).select("tree", "node", "m.*")
+
+
+def format_trees(messages: DataFrame, learn: str = "assistant", per_tree: int | None = None, unique: bool = False) -> DataFrame:
     """``tree, leaf, branch_score, branch, formatted, spans`` of each root-to-leaf path.
 
     ``messages`` has ``tree, node, parent, role, text, score``.  Branches of a
     tree are ranked by the mean score of their messages (null scores count 0),
     ties to the smaller leaf; ``per_tree`` keeps that many.  ``spans`` are the
     code point ranges of the texts to learn from.  Null roles and texts read
-    as empty.  An empty table gives an empty result.
+    as empty.  Of rows that repeat a tree's node one counts (:func:`one_of_each`);
+    ``unique`` says that there are none.  An empty table gives an empty result.
     """
+    if not unique:
+        messages = cut(one_of_each(messages), "messages")
     walk = paths(messages)
     said = messages.select("tree", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     marks = messages.select("tree", "node", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))

@@ -51,7 +51,7 @@ def op4_chat_format(spark, sf_dir):
         "SELECT cast(-1 AS long) conv_id, cast(turn AS long) turn, role, '" + HOSTILE + "' text "
         "FROM VALUES (0, 'user'), (1, 'assistant') t(turn, role)"
     )
-    formatted = chat.format_trees(chat.conversation_messages(rows.unionByName(hostile)))
+    formatted = chat.format_trees(chat.conversation_messages(rows.unionByName(hostile)), unique=True)
     return chat.digests(formatted).select(
         F.when(F.col("tree") != "null", F.col("tree")).cast("long").alias("conv_id"),
         "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",

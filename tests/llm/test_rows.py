@@ -94,6 +94,13 @@ def test_reply_tree_branches(spark):
     assert {(r["tree"], r["leaf"]) for r in best} == {("t", 4), ("u", 1)}
 
 
+def test_repeated_messages_count_once(spark):
+    rows = [("t", 1, None, "user", "hi", 1.0), ("t", 2, 1, "assistant", "yo", 1.0), ("t", 2, 1, "assistant", "yo", 1.0), ("t", 2, 1, "assistant", "zo", 1.0)]
+    df = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
+    got = chat.format_trees(df).collect()
+    assert [chat.read_turns(r["formatted"]) for r in got] == [[("user", "hi"), ("assistant", "yo")]]
+
+
 def test_long_chain_and_cycle(spark):
     schema = "tree string, node long, parent long, role string, text string, score double"
     chain = spark.createDataFrame([("t", i, i - 1, "user", str(i), 1.0) for i in range(1, 71)], schema)
