@@ -32,7 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.stage import collect, cut, remove
@@ -46,6 +46,8 @@ SKETCH_BITS = (16, 24)
 GRAMS_A_CELL = 32
 NODE_BITS = 24
 PROBES = 256
+# Members of a group that a window ranks in one task.
+WHOLE = 4096
 
 
 def needed(a: int, b: int, num: int, den: int) -> int:
@@ -143,6 +145,25 @@ def majors(members: DataFrame) -> DataFrame:
     return kinds.groupBy("gram").agg(major, F.count("*").alias("comps")).where("comps > 1").select("gram", "major")
 
 
+def hubbed(members: DataFrame) -> DataFrame:
+    """``node, n, hub, hub_n`` of the members (``gram, node, n, size``) of every group but its hub.
+
+    A group's hub is the member whose n-grams most others hold: the text that
+    near copies were made from.  Groups of at most ``WHOLE`` rows are ranked
+    whole in a window, larger ones by an aggregate and a join.
+    """
+    # A window on ``node`` holds the n-grams of one text.
+    mass = F.sum("size").over(Window.partitionBy("node")) / F.max("n").over(Window.partitionBy("node"))
+    ranked = members.withColumn("mass", mass)
+    best = F.max(F.struct("mass", "node", "n"))
+    small = ranked.where(F.col("size") <= WHOLE).withColumn("h", best.over(Window.partitionBy("gram")))
+    large = ranked.where(F.col("size") > WHOLE)
+    tops = large.groupBy("gram").agg(best.alias("h"))
+    large = members.where(F.col("size") > WHOLE).join(tops, "gram")
+    columns = ["node", "n", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n")]
+    return small.select(*columns).unionByName(large.select(*columns)).where("hub <> node")
+
+
 class JaccardJoin:
     """One run of the join over ``docs``; see :func:`jaccard_components`."""
 
@@ -397,12 +418,7 @@ def jaccard_components(
     sizes = frequent.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
     members = cut(groups.where("size is not null").unionByName(frequent.join(sizes, "gram")), "gram-members")
     remove(join.spark, used)
-    # A group's hub is the member whose n-grams most others hold: the text that near copies were made from.
-    mass = members.groupBy("node").agg((F.sum("size") / F.max("n")).alias("mass"))
-    ranked = members.join(mass, "node")
-    hubs = ranked.groupBy("gram").agg(F.max(F.struct("mass", "node", "n")).alias("h"))
-    hubs = hubs.select("gram", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"))
-    spokes = members.join(hubs, "gram").where("hub <> node")
+    spokes = hubbed(members)
     star = cut(
         join.possible(spokes.select(F.col("hub").alias("a"), F.col("hub_n").alias("an"), F.col("node").alias("b"), F.col("n").alias("bn"))),
         "star-pairs",
@@ -413,17 +429,21 @@ def jaccard_components(
     comp = cut(connected(near), "components")
 
     m = members.select("gram", "node", "n").join(comp, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    # Both sides of the joins below need one choice of the major component: ties have an order, and it is made once.
-    split_members = m.join(cut(majors(m), "majors"), "gram")
+    # Both sides of the join below need one choice of the major component: ties have an order, and it is made once.
+    major = cut(majors(m), "majors")
+    split = cut(sketch.by_membership(m, F.col("gram"), major.select("gram"))[1].join(major, "gram"), "split-members")
     families, reach = join.reachable(m, comp)
-    minor = split_members.where("comp <> major").select("gram", "major", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    # Every shared prefix n-gram of two nodes in different components gives one row, those of minor components with each other
-    # (the smaller node first), then with the major one: where it is a family, only the nodes that may link with it.
-    both = minor.drop("major").join(split_members.where("comp <> major").drop("major"), "gram").where("comp <> cx and x < node")
-    alone = minor.join(families, minor["major"] == families["family"], "left_anti")
-    may = minor.join(reach, (minor["x"] == reach["node"]) & (minor["major"] == reach["family"]), "left_semi")
-    main = split_members.where("comp = major").drop("major")
-    met = both.unionByName(alone.unionByName(may).drop("major").join(main, "gram"))
+    minor = split.where("comp <> major").select("gram", "major", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
+    # A major component that is a family is met only by the nodes that may link with it.
+    family = families.select(F.col("family").alias("major"), F.lit(True).alias("is_family"))
+    may = reach.select(F.col("node").alias("x"), F.col("family").alias("major"), F.lit(True).alias("may"))
+    minor = minor.join(family, "major", "left").join(may, ["x", "major"], "left")
+    to_major = F.expr("explode(if(is_family is null or may is not null, array(true, false), array(false)))").alias("to_major")
+    minor = minor.select("gram", "x", "nx", "cx", to_major)
+    # Every shared prefix n-gram of two nodes in different components gives one row: those of minor components with the
+    # major one, and with each other (the smaller node first).
+    others = split.select("gram", "node", "n", "comp", (F.col("comp") == F.col("major")).alias("to_major"))
+    met = minor.join(others, ["gram", "to_major"]).where("comp <> cx and (to_major or x < node)")
     first = F.col("x") < F.col("node")
     shared = met.select(
         F.when(first, F.col("x")).otherwise(F.col("node")).alias("a"), F.when(first, F.col("nx")).otherwise(F.col("n")).alias("an"),

@@ -235,10 +235,11 @@ def test_queries_read_whole_tables(spark):
     assert table(spark, "/root/testdata/sf0.001", "documents").count() == 200
 
 
-@pytest.mark.parametrize("family", [2, 4])
-def test_nodes_near_families_lose_no_link(spark, monkeypatch, family):
+@pytest.mark.parametrize("family, whole", [(2, 4096), (4, 4096), (4, 3)])
+def test_nodes_near_families_lose_no_link(spark, monkeypatch, family, whole):
     """Families of near copies, texts that nearly link with them, and texts that link two of them."""
     monkeypatch.setattr(ngram_join, "FAMILY", family)
+    monkeypatch.setattr(ngram_join, "WHOLE", whole)
     r = random.Random(family)
     docs = []
     for base in range(5):
