@@ -120,3 +120,42 @@ def test_single_goes_on_when_an_image_cannot_be_stored(spark):
     # Both stop at a, which fails and stays free; c was picked, and its image stored, while a was thought taken.
     assert committed(plan) == {} and outcomes(plan)["1"][3] == 1 and outcomes(plan)["2"][3] == 1
     assert tree(target) == {f"{IMAGES}/i3"}
+
+
+def test_folders_are_listed_by_tasks_and_hold_landed_files_at_any_depth(spark):
+    root = folder(spark, "deep")
+    for d in ("", "/1F", "/1F/a%20b c", "/.staging", "/_tmp"):
+        os.makedirs(root + d, exist_ok=True)
+        for n, content in (("i" + str(len(d)), b"abc"), (".x", b"abc"), ("_y", b"abc"), ("empty", b"")):
+            with open(f"{root}{d}/{n}", "wb") as f:
+                f.write(content)
+    listing = list_files(spark, "file:" + root + "/")
+    assert {(r.path, r.length) for r in listing.collect()} == {("i0", 3), ("1F/i3", 3), ("1F/a%20b c/i11", 3)}
+    # Spark's file index would hold every file of the folders in the driver.
+    plan = listing._jdf.queryExecution().optimizedPlan().toString()
+    assert "binaryFile" not in plan and root not in {f.replace("file:", "") for f in listing.inputFiles()}
+    assert all("listing-" in f for f in listing.inputFiles())
+    landed = {r.image_id: r.source for r in rd.list_landed(spark, root).collect()}
+    assert landed == {"i0": f"{root}/i0", "i3": f"{root}/1F/i3", "i11": f"{root}/1F/a%20b c/i11"}
+
+
+def test_target_files_are_looked_up_not_listed(spark, monkeypatch):
+    target = folder(spark, "lookup")
+    os.makedirs(f"{target}/{IMAGES}")
+    for n, content in (("i1", b"x"), ("i2", b""), ("other", b"x")):
+        with open(f"{target}/{IMAGES}/{n}", "wb") as f:
+            f.write(content)
+    ids = spark.createDataFrame([("i1",), ("i2",), ("i3",)], "image_id string")
+    found = rd.targets(ids, target)
+    assert [r.path for r in found.collect()] == [f"{IMAGES}/i1"]
+    src, st = make(spark, [project("1", ["a"])], [series("a", ["i1"])], [image("i1", boxes=[])])
+    listed = []
+    monkeypatch.setattr(rd, "list_files", lambda spark, root: listed.append(root))
+    plan = ip.plan_import(src, st, src.projects.select("id"), RUN, files=rd.ImageFiles(spark.createDataFrame([], "image_id string, source string, length long"), target))
+    assert committed(plan) == {"a": "1"} and not listed
+
+
+def test_many_small_files_are_dealt_over_many_tasks(spark, monkeypatch):
+    jobs = spark.range(50).select(F.col("id").cast("string").alias("image_id"), F.lit(1).cast("long").alias("length"))
+    monkeypatch.setattr(rd, "TASK_FILES", 2)
+    assert rd._spread(jobs).rdd.getNumPartitions() == 25
