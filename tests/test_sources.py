@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldload.operators import expand
 from fieldload.plans import redact as rd
 from fieldload.session import checkpoint_dir
+from fieldload.sources import fixtures as fx
 from fieldload.sources.files import list_files
 
 
@@ -70,3 +71,27 @@ def test_ordered_images_global_order_spans_partitions(spark):
     keys = [(r.ts_id, r.image_index) for r in parts]
     assert keys == sorted(keys)
     assert len({r.p for r in parts if r.ts_id == "big"}) > 1
+
+
+def test_prior_state_is_made_from_the_written_exports(spark, monkeypatch):
+    """Events are read and grouped once, not again for every table of prior state."""
+    base = tempfile.mkdtemp(prefix="events-", dir=checkpoint_dir(spark).replace("file:", ""))
+    rows = spark.range(60).selectExpr(
+        "id AS event_id", "timestamp '2024-03-01 08:00:00' + make_interval(0, 0, 0, cast(id % 7 AS int)) AS ts", "1 + id % 5 AS user_id",
+        "'click' AS event_type", "cast(id AS double) AS value", "'{}' AS props",
+    )
+    rows.coalesce(1).write.parquet(f"{base}/events.parquet")
+    read = []
+    made = fx.prior_rows
+
+    def prior_rows(src, ds, keys, run_ts):
+        state = made(src, ds, keys, run_ts)
+        read.extend(f for name in ("timeseries", "image", "bbox", "revision") for f in getattr(state, name).inputFiles())
+        read.extend(f for t in (src.projects, src.timeseries, src.images_metadata, src.labels, ds, keys) for f in t.inputFiles())
+        return state
+
+    monkeypatch.setattr(fx, "prior_rows", prior_rows)
+    prior = fx.load(spark, base).prior
+    assert read and not [f for f in read if "events.parquet" in f]
+    assert {r.ext_id for r in prior.dataset.collect()} == {"2", "4"}
+    assert prior.timeseries.count() == 10 and prior.image.count() == prior.image.select("id").distinct().count() > 0
