@@ -12,8 +12,8 @@ n-grams, so only documents that share such a prefix n-gram are compared:
    first, so the number of prefix n-grams a pair shares bounds its overlap.
    Pairs of a group's hub and members that pass the bound by the groups of
    that hub alone are compared first; what links joins into components.  Then
-   the shared n-grams of all pairs in different components are counted, and
-   those that pass the bound are compared.  Pairs inside a component need no
+   pairs in different components meet at n-grams that stand early in both sets,
+   and those with enough of them are compared.  Pairs inside a component need no
    check, and a component of many members is first met as a whole: the prefix
    n-grams that a node shares with any of them bound those with each.
 4. Comparing: the sets to be held against one probe stand in a trie (sorted
@@ -138,6 +138,15 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """In two bytes each where all fit, else in four."""
+    return x.astype(np.uint16 if x.max(initial=0) < 1 << 16 else np.int32)
+
+
+def _wide(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if len(data) == 2 * count else np.int32).astype(np.int32)
+
+
 def majors(members: DataFrame) -> DataFrame:
     """``gram, major``: the component most members (``gram, comp``) are in, of equals the largest, where there are several."""
     kinds = members.groupBy("gram", "comp").agg(F.count("*").alias("k"))
@@ -178,6 +187,7 @@ class JaccardJoin:
         bits = min(max(round(math.log2(size / 6 / GRAMS_A_CELL + 1)), SKETCH_BITS[0]), SKETCH_BITS[1])
         grams = sketch.fill(self.docs.where("id is not null").select("text"), self._keys(), bits, 1)
         counts = sketch.merged(grams, bits, 1, lambda a: a.astype(np.uint32).tobytes(), 32)
+        self.seen: list = []
         self.classes = self.spark.sparkContext.broadcast(frequency_classes(counts.reshape(-1).view(np.uint32)))
 
     def _keys(self):
@@ -222,7 +232,7 @@ class JaccardJoin:
         return cut(self._each(self.docs, emit, schema), "sets")
 
     def groups(self, buckets: int) -> DataFrame:
-        """``gram, node, n, size``: members of prefix n-grams; the group's ``size`` is null for frequent ones."""
+        """``gram, node, n, at, size``: members of prefix n-grams, ``at`` the n-gram's place in the node's order; the group's ``size`` is null for frequent ones."""
         num, den = self.num, self.den
 
         def emit(batch, words, values, off, node):
@@ -236,25 +246,17 @@ class JaccardJoin:
             place = text.mix(np.where(rare, gram, node[row])) % np.uint64(buckets)
             bucket = place.astype(np.int64) + np.where(rare, 0, buckets)
             order = np.lexsort((row, bucket))
-            bucket, row, gram = bucket[order], row[order], gram[order]
+            bucket, row, gram, at = bucket[order], row[order], gram[order], at[order]
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
-            out = {"bucket": [], "grams": [], "nodes": [], "sizes": [], "counts": []}
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if a == b:
-                    continue
-                r, k = np.unique(row[a:b], return_counts=True)
-                out["bucket"].append(int(bucket[a]))
-                out["grams"].append(gram[a:b].tobytes())
-                out["nodes"].append(node[r].tobytes())
-                out["sizes"].append(n[r].astype(np.int32).tobytes())
-                out["counts"].append(k.astype(np.int32).tobytes())
+            columns = {"grams": gram, "nodes": node[row], "sizes": _narrow(n[row]), "places": _narrow(at - off[row])}
+            spans = [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
             yield pa.RecordBatch.from_pydict(
-                {"bucket": pa.array(out["bucket"], pa.int32())}
-                | {c: pa.array(out[c], pa.binary()) for c in ("grams", "nodes", "sizes", "counts")}
+                {"bucket": pa.array([int(bucket[a]) for a, _ in spans], pa.int32())}
+                | {c: pa.array([v[a:b].tobytes() for a, b in spans], pa.binary()) for c, v in columns.items()}
             )
 
         packed = self._each(
-            self.docs, emit, "bucket int, grams binary, nodes binary, sizes binary, counts binary"
+            self.docs, emit, "bucket int, grams binary, nodes binary, sizes binary, places binary"
         ).repartition(F.col("bucket"))
 
         def meet(batches):
@@ -264,21 +266,20 @@ class JaccardJoin:
                     held.setdefault(r["bucket"], []).append(r)
             for bucket, rows in held.items():
                 gram = np.concatenate([np.frombuffer(r["grams"], np.uint64) for r in rows])
-                k = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in rows])
-                node = np.repeat(np.concatenate([np.frombuffer(r["nodes"], np.int64) for r in rows]), k)
-                n = np.repeat(np.concatenate([np.frombuffer(r["sizes"], np.int32) for r in rows]), k)
+                node = np.concatenate([np.frombuffer(r["nodes"], np.int64) for r in rows])
+                n, at = (np.concatenate([_wide(r[c], len(r["grams"]) // 8) for r in rows]) for c in ("sizes", "places"))
                 rows.clear()
                 order = np.lexsort((node, gram))
-                gram, node, n = gram[order], node[order], n[order]
+                gram, node, n, at = gram[order], node[order], n[order], at[order]
                 new = np.ones(len(gram), dtype=bool)
                 new[1:] = (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
-                gram, node, n = gram[new], node[new], n[new]
+                gram, node, n, at = gram[new], node[new], n[new], at[new]
                 k = None
                 if bucket < buckets:
                     first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
                     size = np.diff(np.append(first, len(gram)))
                     many = np.repeat(size > 1, size)
-                    gram, node, n, k = gram[many], node[many], n[many], np.repeat(size, size)[many]
+                    gram, node, n, at, k = gram[many], node[many], n[many], at[many], np.repeat(size, size)[many]
                 for a in range(0, len(gram), 200_000):
                     s = slice(a, a + 200_000)
                     yield pa.RecordBatch.from_pydict(
@@ -286,15 +287,17 @@ class JaccardJoin:
                             "gram": pa.array(gram[s].view(np.int64)),
                             "node": pa.array(node[s]),
                             "n": pa.array(n[s]),
+                            "at": pa.array(at[s]),
                             "size": pa.array(k[s]) if k is not None else pa.nulls(len(gram[s]), pa.int64()),
                         }
                     )
 
-        return cut(packed.mapInArrow(meet, "gram long, node long, n int, size long"), "gram-groups")
+        return cut(packed.mapInArrow(meet, "gram long, node long, n int, at int, size long"), "gram-groups")
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """``node, grams`` of the wanted nodes (``node, id``: one row of each)."""
-        seen = self.spark.sparkContext.broadcast(sketch.members(wanted.select("node"), NODE_BITS))
+    def sets(self, requests: DataFrame) -> DataFrame:
+        """``requests`` (``node, id``: a row of the node, and more columns) with the node's ``grams``."""
+        seen = self.spark.sparkContext.broadcast(sketch.members(requests.select("node"), NODE_BITS))
+        self.seen.append(seen)
 
         def emit(batch, words, values, off, node):
             ok = np.flatnonzero(sketch.passes(seen.value, node, NODE_BITS))
@@ -307,9 +310,7 @@ class JaccardJoin:
             )
 
         all_sets = self._each(self.docs, emit, f"id {self.id_type}, node long, grams binary")
-        written = cut(all_sets.join(wanted.hint("shuffle_hash"), ["node", "id"]).select("node", "grams"), "gram-sets")
-        seen.destroy()
-        return written
+        return all_sets.join(requests.hint("shuffle_hash"), ["node", "id"])
 
     def possible(self, shared: DataFrame) -> DataFrame:
         """Distinct pairs ``a, b`` of rows ``a, an, b, bn`` (one for each shared prefix n-gram) that may link."""
@@ -320,21 +321,51 @@ class JaccardJoin:
         counted = shared.where(fits).groupBy("a", "an", "b", "bn").agg(F.count("*").alias("k"))
         return counted.where(F.col("k") + rest >= need).select("a", "b")
 
+    def need(self, a: str, b: str):
+        """:func:`needed` of two columns."""
+        return F.ceil((F.col(a) + F.col(b)) * self.num / (self.num + self.den))
+
+    def early(self):
+        """Whether a member (``n, at``) stands early enough to meet sets as large as its own or larger."""
+        return F.col("at") <= F.col("n") - self.need("n", "n") + SHARED - 1
+
+    def met(self, minor: DataFrame, others: DataFrame) -> DataFrame:
+        """Rows ``a, b, e`` of the pairs of ``minor`` (``gram, side, x, nx, ax, cx``) and ``others`` (``gram, side, node, n, at, comp``) at n-grams that stand early in both.
+
+        The first ``e`` n-grams that a linking pair has in common stand, in
+        either set of ``n``, before place ``n - needed + e``: at least
+        ``needed - e`` common ones follow.  So only rows with both places there
+        are met, and a pair needs ``e`` of them.  ``e`` is ``SHARED``, or as
+        many as the prefix of the larger set holds.  Of sides 0 and 1 ``x`` is
+        the smaller set, of side 2 ``node`` (of equal sizes, by node); its
+        member must be ``early``.
+        """
+        x_first = (F.col("nx") < F.col("n")) | ((F.col("nx") == F.col("n")) & (F.col("x") < F.col("node")))
+        fits = F.least("nx", "n") * self.den >= F.greatest("nx", "n") * self.num
+        need = self.need("nx", "n")
+        e = F.least(F.lit(SHARED), need - F.ceil(F.greatest("nx", "n") * self.num / self.den) + 1)
+        placed = (F.col("ax") <= F.col("nx") - need + e - 1) & (F.col("at") <= F.col("n") - need + e - 1)
+        met = minor.join(others, ["gram", "side"]).where((F.col("comp") != F.col("cx")) & (x_first == (F.col("side") < 2)) & fits & placed)
+        return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"), e.alias("e"))
+
+    def meeting(self, minor: DataFrame, others: DataFrame) -> DataFrame:
+        """Distinct pairs ``a, b`` that :meth:`met` gives often enough to link."""
+        return self.met(minor, others).groupBy("a", "b").agg(F.count("*").alias("k"), F.min("e").alias("e")).where("k >= e").select("a", "b")
+
     def links(self, pairs: DataFrame, rows: DataFrame) -> DataFrame:
         """Edges ``u, v``: the ``pairs`` (``a``, ``b``) whose sets link."""
         num, den = self.num, self.den
-        both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = self.sets(rows.join(both, "node"))
         count = pairs.groupBy("a").agg(F.count("*").alias("k"))
         dealt = pairs.join(count, "a").select(
             "a", "b", F.expr(f"cast(pmod(xxhash64(b), ceil(k / {PROBES})) as int)").alias("salt")
         )
         probes = dealt.select("a", "salt").distinct()
         own = F.lit(None).cast("long").alias("b")
-        work = (
-            dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "grams")
-            .unionByName(probes.join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", own, "grams"))
+        asked = dealt.select(F.col("b").alias("node"), "a", "salt", "b").unionByName(
+            probes.select(F.col("a").alias("node"), "a", "salt", own)
         )
+        # Each set goes from its document straight to the probes that ask for it.
+        work = self.sets(cut(asked.join(rows, "node"), "requests")).select("a", "salt", "b", "grams")
 
         def run(batches):
             at, probe, ids, members = None, None, [], []
@@ -360,7 +391,9 @@ class JaccardJoin:
             yield from close()
 
         sorted_work = work.repartition("a", "salt").sortWithinPartitions("a", "salt", "b")
-        return cut(sorted_work.mapInArrow(run, "u long, v long"), "links")
+        found = cut(sorted_work.mapInArrow(run, "u long, v long"), "links")
+        self.seen.pop().destroy()
+        return found
 
     def reachable(self, m: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Families, and the ``node, family`` that may link, of members ``gram, node, n, comp``.
@@ -388,6 +421,8 @@ class JaccardJoin:
         return families, cut(met.join(sizes, "family").where(may).select("node", "family"), "reachable")
 
 
+# Prefix n-grams that a pair of sets of like size must share before it is compared.
+SHARED = 3
 # Nodes of a component that other nodes are first held against as a whole.
 FAMILY = 16
 
@@ -416,7 +451,8 @@ def jaccard_components(
         groups = join.groups(buckets)
     frequent = groups.where("size is null").drop("size")
     sizes = frequent.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
-    members = cut(groups.where("size is not null").unionByName(frequent.join(sizes, "gram")), "gram-members")
+    with collect() as used_members:
+        members = cut(groups.where("size is not null").unionByName(frequent.join(sizes, "gram")), "gram-members")
     remove(join.spark, used)
     spokes = hubbed(members)
     star = cut(
@@ -428,29 +464,36 @@ def jaccard_components(
     near = join.links(star, one_row)
     comp = cut(connected(near), "components")
 
-    m = members.select("gram", "node", "n").join(comp, "node", "left").select("gram", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    # Written once; members whose node is in no component need no join.
+    with collect() as used_up:
+        single, linked = sketch.by_membership(members.drop("size"), F.col("node"), comp.select("node"))
+        linked = linked.join(comp, "node", "left").select(*single.columns, F.coalesce("comp", "node").alias("comp"))
+        m = cut(single.withColumn("comp", F.col("node")).unionByName(linked), "component-members")
+    remove(join.spark, used_members)
     # Both sides of the join below need one choice of the major component: ties have an order, and it is made once.
     major = cut(majors(m), "majors")
-    split = cut(sketch.by_membership(m, F.col("gram"), major.select("gram"))[1].join(major, "gram"), "split-members")
+    split = sketch.by_membership(m, F.col("gram"), major.select("gram"))[1].join(major, "gram")
+    with collect() as used_split:
+        split = cut(split, "split-members")
     families, reach = join.reachable(m, comp)
-    minor = split.where("comp <> major").select("gram", "major", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
+    remove(join.spark, used_up)
+    minor = split.where("comp <> major").select(
+        "gram", "major", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("comp").alias("cx"), join.early().alias("early")
+    )
     # A major component that is a family is met only by the nodes that may link with it.
     family = families.select(F.col("family").alias("major"), F.lit(True).alias("is_family"))
     may = reach.select(F.col("node").alias("x"), F.col("family").alias("major"), F.lit(True).alias("may"))
     minor = minor.join(family, "major", "left").join(may, ["x", "major"], "left")
-    to_major = F.expr("explode(if(is_family is null or may is not null, array(true, false), array(false)))").alias("to_major")
-    minor = minor.select("gram", "x", "nx", "cx", to_major)
-    # Every shared prefix n-gram of two nodes in different components gives one row: those of minor components with the
-    # major one, and with each other (the smaller node first).
-    others = split.select("gram", "node", "n", "comp", (F.col("comp") == F.col("major")).alias("to_major"))
-    met = minor.join(others, ["gram", "to_major"]).where("comp <> cx and (to_major or x < node)")
-    first = F.col("x") < F.col("node")
-    shared = met.select(
-        F.when(first, F.col("x")).otherwise(F.col("node")).alias("a"), F.when(first, F.col("nx")).otherwise(F.col("n")).alias("an"),
-        F.when(first, F.col("node")).otherwise(F.col("x")).alias("b"), F.when(first, F.col("n")).otherwise(F.col("nx")).alias("bn"),
-    )
-    cross = join.possible(shared).join(tried, ["a", "b"], "left_anti")
-    more = join.links(cut(cross, "cross-pairs"), one_row)
+    # Nodes of minor components meet each other (side 0) and those of the major one, as the smaller (1) and the larger set (2).
+    with_major = "if(is_family is null or may is not null, if(early, array(1, 2), array(2)), array())"
+    side = F.expr(f"explode(concat(if(early, array(0), array()), {with_major}))").alias("side")
+    minor = minor.select("gram", "x", "nx", "ax", "cx", side)
+    sides = F.when(F.col("comp") != F.col("major"), F.expr("array(0)")).when(join.early(), F.expr("array(1, 2)")).otherwise(F.expr("array(1)"))
+    others = split.select("gram", "node", "n", "at", "comp", F.explode(sides).alias("side"))
+    cross = join.meeting(minor, others).join(tried, ["a", "b"], "left_anti")
+    cross = cut(cross, "cross-pairs")
+    remove(join.spark, used_split)
+    more = join.links(cross, one_row)
     # The later links join components, so only distinct pairs of those are contracted.
     lifted = more
     for end in ("u", "v"):

@@ -255,3 +255,57 @@ def test_nodes_near_families_lose_no_link(spark, monkeypatch, family, whole):
     rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
     got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(tuple(x) for x in got) == sorted(brute.components(rows))
+
+
+def middling(base=0, copies=60):
+    """Texts that hold most of one text each, too little to link with it or, but for some, with each other."""
+    r = random.Random(base)
+    words = [f"b{base}w{i}" for i in range(150)]
+    rows = [" ".join(words)]
+    for i in range(copies):
+        w = list(words)
+        for at in r.sample(range(0, 150, 5), 9 if i % 3 else 2):
+            w[at] = f"y{base}-{i if i % 7 else 0}-{at}"
+        rows.append(" ".join(w))
+    return rows
+
+
+@pytest.mark.parametrize("shared", [1, 3, 8])
+def test_middling_copies_lose_no_link(spark, monkeypatch, shared):
+    """Places bound what meets, whatever number of shared n-grams is asked for."""
+    monkeypatch.setattr(ngram_join, "SHARED", shared)
+    rows = list(enumerate([*middling(0), *middling(1, 20), *[" ".join(t.split()[:k]) for t in middling(2, 6) for k in (150, 130, 114, 100)]]))
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.components(rows))
+
+
+def test_unlinked_copies_meet_in_few_rows(spark, monkeypatch):
+    """Of n texts that share much with one text and link with none, far less than n * n / 2 rows meet."""
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        w = list(words)
+        for at in r.sample(range(0, 150, 5), 10):
+            w[at] = f"y{i}-{at}"
+        rows.append((i, " ".join(w)))
+    met = []
+    meeting = ngram_join.JaccardJoin.meeting
+
+    def counted(self, minor, others):
+        rows = met_rows(self, minor, others)
+        met.append(rows.count())
+        return meeting(self, minor, others)
+
+    met_rows = ngram_join.JaccardJoin.met
+    monkeypatch.setattr(ngram_join.JaccardJoin, "meeting", counted)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.components(rows))
+    assert met[0] < 120 * 119 / 2
+
+
+def test_sizes_and_places_beyond_two_bytes():
+    for x in ([], [0, 65535], [0, 65536]):
+        a = np.array(x, np.int64)
+        data = ngram_join._narrow(a).tobytes()
+        assert ngram_join._wide(data, len(a)).tolist() == x
