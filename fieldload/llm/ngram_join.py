@@ -186,9 +186,9 @@ class JaccardJoin:
         size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 1
         bits = min(max(round(math.log2(size / 6 / GRAMS_A_CELL + 1)), SKETCH_BITS[0]), SKETCH_BITS[1])
         grams = sketch.fill(self.docs.where("id is not null").select("text"), self._keys(), bits, 1)
-        counts = sketch.merged(grams, bits, 1, lambda a: a.astype(np.uint32).tobytes(), 32)
+        counts = sketch.merged(grams, bits, 1, lambda a: a.astype(np.uint16).tobytes(), 16)
         self.seen: list = []
-        self.classes = self.spark.sparkContext.broadcast(frequency_classes(counts.reshape(-1).view(np.uint32)))
+        self.classes = self.spark.sparkContext.broadcast(frequency_classes(counts.reshape(-1).view(np.uint16)))
 
     def _keys(self):
         n_words = self.n_words

@@ -2,8 +2,9 @@
 
 Every task counts its 64-bit keys in ``depth`` rows of ``2**bits`` cells and
 emits one row per block of cells; blocks are added up in two shuffles (by
-block and salt, then by block), so no task holds more than its blocks and the
-driver gets only the finished table, whose size is fixed by the parameters.
+block and salt, then by block) or in one, so no task holds more than its blocks
+and the driver gets only the finished table, whose size is fixed by the
+parameters.
 A cell is at least the count of each of its keys.
 """
 
@@ -113,14 +114,14 @@ def _added(df: DataFrame, block_bits: int, finish: Callable[[np.ndarray], bytes]
             if acc is None:
                 return
             if finish is None:
-                yield from _emit({at_block: np.minimum(acc, CELL_MAX)}, 0)
+                yield from _emit({at_block: acc}, 0)
                 return
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array([at_block], pa.int32()),
                     "salt": pa.array([0], pa.int32()),
                     "cells": pa.array([b""], pa.binary()),
-                    "counts": pa.array([finish(np.minimum(acc, CELL_MAX))], pa.binary()),
+                    "counts": pa.array([finish(acc)], pa.binary()),
                 }
             )
 
@@ -131,22 +132,24 @@ def _added(df: DataFrame, block_bits: int, finish: Callable[[np.ndarray], bytes]
                     acc, at_block = np.zeros(1 << block_bits, np.uint32), block
                 n = np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint16)
                 at = np.frombuffer(at.as_buffer(), np.uint32) if at.as_buffer().size else slice(None)
-                acc[at] += n
+                # Cells of a row are distinct.
+                acc[at] = np.minimum(acc[at] + n, CELL_MAX)
         yield from done()
 
     return df.mapInArrow(run, SCHEMA)
 
 
-def merged(parts: DataFrame, bits: int, depth: int, finish: Callable[[np.ndarray], bytes], cell_bits: int) -> np.ndarray:
+def merged(parts: DataFrame, bits: int, depth: int, finish: Callable[[np.ndarray], bytes], cell_bits: int, salted: bool = True) -> np.ndarray:
     """The finished sketch as a ``(depth, bytes)`` array.
 
     ``finish`` turns the counts of a block into its final bytes (``cell_bits``
     a cell); the result is ``depth * 2**bits * cell_bits / 8`` bytes whatever
-    the input.
+    the input.  Sketches of few keys and many blocks are added up in one
+    shuffle (not ``salted``).
     """
     block_bits = min(BLOCK_BITS, bits)
     n_blocks = depth << (bits - block_bits)
-    once = _added(parts.repartition("block", "salt").sortWithinPartitions("block"), block_bits, None)
+    once = _added(parts.repartition("block", "salt").sortWithinPartitions("block"), block_bits, None) if salted else parts
     done = _added(once.repartition("block").sortWithinPartitions("block"), block_bits, finish)
     size = (1 << block_bits) * cell_bits // 8
     out = np.zeros((n_blocks, size), np.uint8)
@@ -184,13 +187,17 @@ def members(keys: DataFrame, bits: int = 24, depth: int = 2) -> np.ndarray:
     def present(acc):
         return np.packbits(acc > 0, bitorder="little").tobytes()
 
-    return merged(fill(keys, read, bits, depth), bits, depth, present, 1)
+    # Keys are rows or pairs of them, not the hundreds of n-grams of each text.
+    return merged(fill(keys, read, bits, depth), bits, depth, present, 1, salted=False)
 
 
-def by_membership(df: DataFrame, key, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+def by_membership(df: DataFrame, key, keys: DataFrame, then=None, schema=None) -> tuple[DataFrame, DataFrame]:
     """``df`` in two parts: rows whose ``key`` is surely not in ``keys``, and the rest.
 
     Only the rest needs a join with ``keys``; the first part is not shuffled.
+    ``then`` maps the batches of the first part (which have one more column) to
+    those of ``schema`` in the same Python worker: another ``mapInArrow`` on top
+    would hold a second worker for every running task.
     """
     seen = df.sparkSession.sparkContext.broadcast(members(keys))
     (key_at,) = free_names(df.columns, 1)
@@ -202,6 +209,10 @@ def by_membership(df: DataFrame, key, keys: DataFrame) -> tuple[DataFrame, DataF
                 hit = passes(seen.value, batch[key_at].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), 24)
                 yield batch.filter(pa.array(hit == inside))
 
-        return keyed.mapInArrow(run, keyed.schema).drop(key_at)
+        return run
 
-    return part(False), part(True)
+    clear = keyed.mapInArrow(part(False), keyed.schema).drop(key_at)
+    if then is not None:
+        unseen = part(False)
+        clear = keyed.mapInArrow(lambda batches: then(unseen(batches)), schema)
+    return clear, keyed.mapInArrow(part(True), keyed.schema).drop(key_at)

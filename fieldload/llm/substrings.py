@@ -227,6 +227,6 @@ def remove_repeats(
     for name, kind in results.items():
         schema = schema.add(name, kind)
     # Most rows lose nothing; only those that may are joined with their losses.
-    clear, maybe = sketch.by_membership(wide, F.xxhash64(id_at, row_at), gone.select(F.xxhash64(of_at, key_at).alias("key")))
+    clear, maybe = sketch.by_membership(wide, F.xxhash64(id_at, row_at), gone.select(F.xxhash64(of_at, key_at).alias("key")), whole, schema)
     some = maybe.join(gone.hint("shuffle_hash"), (F.col(id_at) == F.col(of_at)) & (F.col(row_at) == F.col(key_at)), "left")
-    return some.mapInArrow(strip, schema).unionByName(clear.mapInArrow(whole, schema))
+    return some.mapInArrow(strip, schema).unionByName(clear)

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm import brute
 
-from fieldload.llm import decontaminate, ngram_join, sketch, substrings, text, topk
+from fieldload.llm import components, decontaminate, ngram_join, sketch, substrings, text, topk
 from fieldload.llm.queries import table
 from fieldload.operators.stage import cut
 
@@ -152,6 +152,68 @@ def test_sketch_never_undercounts(spark):
     assert flags[:100].all() and flags[100:].mean() < 0.05
 
 
+def test_membership_is_added_up_in_one_shuffle(spark, monkeypatch):
+    """Tasks on the way to a bitmap, all of which the driver keeps track of."""
+    calls, added = [], sketch._added
+    monkeypatch.setattr(sketch, "_added", lambda *a: calls.append(a) or added(*a))
+    keys = np.random.default_rng(4).integers(-(2**62), 2**62, 2000)
+    maps = sketch.members(spark.createDataFrame([(int(k),) for k in keys], "key long").repartition(7))
+    assert len(calls) == 1 and sketch.passes(maps, keys.view(np.uint64), 24).all()
+
+
+def test_stripping_runs_one_python_step_after_another_shuffle(spark):
+    """Steps stacked without a shuffle between them hold a Python worker each, for every running task."""
+    out = substrings.remove_repeats(spark.createDataFrame(corpus(), DOCS))
+    plan = out._jdf.queryExecution().optimizedPlan()
+    stacked, todo = 0, [plan]
+    while todo:
+        p = todo.pop()
+        below = [p.children().apply(i) for i in range(p.children().size())]
+        while below and below[0].nodeName() in ("Project", "Filter") and p.nodeName() == "MapInArrow":
+            below = [below[0].children().apply(i) for i in range(below[0].children().size())]
+        stacked += p.nodeName() == "MapInArrow" and any(b.nodeName() == "MapInArrow" for b in below)
+        todo += below
+    assert stacked == 0
+
+
+def test_gram_counts_reach_the_driver_in_two_bytes(spark, monkeypatch):
+    seen, classes = [], ngram_join.frequency_classes
+    monkeypatch.setattr(ngram_join, "frequency_classes", lambda counts: seen.append(counts.copy()) or classes(counts))
+    rows = [(i, "a common text of words and " + "more " * (i % 3)) for i in range(70_000)]
+    ngram_join.JaccardJoin(spark.createDataFrame(rows, DOCS), "doc_id", "text", 5, 75, 100)
+    assert seen[0].itemsize == 2 and seen[0].max() == sketch.CELL_MAX
+    high = seen[0] > 1000
+    assert (classes(seen[0]) == classes(seen[0].astype(np.uint32))).all() and (classes(seen[0])[high] > 0).all()
+
+
+def smallest(edges):
+    """The smallest node of every node's component."""
+    of = {n: n for e in edges if e[0] != e[1] for n in e}
+    for _ in of:
+        for a, b in edges:
+            if a != b:
+                of[a] = of[b] = min(of[a], of[b])
+    return of
+
+
+@pytest.mark.parametrize("edges, rounds", [
+    ([], 0),
+    ([(3, 3)], 0),
+    ([(i, 1) for i in range(2, 40)] + [(i, 50) for i in range(51, 60)], 0),
+    ([(7, 2), (2, 7), (9, 2), (2, -5)], 1),
+    ([(i, i + 1) for i in range(4)], None),
+    ([(i, i + 1) for i in range(0, 60, 2)] + [(i, i + 17) for i in range(40)], None),
+])
+def test_components_take_no_round_that_changes_nothing(spark, monkeypatch, edges, rounds):
+    cuts, write = [], components.cut
+    monkeypatch.setattr(components, "cut", lambda df, name: cuts.append(write(df, name)) or cuts[-1])
+    got = {r["node"]: r["comp"] for r in components.connected(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == smallest(edges)
+    if rounds is not None:
+        assert len(cuts) == 1 + rounds
+    assert len({frozenset(map(tuple, c.collect())) for c in cuts}) == len(cuts)
+
+
 ITEMS = [(1, "The quick brown fox jumps over the lazy dog and then sleeps"), (2, "Tiny item!"), (3, "Tiny item!"), (4, None),
          (5, "--"), (None, "nameless item here"), (12, "the quick brown fox jumps over the lazy dog and")]
 LEAKS = [(1, "so THE quick, brown fox jumps over the lazy dog and then sleeps; yes. tiny-item tiny  item"), (2, None), (3, ""),
