@@ -293,6 +293,42 @@ def test_topk_ties_and_few_candidates(spark):
     assert [r["id"] for r in got] == [1, 3, 9]
 
 
+def test_topk_sends_no_side_through_the_driver(spark):
+    """The planner guesses the size of packed blocks; by its guess the copies of a side were broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    kept = {key: spark.conf.get(key, None) for key in keys}
+    df = spark.createDataFrame(VECTORS, "vec_id long, embedding array<float>")
+    try:
+        for key in keys:
+            spark.conf.set(key, "100m")
+        found = topk.top_k(df.where("vec_id % 5 = 0"), df, k=3)
+        assert len(found.collect()) == 24
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("queries", [3, 1000])
+def test_topk_over_many_groups_tiles_and_sets_of_queries(spark, monkeypatch, queries):
+    monkeypatch.setattr(topk, "QUERIES", queries)
+    monkeypatch.setattr(topk, "GROUPS", 5)
+    monkeypatch.setattr(topk, "TILE", (2, 3))
+    r = random.Random(5)
+    # Many equal scores, lengths that differ, and weights of two, four and eight bytes.
+    rows = [(i, [r.randrange(-2, 3) * 0.5 * 10.0 ** r.choice([0, 0, 3, 8]) for _ in range(r.randrange(5))]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df.where("vec_id % 4 = 0"), df, k=4, query_block=3, candidate_block=7)
+    held = {a: [int(np.floor(256 * x)) for x in v] for a, v in rows}
+    want = []
+    for q in range(0, 120, 4):
+        scores = [(sum(x * y for x, y in zip(held[q], v, strict=False)), c) for c, v in held.items() if c != q]
+        scores = [(-max(-topk.LONG_MAX, min(topk.LONG_MAX, s)), c) for s, c in scores]
+        want += [(q, i + 1, c, -s) for i, (s, c) in enumerate(sorted(scores)[:4])]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_queries_read_whole_tables(spark):
     assert table(spark, "/root/testdata/sf0.001", "documents").count() == 200
 
