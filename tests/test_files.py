@@ -1,7 +1,9 @@
 """Whole files written by tasks, and the images of an import."""
 
+import io
 import os
 import tempfile
+import zipfile
 
 import numpy as np
 import pytest
@@ -11,6 +13,8 @@ from fieldload.functions.pixels import decode, encode_png
 from fieldload.plans import import_plan as ip
 from fieldload.plans import redact as rd
 from fieldload.session import checkpoint_dir
+from fieldload.sources import files as sf
+from fieldload.sources import fixtures as fx
 from fieldload.sources.files import STAGING, list_files, write_files
 from test_import_rules import RUN, box, committed, image, make, outcomes, project, series
 
@@ -159,3 +163,75 @@ def test_many_small_files_are_dealt_over_many_tasks(spark, monkeypatch):
     jobs = spark.range(50).select(F.col("id").cast("string").alias("image_id"), F.lit(1).cast("long").alias("length"))
     monkeypatch.setattr(rd, "TASK_FILES", 2)
     assert rd._spread(jobs).rdd.getNumPartitions() == 25
+
+
+class Pipe(io.RawIOBase):
+    """Cannot seek: ZIP then puts sizes behind the content."""
+
+    def __init__(self, file):
+        self.file = file
+
+    def writable(self):
+        return True
+
+    def write(self, data):
+        return self.file.write(data)
+
+
+def test_images_are_read_from_packages(spark):
+    """Stored, compressed and streamed members, beside plain files; damaged ones fail their timeseries only."""
+    names = ["i1", "i2", "i3", "i4", "i5", "i6"]
+    src, st = make(spark, [project("1", list("abcdef"))], [series(t, [i]) for t, i in zip("abcdef", names, strict=True)], [image(i, boxes=[]) for i in names])
+    landed, target, png = folder(spark, "landed"), folder(spark, "targets"), encode_png(PIXELS)
+    os.makedirs(f"{landed}/1F")
+    with zipfile.ZipFile(f"{landed}/1F/a.zip", "w") as z:
+        for name, content in (("x/i1", png), ("x/", b""), (".hidden", png), ("_x/i9", png), ("empty", b""), ("i5", png)):
+            z.writestr(name, content)
+    with zipfile.ZipFile(f"{landed}/b.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("i2", png)
+    with open(f"{landed}/c.zip", "wb") as f, zipfile.ZipFile(Pipe(f), "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("i3", png)
+    land(landed, ["i4", "not.zip"], bad={"not.zip"})
+    with open(f"{landed}/1F/a.zip", "rb+") as f:
+        data = f.read()
+        f.seek(data.rindex(png) + 60)
+        f.write(b"\0\0\0\0\0\0")
+    found = {r.image_id: (r.source.removeprefix(landed), r.start is not None, r.length) for r in rd.list_landed(spark, landed).collect()}
+    size = len(png)
+    assert found == {
+        "i1": ("/1F/a.zip", True, size), "i5": ("/1F/a.zip", True, size), "i2": ("/b.zip", True, size), "i3": ("/c.zip", True, size),
+        "i4": ("/i4", False, size), "not.zip": ("/not.zip", False, 8),
+    }
+    plan = imported(spark, src, st, landed, target)
+    assert committed(plan) == {t: "1" for t in "abcd"}
+    got = stored(target)
+    assert sorted(got) == ["i1", "i2", "i3", "i4"] and all((px == PIXELS).all() for px in got.values())
+    checked = rd.stored_check(plan.jobs.where("image_id < 'i5'"), target).collect()
+    assert len(checked) == 4 and all(r.outside_same and r.changed_pixels == 0 for r in checked)
+
+
+def test_packages_hold_every_row_and_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(sf, "PACKAGE_BYTES", 1000)
+    monkeypatch.setattr(sf, "PACKAGE_FILES", 7)
+    root = folder(spark, "packages")
+    rows = spark.range(100).select(F.concat(F.lit("é/"), F.col("id").cast("string")).alias("path"), F.repeat(F.lit("x"), F.col("id").cast("int")).cast("binary").alias("content"))
+    gone = spark.createDataFrame([("gone", None), (None, b"x")], "path string, content binary")
+    write_files(sf.packages(rows.repartition(3).unionByName(gone)), root)
+    held = []
+    for name in tree(root):
+        with zipfile.ZipFile(f"{root}/{name}") as z:
+            held.append({n: len(z.read(n)) for n in z.namelist()})
+            assert len(held[-1]) <= 7 and sum(held[-1].values()) < 1000 + 100
+    assert {k: v for x in held for k, v in x.items()} == {f"é/{i}": i for i in range(100)} and sum(map(len, held)) == 100
+    # The empty one is left out, as an empty file is.
+    listed = sf.unpacked(list_files(spark, root), root).collect()
+    assert {r.path.split("/")[-1]: r.length for r in listed} == {str(i): i for i in range(1, 100)}
+    assert all(sf.read_member(f"{root}/{r.file}", r.start) == b"x" * r.length for r in listed)
+
+
+def test_landed_fixture_takes_no_file_for_each_image(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    files = fx.image_files(spark, sf_dir)
+    made = {r.path: r.n for r in fx.landed_images(fx.events(spark, sf_dir)).select("path", F.length("content").alias("n")).collect()}
+    assert {r.image_id: r.length for r in files.landed.collect()} == made
+    assert len(tree(f"{fx.load(spark, sf_dir).root}/landed".replace("file:", ""))) < len(made) / 20
